@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventweave.llm import bpe, decontaminate, fingerprint, langid, toxicity, urlfilter
+from eventweave.llm import bpe, decontaminate, fingerprint, langid, minhash, suffix, toxicity, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_near_duplicates": minhash.op1_near_duplicates,
+    "op2_suffix_dedup": suffix.op2_suffix_dedup,
     "op3_decontaminate": decontaminate.op3_decontaminate,
     "op4_fingerprint": fingerprint.op4_fingerprint,
     "op6_toxicity": toxicity.op6_toxicity,

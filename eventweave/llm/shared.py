@@ -45,7 +45,7 @@ def held_out(doc_id: str | Column = "doc_id") -> Column:
 
 def packed(df: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     """The columns ``keep`` and the text as compressed bytes (column ``z``), for shuffles that must carry texts."""
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name in keep) + ", z binary"
+    schema = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keep) + ", z binary"
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -78,3 +78,13 @@ def with_label(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
 
 def text_column(batch: pa.RecordBatch) -> pa.Array:
     return unpacked(batch.column("z")) if "z" in batch.schema.names else batch.column("text")
+
+
+#: Ids up to which a set of wanted rows is sent to the tasks (8 bytes an id); beyond, both sides are shuffled.
+BROADCAST_IDS = 2_000_000
+
+
+def with_ids(df: DataFrame, ids: DataFrame, column: str = "doc_id") -> DataFrame:
+    """The rows of df whose ``column`` is in the distinct ids (a column of the same name)."""
+    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    return df.join(F.broadcast(ids) if few else ids, column, "left_semi")
