@@ -6,16 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventweave.llm import bpe, decontaminate, fingerprint, langid, minhash, suffix, toxicity, urlfilter
+from eventweave.llm import bpe, chains, decontaminate, fingerprint, langid, minhash, quality, suffix, toxicity, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_duplicates": minhash.op1_near_duplicates,
     "op2_suffix_dedup": suffix.op2_suffix_dedup,
     "op3_decontaminate": decontaminate.op3_decontaminate,
     "op4_fingerprint": fingerprint.op4_fingerprint,
+    "op5_fuzzy_passages": chains.op5_fuzzy_passages,
     "op6_toxicity": toxicity.op6_toxicity,
     "op7_bpe_tokens": bpe.op7_bpe_tokens,
     "op8_language": langid.op8_language,
+    "op9_quality": quality.op9_quality,
     "op10_url_filter": urlfilter.op10_url_filter,
 }
 

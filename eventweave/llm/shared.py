@@ -80,6 +80,12 @@ def text_column(batch: pa.RecordBatch) -> pa.Array:
     return unpacked(batch.column("z")) if "z" in batch.schema.names else batch.column("text")
 
 
+def without_ids(df: DataFrame, ids: DataFrame, column: str = "doc_id") -> DataFrame:
+    """The rows of df whose ``column`` is null or not in the distinct ids."""
+    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    return df.join(F.broadcast(ids) if few else ids, column, "left_anti")
+
+
 #: Ids up to which a set of wanted rows is sent to the tasks (8 bytes an id); beyond, both sides are shuffled.
 BROADCAST_IDS = 2_000_000
 

@@ -83,8 +83,8 @@ def doc_anchors(data: np.ndarray, offs: np.ndarray, length: int) -> tuple[np.nda
     return at, np.concatenate([k for _, k in found])[first]
 
 
-def _with_row(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", "text", F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.coalesce("text", F.lit(""))).alias("rid"))
+def _with_row(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    return docs.select("doc_id", "text", *keep, F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.coalesce("text", F.lit(""))).alias("rid"))
 
 
 def repeated_anchors(rows: DataFrame, length: int) -> DataFrame:
@@ -302,12 +302,13 @@ def _only(rows: DataFrame, wanted: DataFrame, how: str) -> DataFrame:
     return rows.join(F.broadcast(ids) if few else ids, "rid", how)
 
 
-def cut_texts(docs: DataFrame, length: int = LENGTH, keep_first: bool = True, with_text: bool = True) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, with_text, the text that is left (cut bytes that split a character are
+def cut_texts(docs: DataFrame, length: int = LENGTH, keep_first: bool = True, with_text: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the columns ``keep``, n_bytes, n_removed, n_spans, kept_sha256 and, with_text, the text that is left (cut bytes that split a character are
     replaced by U+FFFD there; the digest is of the bytes). One row per row of docs."""
-    rows = _with_row(docs)
+    rows = _with_row(docs, keep)
     cuts = stored(removed_spans(docs, length, keep_first), "cuts")
-    schema = "doc_id long, rid long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", text string" * with_text
+    own = ["doc_id", "rid", *keep]
+    schema = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in own) + ", n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", text string" * with_text
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -327,12 +328,12 @@ def cut_texts(docs: DataFrame, length: int = LENGTH, keep_first: bool = True, wi
                 spans.append(len(gone))
                 sha.append(hashlib.sha256(rest).hexdigest())
                 kept.append(rest.decode("utf-8", "replace") if with_text else None)
-            cols = [b.column("doc_id"), b.column("rid"), pa.array(size, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(sha, pa.string())]
-            names = ["doc_id", "rid", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+            cols = [*(b.column(k) for k in own), pa.array(size, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(sha, pa.string())]
+            names = [*own, "n_bytes", "n_removed", "n_spans", "kept_sha256"]
             yield pa.RecordBatch.from_arrays([*cols, *([pa.array(kept, pa.string())] * with_text)], names=[*names, *["text"] * with_text])
 
     clean = _only(rows, cuts, "left_anti").mapInArrow(apply, schema)
-    hit = packed(_only(rows, cuts, "left_semi"), ["doc_id", "rid"]).join(cuts, "rid").mapInArrow(apply, schema)
+    hit = packed(_only(rows, cuts, "left_semi"), own).join(cuts, "rid").mapInArrow(apply, schema)
     return clean.unionByName(hit).drop("rid")
 
 
