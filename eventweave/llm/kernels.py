@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 
 U64 = np.uint64
 #: Bytes of text that one vectorised step handles; a longer text is a step of its own.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32

@@ -23,6 +23,7 @@ of each other; null ids come last in the order; extra columns are ignored; an em
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,12 +35,13 @@ from eventweave.llm import kernels as K
 from eventweave.llm.shared import BROADCAST_IDS, packed, stored, table, unpacked
 
 LENGTH = 200
-KMER = 20
+#: Long enough to seldom recur by chance: a short one keeps most anchors of a corpus with few distinct syllables.
+KMER = 64
 _PLACE = np.uint64((1 << 24) - 1)
 #: Bytes of distinct surroundings that a task holds back to find equal ones before it sends them.
-HOLD_BYTES = 48 << 20
+HOLD_BYTES = 12 << 20
 #: Suffixes that a group task ranks at a time (whole groups, except for a group larger than this).
-RANK_AT_ONCE = 2_000_000
+RANK_AT_ONCE = 400_000
 NAMES = ["g", "c", "rid", "at", "left", "ctx", "n", "doc"]
 _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
@@ -153,10 +155,10 @@ def surroundings(texts: DataFrame, length: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(g, pa.int64()), pa.array(c, pa.int64()), pa.nulls(k, pa.int64()), pa.array(at, pa.int64()), pa.array(left, pa.int32()), pa.array(ctx, pa.binary()), pa.array(n, pa.int32()), pa.array(doc, pa.int64())], names=NAMES)
 
         for b in batches:
-            rid, ids, wanted = b.column("rid").to_numpy(), b.column("doc_id").to_pylist(), b.column("keys")
-            texts = unpacked(b.column("z"))
+            rid, ids, wanted, packs = b.column("rid").to_numpy(), b.column("doc_id").to_pylist(), b.column("keys"), b.column("z")
+            places: list[tuple[np.ndarray, ...]] = []
             for i in range(b.num_rows):
-                raw = texts[i].as_py()
+                raw = zlib.decompress(packs[i].as_py())
                 data = np.frombuffer(raw, np.uint8)
                 at, key = doc_anchors(data, np.array([0, len(data)]), length)
                 ok = np.isin(key.view(np.int64), wanted[i].values.to_numpy())
@@ -177,10 +179,14 @@ def surroundings(texts: DataFrame, length: int) -> DataFrame:
                         if (doc, a) < (old[3], old[4]):
                             old[3], old[4] = doc, a
                 k = len(at)
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(code), pa.array(np.full(k, rid[i])), pa.array(at), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.int32()), pa.array(np.full(k, doc))], names=NAMES)
+                places.append((key, code, np.full(k, rid[i]), at, np.full(k, doc)))
                 if room > HOLD_BYTES:
                     yield flush()
                     room = 0
+            if places:
+                key, code, row, at, doc = (np.concatenate(x) for x in zip(*places, strict=True))
+                k = len(key)
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(code), pa.array(row), pa.array(at), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.int32()), pa.array(doc)], names=NAMES)
         if held:
             yield flush()
 
