@@ -24,7 +24,7 @@ def normalize_text(text: Column) -> Column:
 
 
 def _value(token: Column, words: dict[str, int]) -> Column:
-    return F.coalesce(*(F.when(token == w, F.lit(v)) for w, v in words.items()))
+    return F.try_element_at(F.create_map(*(F.lit(x) for pair in words.items() for x in pair)), token)
 
 
 def parse_spoken_number(tokens: Column, units: dict[str, int] = UNITS, teens: dict[str, int] = TEENS, tens: dict[str, int] = TENS, hundreds: dict[str, int] = HUNDREDS) -> Column:

@@ -98,4 +98,4 @@ def robust_offset(estimates: DataFrame, min_score: float, max_deviation_s: float
     every = estimates.groupBy(keys).agg(F.count(F.lit(1)).alias("pair_count"))
     out = every.join(mid, keys, "left").join(mad, keys, "left")
     notes = F.when(F.col("correction_seconds").isNull(), "no usable pair").when(F.col("successful_pairs") < F.col("pair_count"), "pairs rejected").otherwise("")
-    return out.withColumn("correction_seconds", F.coalesce("correction_seconds", F.lit(0.0))).withColumn("successful_pairs", F.coalesce("successful_pairs", F.lit(0).cast("long"))).withColumn("notes", notes)
+    return out.withColumn("notes", notes).withColumn("correction_seconds", F.coalesce("correction_seconds", F.lit(0.0))).withColumn("successful_pairs", F.coalesce("successful_pairs", F.lit(0).cast("long")))

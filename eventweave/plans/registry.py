@@ -29,3 +29,10 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _QUERIES["min_segments"](spark, sf_dir)
+
+
+from eventweave.plans import dataset_queries, order_queries, timeline_queries  # noqa: E402, F401  each registers its queries
