@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventweave.functions import textfuncs, timefuncs, vectors
-from eventweave.operators import dataset, metrics, review, validate
+from eventweave.operators import dataset, metrics, results, review, validate
 from eventweave.plans import views as V
 from eventweave.plans.order_queries import r6
 from eventweave.plans.registry import query
@@ -159,3 +159,27 @@ def apply_merges(spark: SparkSession, sf: str) -> DataFrame:
     every = p.union(roots)
     merges = p.where("user_id % 3 <> 0").select("day_id", (F.floor(F.col("user_id") / 3) * 3).cast("string").alias("target_set_id"), F.col("set_id").alias("source_set_id"), F.col("user_id").cast("int").alias("seq")).distinct()
     return review.apply_merges(every, merges).where("event_id is not null").select("event_id", "set_id")
+
+
+@query("SELECT event_type, count(*) AS segment_count, round(sum(value), 4) AS total_seconds FROM events GROUP BY 1")
+def label_durations(spark: SparkSession, sf: str) -> DataFrame:
+    out = results.label_durations(V.read(spark, sf, "events"), "event_type", "value")
+    return out.withColumn("total_seconds", F.round("total_seconds", 4))
+
+
+@query("SELECT event_id, user_id FROM events WHERE event_type <> 'view' ORDER BY user_id, event_id OFFSET 20 LIMIT 100")
+def work_list(spark: SparkSession, sf: str) -> DataFrame:
+    """The limit is the feature: the next hundred rows of a work list after twenty."""
+    return results.work_list(V.read(spark, sf, "events").select("event_id", "user_id", "event_type"), F.col("event_type") != "view", ["user_id", "event_id"], 20, 100).select("event_id", "user_id")
+
+
+@query(
+    """WITH j AS (SELECT 'p-' || (user_id % 4)::VARCHAR AS stream_id, user_id::VARCHAR AS path, CASE event_type WHEN 'view' THEN 'done' WHEN 'click' THEN 'empty' WHEN 'signup' THEN 'skipped' ELSE 'failed' END AS status, event_id AS at FROM events),
+l AS (SELECT stream_id, path, arg_max(status, at) AS status FROM j GROUP BY ALL)
+SELECT stream_id, count(*) AS files, count_if(status = 'done') AS done, count_if(status = 'empty') AS empty, count_if(status = 'skipped') AS skipped, count_if(status = 'failed') AS failed FROM l GROUP BY 1"""
+)
+def job_status_summary(spark: SparkSession, sf: str) -> DataFrame:
+    e = V.read(spark, sf, "events")
+    status = F.when(F.col("event_type") == "view", "done").when(F.col("event_type") == "click", "empty").when(F.col("event_type") == "signup", "skipped").otherwise("failed")
+    jobs = e.select(F.concat(F.lit("p-"), (F.col("user_id") % 4).cast("string")).alias("stream_id"), F.col("user_id").cast("string").alias("path"), status.alias("status"), F.col("event_id").alias("at"), F.lit(None).cast("string").alias("error"))
+    return results.job_status_summary(jobs).drop("last_error")
