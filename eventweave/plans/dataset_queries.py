@@ -174,8 +174,8 @@ def work_list(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    """WITH j AS (SELECT 'p-' || (user_id % 4)::VARCHAR AS stream_id, user_id::VARCHAR AS path, CASE event_type WHEN 'view' THEN 'done' WHEN 'click' THEN 'empty' WHEN 'signup' THEN 'skipped' ELSE 'failed' END AS status, event_id AS at FROM events),
-l AS (SELECT stream_id, path, arg_max(status, at) AS status FROM j GROUP BY ALL)
+    """WITH j AS (SELECT 'p-' || (user_id % 4)::VARCHAR AS stream_id, user_id::VARCHAR AS path, CASE event_type WHEN 'view' THEN 'done' WHEN 'click' THEN 'empty' WHEN 'signup' THEN 'skipped' ELSE 'failed' END AS status, event_id AS at_id FROM events),
+l AS (SELECT stream_id, path, arg_max(status, at_id) AS status FROM j GROUP BY ALL)
 SELECT stream_id, count(*) AS files, count_if(status = 'done') AS done, count_if(status = 'empty') AS empty, count_if(status = 'skipped') AS skipped, count_if(status = 'failed') AS failed FROM l GROUP BY 1"""
 )
 def job_status_summary(spark: SparkSession, sf: str) -> DataFrame:
