@@ -27,8 +27,9 @@ from eventweave.llm.shared import table
 VOCABULARY = "byte_bpe_50k.json"
 #: Fixed value: the public pre-tokenizing pattern of this vocabulary (white space as Unicode defines it).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
-#: Pre-tokens whose ids a task keeps; beyond it the memory is cleared and filled anew.
-CACHE_ENTRIES = 800_000
+#: Pre-tokens whose ids a worker keeps, and pairs whose compatibility it keeps; beyond it they are cleared and filled anew. About 200
+#: bytes each, and a worker lives on through later stages.
+CACHE_ENTRIES = 200_000
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
