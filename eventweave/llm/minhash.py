@@ -7,7 +7,11 @@
 3. Lists give candidates in turns. In a turn each list links its members to one hub, drawn anew, unless all its members are
    already in one component; lists of up to ``COLD`` members give all pairs between components. So a list of n members makes n
    candidates and not n * n, however hot it is, and similar members soon are one component. Turns end when one after the first finds no link.
-4. Candidates pass a size test and the estimate from the union sketch (five standard deviations below the threshold still pass),
+4. Members of larger lists that still hold several components then get an exact candidate path, a prefix filter on their full shingle
+   sets. With shingles in any common order (here rising frequency among these members), the first one that a pair of similar texts
+   shares is among the first ``index`` of the smaller text and the first ``probe`` of the larger (11 and 20 percent, plus one). So all
+   their links between components are found; a shingle with many members is dealt in blocks of ``BLOCK`` of them.
+5. Candidates pass a size test and the estimate from the union sketch (five standard deviations below the threshold still pass),
    then exact similarity of the full sets decides. Components come from the confirmed links by star contraction.
 
 Defined results: null, empty and word-less texts have no shingles and are linked with nothing; rows with a null doc_id are linked
@@ -34,6 +38,10 @@ PERCENT = 80
 SKETCH = 64
 LISTED = 32
 COLD = 16
+#: Slots of the table of shingle frequencies. Shingles that share a slot only change the order of the prefixes, not what they assure.
+RANK_BITS = 20
+#: Members of a shingle on the smaller side that are met with the others in one group.
+BLOCK = 1024
 #: The estimate may fall short of the similarity by so many standard deviations.
 DEVIATIONS = 5
 
@@ -114,10 +122,86 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Data
     return joined.mapInArrow(compare, "a long, b long, linked boolean").groupBy("a", "b").agg(F.max("linked").alias("linked"))
 
 
+def with_component(rows: DataFrame, groups: DataFrame | None) -> DataFrame:
+    """rows (with a column node) and c, the node's component so far."""
+    return rows.withColumn("c", F.col("node")) if groups is None else rows.join(groups, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
+
+
+def frequencies(texts: DataFrame, size: int) -> np.ndarray:
+    """How many of the texts have a shingle of each slot. Each task adds up its own first; the driver gets one row for each slot."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << RANK_BITS, np.int32)
+        for b in batches:
+            for _, _, data, offs in K.text_chunks(b.column("text")):
+                for s in K.shingle_sets(data, offs, size):
+                    np.add.at(total, slots(s), 1)
+        at = np.flatnonzero(total)
+        for lo in range(0, len(at), 1 << 17):
+            k = at[lo : lo + (1 << 17)]
+            yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int32)), pa.array(total[k])], names=["slot", "n"])
+
+    summed = texts.select("text").mapInArrow(count, "slot int, n int").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(1 << RANK_BITS, np.int64)
+    out[summed.column("slot").to_numpy()] = summed.column("n").to_numpy()
+    return out
+
+
+def slots(s: np.ndarray) -> np.ndarray:
+    return (s >> np.uint64(64 - RANK_BITS)).astype(np.int64)
+
+
+def prefixes(texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """key, node, n, at, index: the rarest shingles of each text up to ``probe``, their place in the order, and whether it is below ``index``."""
+    context = texts.sparkSession.sparkContext
+    often = context.broadcast(frequencies(texts, size))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = often.value
+        for b in batches:
+            ids = b.column("doc_id").to_numpy()
+            for lo, _, data, offs in K.text_chunks(b.column("text")):
+                keys, nodes, sizes, places, inside = [], [], [], [], []
+                for i, s in enumerate(K.shingle_sets(data, offs, size)):
+                    n = len(s)
+                    if not n:
+                        continue
+                    probe, index = n + (-percent * n // 100) + 1, n + (-2 * percent * n // (100 + percent)) + 1
+                    first = s[np.lexsort((s, table[slots(s)]))[:probe]]
+                    keys.append(first.view(np.int64))
+                    nodes.append(np.full(probe, ids[lo + i], np.int64))
+                    sizes.append(np.full(probe, n, np.int64))
+                    places.append(np.arange(probe, dtype=np.int32))
+                    inside.append(places[-1] < index)
+                if keys:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, nodes, sizes, places, inside)], names=["key", "node", "n", "at", "index"])
+
+    return texts.select("doc_id", "text").mapInArrow(run, "key long, node long, n long, at int, index boolean")
+
+
+def rest(lists: DataFrame, groups: DataFrame | None, docs: DataFrame, size: int, percent: int) -> DataFrame | None:
+    """a < b: all pairs of members of open lists over COLD that can be similar and are in different components; None without such lists."""
+    now = with_component(lists.where(F.col("n") > COLD), groups)
+    open_lists = now.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
+    members = stored(now.join(open_lists, "key").select(F.col("node").alias("doc_id")).distinct(), "members")
+    if not members.limit(1).count():
+        return None
+    first = with_component(stored(prefixes(with_ids(docs.select("doc_id", "text"), members), size, percent), "prefixes"), groups)
+    shared = first.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count_if("index").alias("inside")).where("lo < hi and inside > 0")
+    left = stored(first.join(shared.select("key", F.ceil(F.col("inside") / BLOCK).cast("int").alias("blocks")), "key"), "shared")
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    small = left.where("index").select("key", block.alias("block"), F.col("node").alias("x"), F.col("n").alias("nx"), F.col("at").alias("ax"), F.col("c").alias("cx"))
+    large = left.select("key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("node").alias("y"), F.col("n").alias("ny"), F.col("at").alias("ay"), F.col("c").alias("cy"))
+    # the first shared shingle leaves no more to share than what stands after it in both
+    fits = f"cx <> cy and (nx < ny or nx = ny and x < y) and nx * 100 >= ny * {percent} and least(nx - ax, ny - ay) * {100 + percent} >= (nx + ny) * {percent}"
+    met = small.join(large, ["key", "block"]).where(fits)
+    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
 def candidates(lists: DataFrame, groups: DataFrame | None, turn: int) -> DataFrame:
     """a < b: members of different components that a list links to its hub of this turn (in turn 0 lists with common members draw the same
     hub, later each its own); from turn 1 on also all such pairs of a cold list."""
-    now = lists.withColumn("c", F.col("node")) if groups is None else lists.join(groups, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
+    now = with_component(lists, groups)
     draw = F.xxhash64("node", "key", F.lit(turn)) if turn else F.xxhash64("node")
     open_lists = now.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min_by(F.struct("node", "c"), draw).alias("h")).where("lo < hi").select("key", "h")
     left = now.join(open_lists, "key")
@@ -138,9 +222,11 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     entries = inverted(classes)
     shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     lists = stored(entries.join(shared, "key"), "lists")
-    groups, tested, turn = None, None, 0
+    groups, tested, turn, last = None, None, 0, False
     while True:
-        pairs = candidates(lists, groups, turn)
+        pairs = rest(lists, groups, docs.where("doc_id is not null"), size, percent) if last else candidates(lists, groups, turn)
+        if pairs is None:
+            break
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         passed = estimated(pairs, classes, percent)
@@ -153,11 +239,12 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
         fresh = done.where("linked").select("a", "b")
         tested = done.select("a", "b") if tested is None else tested.union(done.select("a", "b"))
         turn += 1
-        if not fresh.limit(1).count():
-            if turn > 1:
-                break
-            continue
-        groups = few_or_all(grown(groups, fresh))
+        found = fresh.limit(1).count()
+        if found:
+            groups = few_or_all(grown(groups, fresh))
+        if last:
+            break
+        last = not found and turn > 1
     own = classes.select("digest", "node")
     if groups is not None:
         own = own.join(groups, "node", "left").select("digest", F.coalesce("component", "node").alias("c"))

@@ -83,6 +83,22 @@ def test_near_duplicates(spark):
             assert (x["n_shingles"], x["component_id"], x["kept"]) == (*want[x["doc_id"]], want[x["doc_id"]][1] == x["doc_id"])
 
 
+@pytest.mark.parametrize("block", [1024, 50])
+def test_near_duplicates_on_one_template(spark, monkeypatch, block):
+    """Texts just under the threshold to each other, some pairs of which are over it, all in the same large lists."""
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    base, texts = prose(61, 160, 10**6), []
+    for i in range(400):
+        tail = [f"own{i}x{k}" for k in range(20)]
+        if i < 80:
+            tail[:2] = [f"both{i // 2}x{k}" for k in range(2)]
+        texts.append((i, " ".join([base, *tail])))
+    want = brute_components(texts, 4)
+    assert sum(c != i for i, (_, c) in want.items()) == 40
+    got = minhash.near_duplicates(docs(spark, texts), size=4).collect()
+    assert {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in got} == want
+
+
 def test_components(spark):
     r = random.Random(2)
     links = [(r.randrange(200), r.randrange(200)) for _ in range(150)] + [(i, i + 1) for i in range(300, 340)]
