@@ -206,6 +206,20 @@ def test_chains(spark):
     assert all(got[i]["n_repeated"] == 0 for i in (1, 3, 4, 5, 6, 8, None)) and got[4]["n_words"] == 0
 
 
+def test_chain_of_one_seed(spark):
+    """An exact run all of whose seeds but one occur in earlier documents too."""
+    shared = prose(51, 60, 10**6)
+    pair = [(100, " ".join([prose(52, 50, 10**6), shared, prose(53, 50, 10**6)])), (101, " ".join([prose(54, 50, 10**6), shared, prose(55, 50, 10**6)]))]
+    words = pair[1][1].split()
+    inside = sorted(x["at"] for x in chains.seeds(docs(spark, pair)).collect() if x["doc"] == 101 and 50 <= x["at"] <= 110 - chains.KMER)
+    assert len(inside) > 2
+    for left in (inside[0], inside[-1]):
+        earlier = [(k, " ".join(words[at : at + chains.KMER])) for k, at in enumerate(inside) if at != left]
+        got = rows_of(chains.fuzzy_repeats(docs(spark, [*earlier, *pair])))
+        assert (got[101]["n_repeated"], got[101]["n_passages"], list(got[101]["first_docs"])) == (60, 1, [100])
+        assert all(got[i]["n_passages"] == 0 for i in got if i != 101)
+
+
 def test_best_chains_brute():
     r = random.Random(3)
     for _ in range(30):
