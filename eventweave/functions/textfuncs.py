@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import sys
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Letters with an accent and their base letters (only such that decompose; stroked letters stay apart).
-ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿāăąćĉċčďēĕėęěĝğġģĥĩīĭįĵķĺļľńņňōŏőŕŗřśŝşšţťũūŭůűųŵŷźżž"
-PLAIN = "aaaaaaceeeeiiiinooooouuuuyyaaaccccdeeeeegggghiiiijklllnnnooorrrssssttuuuuuuwyzzz"
+#: All characters that decompose to a letter a to z with marks, and that letter (stroked letters don't decompose and stay apart).
+ACCENTED = "".join(c for c in map(chr, range(128, sys.maxunicode + 1)) if "a" <= (d := unicodedata.normalize("NFD", c))[0] <= "z" and all(map(unicodedata.combining, d[1:])))
+PLAIN = "".join(unicodedata.normalize("NFD", c)[0] for c in ACCENTED)
 #: Polish number words by their value, cardinal and ordinal stems after normalizing.
 UNITS = {"jeden": 1, "dwa": 2, "trzy": 3, "cztery": 4, "piec": 5, "szesc": 6, "siedem": 7, "osiem": 8, "dziewiec": 9, "pierwszy": 1, "drugi": 2, "trzeci": 3, "czwarty": 4, "piaty": 5, "szosty": 6, "siodmy": 7, "osmy": 8, "dziewiaty": 9}
 TEENS = {"dziesiec": 10, "jedenascie": 11, "dwanascie": 12, "trzynascie": 13, "czternascie": 14, "pietnascie": 15, "szesnascie": 16, "siedemnascie": 17, "osiemnascie": 18, "dziewietnascie": 19}
@@ -17,8 +20,8 @@ AND_WORDS = ["i"]
 
 
 def normalize_text(text: Column) -> Column:
-    """Lower case, accents stripped, the number sign as 'nr', tokens [a-z0-9]+ joined by one blank."""
-    low = F.regexp_replace(F.lower(text), "№", "nr")
+    """Lower case, accents stripped, the number sign as the word 'nr', tokens [a-z0-9]+ joined by one blank."""
+    low = F.regexp_replace(F.lower(text), "№", " nr ")
     low = F.regexp_replace(F.translate(low, ACCENTED, PLAIN), r"\p{M}", "")
     return F.array_join(F.regexp_extract_all(low, F.lit("[a-z0-9]+"), F.lit(0)), " ")
 

@@ -145,11 +145,17 @@ def trigger_windows(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT conv_id, turn, list_aggregate(regexp_extract_all(lower(text), '[a-z0-9]+'), 'string_agg', ' ') AS normalized FROM conversations WHERE regexp_full_match(text, '[\\x00-\\x7F]*')")
 def normalize_text(spark: SparkSession, sf: str) -> DataFrame:
-    """ASCII texts only, as SQL has no accent table; accents are tested on fixtures."""
+    """ASCII texts only, as SQL has no accent table; normalize_turns has all."""
     t = V.turns(spark, sf).where(F.col("text").rlike(r"\A[\x00-\x7F]*\z"))
     return t.select("conv_id", "turn", F.nullif(textfuncs.normalize_text(F.col("text")), F.lit("")).alias("normalized"))
 
 
+@query()
+def normalize_turns(spark: SparkSession, sf: str) -> DataFrame:
+    """All turns, with accents, number signs and null texts; tests hold it against plain Python."""
+    return V.turns(spark, sf).select("conv_id", "turn", F.nullif(textfuncs.normalize_text(F.col("text")), F.lit("")).alias("normalized"))
+
+
 @query()
 def spoken_announcements(spark: SparkSession, sf: str) -> DataFrame:
     """Numbers spoken after the words 'the' and 'is' of conversation turns (the tables hold no announcements); fixtures test the rule."""

@@ -5,6 +5,8 @@ from __future__ import annotations
 import decimal
 import math
 import os
+import re
+import unicodedata
 
 import duckdb
 import pytest
@@ -47,6 +49,20 @@ def test_runs(spark, name):
     assert registry.queries()[name](spark, SF).limit(1).count() == 1
 
 
+def test_normalize_turns(spark, tmp_path):
+    def plain_text(text):
+        low = unicodedata.normalize("NFD", text.lower())
+        low = "".join(c for c in low if not unicodedata.combining(c)).replace("№", " nr ")
+        return " ".join(re.findall("[a-z0-9]+", low)) or None
+
+    texts = ["plain, ASCII 1", "Zażółć Gęślą", "№5", "x№ 7", "ế Ǎ ǧ Ṡ ơ Việt Nam", "e\u0301te\u0301", "日本 ß", "", None]
+    rows = [(1, k, "user", t) for k, t in enumerate(texts)]
+    spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = {x["turn"]: x["normalized"] for x in registry.queries()["normalize_turns"](spark, str(tmp_path)).collect()}
+    assert got == {k: None if t is None else plain_text(t) for _, k, _, t in rows}
+    assert registry.queries()["normalize_turns"](spark, SF).count() == spark.read.parquet(f"{SF}/conversations.parquet").count()
+
+
 def test_no_cartesian_product(spark):
     for name, q in registry.queries().items():
         if name != "multiclass_metrics":  # joins two single rows
