@@ -154,7 +154,7 @@ def apply_splits(spark: SparkSession, sf: str) -> DataFrame:
 )
 def apply_merges(spark: SparkSession, sf: str) -> DataFrame:
     """Every user whose id is not a multiple of three is merged into the multiple below (which is made sure to exist)."""
-    p = V.read(spark, sf, "events").select(F.lit("d").alias("day_id"), F.col("user_id").cast("string").alias("set_id"), "event_id", "user_id")
+    p = V.read(spark, sf, "events").select(F.date_format("ts", "yyyyMMdd").alias("day_id"), F.col("user_id").cast("string").alias("set_id"), "event_id", "user_id")
     roots = p.select("day_id", (F.floor(F.col("user_id") / 3) * 3).cast("string").alias("set_id"), F.lit(None).cast("long").alias("event_id"), F.col("user_id")).distinct()
     every = p.union(roots)
     merges = p.where("user_id % 3 <> 0").select("day_id", (F.floor(F.col("user_id") / 3) * 3).cast("string").alias("target_set_id"), F.col("set_id").alias("source_set_id"), F.col("user_id").cast("int").alias("seq")).distinct()

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import random
+import re
 
 import pytest
 from pyspark.sql import Row
@@ -235,6 +237,32 @@ def test_splits(spark):
     assert plan[("x", "rare")] == {"train": 1, "validation": 1, "test": 1}
 
 
+def test_stratified_split_in_buckets(spark, monkeypatch):
+    """Ranks are made in buckets of a stratum, and are those of the whole stratum in hash order."""
+    monkeypatch.setattr(dataset, "BUCKET_ROWS", 20, raising=False)
+    fractions = {"train": 0.8, "validation": 0.1, "test": 0.1}
+    rows = [(i, "a" if i % 10 else None) for i in range(400)]
+    out = dataset.stratified_split(spark.createDataFrame(rows, "id int, k string"), "id", ["k"], fractions, 3)
+    got = {r["id"]: r["split_name"] for r in out.collect()}
+    assert len(got) == 400 and out.columns == ["id", "k", "split_name"]
+    for k in ("a", None):
+        ids = sorted((i for i, x in rows if x == k), key=lambda i: hashlib.sha256(f"3:{i}".encode()).hexdigest())
+        n = len(ids)
+        assert [got[i] for i in ids] == ["train"] * (n * 8 // 10) + ["validation"] * (n // 10) + ["test"] * (n // 10)
+    windows = re.findall(r"row_number\(\) windowspecdefinition\(([^)]*)\)", out._jdf.queryExecution().optimizedPlan().toString())
+    assert windows and all("_b" in w for w in windows)
+
+
+def test_merges_run_by_day(spark, monkeypatch):
+    from eventweave.plans import registry
+
+    seen = []
+    real = review.merge_map
+    monkeypatch.setattr(review, "merge_map", lambda sets, merges: seen.append(sets.select("day_id").distinct().count()) or real(sets, merges))
+    registry.queries()["apply_merges"](spark, "/root/testdata/sf0.001")
+    assert seen[0] > 1
+
+
 def test_metrics(spark):
     df = spark.createDataFrame([("d", 1, False, True), ("d", 2, False, True), ("d", 3, True, False), ("e", 1, False, True)], "day_id string, i int, t boolean, p boolean")
     got = {r["day_id"]: (r["merge_runs"], r["split_actions"]) for r in metrics.review_cost(df, F.col("t"), F.col("p"), ["i"]).collect()}
