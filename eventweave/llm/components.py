@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventweave.llm.shared import stored
+from eventweave.llm.shared import discard, stored
 
 
 def _large(edges: DataFrame) -> DataFrame:
@@ -27,7 +27,9 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     edges = links.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
     before = None
     while True:
-        edges = stored(_small(_large(edges)), "stars")
+        last, edges = edges, stored(_small(_large(edges)), "stars")
+        if before is not None:
+            discard(last)
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before or now[0] == 0:
             break

@@ -1,18 +1,17 @@
 """MinHash near-duplicates by bottom-k sketches of one hash function.
 
 1. Each text becomes its set of shingle hashes. Texts with equal sets form a class; only one member of a class goes on.
-2. A class keeps the ``SKETCH`` smallest hashes. Inverted lists are keyed by two neighbouring retained values among the first
-   ``LISTED`` ones: a pair of texts with similarity 0.8 has no such list in common with a chance under 1e-8, and a frequent line
-   or passage seldom fills a list, as its values would have to stand side by side.
-3. Lists give candidates in turns. In a turn each list links its members to one hub, drawn anew, unless all its members are
-   already in one component; lists of up to ``COLD`` members give all pairs between components. So a list of n members makes n
-   candidates and not n * n, however hot it is, and similar members soon are one component. Turns end when one after the first finds no link.
-4. Members of larger lists that still hold several components then get an exact candidate path, a prefix filter on their full shingle
-   sets. With shingles in any common order (here rising frequency among these members), the first one that a pair of similar texts
-   shares is among the first ``index`` of the smaller text and the first ``probe`` of the larger (11 and 20 percent, plus one). So all
-   their links between components are found; a shingle with many members is dealt in blocks of ``BLOCK`` of them.
-5. Candidates pass a size test and the estimate from the union sketch (five standard deviations below the threshold still pass),
-   then exact similarity of the full sets decides. Components come from the confirmed links by star contraction.
+2. A class retains the smallest part of its set in one order that all texts share: rarer shingles first (by a small table of shingle
+   frequencies), by hash within. The number retained follows the size n of the set, n - ceil(0.8 n) + 1 for a similarity of 0.8: two
+   similar sets then have a retained value in common for certain (their first common one), and the smaller set has it among its first
+   n - ceil(1.6 n / 1.8) + 1. A frequent line or passage is seldom retained, as it comes last in the order.
+3. Inverted lists of the retained values give candidates. ``HUB_TURNS`` times each list links its members to one hub, which contracts
+   groups of copies: a list of n members makes n candidates there. After that, every pair of a list whose members are still in
+   different components is met once, in blocks of ``BLOCK`` members, inside the tasks: only pairs that sizes, places in the lists and
+   256 bits of minima (one for each part of the hash space) let pass are given out. The number of steps is fixed, and no pair of
+   similar sets in different components is left out.
+4. Candidates pass the estimate from the union sketch of their ``SKETCH`` smallest hashes (five standard deviations below the threshold
+   still pass), then exact similarity of the full sets of 64-bit shingle hashes decides. Components come from the confirmed links.
 
 Defined results: null, empty and word-less texts have no shingles and are linked with nothing; rows with a null doc_id are linked
 with nothing, have no component and are not kept; rows of one doc_id count as one document; the smallest doc_id of a component is
@@ -26,57 +25,109 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventweave.llm import kernels as K
 from eventweave.llm.components import components
-from eventweave.llm.shared import BROADCAST_IDS, stored, table, with_ids
+from eventweave.llm.shared import BROADCAST_IDS, discard, stored, table, with_ids
 
 SHINGLE = 5
 PERCENT = 80
 SKETCH = 64
-LISTED = 32
-COLD = 16
-#: Slots of the table of shingle frequencies. Shingles that share a slot only change the order of the prefixes, not what they assure.
-RANK_BITS = 20
-#: Members of a shingle on the smaller side that are met with the others in one group.
+#: Turns in which lists link their members to a hub before all remaining pairs are met.
+HUB_TURNS = 2
+#: Slots of the table of shingle frequencies. Shingles that share a slot only change the common order, not what it assures.
+RANK_BITS = 18
+#: Members of a list on the smaller side that are met with the others in one group.
 BLOCK = 1024
-#: The estimate may fall short of the similarity by so many standard deviations.
+#: An estimate may fall short of the similarity by so many standard deviations.
 DEVIATIONS = 5
+#: Parts of the hash space, each with one bit of its smallest hash.
+PARTS = 256
+#: Pairs that a task looks at in one vectorised step.
+STEP = 1 << 19
+DESCRIBED = "doc_id long, n long, digest binary, sketch binary, bits binary, slot int, m long"
+
+
+def slots(s: np.ndarray) -> np.ndarray:
+    return (s >> np.uint64(64 - RANK_BITS)).astype(np.int64)
+
+
+def part_bits(s: np.ndarray) -> bytes:
+    """The lowest bit of the smallest hash in each of PARTS parts (0 in an empty one) of sorted hashes."""
+    part = (s >> np.uint64(56)).astype(np.int64)
+    bit = np.zeros(PARTS, np.uint8)
+    first = np.concatenate(([True], part[1:] != part[:-1])) if len(s) else np.zeros(0, bool)
+    bit[part[first]] = s[first] & np.uint64(1)
+    return np.packbits(bit).tobytes()
 
 
 def described(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n (distinct shingles), digest of the set, sketch (the smallest hashes' upper 32 bits)."""
+    """Two kinds of rows: doc_id, n (distinct shingles), digest of the set, sketch (the smallest hashes' upper 32 bits) and bits of each
+    row of docs (slot null); and slot, m: how many sets of a task have a shingle of that slot."""
+    names = ["doc_id", "n", "digest", "sketch", "bits", "slot", "m"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << RANK_BITS, np.int64)
         for b in batches:
-            n, digest, sketch = [], [], []
+            n, digest, sketch, bits = [], [], [], []
             for _, _, data, offs in K.text_chunks(b.column("text")):
                 for s in K.shingle_sets(data, offs, size):
                     n.append(len(s))
                     digest.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                     sketch.append((s[:SKETCH] >> np.uint64(32)).astype(np.uint32).tobytes())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sketch, pa.binary())], names=["doc_id", "n", "digest", "sketch"])
+                    bits.append(part_bits(s))
+                    np.add.at(total, slots(s), 1)
+            k = len(n)
+            columns = [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sketch, pa.binary()), pa.array(bits, pa.binary()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+        at = np.flatnonzero(total)
+        for lo in range(0, len(at), 1 << 16):
+            own = at[lo : lo + (1 << 16)]
+            k = len(own)
+            columns = [pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary()), pa.array(own.astype(np.int32)), pa.array(total[own])]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return docs.select("doc_id", "text").mapInArrow(run, DESCRIBED)
+
+
+def frequencies(each: DataFrame) -> np.ndarray:
+    """How many sets have a shingle of each slot; the driver gets one row for each slot."""
+    summed = each.where("slot is not null").groupBy("slot").agg(F.sum("m").alias("m")).toArrow()
+    out = np.zeros(1 << RANK_BITS, np.int64)
+    out[summed.column("slot").to_numpy()] = summed.column("m").to_numpy()
+    return out
+
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, digest binary, sketch binary")
+def indexed(percent: int, n: str = "n") -> Column:
+    """How many of its first retained values a set of n shares one of with every larger similar set."""
+    return F.expr(f"{n} - (({2 * percent} * {n} + {99 + percent}) div {100 + percent}) + 1")
 
 
-def inverted(classes: DataFrame) -> DataFrame:
-    """key, node: one row for each two neighbouring values of a sketch's first LISTED ones (a single value stands alone)."""
+def retained(texts: DataFrame, often: np.ndarray, size: int, percent: int) -> DataFrame:
+    """key, node, n, at: the first n - ceil(n * percent / 100) + 1 shingles of each text in the common order, and their place there."""
+    sent = texts.sparkSession.sparkContext.broadcast(often)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keys, nodes = [], []
-            for node, z in zip(b.column("node").to_pylist(), b.column("sketch").to_pylist(), strict=True):
-                v = np.frombuffer(z, np.uint32)[:LISTED].astype(np.int64)
-                k = np.unique((v[:-1] << 32) | v[1:]) if len(v) > 1 else v << 32
-                keys.append(k)
-                nodes.append(np.full(len(k), node, np.int64))
-            if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(nodes))], names=["key", "node"])
+            ids = b.column("doc_id").to_numpy()
+            for lo, _, data, offs in K.text_chunks(b.column("text")):
+                keys, nodes, sizes, places = [], [], [], []
+                for i, s in enumerate(K.shingle_sets(data, offs, size)):
+                    n = len(s)
+                    if not n:
+                        continue
+                    keep = n - (percent * n + 99) // 100 + 1
+                    order = np.argsort(sent.value[slots(s)], kind="stable")[:keep]  # s is sorted, so equal frequencies go by hash
+                    keys.append(s[order].view(np.int64))
+                    nodes.append(np.full(keep, ids[lo + i], np.int64))
+                    sizes.append(np.full(keep, n, np.int32))
+                    places.append(np.arange(keep, dtype=np.int32))
+                if keys:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, nodes, sizes, places)], names=["key", "node", "n", "at"])
 
-    return classes.select("node", "sketch").mapInArrow(run, "key long, node long")
+    return texts.select("doc_id", "text").mapInArrow(run, "key long, node long, n int, at int")
 
 
 def estimated(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -90,7 +141,9 @@ def estimated(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
         for b in batches:
             est = np.zeros(b.num_rows)
             for i, (x, y) in enumerate(zip(b.column("sa").to_pylist(), b.column("sb").to_pylist(), strict=True)):
-                both, count = np.unique(np.concatenate((np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32))), return_counts=True)
+                both = np.sort(np.concatenate((np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32))))
+                new = np.concatenate(([True], both[1:] != both[:-1]))
+                count = np.diff(np.flatnonzero(np.concatenate((new, [True]))))
                 est[i] = (count[:SKETCH] > 1).mean()
             ok = pa.array(est >= least)
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(est)], names=["a", "b", "est"]).filter(ok)
@@ -127,124 +180,107 @@ def with_component(rows: DataFrame, groups: DataFrame | None) -> DataFrame:
     return rows.withColumn("c", F.col("node")) if groups is None else rows.join(groups, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
 
 
-def frequencies(texts: DataFrame, size: int) -> np.ndarray:
-    """How many of the texts have a shingle of each slot. Each task adds up its own first; the driver gets one row for each slot."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << RANK_BITS, np.int32)
-        for b in batches:
-            for _, _, data, offs in K.text_chunks(b.column("text")):
-                for s in K.shingle_sets(data, offs, size):
-                    np.add.at(total, slots(s), 1)
-        at = np.flatnonzero(total)
-        for lo in range(0, len(at), 1 << 17):
-            k = at[lo : lo + (1 << 17)]
-            yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int32)), pa.array(total[k])], names=["slot", "n"])
-
-    summed = texts.select("text").mapInArrow(count, "slot int, n int").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(1 << RANK_BITS, np.int64)
-    out[summed.column("slot").to_numpy()] = summed.column("n").to_numpy()
-    return out
-
-
-def slots(s: np.ndarray) -> np.ndarray:
-    return (s >> np.uint64(64 - RANK_BITS)).astype(np.int64)
-
-
-def prefixes(texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """key, node, n, at, index: the rarest shingles of each text up to ``probe``, their place in the order, and whether it is below ``index``."""
-    context = texts.sparkSession.sparkContext
-    often = context.broadcast(frequencies(texts, size))
+def to_hubs(lists: DataFrame, groups: DataFrame | None, turn: int, percent: int) -> DataFrame:
+    """a < b: each list links its members to one of them, unless all are in one component. In the first turn lists with common members
+    draw the same hub, later each its own."""
+    now = with_component(lists, groups)
+    draw = F.xxhash64("node", "key", F.lit(turn)) if turn else F.xxhash64("node")
+    hubs = now.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min_by(F.struct("node", "c", "n"), draw).alias("h")).where("lo < hi").select("key", "h")
+    left = now.join(hubs, "key").where(f"c <> h.c and least(n, h.n) * 100L >= greatest(n, h.n) * {percent}L")
+    return left.select(F.least("node", "h.node").alias("a"), F.greatest("node", "h.node").alias("b")).distinct()
+
+
+def met_in_lists(lists: DataFrame, groups: DataFrame | None, classes: DataFrame, percent: int) -> DataFrame:
+    """a < b: all pairs of list members in different components that can be similar by their sizes, places and bits of minima."""
+    now = with_component(lists, groups).withColumn("inside", F.col("at") < indexed(percent))
+    shared = now.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count_if("inside").alias("many")).where("lo < hi and many > 0")
+    left = now.join(shared.select("key", F.ceil(F.col("many") / BLOCK).cast("int").alias("blocks")), "key")
+    # a member of the smaller side has a block of its own, and meets those of the other blocks as one of the larger side
+    own = F.when(F.col("inside"), F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).otherwise(-1)
+    dealt = left.withColumn("own", own).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("side", (F.col("block") != F.col("own")).cast("int"))
+    bits = classes.groupBy("node").agg(F.first("bits").alias("bits"))
+    rows = dealt.join(bits, "node").select("key", "block", "side", "node", "n", "at", "c", "bits")
+    most = PARTS * (100 - percent) / 200
+    most += DEVIATIONS * (most * (1 - most / PARTS)) ** 0.5
+
+    def near(t: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Which pairs of rows can be similar."""
+        ni, nj = t["n"][i], t["n"][j]
+        smaller = (ni < nj) | ((ni == nj) & (t["node"][i] < t["node"][j]))  # of two on the smaller side either may be it
+        ok = (t["c"][i] != t["c"][j]) & (smaller | (t["side"][j] == 0)) & (100 * np.minimum(ni, nj) >= percent * np.maximum(ni, nj))
+        # what stands from here on in both is the most they can share, if this is their first common value
+        ok &= (100 + percent) * np.minimum(ni - t["at"][i], nj - t["at"][j]) >= percent * (ni + nj)
+        k = np.flatnonzero(ok)
+        far = np.bitwise_count(t["bits"][i[k]] ^ t["bits"][j[k]]).sum(1)
+        return k[far <= most]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = often.value
+        held: dict[str, np.ndarray] | None = None
         for b in batches:
-            ids = b.column("doc_id").to_numpy()
-            for lo, _, data, offs in K.text_chunks(b.column("text")):
-                keys, nodes, sizes, places, inside = [], [], [], [], []
-                for i, s in enumerate(K.shingle_sets(data, offs, size)):
-                    n = len(s)
-                    if not n:
-                        continue
-                    probe, index = n + (-percent * n // 100) + 1, n + (-2 * percent * n // (100 + percent)) + 1
-                    first = s[np.lexsort((s, table[slots(s)]))[:probe]]
-                    keys.append(first.view(np.int64))
-                    nodes.append(np.full(probe, ids[lo + i], np.int64))
-                    sizes.append(np.full(probe, n, np.int64))
-                    places.append(np.arange(probe, dtype=np.int32))
-                    inside.append(places[-1] < index)
-                if keys:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, nodes, sizes, places, inside)], names=["key", "node", "n", "at", "index"])
-
-    return texts.select("doc_id", "text").mapInArrow(run, "key long, node long, n long, at int, index boolean")
-
-
-def rest(lists: DataFrame, groups: DataFrame | None, docs: DataFrame, size: int, percent: int) -> DataFrame | None:
-    """a < b: all pairs of members of open lists over COLD that can be similar and are in different components; None without such lists."""
-    now = with_component(lists.where(F.col("n") > COLD), groups)
-    open_lists = now.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
-    members = stored(now.join(open_lists, "key").select(F.col("node").alias("doc_id")).distinct(), "members")
-    if not members.limit(1).count():
-        return None
-    first = with_component(stored(prefixes(with_ids(docs.select("doc_id", "text"), members), size, percent), "prefixes"), groups)
-    shared = first.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count_if("index").alias("inside")).where("lo < hi and inside > 0")
-    left = stored(first.join(shared.select("key", F.ceil(F.col("inside") / BLOCK).cast("int").alias("blocks")), "key"), "shared")
-    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    small = left.where("index").select("key", block.alias("block"), F.col("node").alias("x"), F.col("n").alias("nx"), F.col("at").alias("ax"), F.col("c").alias("cx"))
-    large = left.select("key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("node").alias("y"), F.col("n").alias("ny"), F.col("at").alias("ay"), F.col("c").alias("cy"))
-    # the first shared shingle leaves no more to share than what stands after it in both
-    fits = f"cx <> cy and (nx < ny or nx = ny and x < y) and nx * 100 >= ny * {percent} and least(nx - ax, ny - ay) * {100 + percent} >= (nx + ny) * {percent}"
-    met = small.join(large, ["key", "block"]).where(fits)
-    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-
-
-def candidates(lists: DataFrame, groups: DataFrame | None, turn: int) -> DataFrame:
-    """a < b: members of different components that a list links to its hub of this turn (in turn 0 lists with common members draw the same
-    hub, later each its own); from turn 1 on also all such pairs of a cold list."""
-    now = with_component(lists, groups)
-    draw = F.xxhash64("node", "key", F.lit(turn)) if turn else F.xxhash64("node")
-    open_lists = now.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min_by(F.struct("node", "c"), draw).alias("h")).where("lo < hi").select("key", "h")
-    left = now.join(open_lists, "key")
-    pairs = left.where("c <> h.c").select(F.least("node", "h.node").alias("a"), F.greatest("node", "h.node").alias("b"))
-    if turn:
-        cold = left.where(F.col("n") <= COLD).select("key", "node", "c")
-        other = cold.toDF("key", "node2", "c2")
-        pairs = pairs.union(cold.join(other, "key").where("node < node2 and c <> c2").select(F.col("node").alias("a"), F.col("node2").alias("b")))
-    return pairs.distinct()
+            if not b.num_rows:
+                continue
+            t = {c: b.column(c).to_numpy().astype(np.int64) for c in ("key", "block", "side", "node", "n", "at", "c")}
+            t["bits"] = np.frombuffer(b"".join(b.column("bits").to_pylist()), np.uint64).reshape(-1, PARTS // 64)
+            old = 0
+            if held is not None:
+                old = len(held["key"])
+                t = {c: np.concatenate((held[c], t[c])) for c in t}
+            n = len(t["key"])
+            new = np.concatenate(([True], (t["key"][1:] != t["key"][:-1]) | (t["block"][1:] != t["block"][:-1])))
+            first = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+            small = np.cumsum(t["side"] == 0)
+            before = small - (t["side"] == 0) - (small[first] - (t["side"][first] == 0))  # rows of the smaller side above it in the group
+            before[:old] = 0
+            total = np.concatenate(([0], np.cumsum(before)))
+            lo = 0
+            while lo < n:
+                hi = max(int(np.searchsorted(total, total[lo] + STEP, "right")) - 1, lo + 1)
+                j = np.repeat(np.arange(lo, hi), before[lo:hi])
+                i = first[j] + np.arange(len(j)) - (total[j] - total[lo])
+                k = near(t, i, j)
+                if len(k):
+                    x, y = t["node"][i[k]], t["node"][j[k]]
+                    both = np.unique(np.stack((np.minimum(x, y), np.maximum(x, y)), 1), axis=0)
+                    yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
+                lo = hi
+            own = slice(int(first[-1]), None)
+            keep = t["side"][own] == 0
+            held = {c: v[own][keep] for c, v in t.items()}
+
+    met = rows.repartition("key", "block").sortWithinPartitions("key", "block", "side", "node").mapInArrow(run, "a long, b long")
+    return met.where("a < b").distinct()
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of docs."""
     docs = docs.select("doc_id", "text")
-    each = stored(described(docs, size), "described")
-    named = each.where("doc_id is not null")
-    classes = stored(named.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "classes")
-    entries = inverted(classes)
-    shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    lists = stored(entries.join(shared, "key"), "lists")
-    groups, tested, turn, last = None, None, 0, False
-    while True:
-        pairs = rest(lists, groups, docs.where("doc_id is not null"), size, percent) if last else candidates(lists, groups, turn)
-        if pairs is None:
-            break
+    both = stored(described(docs, size), "described")
+    each = both.where("slot is null").select("doc_id", "n", "digest", "sketch", "bits")
+    named = docs.where("doc_id is not null")
+    whole = each.where("doc_id is not null and n > 0").groupBy("digest")
+    classes = stored(whole.agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("bits").alias("bits")), "classes")
+    nodes = stored(classes.select(F.col("node").alias("doc_id")).distinct(), "nodes")
+    values = stored(retained(with_ids(named, nodes), frequencies(both), size, percent), "retained")
+    shared = values.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count_if(F.col("at") < indexed(percent)).alias("inside")).where("lo < hi and inside > 0").select("key")
+    lists = stored(values.join(shared, "key", "left_semi"), "lists")
+    discard(values)
+    groups, tested = None, None
+    for turn in range(HUB_TURNS + 1):
+        pairs = to_hubs(lists, groups, turn, percent) if turn < HUB_TURNS else met_in_lists(lists, groups, classes, percent)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        passed = estimated(pairs, classes, percent)
+        passed = stored(estimated(pairs, classes, percent), "passed")
         if turn == 0:  # the best partner of each is enough at first: most lists close by it
-            passed = stored(passed, "estimated")
             ends = [passed.select("a", "b", "est", F.col(side).alias("node")) for side in ("a", "b")]
             best = ends[0].union(ends[1]).groupBy("node").agg(F.max_by(F.struct("a", "b"), F.struct("est", "a", "b")).alias("p"))
-            passed = best.select("p.a", "p.b").distinct()
-        done = stored(verified(stored(passed.select("a", "b"), "passed"), docs.where("doc_id is not null"), size, percent), "verified")
+            passed = stored(best.select("p.a", "p.b").distinct(), "passed")
+        done = stored(verified(passed.select("a", "b"), named, size, percent), "verified")
         fresh = done.where("linked").select("a", "b")
         tested = done.select("a", "b") if tested is None else tested.union(done.select("a", "b"))
-        turn += 1
-        found = fresh.limit(1).count()
-        if found:
+        if fresh.limit(1).count():
             groups = few_or_all(grown(groups, fresh))
-        if last:
-            break
-        last = not found and turn > 1
+        discard(passed)
+    discard(lists, nodes)
     own = classes.select("digest", "node")
     if groups is not None:
         own = own.join(groups, "node", "left").select("digest", F.coalesce("component", "node").alias("c"))
@@ -258,7 +294,7 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
 def grown(groups: DataFrame | None, fresh: DataFrame) -> DataFrame:
     """The components (node, component) after more links. Links between old components are contracted first, so only those are worked on."""
     if groups is None:
-        return stored(components(fresh), "groups")
+        return components(fresh)
     of = lambda side: groups.toDF(side, f"c{side}")
     links = fresh.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
     joined = few_or_all(components(links).toDF("component", "new"))
