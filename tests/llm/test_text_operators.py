@@ -88,7 +88,7 @@ def test_near_duplicates_on_one_template(spark, monkeypatch, block):
     """Texts just under the threshold to each other, some pairs of which are over it, all in the same large lists."""
     monkeypatch.setattr(minhash, "BLOCK", block)
     base, texts = prose(61, 160, 10**6), []
-    for i in range(400):
+    for i in range(300):
         tail = [f"own{i}x{k}" for k in range(20)]
         if i < 80:
             tail[:2] = [f"both{i // 2}x{k}" for k in range(2)]
@@ -221,15 +221,57 @@ def test_chain_of_one_seed(spark):
 
 
 def test_best_chains_brute():
+    """The best chain scores what the best of all rising chains scores."""
     r = random.Random(3)
-    for _ in range(30):
-        x = np.array(sorted(r.sample(range(60), 12)))
-        y = np.array([r.randrange(60) for _ in x])
-        for chain in chains.best_chains(x, y):
-            assert all(x[a] < x[b] and y[a] < y[b] for a, b in zip(chain, chain[1:], strict=False))
+    for _ in range(60):
+        x = np.array(sorted(r.randrange(150) for _ in range(14)))
+        y = np.array([r.randrange(150) for _ in x])
+        best = [0.0] * len(x)
+        for i in range(len(x)):
+            before = [best[j] - chains.GAP * (x[i] - x[j] + y[i] - y[j]) for j in range(i) if x[j] < x[i] and y[j] < y[i]]
+            best[i] = chains.KMER + max([0.0, *before])
+        found = chains.best_chains(x, y)
+        assert sorted(i for c in found for i in c) == list(range(len(x)))
+        for c in found:
+            assert all(x[a] < x[b] and y[a] < y[b] for a, b in zip(c, c[1:], strict=False))
+        top = found[0]
+        assert math.isclose(chains.KMER * len(top) - chains.GAP * (x[top[-1]] - x[top[0]] + y[top[-1]] - y[top[0]]), max(best))
     assert chains.common([1, 2, 3, 4], [2, 9, 4]) == 2
 
 
+def test_passage_quoted_before(spark):
+    """Four documents quote a quarter each of a passage that two later ones hold whole."""
+    p = prose(1, 100, 10**6).split()
+    rows = [(i, " ".join([prose(10 + i, 60, 10**6), *p[25 * i : 25 * i + 25], prose(20 + i, 60, 10**6)])) for i in range(4)]
+    rows += [(i, " ".join([prose(30 + i, 60, 10**6), *p, prose(40 + i, 60, 10**6)])) for i in (5, 6)]
+    got = rows_of(chains.fuzzy_repeats(docs(spark, rows)))
+    assert (got[6]["n_repeated"], list(got[6]["first_docs"])) == (100, [5]) and all(got[i]["n_repeated"] == 0 for i in range(4))
+
+
+def test_recall_of_fuzzy_passages(spark):
+    """Of edited passages (identity 0.9 and more by full alignment) at least 0.9 are found, with 0.8 of their words."""
+    r, rows, want = random.Random(5), [], []
+    for k in range(120):
+        size, rate = (60, 80, 120)[k % 3], (0.0, 0.05, 0.1)[k // 3 % 3]
+        p = prose(1000 + k, size, 10**6).split()
+        q = p[:]
+        for j in r.sample(range(size), int(rate * size)):
+            q[j] = f"edit{r.randrange(10**6)}"
+        assert chains.common([hash(w) for w in p], [hash(w) for w in q]) >= 0.9 * size
+        rows += [(2 * k, " ".join([prose(5000 + k, 40, 10**6), *p, prose(6000 + k, 40, 10**6)])), (2 * k + 1, " ".join([prose(7000 + k, 40, 10**6), *q, prose(8000 + k, 40, 10**6)]))]
+        want.append((2 * k + 1, size))
+    got = rows_of(chains.fuzzy_repeats(docs(spark, rows)))
+    assert np.mean([got[i]["n_repeated"] >= 0.8 * size for i, size in want]) >= 0.9
+
+
+def test_passages_in_awkward_tables(spark):
+    """Repeated rows are one document, copies are found whole, a very long text is read whole, ties go to the smallest doc_id."""
+    long = prose(71, 30000, 10**6)
+    rows = [(1, prose(72, 80, 10**6)), (1, prose(72, 80, 10**6)), (2, prose(72, 80, 10**6)), (3, long), (4, prose(73, 50, 10**6) + " " + " ".join(long.split()[-60:]))]
+    got = chains.fuzzy_repeats(docs(spark, rows)).collect()
+    assert sorted((x["doc_id"], x["n_repeated"], tuple(x["first_docs"])) for x in got) == [(1, 0, ()), (1, 0, ()), (2, 80, (1,)), (3, 0, ()), (4, 60, (3,))]
+
+
 def test_bpe_equals_library(spark):
     tokenizers = pytest.importorskip("tokenizers")
     tok = tokenizers.Tokenizer.from_file(bpe.vocabulary_path())
@@ -266,6 +308,64 @@ def test_toxicity(spark):
     assert np.mean([(s >= toxicity.THRESHOLD) == bool(t) for s, t in test]) > 0.9
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test tables")
+def test_toxicity_on_held_out_rows(spark):
+    sf = "/root/testdata/sf0.01"
+    got = {x["doc_id"]: x for x in toxicity.op6_toxicity(spark, sf).collect()}
+    marks = [(got[x["doc_id"]], x["toxic"]) for x in spark.read.parquet(f"{sf}/labels.parquet").where("toxic is not null").collect() if x["doc_id"] in got]
+    test = [(x["predicted"], t) for x, t in marks if x["held_out"]]
+    both = sum(p and t for p, t in test)
+    assert len(test) > 100 and both >= 0.9 * sum(t for _, t in test) and both >= 0.9 * sum(p for p, _ in test)
+
+
+def brute_grams(word, n):
+    z = " " + word + " "
+    return [z[max(0, i - n + 1) : i + 1] for i in range(1, len(z))]
+
+
+def test_kneser_ney_brute(spark):
+    """Counts of every order, and the probabilities that the levels give, against plain Python on few words."""
+    r = random.Random(8)
+    words = ["".join(r.choice("abc") for _ in range(r.randrange(1, 9))) for _ in range(120)]
+    rows = [(i, w, i % 3 == 0) for i, w in enumerate(words)]
+    counted = toxicity.gram_counts(spark.createDataFrame([(i, w, int(t)) for i, w, t in rows], "doc_id long, text string, toxic int"))
+    raw = {}
+    for _, w, t in rows:
+        for g in brute_grams(w, toxicity.ORDER):
+            raw.setdefault(g, [0, 0])[t] += 1
+    name = lambda k: int(k).to_bytes(8, "big").lstrip(b"\0").decode()
+    assert {name(x["gram"]): [x["n0"], x["n1"]] for x in counted.collect()} == raw
+    counts = {toxicity.ORDER: {g: n for g, n in raw.items() if len(g) == toxicity.ORDER}}
+    for k in range(toxicity.ORDER - 1, 0, -1):
+        counts[k] = {g: n[:] for g, n in raw.items() if len(g) == k}
+        for g, n in counts[k + 1].items():
+            for c in (0, 1):
+                counts[k].setdefault(g[1:], [0, 0])[c] += n[c] > 0
+    built = toxicity.levels(counted.persist())
+    for level in built:
+        want = counts[level.order] if level.order >= toxicity.LOWEST else {g: [sum(n)] * 2 for g, n in counts[level.order].items()}
+        assert {name(g): list(map(int, n)) for g, n in zip(level.gram, level.n, strict=True)} == want
+    model = toxicity.Model(built)
+
+    def p(g, c):
+        if not g:
+            return 1 / 256
+        level = next(x for x in built if x.order == len(g))
+        table = counts[len(g)] if len(g) >= toxicity.LOWEST else {h: [sum(n)] * 2 for h, n in counts[len(g)].items()}
+        around = {h: n[c] for h, n in table.items() if h[:-1] == g[:-1]}
+        total, d = sum(around.values()), level.discount[c]
+        if not around:
+            return p(g[1:], c)
+        own = max(around.get(g, 0) - d, 0) / max(total, 1)
+        left = 1 - sum(max(n - d, 0) for n in around.values()) / max(total, 1)
+        return own + (min(max(left, 1e-9), 1) if total else 1) * p(g[1:], c)
+
+    for w in ["abc", "cab", "aaaaaaa", "zz", words[0]]:
+        want = sum(math.log(p(g, 1)) - math.log(p(g, 0)) for g in brute_grams(w, toxicity.ORDER))
+        low = np.frombuffer(w.encode(), np.uint8)
+        assert abs(model.word_ratios(low, np.array([0]), np.array([len(w)]))[0] - want) < 1e-3
+
+
 def test_toxicity_without_labels(spark):
     d, marks, _ = labelled(spark, 30)
     model = toxicity.train(d, marks.where("doc_id < 0"))
