@@ -1,16 +1,19 @@
 """Repeated byte strings by suffix order and longest previous factors.
 
 A position is *repeated* if the ``length`` bytes from it also start anywhere else. Its longest previous factor reaches ``length``
-if one of those other places comes before it. Both follow from suffix order: among suffixes sorted by their first ``length`` bytes,
-equal ones stand together, and there the neighbours with the previous and the next smaller place are the nearest earlier matches.
-No machine holds one suffix array of the corpus. Suffixes are dealt by content instead:
+if one of those other places comes before it. No machine holds one suffix array of the corpus; suffixes are dealt by content:
 
 1. In every string of ``length`` bytes the k-mer with the smallest hash is its anchor, so equal strings have equal anchors.
    Anchors that occur once in the corpus are dropped.
 2. For each other anchor its surroundings (the bytes of all strings that could have it as anchor) are sent to the anchor's group;
-   equal surroundings are sent once by each task, with their number, so groups of copies stay small.
-3. A group puts the suffixes of its surroundings in suffix order (by the 64-bit fingerprint of their first ``length`` bytes, which
-   serves as their rank: only equality at this length matters) and reads off which are repeated and which have an earlier match.
+   equal surroundings are sent once by each task, with their number, so groups of copies stay small. An anchor with more than ``HOT``
+   distinct surroundings is split: strings whose anchor stands in one of ``PARTS`` ranges of places share the bytes that all of them
+   have beside it, and are dealt by these bytes too.
+3. A group sorts its surroundings by the bytes after the anchor and by those before it, read backwards, with the length of the common
+   prefix of neighbours. That gives the order of the suffixes that begin any number of bytes before the anchor: by the bytes before
+   it, then by the order after it. In this order the previous and the next smaller place, inside a run of suffixes that have ``length``
+   bytes in common, are the nearest earlier matches; where there is one, the longest previous factor reaches ``length``. Bytes are
+   compared, not hashes.
 4. The spans go back to the documents, are united, and are cut out of the texts.
 
 ``keep_first`` True removes only what has an earlier match (in order of doc_id, then place), so one copy stays; False removes all
@@ -40,10 +43,13 @@ KMER = 64
 _PLACE = np.uint64((1 << 24) - 1)
 #: Bytes of distinct surroundings that a task holds back to find equal ones before it sends them.
 HOLD_BYTES = 12 << 20
+#: Distinct surroundings of an anchor up to which they are one group, and the ranges of places in which the strings of others are dealt.
+HOT = 2000
+PARTS = 4
 #: Suffixes that a group task ranks at a time (whole groups, except for a group larger than this).
 RANK_AT_ONCE = 400_000
 NAMES = ["g", "c", "rid", "at", "left", "ctx", "n", "doc"]
-_C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+_C2 = np.uint64(0xD6E8FEB86659FD93)
 
 
 def anchors(data: np.ndarray, offs: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -86,15 +92,16 @@ def doc_anchors(data: np.ndarray, offs: np.ndarray, length: int) -> tuple[np.nda
 
 
 def _with_row(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    return docs.select("doc_id", "text", *keep, F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.coalesce("text", F.lit(""))).alias("rid"))
+    """With did and rid, which name a row by its id (null as the largest) and a hash of its text: rows that share both are taken as equal."""
+    return docs.select("doc_id", "text", *keep, F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("did"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("rid"))
 
 
 def repeated_anchors(rows: DataFrame, length: int) -> DataFrame:
-    """rid, keys: for each text the anchors that occur again in the corpus."""
+    """did, rid, keys: for each text the anchors that occur again in the corpus."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rid = b.column("rid").to_numpy()
+            did, rid = b.column("did").to_numpy(), b.column("rid").to_numpy()
             for lo, _, data, offs in K.text_chunks(b.column("text")):
                 at, key = doc_anchors(data, offs, length)
                 doc = np.searchsorted(offs, at, "right") - 1
@@ -104,12 +111,18 @@ def repeated_anchors(rows: DataFrame, length: int) -> DataFrame:
                 new[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
                 first = np.flatnonzero(new)
                 more = np.diff(np.concatenate((first, [len(key)]))) > 1
-                yield pa.RecordBatch.from_arrays([pa.array(key[first].view(np.int64)), pa.array(rid[lo + doc[first]]), pa.array(more)], names=["key", "rid", "more"])
+                row = lo + doc[first]
+                yield pa.RecordBatch.from_arrays([pa.array(key[first].view(np.int64)), pa.array(did[row]), pa.array(rid[row]), pa.array(more)], names=["key", "did", "rid", "more"])
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple[int, int, bool] | None = None  # the last row, and whether it is known to be repeated
+        held: tuple[int, int, int, bool] | None = None  # the last row, and whether it is known to be repeated
+        names = ["key", "did", "rid"]
+
+        def last() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in held[:3]], names=names)
+
         for b in batches:
-            key, rid, more = (b.column(c).to_numpy(zero_copy_only=False) for c in ("key", "rid", "more"))
+            key, did, rid, more = (b.column(c).to_numpy(zero_copy_only=False) for c in ("key", "did", "rid", "more"))
             if not len(key):
                 continue
             same = key[1:] == key[:-1]
@@ -119,17 +132,17 @@ def repeated_anchors(rows: DataFrame, length: int) -> DataFrame:
             if held is not None:
                 if held[0] == key[0]:
                     hit[0] = True
-                    held = (held[0], held[1], True)
-                if held[2]:
-                    yield pa.RecordBatch.from_arrays([pa.array([held[0]], pa.int64()), pa.array([held[1]], pa.int64())], names=["key", "rid"])
-            held = (int(key[-1]), int(rid[-1]), bool(hit[-1]))
+                    held = (*held[:3], True)
+                if held[3]:
+                    yield last()
+            held = (int(key[-1]), int(did[-1]), int(rid[-1]), bool(hit[-1]))
             hit[-1] = False
-            yield pa.RecordBatch.from_arrays([pa.array(key[hit]), pa.array(rid[hit])], names=["key", "rid"])
-        if held is not None and held[2]:
-            yield pa.RecordBatch.from_arrays([pa.array([held[0]], pa.int64()), pa.array([held[1]], pa.int64())], names=["key", "rid"])
+            yield pa.RecordBatch.from_arrays([pa.array(x[hit]) for x in (key, did, rid)], names=names)
+        if held is not None and held[3]:
+            yield last()
 
-    dealt = rows.select("rid", "text").mapInArrow(find, "key long, rid long, more boolean").repartition("key").sortWithinPartitions("key")
-    return dealt.mapInArrow(again, "key long, rid long").groupBy("rid").agg(F.collect_list("key").alias("keys"))
+    dealt = rows.select("did", "rid", "text").mapInArrow(find, "key long, did long, rid long, more boolean").repartition("key").sortWithinPartitions("key")
+    return dealt.mapInArrow(again, "key long, did long, rid long").groupBy("did", "rid").agg(F.collect_list("key").alias("keys"))
 
 
 def surroundings(texts: DataFrame, length: int) -> DataFrame:
@@ -207,47 +220,97 @@ def runs_of(flag: np.ndarray, row: np.ndarray, delta: np.ndarray, n_rows: int) -
     return out
 
 
+def common_prefixes(rows: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of rows of bytes: the place of each in the order by group and bytes; and starts[p, d], where in this order the run of rows begins
+    that has d bytes in common with the one at p."""
+    m, width = rows.shape
+    text = [x.tobytes() for x in rows]
+    order = np.array(sorted(range(m), key=lambda i: (group[i], text[i])), np.int64)
+    at = np.empty(m, np.int64)
+    at[order] = np.arange(m)
+    sorted_rows, sorted_groups = rows[order], group[order]
+    differs = sorted_rows[1:] != sorted_rows[:-1]
+    common = np.full(m, -1, np.int64)
+    common[1:] = np.where(sorted_groups[1:] != sorted_groups[:-1], -1, np.where(differs.any(1), differs.argmax(1), width))
+    starts = np.where(common[:, None] < np.arange(width + 1), np.arange(m)[:, None], 0).astype(np.int32)
+    return at, np.maximum.accumulate(starts, axis=0)
+
+
+def previous_smaller(value: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """For each value the nearest one before it in its run (they begin where begins is set) that is smaller, -1 without one."""
+    out = np.arange(-1, len(value) - 1)
+    out[begins] = -1
+    open_ = np.arange(len(value))
+    while len(open_):
+        open_ = open_[(out[open_] >= 0) & (value[np.maximum(out[open_], 0)] >= value[open_])]
+        out[open_] = out[out[open_]]  # what lies between is not smaller
+    return out
+
+
+def earlier_matches(place: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Which suffixes have a match at a smaller place: a previous or next smaller place in suffix order, in a run of equal prefixes."""
+    ends = np.concatenate((begins[1:], [True]))
+    return (previous_smaller(place, begins) >= 0) | (previous_smaller(place[::-1], ends[::-1])[::-1] >= 0)
+
+
+def dealt(cut: DataFrame, length: int) -> DataFrame:
+    """The distinct surroundings with the group they are dealt to (deal) and the places before the anchor that are judged there (low, high)."""
+    reach = length - KMER
+    width = reach // PARTS
+    distinct = cut.where("ctx is not null").select("g", "c", "left", "ctx", "n", "doc", "at")
+    hot = distinct.groupBy("g").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > HOT).select("g", F.lit(True).alias("hot"))
+    parts = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(PARTS - 1))).otherwise(F.array(F.lit(-1)))
+    rows = distinct.join(hot, "g", "left").withColumn("part", F.explode(parts))
+    low, high = F.col("part") * width, F.when(F.col("part") == PARTS - 1, F.lit(reach)).otherwise((F.col("part") + 1) * width - 1)
+    rows = rows.select("*", F.when(F.col("part") < 0, 0).otherwise(low).alias("low"), F.when(F.col("part") < 0, reach).otherwise(high).alias("high"))
+    whole = F.expr(f"part < 0 or left >= low and octet_length(ctx) - left - {KMER} >= {reach} - high")  # else it has no such string
+    beside = F.expr(f"xxhash64(g, part, substring(ctx, left - low + 1, low), substring(ctx, left + {KMER} + 1, {reach} - high))")
+    return rows.where(whole).select(F.when(F.col("part") < 0, F.col("g")).otherwise(beside).alias("deal"), "g", "c", "left", "ctx", "n", "doc", "at", "low", "high")
+
+
 def ranked_groups(cut: DataFrame, length: int) -> DataFrame:
     """g, c, doc0, at0 (first place of the surrounding), spans and later: offsets before the anchor of repeated strings, and of those
-    that have an earlier match than the first place."""
+    that have an earlier match than the first place. A surrounding of a hot anchor has a row for each part."""
     reach = length - KMER
     result = ["g", "c", "doc0", "at0", "spans", "later"]
 
     def rank(t: pa.Table) -> pa.RecordBatch:
-        g, c, n, doc, at = (t.column(k).to_numpy() for k in ("g", "c", "n", "doc", "at"))
+        deal, g, c, n, doc, at, least, most = (t.column(k).to_numpy() for k in ("deal", "g", "c", "n", "doc", "at", "low", "high"))
         new = np.ones(len(g), bool)
-        new[1:] = (g[1:] != g[:-1]) | (c[1:] != c[:-1])
+        new[1:] = (deal[1:] != deal[:-1]) | (g[1:] != g[:-1]) | (c[1:] != c[:-1])
         first = np.flatnonzero(new)  # rows of one surrounding are sorted by doc and place
         total = np.add.reduceat(n, first)
-        g, c, doc, at = g[first], c[first], doc[first], at[first]
+        deal, g, c, doc, at, least, most = (x[first] for x in (deal, g, c, doc, at, least, most))
         left = t.column("left").to_numpy()[first].astype(np.int64)
         ctx = t.column("ctx").combine_chunks().take(pa.array(first))
         _, _, data, offs = next(K.text_chunks(ctx, 1 << 40))
         size = np.diff(offs)
-        low, high = np.maximum(0, length - (size - left)), np.minimum(left, reach)
+        low, high = np.maximum(least, length - (size - left)), np.minimum(np.minimum(left, reach), most)
         many = np.maximum(high - low + 1, 0)
         row = np.repeat(np.arange(len(g)), many)
         delta = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many) + low[row]
-        alone = np.ones(len(g), bool)
-        alone[1:] &= g[1:] != g[:-1]
-        alone[:-1] &= g[:-1] != g[1:]
+        group = np.cumsum(np.concatenate(([True], (deal[1:] != deal[:-1]) | (g[1:] != g[:-1])))) - 1
+        alone = (np.bincount(group) == 1)[group]
         repeated, later = total[row] > 1, np.zeros(len(row), bool)
         k = np.flatnonzero(~alone[row])
         if len(k):
-            place = np.empty(len(g), np.int64)
-            place[np.lexsort((at, doc))] = np.arange(len(g))
-            start = offs[row[k]] + left[row[k]] - delta[k]
-            code = K.mix(K.span_hash(K.prefix_hash(data), start, start + length) + g[row[k]].view(np.uint64) * _C1 + delta[k].astype(np.uint64) * _C2)
-            order = np.argsort(code)  # suffix order: equal prefixes stand together
-            code, where = code[order], place[row[k]][order]
-            begins = np.concatenate(([True], code[1:] != code[:-1]))
-            run = np.cumsum(begins) - 1
-            starts = np.flatnonzero(begins)
-            # a suffix has a previous or next smaller place among its equals unless its place is the run's smallest
-            earliest = np.minimum.reduceat(where, starts)[run]
-            length_of = np.diff(np.concatenate((starts, [len(code)])))[run]
-            repeated[k[order]] |= length_of > 1
-            later[k[order]] = where > earliest
+            m = len(g)
+            place = np.empty(m, np.int64)
+            place[np.lexsort((at, doc))] = np.arange(m)
+            step = np.arange(reach)
+            after = offs[:-1, None] + left[:, None] + KMER + step
+            before = offs[:-1, None] + left[:, None] - 1 - step
+            padded = np.append(data, np.uint8(0))
+            at_right, same_after = common_prefixes(padded[np.where(after < offs[1:, None], after, len(data))], group)
+            at_left, same_before = common_prefixes(padded[np.where(before >= offs[:-1, None], before, len(data))], group)
+            own, far = row[k], delta[k]
+            prefix, rest = same_before[at_left[own], far].astype(np.int64), same_after[at_right[own], reach - far]
+            order = np.argsort((far * m + prefix) * m + at_right[own])  # suffix order for each number of bytes before the anchor
+            prefix, rest, far = prefix[order], rest[order], far[order]
+            begins = np.concatenate(([True], (far[1:] != far[:-1]) | (prefix[1:] != prefix[:-1]) | (rest[1:] != rest[:-1])))
+            alike = np.diff(np.append(np.flatnonzero(begins), len(begins)))[np.cumsum(begins) - 1]
+            repeated[k[order]] |= alike > 1
+            later[k[order]] = earlier_matches(place[own][order], begins)
         spans, after = runs_of(repeated, row, delta, len(g)), runs_of(later, row, delta, len(g))
         keep = pa.array([bool(x) for x in spans])
         out = pa.RecordBatch.from_arrays([pa.array(g), pa.array(c), pa.array(doc), pa.array(at), pa.array(spans, pa.list_(pa.int32())), pa.array(after, pa.list_(pa.int32()))], names=result)
@@ -266,16 +329,15 @@ def ranked_groups(cut: DataFrame, length: int) -> DataFrame:
                 room += piece.num_rows
                 if room >= limit:
                     whole = pa.Table.from_batches(held)
-                    g = whole.column("g").to_numpy()
-                    border = int(np.searchsorted(g, g[-1]))
+                    deal = whole.column("deal").to_numpy()
+                    border = int(np.searchsorted(deal, deal[-1]))
                     if border:
                         yield rank(whole.slice(0, border))
                         held, room = whole.slice(border).to_batches(), whole.num_rows - border
         if room:
             yield rank(pa.Table.from_batches(held))
 
-    distinct = cut.where("ctx is not null").select("g", "c", "left", "ctx", "n", "doc", "at")
-    return distinct.repartition("g").sortWithinPartitions("g", "c", "doc", "at").mapInArrow(stream, "g long, c long, doc0 long, at0 long, spans array<int>, later array<int>")
+    return dealt(cut, length).repartition("deal").sortWithinPartitions("deal", "g", "c", "doc", "at").mapInArrow(stream, "g long, c long, doc0 long, at0 long, spans array<int>, later array<int>")
 
 
 def united(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -288,32 +350,45 @@ def united(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
+def whole_characters(raw: bytes, gone: list[tuple[int, int]]) -> str:
+    """The text without the spans, of which each is narrowed to whole characters (bytes 0x80 to 0xBF go on with one)."""
+    left, at = [], 0
+    for x, y in gone:
+        while x < y and raw[x] & 0xC0 == 0x80:
+            x += 1
+        while y > x and y < len(raw) and raw[y] & 0xC0 == 0x80:
+            y -= 1
+        left.append(raw[at:x])
+        at = y
+    return b"".join([*left, raw[at:]]).decode()
+
+
 def removed_spans(docs: DataFrame, length: int = LENGTH, keep_first: bool = True) -> DataFrame:
-    """rid, spans (array of struct at, deltas): what to remove from each text that loses something; rid as in _with_row."""
+    """did, rid, cuts (array of struct at, deltas): what to remove from each text that loses something; did and rid as in _with_row."""
     rows = _with_row(docs)
     wanted = stored(repeated_anchors(rows, length), "anchors")
-    texts = packed(_only(rows, wanted, "left_semi"), ["doc_id", "rid"]).join(wanted, "rid")
+    texts = packed(_only(rows, wanted, "left_semi"), ["doc_id", "did", "rid"]).join(wanted, ["did", "rid"])
     cut = stored(surroundings(texts, length), "surroundings")
     found = ranked_groups(cut, length)
     place = cut.where("rid is not null").select("g", "c", "rid", "at", "doc")
     joined = place.join(found, ["g", "c"])
     own = F.when((F.col("doc") == F.col("doc0")) & (F.col("at") == F.col("at0")), F.col("later")).otherwise(F.col("spans")) if keep_first else F.col("spans")
-    hit = joined.select("rid", "at", own.alias("deltas")).where(F.size("deltas") > 0)
-    return hit.groupBy("rid").agg(F.collect_set(F.struct("at", "deltas")).alias("cuts"))
+    hit = joined.select(F.col("doc").alias("did"), "rid", "at", own.alias("deltas")).where(F.size("deltas") > 0)
+    return hit.groupBy("did", "rid").agg(F.collect_set(F.struct("at", "deltas")).alias("cuts"))
 
 
 def _only(rows: DataFrame, wanted: DataFrame, how: str) -> DataFrame:
-    ids = wanted.select("rid")
+    ids = wanted.select("did", "rid")
     few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    return rows.join(F.broadcast(ids) if few else ids, "rid", how)
+    return rows.join(F.broadcast(ids) if few else ids, ["did", "rid"], how)
 
 
 def cut_texts(docs: DataFrame, length: int = LENGTH, keep_first: bool = True, with_text: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, the columns ``keep``, n_bytes, n_removed, n_spans, kept_sha256 and, with_text, the text that is left (cut bytes that split a character are
-    replaced by U+FFFD there; the digest is of the bytes). One row per row of docs."""
+    """doc_id, the columns ``keep``, n_bytes, n_removed, n_spans, kept_sha256 and, with_text, the text that is left (there a cut that would split
+    a character leaves the whole character; the numbers and the digest are of the bytes). One row per row of docs."""
     rows = _with_row(docs, keep)
     cuts = stored(removed_spans(docs, length, keep_first), "cuts")
-    own = ["doc_id", "rid", *keep]
+    own = ["doc_id", "did", "rid", *keep]
     schema = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in own) + ", n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", text string" * with_text
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -333,14 +408,14 @@ def cut_texts(docs: DataFrame, length: int = LENGTH, keep_first: bool = True, wi
                 removed.append(len(raw) - len(rest))
                 spans.append(len(gone))
                 sha.append(hashlib.sha256(rest).hexdigest())
-                kept.append(rest.decode("utf-8", "replace") if with_text else None)
+                kept.append(whole_characters(raw, gone) if with_text else None)
             cols = [*(b.column(k) for k in own), pa.array(size, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(sha, pa.string())]
             names = [*own, "n_bytes", "n_removed", "n_spans", "kept_sha256"]
             yield pa.RecordBatch.from_arrays([*cols, *([pa.array(kept, pa.string())] * with_text)], names=[*names, *["text"] * with_text])
 
     clean = _only(rows, cuts, "left_anti").mapInArrow(apply, schema)
-    hit = packed(_only(rows, cuts, "left_semi"), own).join(cuts, "rid").mapInArrow(apply, schema)
-    return clean.unionByName(hit).drop("rid")
+    hit = packed(_only(rows, cuts, "left_semi"), own).join(cuts, ["did", "rid"]).mapInArrow(apply, schema)
+    return clean.unionByName(hit).drop("did", "rid")
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -140,6 +140,41 @@ def test_suffix_dedup(spark, keep_first):
     assert sorted(((x["doc_id"], x["n_bytes"], x["n_removed"], x["n_spans"], x["kept_sha256"]) for x in got), key=str) == brute_cut(texts, 200, keep_first)
 
 
+def hot_lines():
+    """One line of 150 bytes in many texts, each with other text around it, some of which have the same words beside the line."""
+    line = "shared line of a hundred and fifty bytes " + "q" * 109
+    r = random.Random(5)
+    beside = [prose(900 + k, 12) for k in range(4)]
+    return [(i, f"{prose(1000 + i, 20)} {r.choice(beside)} {line} {r.choice(beside)} {prose(2000 + i, 20)}") for i in range(60)]
+
+
+@pytest.mark.parametrize("keep_first", [False, True])
+def test_suffix_dedup_of_hot_anchors(spark, monkeypatch, keep_first):
+    monkeypatch.setattr(suffix, "HOT", 8)
+    texts = [*hot_lines(), *awkward()]
+    got = suffix.cut_texts(docs(spark, texts), keep_first=keep_first).collect()
+    want = brute_cut(texts, 200, keep_first)
+    assert sorted(((x["doc_id"], x["n_bytes"], x["n_removed"], x["n_spans"], x["kept_sha256"]) for x in got), key=str) == want
+    assert sum(x[2] > 0 for x in want) > 20
+
+
+def test_earlier_matches_brute():
+    r = random.Random(6)
+    for _ in range(40):
+        n = r.randrange(1, 40)
+        place, begins = np.array(r.sample(range(100), n)), np.array([k == 0 or r.random() < 0.2 for k in range(n)])
+        run = np.cumsum(begins)
+        want = [any(run[j] == run[i] and place[j] < place[i] for j in range(n)) for i in range(n)]
+        assert suffix.earlier_matches(place, begins).tolist() == want
+        before = suffix.previous_smaller(place, begins)
+        assert before.tolist() == [max([j for j in range(i) if run[j] == run[i] and place[j] < place[i]], default=-1) for i in range(n)]
+
+
+def test_whole_characters():
+    raw = "aéb日c".encode()
+    assert suffix.whole_characters(raw, [(2, 5)]) == "aé日c" and suffix.whole_characters(raw, [(1, 3)]) == "ab日c" and suffix.whole_characters(raw, [(0, len(raw))]) == ""
+
+
 def brute_hits(texts, items, width=10):
     word = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
     out = []
