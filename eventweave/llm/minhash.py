@@ -5,11 +5,11 @@
    frequencies), by hash within. The number retained follows the size n of the set, n - ceil(0.8 n) + 1 for a similarity of 0.8: two
    similar sets then have a retained value in common for certain (their first common one), and the smaller set has it among its first
    n - ceil(1.6 n / 1.8) + 1. A frequent line or passage is seldom retained, as it comes last in the order.
-3. Inverted lists of the retained values give candidates. ``HUB_TURNS`` times each list links its members to one hub, which contracts
-   groups of copies: a list of n members makes n candidates there. After that, every pair of a list whose members are still in
-   different components is met once, in blocks of ``BLOCK`` members, inside the tasks: only pairs that sizes, places in the lists and
-   256 bits of minima (one for each part of the hash space) let pass are given out. The number of steps is fixed, and no pair of
-   similar sets in different components is left out.
+3. Inverted lists of the retained values give candidates, in three turns. First each list links its members to one hub, which contracts
+   groups of copies: a list of n members makes n candidates there. Then all pairs of list members that are still in different
+   components are met, in blocks of ``BLOCK`` members, inside the tasks, and each member gives out its most similar partner of a list;
+   last, they are met again, and every pair is given out that sizes, places in the lists and the minima of ``PARTS`` parts of the hash
+   space let pass. The number of steps is fixed, and no pair of similar sets in different components is left out.
 4. Candidates pass the estimate from the union sketch of their ``SKETCH`` smallest hashes (five standard deviations below the threshold
    still pass), then exact similarity of the full sets of 64-bit shingle hashes decides. Components come from the confirmed links.
 
@@ -35,52 +35,50 @@ from eventweave.llm.shared import BROADCAST_IDS, discard, stored, table, with_id
 SHINGLE = 5
 PERCENT = 80
 SKETCH = 64
-#: Turns in which lists link their members to a hub before all remaining pairs are met.
-HUB_TURNS = 2
 #: Slots of the table of shingle frequencies. Shingles that share a slot only change the common order, not what it assures.
 RANK_BITS = 18
 #: Members of a list on the smaller side that are met with the others in one group.
 BLOCK = 1024
 #: An estimate may fall short of the similarity by so many standard deviations.
 DEVIATIONS = 5
-#: Parts of the hash space, each with one bit of its smallest hash.
-PARTS = 256
+#: Parts of the hash space, each with one byte of its smallest hash.
+PARTS = 512
 #: Pairs that a task looks at in one vectorised step.
-STEP = 1 << 19
-DESCRIBED = "doc_id long, n long, digest binary, sketch binary, bits binary, slot int, m long"
+STEP = 1 << 15
+DESCRIBED = "doc_id long, n long, digest binary, sketch binary, minima binary, slot int, m long"
 
 
 def slots(s: np.ndarray) -> np.ndarray:
     return (s >> np.uint64(64 - RANK_BITS)).astype(np.int64)
 
 
-def part_bits(s: np.ndarray) -> bytes:
-    """The lowest bit of the smallest hash in each of PARTS parts (0 in an empty one) of sorted hashes."""
-    part = (s >> np.uint64(56)).astype(np.int64)
-    bit = np.zeros(PARTS, np.uint8)
+def part_minima(s: np.ndarray) -> bytes:
+    """A byte (1 to 255) of the smallest hash in each of PARTS parts (0 in an empty one) of sorted hashes."""
+    part = (s >> np.uint64(55)).astype(np.int64)
+    out = np.zeros(PARTS, np.uint8)
     first = np.concatenate(([True], part[1:] != part[:-1])) if len(s) else np.zeros(0, bool)
-    bit[part[first]] = s[first] & np.uint64(1)
-    return np.packbits(bit).tobytes()
+    out[part[first]] = s[first] % np.uint64(255) + np.uint64(1)
+    return out.tobytes()
 
 
 def described(docs: DataFrame, size: int) -> DataFrame:
-    """Two kinds of rows: doc_id, n (distinct shingles), digest of the set, sketch (the smallest hashes' upper 32 bits) and bits of each
-    row of docs (slot null); and slot, m: how many sets of a task have a shingle of that slot."""
-    names = ["doc_id", "n", "digest", "sketch", "bits", "slot", "m"]
+    """Two kinds of rows: doc_id, n (distinct shingles), digest of the set, sketch (the smallest hashes' upper 32 bits) and part minima of
+    each row of docs (slot null); and slot, m: how many sets of a task have a shingle of that slot."""
+    names = ["doc_id", "n", "digest", "sketch", "minima", "slot", "m"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << RANK_BITS, np.int64)
         for b in batches:
-            n, digest, sketch, bits = [], [], [], []
+            n, digest, sketch, minima = [], [], [], []
             for _, _, data, offs in K.text_chunks(b.column("text")):
                 for s in K.shingle_sets(data, offs, size):
                     n.append(len(s))
                     digest.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                     sketch.append((s[:SKETCH] >> np.uint64(32)).astype(np.uint32).tobytes())
-                    bits.append(part_bits(s))
+                    minima.append(part_minima(s))
                     np.add.at(total, slots(s), 1)
             k = len(n)
-            columns = [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sketch, pa.binary()), pa.array(bits, pa.binary()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.int64())]
+            columns = [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sketch, pa.binary()), pa.array(minima, pa.binary()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=names)
         at = np.flatnonzero(total)
         for lo in range(0, len(at), 1 << 16):
@@ -180,39 +178,46 @@ def with_component(rows: DataFrame, groups: DataFrame | None) -> DataFrame:
     return rows.withColumn("c", F.col("node")) if groups is None else rows.join(groups, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
 
 
-def to_hubs(lists: DataFrame, groups: DataFrame | None, turn: int, percent: int) -> DataFrame:
-    """a < b: each list links its members to one of them, unless all are in one component. In the first turn lists with common members
-    draw the same hub, later each its own."""
-    now = with_component(lists, groups)
-    draw = F.xxhash64("node", "key", F.lit(turn)) if turn else F.xxhash64("node")
-    hubs = now.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min_by(F.struct("node", "c", "n"), draw).alias("h")).where("lo < hi").select("key", "h")
-    left = now.join(hubs, "key").where(f"c <> h.c and least(n, h.n) * 100L >= greatest(n, h.n) * {percent}L")
+def to_hubs(lists: DataFrame, percent: int) -> DataFrame:
+    """a < b: each list links its members to one of them; lists with common members draw the same one."""
+    hubs = lists.groupBy("key").agg(F.min_by(F.struct("node", "n"), F.xxhash64("node")).alias("h"))
+    left = lists.join(hubs, "key").where(f"node <> h.node and least(n, h.n) * 100L >= greatest(n, h.n) * {percent}L")
     return left.select(F.least("node", "h.node").alias("a"), F.greatest("node", "h.node").alias("b")).distinct()
 
 
-def met_in_lists(lists: DataFrame, groups: DataFrame | None, classes: DataFrame, percent: int) -> DataFrame:
-    """a < b: all pairs of list members in different components that can be similar by their sizes, places and bits of minima."""
+def met_in_lists(lists: DataFrame, groups: DataFrame | None, classes: DataFrame, percent: int, every: bool) -> DataFrame:
+    """a < b: the pairs of list members in different components that can be similar by their sizes, places and part minima; all of them,
+    or for each member of a list the most similar one of those above it there.
+
+    Parts with different minima hold a hash that only one of both sets has. So there are at most as many as such hashes, and as a share
+    of all parts about one less the similarity, give or take some standard deviations."""
     now = with_component(lists, groups).withColumn("inside", F.col("at") < indexed(percent))
     shared = now.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count_if("inside").alias("many")).where("lo < hi and many > 0")
     left = now.join(shared.select("key", F.ceil(F.col("many") / BLOCK).cast("int").alias("blocks")), "key")
     # a member of the smaller side has a block of its own, and meets those of the other blocks as one of the larger side
     own = F.when(F.col("inside"), F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).otherwise(-1)
     dealt = left.withColumn("own", own).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("side", (F.col("block") != F.col("own")).cast("int"))
-    bits = classes.groupBy("node").agg(F.first("bits").alias("bits"))
-    rows = dealt.join(bits, "node").select("key", "block", "side", "node", "n", "at", "c", "bits")
-    most = PARTS * (100 - percent) / 200
-    most += DEVIATIONS * (most * (1 - most / PARTS)) ** 0.5
+    minima = classes.groupBy("node").agg(F.first("minima").alias("minima"))
+    rows = dealt.join(minima, "node").select("key", "block", "side", "node", "n", "at", "c", "minima")
+    most = PARTS * (100 - percent) / 100
+    most += DEVIATIONS * (most * percent / 100) ** 0.5
 
     def near(t: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        """Which pairs of rows can be similar."""
+        """Which pairs of rows (of rising j) can be similar."""
         ni, nj = t["n"][i], t["n"][j]
         smaller = (ni < nj) | ((ni == nj) & (t["node"][i] < t["node"][j]))  # of two on the smaller side either may be it
         ok = (t["c"][i] != t["c"][j]) & (smaller | (t["side"][j] == 0)) & (100 * np.minimum(ni, nj) >= percent * np.maximum(ni, nj))
         # what stands from here on in both is the most they can share, if this is their first common value
         ok &= (100 + percent) * np.minimum(ni - t["at"][i], nj - t["at"][j]) >= percent * (ni + nj)
         k = np.flatnonzero(ok)
-        far = np.bitwise_count(t["bits"][i[k]] ^ t["bits"][j[k]]).sum(1)
-        return k[far <= most]
+        far = (t["minima"][i[k]] != t["minima"][j[k]]).sum(1)
+        close = far <= np.minimum(most, (ni[k] + nj[k]) * (100 - percent) // (100 + percent))
+        k, far = k[close], far[close]
+        if every or not len(k):
+            return k
+        order = np.lexsort((far, j[k]))
+        own = j[k][order]
+        return k[order[np.concatenate(([True], own[1:] != own[:-1]))]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] | None = None
@@ -220,7 +225,7 @@ def met_in_lists(lists: DataFrame, groups: DataFrame | None, classes: DataFrame,
             if not b.num_rows:
                 continue
             t = {c: b.column(c).to_numpy().astype(np.int64) for c in ("key", "block", "side", "node", "n", "at", "c")}
-            t["bits"] = np.frombuffer(b"".join(b.column("bits").to_pylist()), np.uint64).reshape(-1, PARTS // 64)
+            t["minima"] = np.frombuffer(b"".join(b.column("minima").to_pylist()), np.uint64).reshape(-1, PARTS // 8).view(np.uint8)
             old = 0
             if held is not None:
                 old = len(held["key"])
@@ -255,18 +260,18 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     """doc_id, n_shingles, component_id, kept for each row of docs."""
     docs = docs.select("doc_id", "text")
     both = stored(described(docs, size), "described")
-    each = both.where("slot is null").select("doc_id", "n", "digest", "sketch", "bits")
+    each = both.where("slot is null").select("doc_id", "n", "digest", "sketch", "minima")
     named = docs.where("doc_id is not null")
     whole = each.where("doc_id is not null and n > 0").groupBy("digest")
-    classes = stored(whole.agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("bits").alias("bits")), "classes")
+    classes = stored(whole.agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("minima").alias("minima")), "classes")
     nodes = stored(classes.select(F.col("node").alias("doc_id")).distinct(), "nodes")
     values = stored(retained(with_ids(named, nodes), frequencies(both), size, percent), "retained")
     shared = values.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count_if(F.col("at") < indexed(percent)).alias("inside")).where("lo < hi and inside > 0").select("key")
     lists = stored(values.join(shared, "key", "left_semi"), "lists")
     discard(values)
     groups, tested = None, None
-    for turn in range(HUB_TURNS + 1):
-        pairs = to_hubs(lists, groups, turn, percent) if turn < HUB_TURNS else met_in_lists(lists, groups, classes, percent)
+    for turn in range(3):
+        pairs = met_in_lists(lists, groups, classes, percent, every=turn == 2) if turn else to_hubs(lists, percent)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         passed = stored(estimated(pairs, classes, percent), "passed")
