@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from eventweave.functions.textfuncs import explicit_number, normalize_text
 
-RESPONSE = "decision string, summary string, frames array<struct<id:string, group:string, type:string, evidence:string>>"
+RESPONSE = "decision string, group_a_segment_type string, group_b_segment_type string, frame_notes array<struct<frame_id:string, `group`:string, note:string>>, primary_evidence array<string>, summary string"
+CONTRACT = "grouped_v1"
 DETECTION = "event_type string, start_number string, category_ordinal string, title string, evidence string, notes string, confidence double"
 EVENT_TYPES = ["announcement", "award", "break", "other"]
-SEGMENT_TYPES = ["performance", "ceremony", "warmup"]
+#: The segment types of answers.
+SEGMENT_TYPES = ["dance", "ceremony", "audience", "rehearsal", "other"]
 
 
 def extract_json_payload(text: Column) -> Column:
@@ -20,33 +22,60 @@ def extract_json_payload(text: Column) -> Column:
     return F.when(found != "", found)
 
 
-def parse_window_response(df: DataFrame, raw: str = "raw_response", frame_ids: str = "frame_ids", lenient: bool = False) -> DataFrame:
-    """response_status (ok or invalid), reason (the first rule broken) and decision: no_cut, cut_after_k or invalid_response.
-
-    Every frame must be noted exactly once; frames up to the cut are group A, later ones group B (without a cut all are A); decision,
-    summary and each evidence must be there; types must be known unless lenient.
-    """
-    r = F.from_json(extract_json_payload(F.col(raw)), RESPONSE)
-    out = df.withColumn("_r", r)
-    noted = F.transform("_r.frames", lambda f: f["id"])
-    k = F.nullif(F.regexp_extract("_r.decision", r"^cut_after_(\d+)$", 1), F.lit("")).try_cast("int")
-    n = F.size(frame_ids)
-    # the group of a frame follows from its place among the frames
-    wrong = F.exists("_r.frames", lambda f: f["group"].isNull() | (f["group"] != F.when(k.isNull() | (F.array_position(F.col(frame_ids), f["id"]) <= k), "A").otherwise("B")))
-    blank = lambda c: F.coalesce(F.trim(c), F.lit("")) == ""
-    reason = (
-        F.when(F.col("_r").isNull() | F.col("_r.frames").isNull(), "no_json")
-        .when(blank(F.col("_r.decision")) | ~((F.col("_r.decision") == "no_cut") | k.isNotNull()), "decision")
-        .when(k.isNotNull() & ((k < 1) | (k >= n)), "cut_range")
-        .when((F.size("_r.frames") != n) | (F.size(F.array_distinct(noted)) != n) | (F.size(F.array_except(F.col(frame_ids), noted)) > 0), "frames")
-        .when(wrong, "group")
-        .when(blank(F.col("_r.summary")) | F.exists("_r.frames", lambda f: blank(f["evidence"])), "evidence")
+def parse_window_response(df: DataFrame, raw: str = "raw_response", group_a: str = "group_a_ids", group_b: str = "group_b_ids", strict: bool = True) -> DataFrame:
+    """Adds decision, semantic_decision, semantic_group_a_segment_type, semantic_group_b_segment_type, response_contract_id, reason and
+    response_status of an answer about the frames of two groups (arrays of ids).
+
+    The first rule that is broken, in this order, gives the reason of an invalid response: a JSON object; a decision of same_segment or
+    different_segments; known types of both groups (only when strict, else unknown ones are blank); notes that name every frame of the
+    groups once with its group and a text; evidence; a summary. A good answer is no_cut, or cut_after_k with the size of group A."""
+    trimmed = lambda c: F.coalesce(F.trim(c), F.lit(""))
+    payload = extract_json_payload(F.col(raw))
+    out = df.withColumn("_ok", F.try_parse_json(payload).isNotNull()).withColumn("_r", F.from_json(payload, RESPONSE))
+    decision, kinds = trimmed(F.col("_r.decision")), [trimmed(F.col(f"_r.group_{g}_segment_type")) for g in "ab"]
+    known = [k.isin(SEGMENT_TYPES) for k in kinds]
+    notes, frames = F.col("_r.frame_notes"), F.concat(F.col(group_a), F.col(group_b))
+    names = F.transform(notes, lambda n: trimmed(n["frame_id"]))
+
+    def broken(n: Column, i: Column) -> Column:
+        """The rule that note i breaks."""
+        frame, group = trimmed(n["frame_id"]), trimmed(n["group"])
+        due = F.when(F.array_contains(F.col(group_a), frame) & ~F.array_contains(F.col(group_b), frame), "group_a").otherwise("group_b")
+        return (
+            F.when(n.isNull(), "Invalid frame_notes item")
+            .when(frame == "", "Missing frame_id value in frame_notes")
+            .when(~F.array_contains(frames, frame), F.concat(F.lit("Invalid frame_id value: "), frame))
+            .when(F.array_contains(F.slice(names, F.lit(1), i), frame), F.concat(F.lit("duplicate frame_id: "), frame))
+            .when(group != due, F.concat(F.lit("Invalid group for "), frame, F.lit(": expected "), due, F.lit(", got "), group))
+            .when(trimmed(n["note"]) == "", F.concat(F.lit("Missing frame_notes value for "), frame))
+        )
+
+    first_broken = F.get(F.filter(F.transform(notes, broken), lambda x: x.isNotNull()), 0)
+    missing = F.get(F.filter(frames, lambda f: ~F.array_contains(names, f)), 0)
+    evidence = F.filter(F.transform(F.col("_r.primary_evidence"), trimmed), lambda x: x != "")
+    summary = trimmed(F.col("_r.summary"))
+    wrong = (
+        F.when(~F.col("_ok") | F.col("_r").isNull(), "JSON parse error")
+        .when(~decision.isin("same_segment", "different_segments"), F.concat(F.lit("Invalid decision value: "), decision))
+        .when(F.lit(strict) & ~(known[0] & known[1]), "Missing or invalid group segment type value")
+        .when(notes.isNull(), "Missing frame_notes array")
+        .when(first_broken.isNotNull(), first_broken)
+        .when(missing.isNotNull(), F.concat(F.lit("Missing frame_notes value for "), missing))
+        .when(F.col("_r.primary_evidence").isNull(), "Missing primary_evidence list")
+        .when(F.size(evidence) == 0, "Missing primary_evidence values")
+        .when(summary == "", "Missing summary value")
     )
-    if not lenient:
-        reason = reason.when(F.exists("_r.frames", lambda f: ~F.coalesce(f["type"].isin(SEGMENT_TYPES), F.lit(False))), "type")
-    out = out.withColumn("reason", reason.otherwise(F.lit(None).cast("string")))
-    ok = F.col("reason").isNull()
-    return out.withColumn("response_status", F.when(ok, "ok").otherwise("invalid")).withColumn("decision", F.when(ok, F.col("_r.decision")).otherwise("invalid_response")).drop("_r")
+    kept = [F.when(ok, k).otherwise("") for ok, k in zip(known, kinds, strict=True)]
+    shown = [F.when(ok, k).otherwise("?") for ok, k in zip(known, kinds, strict=True)]
+    noted = F.array_join(F.transform(notes, lambda n: F.concat(trimmed(n["frame_id"]), F.lit("("), trimmed(n["group"]), F.lit(")="), trimmed(n["note"]))), "; ")
+    told = F.concat(F.lit("Group A segment type: "), shown[0], F.lit(" | Group B segment type: "), shown[1], F.lit(" | Frame notes: "), noted, F.lit(" | Primary evidence: "), F.array_join(evidence, "; "), F.lit(" | Summary: "), summary)
+    out = out.withColumn("_w", wrong)
+    ok = F.col("_w").isNull()
+    cut = F.when(decision == "same_segment", F.lit("no_cut")).otherwise(F.concat(F.lit("cut_after_"), F.size(group_a).cast("string")))
+    return out.withColumns({
+        "reason": F.coalesce("_w", told), "response_status": F.when(ok, "ok").otherwise("invalid_response"), "semantic_decision": F.when(ok, decision),
+        "semantic_group_a_segment_type": F.when(ok, kept[0]), "semantic_group_b_segment_type": F.when(ok, kept[1]), "response_contract_id": F.when(ok, F.lit(CONTRACT)), "decision": F.when(ok, cut).otherwise("invalid_response"),
+    }).drop("_r", "_ok", "_w")
 
 
 def normalize_detection(d: Column) -> Column:

@@ -11,12 +11,26 @@ from pyspark.sql import functions as F
 #: All characters that decompose to a letter a to z with marks, and that letter (stroked letters don't decompose and stay apart).
 ACCENTED = "".join(c for c in map(chr, range(128, sys.maxunicode + 1)) if "a" <= (d := unicodedata.normalize("NFD", c))[0] <= "z" and all(map(unicodedata.combining, d[1:])))
 PLAIN = "".join(unicodedata.normalize("NFD", c)[0] for c in ACCENTED)
-#: Polish number words by their value, cardinal and ordinal stems after normalizing.
-UNITS = {"jeden": 1, "dwa": 2, "trzy": 3, "cztery": 4, "piec": 5, "szesc": 6, "siedem": 7, "osiem": 8, "dziewiec": 9, "pierwszy": 1, "drugi": 2, "trzeci": 3, "czwarty": 4, "piaty": 5, "szosty": 6, "siodmy": 7, "osmy": 8, "dziewiaty": 9}
-TEENS = {"dziesiec": 10, "jedenascie": 11, "dwanascie": 12, "trzynascie": 13, "czternascie": 14, "pietnascie": 15, "szesnascie": 16, "siedemnascie": 17, "osiemnascie": 18, "dziewietnascie": 19}
-TENS = {"dwadziescia": 20, "trzydziesci": 30, "czterdziesci": 40, "piecdziesiat": 50, "szescdziesiat": 60, "siedemdziesiat": 70, "osiemdziesiat": 80, "dziewiecdziesiat": 90}
-HUNDREDS = {"sto": 100, "dwiescie": 200, "trzysta": 300, "czterysta": 400, "piecset": 500, "szescset": 600, "siedemset": 700, "osiemset": 800, "dziewiecset": 900}
-AND_WORDS = ["i"]
+def _inflected(stems: dict[str, int], endings: tuple[str, ...]) -> dict[str, int]:
+    return {stem + end: n for stem, n in stems.items() for end in endings}
+
+
+#: Polish number words after normalizing, cardinals and the stems of ordinals (masculine, feminine and neuter endings).
+UNITS = {
+    "zero": 0, "jeden": 1, "jedna": 1, "jedno": 1, "dwa": 2, "dwie": 2, "trzy": 3, "cztery": 4, "piec": 5, "szesc": 6, "siedem": 7, "osiem": 8, "dziewiec": 9,
+    "pierwszaj": 1, "drugi": 2, "druga": 2, "drugie": 2, "trzeci": 3, "trzecia": 3, "trzecie": 3,
+} | _inflected({"pierwsz": 1, "czwart": 4, "piat": 5, "szost": 6, "siodm": 7, "osm": 8, "dziewiat": 9}, ("y", "a", "e"))
+TEENS = {
+    "dziesiec": 10, "jedenascie": 11, "dwanascie": 12, "trzynascie": 13, "czternascie": 14, "pietnascie": 15, "szesnascie": 16, "siedemnascie": 17, "osiemnascie": 18, "dziewietnascie": 19,
+} | _inflected({"dziesiat": 10, "jedenast": 11, "dwunast": 12, "trzynast": 13, "czternast": 14, "pietnast": 15, "szesnast": 16, "siedemnast": 17, "osiemnast": 18, "dziewietnast": 19}, ("y", "a", "e"))
+TENS = {
+    "dwadziescia": 20, "trzydziesci": 30, "czterdziesci": 40, "piecdziesiat": 50, "szescdziesiat": 60, "siedemdziesiat": 70, "osiemdziesiat": 80, "dziewiecdziesiat": 90,
+} | _inflected({"dwudziest": 20, "trzydziest": 30, "czterdziest": 40, "piecdziesiat": 50, "szescdziesiat": 60, "siedemdziesiat": 70, "osiemdziesiat": 80, "dziewiecdziesiat": 90}, ("y", "a", "e"))
+HUNDREDS = {
+    "sto": 100, "dwiescie": 200, "trzysta": 300, "czterysta": 400, "piecset": 500, "szescset": 600, "siedemset": 700, "osiemset": 800, "dziewiecset": 900,
+} | _inflected({"setn": 100, "dwusetn": 200, "trzechsetn": 300, "czterechsetn": 400, "piecsetn": 500, "szescsetn": 600, "siedemsetn": 700, "osiemsetn": 800, "dziewiecsetn": 900}, ("y", "a", "e"))
+AND_WORDS = ("i", "oraz")
+NUMBER_TOKENS = 6
 
 
 def normalize_text(text: Column) -> Column:
@@ -30,22 +44,24 @@ def _value(token: Column, words: dict[str, int]) -> Column:
     return F.try_element_at(F.create_map(*(F.lit(x) for pair in words.items() for x in pair)), token)
 
 
+def number_pattern(units: dict[str, int], teens: dict[str, int], tens: dict[str, int], hundreds: dict[str, int], joins: tuple[str, ...] = AND_WORDS) -> str:
+    """Of tokens that each follow a blank: hundreds and joining words (1), then a teen (2), or tens and joining words (3) and a unit (4)."""
+    one = lambda words: "(" + "|".join(sorted(words, key=lambda w: (-len(w), w))) + ")(?= |$)"
+    link = f"(?: (?:{'|'.join(joins)})(?= |$))*"
+    return f"^(?: {one(hundreds)}{link})?(?: {one(teens)}|(?: {one(tens)}{link})?(?: {one(units)})?)"
+
+
 def parse_spoken_number(tokens: Column, units: dict[str, int] = UNITS, teens: dict[str, int] = TEENS, tens: dict[str, int] = TENS, hundreds: dict[str, int] = HUNDREDS) -> Column:
-    """struct(value, used, method) of the number that the tokens begin with: digits, or hundreds [and] (teens | tens [and] units); null
-    without one."""
-    t = lambda i: F.get(tokens, i)
-    is_and = lambda c: F.coalesce(c.isin(AND_WORDS), F.lit(False))
-    h = _value(t(F.lit(0)), hundreds)
-    at = F.when(h.isNull(), 0).when(is_and(t(F.lit(1))), 2).otherwise(1)
-    teen, ten, unit = _value(t(at), teens), _value(t(at), tens), _value(t(at), units)
-    after = F.when(is_and(t(at + 1)), at + 2).otherwise(at + 1)
-    tail_unit = _value(t(after), units)
-    rest = F.coalesce(teen, ten + F.coalesce(tail_unit, F.lit(0)), unit)
-    used_rest = F.when(teen.isNotNull(), at + 1).when(ten.isNotNull(), F.when(tail_unit.isNotNull(), after + 1).otherwise(at + 1)).when(unit.isNotNull(), at + 1)
-    digits = F.when(t(F.lit(0)).rlike(r"^\d{1,9}$"), t(F.lit(0)).try_cast("int"))
-    word = F.when(h.isNotNull() | rest.isNotNull(), F.coalesce(h, F.lit(0)) + F.coalesce(rest, F.lit(0)))
+    """struct(value, used, method) of the number that the first NUMBER_TOKENS tokens begin with: digits, or hundreds and a teen, or
+    hundreds, tens and a unit, with joining words after hundreds and tens; null without one."""
+    first = F.get(tokens, 0)
+    digits = F.when(first.rlike(r"^\d{1,9}$"), first.try_cast("int"))
+    text = F.concat(F.lit(" "), F.array_join(F.slice(tokens, 1, NUMBER_TOKENS), " "))
+    pattern = number_pattern(units, teens, tens, hundreds)
+    parts = [F.coalesce(_value(F.regexp_extract(text, pattern, i + 1), words), F.lit(0)) for i, words in enumerate((hundreds, teens, tens, units))]
+    whole = F.regexp_extract(text, pattern, 0)
     return F.when(digits.isNotNull(), F.struct(digits.alias("value"), F.lit(1).alias("used"), F.lit("digits").alias("method"))).when(
-        word.isNotNull(), F.struct(word.alias("value"), F.coalesce(used_rest, F.lit(1)).cast("int").alias("used"), F.lit("words").alias("method"))
+        whole != "", F.struct((parts[0] + parts[1] + parts[2] + parts[3]).alias("value"), (F.length(whole) - F.length(F.replace(whole, F.lit(" ")))).alias("used"), F.lit("words").alias("method"))
     )
 
 
@@ -100,23 +116,29 @@ def merged_type(a: Column, b: Column) -> Column:
     return F.when(x == y, x).when(x == "", y).when(y == "", x).otherwise("")
 
 
-#: One-letter codes of segment types.
-TYPE_CODES = {"performance": "p", "ceremony": "c", "warmup": "w"}
+#: One-letter codes of segment types, and what answers call the types of the reviewed sets.
+TYPE_CODES = {"performance": "P", "ceremony": "C", "warmup": "W", "dance": "D", "audience": "A", "rehearsal": "R", "other": "O"}
 
 
 def type_code(kind: Column) -> Column:
-    return F.coalesce(*(F.when(kind == k, F.lit(v)) for k, v in TYPE_CODES.items()), F.lit("?"))
+    return F.coalesce(*(F.when(F.lower(F.trim(kind)) == k, F.lit(v)) for k, v in TYPE_CODES.items()), F.lit("?"))
 
 
 #: Classes of the number of people, and words for them.
-PEOPLE = {"none": "0", "zero": "0", "one": "1", "single": "1", "solo": "1", "two": "2", "pair": "2", "duo": "2", "couple": "2", "three": "3", "trio": "3", "four": "4", "many": "5+", "group": "5+", "crowd": "5+"}
+PEOPLE_CLASSES = ("no_visible_people", "solo", "duet_trio", "quartet", "small_group", "large_group")
+PEOPLE = {
+    "none": "no_visible_people", "no_people": "no_visible_people", "no visible people": "no_visible_people", "soloist": "solo", "single": "solo",
+    "pair": "duet_trio", "duet": "duet_trio", "two": "duet_trio", "trio": "duet_trio", "triplet": "duet_trio", "tritrio": "duet_trio", "tri_trio": "duet_trio", "tri-trio": "duet_trio", "three": "duet_trio",
+    "four": "quartet", "4plus": "small_group",
+}
 
 
 def canonical_people_count(value: Column) -> Column:
-    """One of 0, 1, 2, 3, 4, 5+; null for anything else."""
+    """One of PEOPLE_CLASSES, from a class, a word or a number (N+ counts as N + 1); null for anything else."""
     v = F.lower(F.trim(value))
-    n = F.regexp_extract(v, r"^(\d{1,6})\+?$", 1).try_cast("int")
-    return F.when(n.isNotNull(), F.when(n >= 5, "5+").otherwise(n.cast("string"))).otherwise(F.coalesce(*(F.when(v == k, F.lit(c)) for k, c in PEOPLE.items())))
+    n = F.regexp_extract(v, r"^(\d{1,9})\+?$", 1).try_cast("long") + F.when(v.endswith("+"), 1).otherwise(0)
+    of_number = F.when(n == 0, "no_visible_people").when(n == 1, "solo").when(n <= 3, "duet_trio").when(n == 4, "quartet").when(n <= 10, "small_group").when(n > 10, "large_group")
+    return F.coalesce(F.when(v.isin(*PEOPLE_CLASSES), v), *(F.when(v == k, F.lit(c)) for k, c in PEOPLE.items()), of_number)
 
 
 def normalize_rel_path(path: Column) -> Column:

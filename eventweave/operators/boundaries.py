@@ -17,7 +17,8 @@ def align_artifacts(photos: DataFrame, quality: DataFrame, vectors: DataFrame, k
     """photos with quality and vector by key; keys that are not in all three are an error."""
     joined = photos.withColumn("_p", F.lit(1)).join(quality.withColumn("_q", F.lit(1)), key, "full_outer").join(vectors.withColumn("_v", F.lit(1)), key, "full_outer")
     whole = F.col("_p").isNotNull() & F.col("_q").isNotNull() & F.col("_v").isNotNull()
-    return joined.withColumn("_ok", F.when(~whole, F.raise_error(F.concat(F.lit("not in all tables: "), F.col(key).cast("string")))).otherwise(F.lit(1).cast("void"))).drop("_p", "_q", "_v", "_ok")
+    checked = F.when(~whole, F.raise_error(F.concat(F.lit("not in all tables: "), F.col(key).cast("string"))).cast("boolean")).otherwise(F.lit(True))
+    return joined.where(checked).drop("_p", "_q", "_v")
 
 
 def pair_distances(pairs: DataFrame, vector: str = "embedding") -> DataFrame:
@@ -103,13 +104,27 @@ def segment_confidence(segments: DataFrame) -> DataFrame:
     return segments.withColumn("segment_confidence", F.when(n == 0, F.lit(0.0)).otherwise(total / n))
 
 
+def review_reason(score: Column, label: Column, left_confidence: Column, right_confidence: Column, certain: float = 0.95) -> Column:
+    """Why a cut is uncertain: its score, the confidence of a segment beside it, or a label that is not hard; null if it is certain."""
+    return (
+        F.when(score < certain, "boundary_score")
+        .when((left_confidence < certain) | (right_confidence < certain), "segment_confidence")
+        .when(F.coalesce(label != "hard", F.lit(True)), "boundary_label")
+    )
+
+
 def edge_review(members: DataFrame, order: list[str], certain: float = 0.95) -> DataFrame:
-    """nearest_edge_seconds (to an edge of the segment that has a neighbour) and review: the first or last photo of a segment whose cut
-    there is uncertain (score below ``certain`` or label not hard)."""
+    """nearest_edge_seconds (to an edge of the segment that has a neighbour) and review_reason, and review (whether there is one): of the
+    first and last photo of a segment whose cut there is uncertain (of the two of a single photo, the left one first).
+
+    members: photos with segment_index, left_score, right_score (null without a neighbour), left_label, right_label, segment_confidence,
+    left_confidence and right_confidence (of the neighbours)."""
     w = Window.partitionBy(DAY, "segment_index").orderBy(*order)
     whole = Window.partitionBy(DAY, "segment_index")
     out = members.withColumns({"_f": F.row_number().over(w) == 1, "_l": F.lead(F.lit(1)).over(w).isNull(), "_a": F.min("start_epoch_ms").over(whole), "_b": F.max("start_epoch_ms").over(whole)})
     left, right = F.col("left_score").isNotNull(), F.col("right_score").isNotNull()
     near = F.least(F.when(left, F.col("start_epoch_ms") - F.col("_a")), F.when(right, F.col("_b") - F.col("start_epoch_ms"))) / 1000.0
-    doubt = (F.col("_f") & left & (F.col("left_score") < certain)) | (F.col("_l") & right & (F.col("right_score") < certain))
-    return out.withColumn("nearest_edge_seconds", near).withColumn("review", F.coalesce(doubt, F.lit(False))).drop("_f", "_l", "_a", "_b")
+    at_left = F.when(F.col("_f") & left, review_reason(F.col("left_score"), F.col("left_label"), F.col("left_confidence"), F.col("segment_confidence"), certain))
+    at_right = F.when(F.col("_l") & right, review_reason(F.col("right_score"), F.col("right_label"), F.col("segment_confidence"), F.col("right_confidence"), certain))
+    reason = F.coalesce(at_left, at_right)
+    return out.withColumns({"nearest_edge_seconds": near, "review_reason": reason, "review": reason.isNotNull()}).drop("_f", "_l", "_a", "_b")

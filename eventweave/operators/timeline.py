@@ -50,19 +50,20 @@ def assign_to_intervals(photos: DataFrame, timeline: DataFrame, bucket_s: int =
 
 
 def unassigned_with_neighbors(photos: DataFrame, assigned: DataFrame, timeline: DataFrame) -> DataFrame:
-    """Photos without an interval: the last set that ended before, the first that starts later, and why. As-of joins by a union in time order."""
+    """Photos without an interval: the last set in order of start that has ended by then or is open, the first that starts later, and why.
+
+    No set that is over or open covers the photo, so the previous one is the last that started by then. As-of joins by a union in time
+    order; sets of a day are few, and photos meet only the latest start (ties: the larger set_id) and the next."""
     left = photos.join(assigned.select(DAY, "photo_id"), [DAY, "photo_id"], "left_anti")
-    events = left.select(DAY, F.col("start_epoch_ms").alias("t"), F.lit(1).alias("kind"), "photo_id", F.lit(None).cast("string").alias("ended"), F.lit(None).cast("string").alias("starts"))
-    closed = timeline.where("set_end_ms > set_start_ms or set_end_ms is null")
     none = F.lit(None).cast("string")
-    ends = closed.where("set_end_ms is not null").select(DAY, F.col("set_end_ms").alias("t"), F.lit(0).alias("kind"), F.lit(None).cast("long").alias("photo_id"), F.col("set_id").alias("ended"), none.alias("starts"))
-    begins = closed.select(DAY, F.col("set_start_ms").alias("t"), F.lit(0).alias("kind"), F.lit(None).cast("long").alias("photo_id"), none.alias("ended"), F.col("set_id").alias("starts"))
-    rows = events.union(ends).union(begins)
-    back = Window.partitionBy(DAY).orderBy("t", "kind", F.coalesce("ended", F.lit(""))).rowsBetween(Window.unboundedPreceding, 0)
-    ahead = Window.partitionBy(DAY).orderBy(F.desc("t"), F.desc("kind"), F.desc(F.coalesce("starts", F.lit("")))).rowsBetween(Window.unboundedPreceding, 0)
-    out = rows.withColumn("previous_set", F.last("ended", True).over(back)).withColumn("next_set", F.last("starts", True).over(ahead)).where("kind = 1")
+    events = left.select(DAY, F.col("start_epoch_ms").alias("t"), F.lit(1).alias("kind"), F.col("photo_id").cast("string").alias("photo_id"), none.alias("set_id"))
+    begins = timeline.where("set_end_ms > set_start_ms or set_end_ms is null").select(DAY, F.col("set_start_ms").alias("t"), F.lit(0).alias("kind"), none.alias("photo_id"), "set_id")
+    rows = events.union(begins)
+    back = Window.partitionBy(DAY).orderBy("t", "kind", "set_id").rowsBetween(Window.unboundedPreceding, 0)
+    ahead = Window.partitionBy(DAY).orderBy(F.desc("t"), F.desc("kind"), F.desc("set_id")).rowsBetween(Window.unboundedPreceding, 0)
+    out = rows.withColumn("previous_set", F.last("set_id", True).over(back)).withColumn("next_set", F.last("set_id", True).over(ahead)).where("kind = 1")
     reason = F.when(F.col("previous_set").isNull() & F.col("next_set").isNull(), "no_timeline").when(F.col("previous_set").isNull(), "before_first").when(F.col("next_set").isNull(), "after_last").otherwise("between")
-    return out.select(DAY, "photo_id", "previous_set", "next_set", reason.alias("reason"))
+    return out.select(DAY, F.col("photo_id").cast(photos.schema["photo_id"].dataType).alias("photo_id"), "previous_set", "next_set", reason.alias("reason"))
 
 
 def asof_announcement(sets: DataFrame, candidates: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventweave.functions.textfuncs import normalize_text, parse_spoken_number
+from eventweave.functions.textfuncs import NUMBER_TOKENS, normalize_text, parse_spoken_number
 
 CLIP = ("stream_id", "clip_stem")
 
@@ -19,13 +19,13 @@ def transcript_to_clip(segments: DataFrame, clips: DataFrame) -> DataFrame:
 
 
 def announcement_candidates(segments: DataFrame, keywords: tuple[str, ...] = ("numer", "nr"), extra: str = "kategoria") -> DataFrame:
-    """A row for each keyword followed by a number: value, method, confidence 0.98 for digits and 0.94 for words, 0.03 more (0.99 at most)
+    """A row for each keyword followed by a number over 0: value, method, confidence 0.98 for digits and 0.94 for words, 0.03 more (0.99 at most)
     with ``extra`` within seven tokens after it."""
     tokens = segments.withColumn("tokens", F.split(normalize_text(F.col("text")), " "))
     at = F.posexplode("tokens").alias("at", "token")
     rows = tokens.select("*", at).where(F.col("token").isin(*keywords))
-    rest = F.slice("tokens", F.col("at") + 2, F.lit(8))
-    found = rows.withColumn("number", parse_spoken_number(rest)).where("number is not null")
+    rest = F.slice("tokens", F.col("at") + 2, F.lit(NUMBER_TOKENS))
+    found = rows.withColumn("number", parse_spoken_number(rest)).where("number.value > 0")
     near = F.array_contains(F.slice("tokens", F.col("at") + 2 + F.col("number.used"), F.lit(7)), extra)
     conf = F.when(F.col("number.method") == "digits", 0.98).otherwise(0.94)
     return found.withColumns({"performance_number": F.col("number.value"), "match_method": F.col("number.method"), "match_keyword": F.col("token"), "confidence": F.when(near, F.least(F.lit(0.99), conf + 0.03)).otherwise(conf)}).drop("tokens", "token", "number")

@@ -101,7 +101,8 @@ def feature_contract(df: DataFrame, expected: list[str]) -> list[str]:
 def descriptor_record(df: DataFrame, key: str, required: list[str], enums: dict[str, list[str]]) -> DataFrame:
     """Column values (map<string, array<string>>): required fields are there, enumerated ones hold allowed values."""
     rules = {f"required:{f}": F.map_contains_key("values", f) for f in required}
-    rules |= {f"enum:{f}": F.forall(F.coalesce(F.element_at("values", f), F.array().cast("array<string>")), lambda v, allowed=a: v.isin(allowed)) for f, a in enums.items()}
+    inside = lambda f, allowed: F.forall(F.coalesce(F.element_at("values", f), F.array().cast("array<string>")), lambda v: v.isin(allowed))
+    rules |= {f"enum:{f}": inside(f, a) for f, a in enums.items()}
     return checks(df, key, rules)
 
 

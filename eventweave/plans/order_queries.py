@@ -104,17 +104,25 @@ def gap_runs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {V.SEGMENTS}, m AS (SELECT n.*, s.start_ms, s.end_ms, s.left_score, s.right_score, row_number() OVER w AS f, lead(1) OVER w AS l FROM numbered n JOIN segs s USING (day_id, segment_index) WINDOW w AS (PARTITION BY n.day_id, n.segment_index ORDER BY start_epoch_ms, photo_id))
-SELECT day_id, photo_id, round(least(CASE WHEN left_score IS NOT NULL THEN start_epoch_ms - start_ms END, CASE WHEN right_score IS NOT NULL THEN end_ms - start_epoch_ms END) / 1000.0::DOUBLE, 6) AS nearest_edge_seconds,
-  coalesce((f = 1 AND left_score < 0.95) OR (l IS NULL AND right_score < 0.95), false) AS review FROM m"""
+    f"""WITH {V.SEGMENTS}, lab AS (SELECT s.*, CASE WHEN left_score IS NULL AND right_score IS NULL THEN 0 ELSE (coalesce(left_score, 0) + coalesce(right_score, 0)) / ((left_score IS NOT NULL)::INT + (right_score IS NOT NULL)::INT) END AS conf, l.boundary_label AS left_label
+  FROM segs s LEFT JOIN labelled l ON l.day_id = s.day_id AND l.right_photo_id = s.start_photo_id), c AS (SELECT *, lag(conf) OVER w AS left_conf, lead(conf) OVER w AS right_conf, lead(left_label) OVER w AS right_label FROM lab WINDOW w AS (PARTITION BY day_id ORDER BY segment_index)),
+m AS (SELECT n.*, s.start_ms, s.end_ms, s.left_score, s.right_score, s.left_label, s.right_label, conf, left_conf, right_conf, row_number() OVER w AS f, lead(1) OVER w AS l FROM numbered n JOIN c s USING (day_id, segment_index) WINDOW w AS (PARTITION BY n.day_id, n.segment_index ORDER BY start_epoch_ms, photo_id)),
+q AS (SELECT *, CASE WHEN f = 1 AND left_score IS NOT NULL THEN CASE WHEN left_score < 0.95 THEN 'boundary_score' WHEN left_conf < 0.95 OR conf < 0.95 THEN 'segment_confidence' WHEN left_label <> 'hard' THEN 'boundary_label' END END AS ra,
+  CASE WHEN l IS NULL AND right_score IS NOT NULL THEN CASE WHEN right_score < 0.95 THEN 'boundary_score' WHEN conf < 0.95 OR right_conf < 0.95 THEN 'segment_confidence' WHEN right_label <> 'hard' THEN 'boundary_label' END END AS rb FROM m)
+SELECT day_id, photo_id, round(least(CASE WHEN left_score IS NOT NULL THEN start_epoch_ms - start_ms END, CASE WHEN right_score IS NOT NULL THEN end_ms - start_epoch_ms END) / 1000.0::DOUBLE, 6) AS nearest_edge_seconds, coalesce(ra, rb) AS review_reason FROM q"""
 )
 def edge_review(spark: SparkSession, sf: str) -> DataFrame:
-    cut = V.scores(spark, sf).select("day_id", F.col("right_photo_id").alias("photo_id"), (F.col("boundary_label") != "none").alias("_c"))
+    label = F.col("boundary_label")
+    cut = V.scores(spark, sf).select("day_id", F.col("right_photo_id").alias("photo_id"), F.when(label != "none", label).alias("_c"))
     rows = V.photos(spark, sf).join(cut, ["day_id", "photo_id"], "left")
-    w = order.by_day()
-    numbered = rows.withColumn("segment_index", F.sum(F.coalesce("_c", F.lit(False)).cast("long")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    members = numbered.join(V.segments(spark, sf).select("day_id", "segment_index", "left_score", "right_score"), ["day_id", "segment_index"])
-    return r6(boundaries.edge_review(members, ["start_epoch_ms", "photo_id"]).select("day_id", "photo_id", "nearest_edge_seconds", "review"), "nearest_edge_seconds")
+    numbered = rows.withColumn("segment_index", F.count("_c").over(order.by_day().rowsBetween(Window.unboundedPreceding, 0)))
+    labels = numbered.where("_c is not null").select("day_id", "segment_index", F.col("_c").alias("left_label"))
+    w = Window.partitionBy("day_id").orderBy("segment_index")
+    segs = boundaries.segment_confidence(V.segments(spark, sf)).join(labels, ["day_id", "segment_index"], "left")
+    beside = {"left_confidence": F.lag("segment_confidence").over(w), "right_confidence": F.lead("segment_confidence").over(w), "right_label": F.lead("left_label").over(w)}
+    sides = segs.withColumns(beside).select("day_id", "segment_index", "left_score", "right_score", "left_label", "right_label", "segment_confidence", "left_confidence", "right_confidence")
+    out = boundaries.edge_review(numbered.join(sides, ["day_id", "segment_index"]), ["start_epoch_ms", "photo_id"])
+    return r6(out.select("day_id", "photo_id", "nearest_edge_seconds", "review_reason"), "nearest_edge_seconds")
 
 
 @query(

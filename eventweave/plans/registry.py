@@ -35,4 +35,4 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _QUERIES["min_segments"](spark, sf_dir)
 
 
-from eventweave.plans import dataset_queries, order_queries, timeline_queries  # noqa: E402, F401  each registers its queries
+from eventweave.plans import dataset_queries, function_queries, order_queries, timeline_queries  # noqa: E402, F401  each registers its queries

@@ -29,7 +29,7 @@ def assign_to_intervals(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     f"""WITH {V.ASSIGNED}, ok AS (SELECT * FROM tl WHERE set_end_ms IS NULL OR set_end_ms > set_start_ms), lost AS (SELECT s.* FROM shots s ANTI JOIN assigned a ON a.day_id = s.day_id AND a.photo_id = s.photo_id),
-e AS (SELECT l.day_id, l.photo_id, arg_max(t.set_id, (t.set_end_ms, t.set_id)) AS previous_set FROM lost l JOIN ok t ON t.day_id = l.day_id AND t.set_end_ms <= l.start_epoch_ms GROUP BY ALL),
+e AS (SELECT l.day_id, l.photo_id, arg_max(t.set_id, (t.set_start_ms, t.set_id)) AS previous_set FROM lost l JOIN ok t ON t.day_id = l.day_id AND t.set_start_ms <= l.start_epoch_ms AND (t.set_end_ms IS NULL OR t.set_end_ms <= l.start_epoch_ms) GROUP BY ALL),
 n AS (SELECT l.day_id, l.photo_id, arg_min(t.set_id, (t.set_start_ms, t.set_id)) AS next_set FROM lost l JOIN ok t ON t.day_id = l.day_id AND t.set_start_ms > l.start_epoch_ms GROUP BY ALL)
 SELECT l.day_id, l.photo_id, previous_set, next_set, CASE WHEN previous_set IS NULL AND next_set IS NULL THEN 'no_timeline' WHEN previous_set IS NULL THEN 'before_first' WHEN next_set IS NULL THEN 'after_last' ELSE 'between' END AS reason
 FROM lost l LEFT JOIN e USING (day_id, photo_id) LEFT JOIN n USING (day_id, photo_id)"""
@@ -143,11 +143,12 @@ def trigger_windows(spark: SparkSession, sf: str) -> DataFrame:
     return transcripts.trigger_windows(t, "conv_id", "turn", "trig")
 
 
-@query("SELECT conv_id, turn, list_aggregate(regexp_extract_all(lower(text), '[a-z0-9]+'), 'string_agg', ' ') AS normalized FROM conversations WHERE regexp_full_match(text, '[\\x00-\\x7F]*')")
+NORMALIZED = "nullif(list_aggregate(regexp_extract_all(replace(strip_accents(lower(text)), '№', ' nr '), '[a-z0-9]+'), 'string_agg', ' '), '')"
+
+
+@query(f"SELECT conv_id, turn, {NORMALIZED} AS normalized FROM conversations")
 def normalize_text(spark: SparkSession, sf: str) -> DataFrame:
-    """ASCII texts only, as SQL has no accent table; normalize_turns has all."""
-    t = V.turns(spark, sf).where(F.col("text").rlike(r"\A[\x00-\x7F]*\z"))
-    return t.select("conv_id", "turn", F.nullif(textfuncs.normalize_text(F.col("text")), F.lit("")).alias("normalized"))
+    return V.turns(spark, sf).select("conv_id", "turn", F.nullif(textfuncs.normalize_text(F.col("text")), F.lit("")).alias("normalized"))
 
 
 @query()
@@ -156,11 +157,15 @@ def normalize_turns(spark: SparkSession, sf: str) -> DataFrame:
     return V.turns(spark, sf).select("conv_id", "turn", F.nullif(textfuncs.normalize_text(F.col("text")), F.lit("")).alias("normalized"))
 
 
-@query()
+@query(
+    """WITH t AS (SELECT doc_id, str_split(list_aggregate(regexp_extract_all(replace(strip_accents(lower(text)), '№', ' nr '), '[a-z0-9]+'), 'string_agg', ' '), ' ') AS w FROM documents),
+k AS (SELECT *, unnest(range(1, len(w) + 1)) AS i FROM t), m AS (SELECT doc_id, w[i] AS word, w[i + 1] AS number, w[i + 2:i + 8] AS later FROM k WHERE w[i] IN ('version', 'copyright') AND regexp_full_match(coalesce(w[i + 1], ''), '[0-9]{1,9}'))
+SELECT doc_id, number::INT AS performance_number, 'digits' AS match_method, word AS match_keyword, CASE WHEN list_contains(later, 'reserved') THEN 0.99 ELSE 0.98 END AS confidence FROM m WHERE number::INT > 0"""
+)
 def spoken_announcements(spark: SparkSession, sf: str) -> DataFrame:
-    """Numbers spoken after the words 'the' and 'is' of conversation turns (the tables hold no announcements); fixtures test the rule."""
-    numbers = transcripts.announcement_candidates(V.turns(spark, sf).withColumn("text", F.concat(F.lit("numer "), (F.col("turn") + 100).cast("string"), F.lit(" "), "text")))
-    return numbers.select("conv_id", "turn", "performance_number", "match_method", "match_keyword", "confidence")
+    """Numbers after the words 'version' and 'copyright' of all documents, surer with 'reserved' near by; fixtures test number words."""
+    found = transcripts.announcement_candidates(V.read(spark, sf, "documents").select("doc_id", "text"), keywords=("version", "copyright"), extra="reserved")
+    return found.select("doc_id", "performance_number", "match_method", "match_keyword", "confidence")
 
 
 @query(

@@ -19,12 +19,13 @@ def pending(work: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def manifest_stream(spark: SparkSession, root: str, out: str, checkpoint: str) -> StreamingQuery:
-    """New media files are appended to the manifest table once each; a restart goes on from the checkpoint."""
+    """New media files go to the manifest table once each: every micro-batch writes a partition of its own (batch_id) and overwrites it
+    when it is replayed; a restart goes on from the checkpoint."""
     schema = "path string, modificationTime timestamp, length bigint, content binary"
     files = spark.readStream.format("binaryFile").schema(schema).option("recursiveFileLookup", True).load(root).select("path", "length", "modificationTime")
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(out)
+        batch.write.mode("overwrite").parquet(f"{out.rstrip('/')}/batch_id={batch_id}")
 
     return files.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

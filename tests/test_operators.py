@@ -51,7 +51,7 @@ def test_normalize_text(spark, text, want):
     assert one(spark, textfuncs.normalize_text(lit(text))) == want
 
 
-@pytest.mark.parametrize(("text", "value", "used"), [("12 x", 12, 1), ("sto dwa", 102, 2), ("dwiescie i trzydziesci i piec", 235, 5), ("pietnascie", 15, 1), ("osiemdziesiat", 80, 1), ("nic", None, None), ("sto", 100, 1)])
+@pytest.mark.parametrize(("text", "value", "used"), [("12 x", 12, 1), ("sto dwa", 102, 2), ("dwiescie i trzydziesci i piec", 235, 5), ("pietnascie", 15, 1), ("osiemdziesiat", 80, 1), ("nic", None, None), ("sto", 100, 1), ("dwudziesty piaty", 25, 2), ("druga", 2, 1), ("setny", 100, 1), ("sto oraz dwa", 102, 3), ("sto i", 100, 2), ("zero", 0, 1), ("sto dwunasty trzy", 112, 2), ("dwa sto", 2, 1), ("stos", None, None)])
 def test_spoken_numbers(spark, text, value, used):
     x = one(spark, textfuncs.parse_spoken_number(F.split(lit(text), " ")))
     assert (x and x["value"], x and x["used"]) == (value, used)
@@ -60,9 +60,10 @@ def test_spoken_numbers(spark, text, value, used):
 def test_small_text_functions(spark):
     assert one(spark, textfuncs.explicit_number(lit("teraz Numer startowy 123"))) == 123
     assert one(spark, textfuncs.descriptor_tokens(lit("b, A;a|| c/ d,e,f"))) == ["a", "b", "c", "d", "e"]
-    assert one(spark, textfuncs.canonical_people_count(lit("7+"))) == "5+"
-    assert one(spark, textfuncs.canonical_people_count(lit("Duo"))) == "2"
-    assert one(spark, textfuncs.canonical_people_count(lit("x"))) is None
+    assert one(spark, textfuncs.canonical_people_count(lit("10+"))) == "large_group"
+    assert one(spark, textfuncs.canonical_people_count(lit("Duet"))) == "duet_trio"
+    assert one(spark, textfuncs.canonical_people_count(lit("x"))) is None and one(spark, textfuncs.canonical_people_count(lit("-1"))) is None
+    assert one(spark, textfuncs.canonical_people_count(lit("quartet"))) == "quartet" and one(spark, textfuncs.type_code(lit(" Dance "))) == "D"
     assert one(spark, textfuncs.normalize_rel_path(lit("a/../b"))) is None
     assert one(spark, textfuncs.merged_type(lit("ceremony"), lit(""))) == "ceremony"
     assert one(spark, textfuncs.type_code(lit("q"))) == "?"
@@ -83,23 +84,54 @@ def test_vectors(spark):
         one(spark, vectors.cosine_distance(v(0, 0), v(1, 0)))
 
 
-def answer(groups, ids=("f1", "f2", "f3"), decision="cut_after_1", kind="performance"):
-    return json.dumps({"decision": decision, "summary": "s", "frames": [{"id": i, "group": g, "type": kind, "evidence": "e"} for i, g in zip(ids, groups, strict=True)]})
+def answer(decision="different_segments", kinds=("dance", "ceremony"), notes=(("f1", "group_a", "n1"), ("f2", "group_b", "n2"), ("f3", "group_b", "n3")), evidence=("e", " "), summary="s"):
+    return json.dumps({"decision": decision, "group_a_segment_type": kinds[0], "group_b_segment_type": kinds[1], "frame_notes": [dict(zip(("frame_id", "group", "note"), n, strict=True)) for n in notes], "primary_evidence": list(evidence), "summary": summary})
+
+
+GOOD = "Group A segment type: dance | Group B segment type: ceremony | Frame notes: f1(group_a)=n1; f2(group_b)=n2; f3(group_b)=n3 | Primary evidence: e | Summary: s"
+NOTES = (("f1", "group_a", "n1"), ("f2", "group_b", "n2"), ("f3", "group_b", "n3"))
 
 
 @pytest.mark.parametrize(
     ("raw", "reason", "decision"),
     [
-        ("```json\n" + answer("ABB") + "\n```", None, "cut_after_1"), ("so: " + answer("ABB") + " done", None, "cut_after_1"), (answer("AAA", decision="no_cut"), None, "no_cut"), ("none", "no_json", "invalid_response"), (answer("AAB"), "group", "invalid_response"),
-        (answer("ABB", ids=("f1", "f1", "f3")), "frames", "invalid_response"), (answer("ABB", decision="cut_after_3"), "cut_range", "invalid_response"), (answer("ABB", kind="dance"), "type", "invalid_response"), (answer("ABB", decision="maybe"), "decision", "invalid_response"),
+        ("```json\n" + answer() + "\n```", GOOD, "cut_after_1"), ("so: " + answer() + " done", GOOD, "cut_after_1"), (answer("same_segment"), GOOD, "no_cut"), ("none", "JSON parse error", "invalid_response"), ("{broken", "JSON parse error", "invalid_response"),
+        (answer("cut_after_1"), "Invalid decision value: cut_after_1", "invalid_response"), (answer(kinds=("performance", "dance")), "Missing or invalid group segment type value", "invalid_response"),
+        (answer(notes=NOTES[:2]), "Missing frame_notes value for f3", "invalid_response"), (answer(notes=(*NOTES[:2], NOTES[0])), "duplicate frame_id: f1", "invalid_response"), (answer(notes=(*NOTES[:2], ("f9", "group_b", "n"))), "Invalid frame_id value: f9", "invalid_response"),
+        (answer(notes=(*NOTES[:2], ("f3", "group_a", "n"))), "Invalid group for f3: expected group_b, got group_a", "invalid_response"), (answer(notes=(*NOTES[:2], ("f3", "group_b", " "))), "Missing frame_notes value for f3", "invalid_response"),
+        (answer(evidence=(" ",)), "Missing primary_evidence values", "invalid_response"), (answer(summary=""), "Missing summary value", "invalid_response"), ('{"decision": "same_segment", "group_a_segment_type": "dance", "group_b_segment_type": "dance"}', "Missing frame_notes array", "invalid_response"),
     ],
-)
+)
 def test_window_responses(spark, raw, reason, decision):
-    df = spark.createDataFrame([(raw, ["f1", "f2", "f3"])], "raw_response string, frame_ids array<string>")
+    df = spark.createDataFrame([(raw, ["f1"], ["f2", "f3"])], "raw_response string, group_a_ids array<string>, group_b_ids array<string>")
     r = jsonfuncs.parse_window_response(df).first()
     assert (r["reason"], r["decision"]) == (reason, decision)
-    if reason == "type":
-        assert jsonfuncs.parse_window_response(df, lenient=True).first()["reason"] is None
+    if "segment type value" in reason:
+        loose = jsonfuncs.parse_window_response(df, strict=False).first()
+        assert loose["response_status"] == "ok" and (loose["semantic_group_a_segment_type"], loose["semantic_group_b_segment_type"]) == ("", "dance")
+
+
+def test_open_interval_is_the_previous_set(spark):
+    photos = spark.createDataFrame([("d", i, 1000 * i) for i in range(1, 9)], "day_id string, photo_id long, start_epoch_ms long")
+    sets = spark.createDataFrame([("d", "a", 2000, 3000), ("d", "b", 4000, None), ("d", "c", 7000, 7500)], "day_id string, set_id string, set_start_ms long, set_end_ms long")
+    got = {r["photo_id"]: (r["previous_set"], r["next_set"], r["reason"]) for r in timeline.unassigned_with_neighbors(photos, photos.where("photo_id in (2, 7)"), sets).collect()}
+    assert got == {1: (None, "a", "before_first"), 3: ("a", "b", "between"), 4: ("b", "c", "between"), 5: ("b", "c", "between"), 6: ("b", "c", "between"), 8: ("c", None, "after_last")}
+
+
+@pytest.mark.parametrize(("score", "label", "left", "right", "want"), [(0.9, "hard", 1.0, 1.0, "boundary_score"), (0.96, "soft", 1.0, 0.9, "segment_confidence"), (0.96, "soft", 0.9, 1.0, "segment_confidence"), (0.96, "soft", 1.0, 1.0, "boundary_label"), (1.0, "hard", 0.95, 1.0, None)])
+def test_review_reason(spark, score, label, left, right, want):
+    assert one(spark, boundaries.review_reason(*map(F.lit, (score, label, left, right)))) == want
+
+
+def test_frame_selection_rules(spark):
+    """Expected rows worked out by hand from the rules, for times 0, 10, 20, 90, 100."""
+    df = spark.createDataFrame([("r", i, float(t)) for i, t in enumerate((0, 10, 20, 90, 100))], "run_id string, idx int, ts double")
+    pick = lambda schema, side, radius: sorted(r["idx"] for r in dataset.select_side_frames(df, radius, schema, side).collect())
+    assert pick("time_quantile", "right", 3) == [0, 2, 4] and pick("index_quantile", "left", 2) == [0, 4] and pick("index_quantile", "left", 4) == [0, 1, 3, 4]
+    assert pick("time_max_min", "left", 3) == [0, 2, 4] and pick("time_boundary_spread", "left", 2) == [0, 4] and pick("time_boundary_spread", "right", 3) == [0, 2, 4]
+    assert pick("time_max_min", "left", 1) == [0] and pick("index_quantile", "right", 1) == [4]
+    df = df.where("idx < 4")  # the middle goal lies between two rows: the one farther from the cut is taken
+    assert pick("index_quantile", "left", 3) == [0, 1, 3] and pick("index_quantile", "right", 3) == [0, 2, 3]
 
 
 def test_detections(spark):

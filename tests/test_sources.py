@@ -138,3 +138,26 @@ def test_no_llm_import():
             for n in names:
                 if n.endswith(".py"):
                     assert "eventweave.llm" not in open(os.path.join(d, n)).read(), n
+
+
+def test_measures_of_images():
+    import numpy as np
+
+    gray = np.array([[0.0, 0.5, 1.0], [0.0, 0.5, 1.0], [0.02, 0.5, 0.98]])
+    focus, blur, *_, bright, dark = images.measure(gray)
+    wide = np.pad(gray, 1, mode="edge")
+    lap = wide[:-2, 1:-1] + wide[2:, 1:-1] + wide[1:-1, :-2] + wide[1:-1, 2:] - 4 * gray
+    assert abs(focus - lap.var()) < 1e-12 and abs(blur - np.abs(np.diff(gray, axis=0)).mean() / np.abs(np.diff(gray, axis=1)).mean()) < 1e-12
+    assert (bright, dark) == (3 / 9, 3 / 9)
+
+
+def test_replayed_batch_is_written_once(spark, tmp_path):
+    root = tmp_path / "m" / "p-1"
+    root.mkdir(parents=True)
+    (root / "a.jpg").write_bytes(b"x")
+    out, mark = str(tmp_path / "out"), tmp_path / "mark"
+    for _ in range(2):
+        incremental.manifest_stream(spark, str(tmp_path / "m"), out, str(mark)).awaitTermination()
+        for f in (mark / "commits").glob("*0*"):  # the commit is lost, so the batch runs again
+            f.unlink()
+    assert spark.read.parquet(out).count() == 1
