@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventweave.functions import jsonfuncs, textfuncs, timefuncs, vectors
@@ -11,7 +11,9 @@ from eventweave.plans import views as V
 from eventweave.plans.registry import query
 from eventweave.streaming import incremental
 
-ID = F.col("event_id")
+def this() -> Column:
+    """The id of an event, from which the rows of these queries are made."""
+    return F.col("event_id")
 
 
 def events(spark: SparkSession, sf: str) -> DataFrame:
@@ -23,8 +25,8 @@ def events(spark: SparkSession, sf: str) -> DataFrame:
   CASE WHEN event_id % 17 <> 0 THEN epoch_us(date_trunc('second', ts)) // 1000 + event_id % 1000 END AS epoch_ms FROM events"""
 )
 def exif_times(spark: SparkSession, sf: str) -> DataFrame:
-    zone = F.when(ID % 3 == 0, "Z").when(ID % 3 == 1, "+02:00").otherwise("")
-    text = F.when(ID % 17 == 0, "no time").otherwise(F.concat(F.date_format("ts", "yyyy:MM:dd HH:mm:ss"), F.lit("."), F.lpad((ID % 1000).cast("string"), 3, "0"), zone))
+    zone = F.when(this() % 3 == 0, "Z").when(this() % 3 == 1, "+02:00").otherwise("")
+    text = F.when(this() % 17 == 0, "no time").otherwise(F.concat(F.date_format("ts", "yyyy:MM:dd HH:mm:ss"), F.lit("."), F.lpad((this() % 1000).cast("string"), 3, "0"), zone))
     parsed = events(spark, sf).withColumn("x", timefuncs.parse_exif_ts(text))
     return parsed.select("event_id", "x.fraction", F.col("x.offset").alias("zone"), "x.epoch_ms")
 
@@ -36,7 +38,7 @@ CAPTURE = """x AS (SELECT event_id, CASE WHEN event_id % 5 > 1 THEN ts WHEN even
 @query(f"WITH {CAPTURE} SELECT event_id, epoch_us(t) // 1000 AS capture_ms, timestamp_source, CASE timestamp_source WHEN 'mtime' THEN 'partial' WHEN 'placeholder' THEN 'error' ELSE 'ok' END AS metadata_status FROM x")
 def capture_times(spark: SparkSession, sf: str) -> DataFrame:
     text = lambda hours: F.date_format(F.expr(f"date_trunc('second', ts) + INTERVAL {hours} HOUR"), "yyyy-MM-dd HH:mm:ss")
-    fields = {"taken": F.when(ID % 5 > 1, text(0)).otherwise("?"), "made": F.when((ID % 5 == 1) & (ID % 2 == 0), text(1)), "mtime": F.when(ID % 7 > 0, F.expr("date_trunc('second', ts) + INTERVAL 24 HOUR"))}
+    fields = {"taken": F.when(this() % 5 > 1, text(0)).otherwise("?"), "made": F.when((this() % 5 == 1) & (this() % 2 == 0), text(1)), "mtime": F.when(this() % 7 > 0, F.expr("date_trunc('second', ts) + INTERVAL 24 HOUR"))}
     out = timefuncs.pick_capture_time(events(spark, sf).withColumns(fields), ["taken", "made"], ["mtime"])
     return out.select("event_id", timefuncs.epoch_ms("capture_time").alias("capture_ms"), "timestamp_source", "metadata_status")
 
@@ -49,8 +51,8 @@ SELECT event_id, epoch_us(s) // 1000 AS start_ms, epoch_us(s) // 1000 + (coalesc
 def video_times(spark: SparkSession, sf: str) -> DataFrame:
     at = F.expr("date_trunc('second', ts)")
     made = {
-        "created": F.when(ID % 4 == 0, F.date_format(at + F.expr("INTERVAL 1 HOUR"), "yyyy-MM-dd HH:mm:ss")), "filename": F.when(ID % 4 == 1, F.concat(F.lit("v_"), F.date_format(at, "yyyyMMdd_HHmmss"), F.lit(".mp4"))).otherwise("v.mp4"),
-        "mtime": F.when(ID % 4 == 2, at + F.expr("INTERVAL 24 HOUR")), "duration_seconds": F.when(ID % 6 > 0, F.floor("value").cast("string")).otherwise("x"),
+        "created": F.when(this() % 4 == 0, F.date_format(at + F.expr("INTERVAL 1 HOUR"), "yyyy-MM-dd HH:mm:ss")), "filename": F.when(this() % 4 == 1, F.concat(F.lit("v_"), F.date_format(at, "yyyyMMdd_HHmmss"), F.lit(".mp4"))).otherwise("v.mp4"),
+        "mtime": F.when(this() % 4 == 2, at + F.expr("INTERVAL 24 HOUR")), "duration_seconds": F.when(this() % 6 > 0, F.floor("value").cast("string")).otherwise("x"),
     }
     out = timefuncs.video_times(events(spark, sf).withColumns(made), ["created"])
     return out.select("event_id", timefuncs.epoch_ms("start_local").alias("start_ms"), timefuncs.epoch_ms("end_local").alias("end_ms"), "metadata_error")
@@ -76,16 +78,16 @@ def trigger_terms(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT event_id, CASE WHEN event_id % 3 < 2 AND event_id % 1500 < 1000 THEN (event_id % 1500)::INT END AS number FROM events")
 def explicit_numbers(spark: SparkSession, sf: str) -> DataFrame:
-    n = (ID % 1500).cast("string")
-    text = F.when(ID % 3 == 0, F.concat(F.lit("teraz Numer startowy "), n)).when(ID % 3 == 1, F.concat(F.lit("NR "), n, F.lit("."))).otherwise(F.concat(F.lit("number "), n))
+    n = (this() % 1500).cast("string")
+    text = F.when(this() % 3 == 0, F.concat(F.lit("teraz Numer startowy "), n)).when(this() % 3 == 1, F.concat(F.lit("NR "), n, F.lit("."))).otherwise(F.concat(F.lit("number "), n))
     return events(spark, sf).select("event_id", textfuncs.explicit_number(text).alias("number"))
 
 
 def detections(spark: SparkSession, sf: str) -> DataFrame:
     """A detection for each event: an announcement for views and clicks, a number that is too large for every fourth, blank titles."""
     kind = F.when(F.col("event_type").isin("view", "click"), " Announcement ").when(F.col("event_type") == "signup", "award").otherwise("song")
-    evidence = F.when(ID % 4 == 0, F.concat(F.lit("numer "), (ID % 700 + 1).cast("string"))).when(ID % 4 == 1, " ").otherwise("oklaski dla nich")
-    fields = [kind.alias("event_type"), F.when(ID % 4 < 2, "5000").when(ID % 4 == 2, (ID % 900 + 1).cast("string")).alias("start_number"), F.lit("2").alias("category_ordinal"), F.lit(" ").alias("title"), evidence.alias("evidence"), F.lit(None).cast("string").alias("notes"), F.lit(0.5).alias("confidence")]
+    evidence = F.when(this() % 4 == 0, F.concat(F.lit("numer "), (this() % 700 + 1).cast("string"))).when(this() % 4 == 1, " ").otherwise("oklaski dla nich")
+    fields = [kind.alias("event_type"), F.when(this() % 4 < 2, "5000").when(this() % 4 == 2, (this() % 900 + 1).cast("string")).alias("start_number"), F.lit("2").alias("category_ordinal"), F.lit(" ").alias("title"), evidence.alias("evidence"), F.lit(None).cast("string").alias("notes"), F.lit(0.5).alias("confidence")]
     return events(spark, sf).select("event_id", F.struct(*fields).alias("d"))
 
 
@@ -106,7 +108,7 @@ SELECT event_id, CASE m WHEN 0 THEN 'no_cut' WHEN 1 THEN 'cut_after_1' ELSE 'inv
     WHEN m = 4 THEN 'duplicate frame_id: ' || f || 'a' WHEN m = 5 THEN 'Invalid group for ' || f || 'b: expected group_b, got group_a' WHEN m = 6 THEN 'Missing or invalid group segment type value' ELSE 'JSON parse error' END AS reason FROM m"""
 )
 def window_responses(spark: SparkSession, sf: str) -> DataFrame:
-    m, a, b = ID % 8, F.concat(F.lit("f"), ID.cast("string"), F.lit("a")), F.concat(F.lit("f"), ID.cast("string"), F.lit("b"))
+    m, a, b = this() % 8, F.concat(F.lit("f"), this().cast("string"), F.lit("a")), F.concat(F.lit("f"), this().cast("string"), F.lit("b"))
     note = lambda f, g: F.struct(f.alias("frame_id"), g.alias("group"), F.lit("n").alias("note"))
     second = note(F.when(m == 4, a).otherwise(b), F.when(m == 5, "group_a").otherwise("group_b"))
     notes = F.when(m == 3, F.array(note(a, F.lit("group_a")))).otherwise(F.array(note(a, F.lit("group_a")), second))
@@ -120,8 +122,8 @@ def window_responses(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT event_id, CASE WHEN event_id % 3 < 2 THEN '{\"id\": ' || event_id::VARCHAR || '}' END AS payload FROM events")
 def json_payloads(spark: SparkSession, sf: str) -> DataFrame:
-    body = F.concat(F.lit('{"id": '), ID.cast("string"), F.lit("}"))
-    text = F.when(ID % 3 == 0, F.concat(F.lit("<think>{maybe}</think> so "), body, F.lit(" is it"))).when(ID % 3 == 1, F.concat(F.lit("```json\n"), body, F.lit("\n```"))).otherwise("nothing")
+    body = F.concat(F.lit('{"id": '), this().cast("string"), F.lit("}"))
+    text = F.when(this() % 3 == 0, F.concat(F.lit("<think>{maybe}</think> so "), body, F.lit(" is it"))).when(this() % 3 == 1, F.concat(F.lit("```json\n"), body, F.lit("\n```"))).otherwise("nothing")
     return events(spark, sf).select("event_id", jsonfuncs.extract_json_payload(text).alias("payload"))
 
 
@@ -130,8 +132,8 @@ def json_payloads(spark: SparkSession, sf: str) -> DataFrame:
 SELECT event_id, CASE WHEN event_id % 15 = 0 THEN 'duet_trio' WHEN event_id % 15 = 1 THEN NULL WHEN n = 0 THEN 'no_visible_people' WHEN n = 1 THEN 'solo' WHEN n <= 3 THEN 'duet_trio' WHEN n = 4 THEN 'quartet' WHEN n <= 10 THEN 'small_group' ELSE 'large_group' END AS people FROM n"""
 )
 def people_counts(spark: SparkSession, sf: str) -> DataFrame:
-    number = F.concat((ID % 14).cast("string"), F.when(ID % 2 == 0, "+").otherwise(""))
-    text = F.when(ID % 15 == 0, " Duet ").when(ID % 15 == 1, "a crowd").otherwise(number)
+    number = F.concat((this() % 14).cast("string"), F.when(this() % 2 == 0, "+").otherwise(""))
+    text = F.when(this() % 15 == 0, " Duet ").when(this() % 15 == 1, "a crowd").otherwise(number)
     return events(spark, sf).select("event_id", textfuncs.canonical_people_count(text).alias("people"))
 
 
@@ -139,20 +141,20 @@ def people_counts(spark: SparkSession, sf: str) -> DataFrame:
     """SELECT event_id, unnest(['a_b_c', 'a_b_d', 'e', 'k_1']) AS field, unnest(['x' || event_id::VARCHAR, 'y|z', 'p,q', '1']) AS value FROM events"""
 )
 def flat_descriptors(spark: SparkSession, sf: str) -> DataFrame:
-    text = F.concat(F.lit('{"a": {"b": {"c": "x'), ID.cast("string"), F.lit('", "d": ["y", "z"]}}, "e": "p,q", "k.1": 1}'))
+    text = F.concat(F.lit('{"a": {"b": {"c": "x'), this().cast("string"), F.lit('", "d": ["y", "z"]}}, "e": "p,q", "k.1": 1}'))
     flat = events(spark, sf).select("event_id", F.explode(jsonfuncs.flatten_descriptors(text)).alias("field", "values"))
     return flat.select("event_id", "field", F.array_join("values", "|").alias("value"))
 
 
 @query("SELECT event_id, md5('{\"a\":' || (event_id % 5)::VARCHAR || ',\"b\":\"' || event_type || '\"}') AS config FROM events")
 def config_hashes(spark: SparkSession, sf: str) -> DataFrame:
-    return events(spark, sf).select("event_id", textfuncs.config_hash({"b": F.col("event_type"), "a": ID % 5}).alias("config"))
+    return events(spark, sf).select("event_id", textfuncs.config_hash({"b": F.col("event_type"), "a": this() % 5}).alias("config"))
 
 
 @query("SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'source:/s/' || event_id::VARCHAR WHEN 1 THEN 'relative:r/' || event_id::VARCHAR WHEN 2 THEN 'stream:p-1/f' || event_id::VARCHAR ELSE 'file:f' || event_id::VARCHAR END AS identity FROM events")
 def photo_identities(spark: SparkSession, sf: str) -> DataFrame:
-    name = lambda head: F.concat(F.lit(head), ID.cast("string"))
-    m = ID % 4
+    name = lambda head: F.concat(F.lit(head), this().cast("string"))
+    m = this() % 4
     out = textfuncs.photo_identity(F.when(m == 0, name("/s/")).otherwise(" "), F.when(m <= 1, name("r/")), F.when(m <= 2, "p-1"), name("f"))
     return events(spark, sf).select("event_id", out.alias("identity"))
 
@@ -162,7 +164,7 @@ def photo_identities(spark: SparkSession, sf: str) -> DataFrame:
 SELECT event_id, CASE WHEN trim(b) = '' THEN a ELSE b END AS effective, CASE WHEN a = b THEN a WHEN a = '' THEN b WHEN b = '' THEN a ELSE '' END AS merged, CASE lower(trim(b)) WHEN 'warmup' THEN 'W' WHEN 'performance' THEN 'P' ELSE '?' END AS code FROM x"""
 )
 def segment_types(spark: SparkSession, sf: str) -> DataFrame:
-    a, b = F.when(ID % 3 == 0, "performance").when(ID % 3 == 1, "ceremony").otherwise(""), F.when(ID % 4 == 0, "Warmup").when(ID % 4 == 1, " ").when(ID % 4 == 2, "performance").otherwise("odd")
+    a, b = F.when(this() % 3 == 0, "performance").when(this() % 3 == 1, "ceremony").otherwise(""), F.when(this() % 4 == 0, "Warmup").when(this() % 4 == 1, " ").when(this() % 4 == 2, "performance").otherwise("odd")
     return events(spark, sf).select("event_id", textfuncs.effective_type(a, b).alias("effective"), textfuncs.merged_type(a, b).alias("merged"), textfuncs.type_code(b).alias("code"))
 
 
@@ -171,61 +173,61 @@ def segment_types(spark: SparkSession, sf: str) -> DataFrame:
 SELECT event_id, (f < 0.0005)::INT AS flag_blurry, (b < 0.2)::INT AS flag_dark, (b >= 0.98 OR c >= 0.02)::INT AS flag_overexposed, (b / 2 < 0.08)::INT AS flag_low_contrast, round(1 / (1 + 1000 * f), 6) AS blur_score FROM x"""
 )
 def quality_flags(spark: SparkSession, sf: str) -> DataFrame:
-    f, b, c = ID % 20 / 10000, ID % 50 / 50, ID % 30 / 1000
+    f, b, c = this() % 20 / 10000, this() % 50 / 50, this() % 30 / 1000
     flags = textfuncs.quality_flags(f, b, b, c, b / 2)
     return events(spark, sf).select("event_id", *(F.round(x, 6).alias(n) if n == "blur_score" else x.alias(n) for n, x in flags.items()))
 
 
 @query("SELECT event_id, CASE WHEN event_id % 6 < 2 THEN 'a/b' || event_id::VARCHAR || '.jpg' END AS path FROM events")
 def rel_paths(spark: SparkSession, sf: str) -> DataFrame:
-    good = F.concat(F.lit("a/b"), ID.cast("string"), F.lit(".jpg"))
-    m = ID % 6
+    good = F.concat(F.lit("a/b"), this().cast("string"), F.lit(".jpg"))
+    m = this() % 6
     text = F.when(m < 2, good).when(m == 2, F.concat(F.lit("/"), good)).when(m == 3, F.concat(F.lit("../"), good)).when(m == 4, F.concat(good, F.lit(" "))).otherwise(F.replace(good, F.lit("/"), F.lit("\\")))
     return events(spark, sf).select("event_id", textfuncs.normalize_rel_path(text).alias("path"))
 
 
 @query("SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 'p-' ELSE 'v-' END || (event_id % 5)::VARCHAR AS stream_id FROM events WHERE event_id % 2 = 0 OR event_id % 5 = 3")
 def selected_streams(spark: SparkSession, sf: str) -> DataFrame:
-    stream = F.concat(F.when(ID % 2 == 0, "p-").otherwise("v-"), (ID % 5).cast("string"))
+    stream = F.concat(F.when(this() % 2 == 0, "p-").otherwise("v-"), (this() % 5).cast("string"))
     return events(spark, sf).select("event_id", stream.alias("stream_id")).where(textfuncs.stream_filter(F.col("stream_id"), ["Photos", "v-3"]))
 
 
 @query("WITH x AS (SELECT event_id, [0, event_id % 7 * 500, event_id % 7 * 500 + event_id % 11 * 250] AS t FROM events) SELECT event_id, round_even(t[2] / 1000.0, 0)::BIGINT AS d1, round_even(t[3] / 1000.0, 0)::BIGINT AS d2, round_even((t[3] - t[2]) / 1000.0, 0)::BIGINT AS p2 FROM x")
 def delta_columns(spark: SparkSession, sf: str) -> DataFrame:
-    a = ID % 7 * 500
-    first, last = timefuncs.delta_columns(F.array(F.lit(0).cast("long"), a, a + ID % 11 * 250))
+    a = this() % 7 * 500
+    first, last = timefuncs.delta_columns(F.array(F.lit(0).cast("long"), a, a + this() % 11 * 250))
     return events(spark, sf).select("event_id", F.get(first, 1).alias("d1"), F.get(first, 2).alias("d2"), F.get(last, 2).alias("p2"))
 
 
 @query(f"WITH {DETECTIONS} SELECT event_id, CASE WHEN event_id % 5 > 0 THEN i::INT END AS detection_index, CASE WHEN event_id % 5 > 0 THEN event_type END AS event_type FROM d, range(1, 3) r(i) WHERE i <= greatest(1, event_id % 3)")
 def flat_detections(spark: SparkSession, sf: str) -> DataFrame:
     x = jsonfuncs.normalize_detection(F.col("d"))
-    many = F.when(ID % 5 == 0, F.array().cast("array<int>")).otherwise(F.sequence(F.lit(1), F.greatest(F.lit(1), (ID % 3).cast("int"))))
+    many = F.when(this() % 5 == 0, F.array().cast("array<int>")).otherwise(F.sequence(F.lit(1), F.greatest(F.lit(1), (this() % 3).cast("int"))))
     rows = detections(spark, sf).withColumn("x", x).withColumn("many", many).withColumn("detections", F.transform("many", lambda i: F.col("x")))
-    some = rows.where("event_id % 5 > 0").unionByName(rows.where("event_id % 5 = 0").withColumn("k", F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), (ID % 3).cast("int"))))).drop("k"))
+    some = rows.where("event_id % 5 > 0").unionByName(rows.where("event_id % 5 = 0").withColumn("k", F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), (this() % 3).cast("int"))))).drop("k"))
     return jsonfuncs.flatten_detections(some.select("event_id", "detections")).select("event_id", "detection_index", "detection.event_type")
 
 
 @query("SELECT event_id, strftime(ts, '%Y%m%d') AS day, strftime(ts, '%H%M%S') AS time, (event_id % 1000)::INT AS sequence, CASE WHEN event_id % 2 = 0 THEN 1920 END AS width, CASE WHEN event_id % 2 = 0 THEN 1080 END AS height, CASE WHEN event_id % 4 = 0 THEN 29.97::DOUBLE END AS fps FROM events")
 def media_filenames(spark: SparkSession, sf: str) -> DataFrame:
-    name = F.concat(F.date_format("ts", "yyyyMMdd_HHmmss_"), F.lpad((ID % 1000).cast("string"), 4, "0"), F.when(ID % 2 == 0, "_1920x1080").otherwise(""), F.when(ID % 4 == 0, "_29.97fps").otherwise(""), F.lit(".mp4"))
+    name = F.concat(F.date_format("ts", "yyyyMMdd_HHmmss_"), F.lpad((this() % 1000).cast("string"), 4, "0"), F.when(this() % 2 == 0, "_1920x1080").otherwise(""), F.when(this() % 4 == 0, "_29.97fps").otherwise(""), F.lit(".mp4"))
     return events(spark, sf).select("event_id", timefuncs.parse_media_filename(name).alias("x")).select("event_id", "x.*")
 
 
 @query("WITH x AS (SELECT event_id, (event_id % 100) / 100.0::DOUBLE AS p FROM events) SELECT event_id, round(CASE WHEN p >= 0.5 THEN p ELSE 1 - p END, 6) AS confidence FROM x")
 def decision_confidences(spark: SparkSession, sf: str) -> DataFrame:
-    p = ID % 100 / 100
+    p = this() % 100 / 100
     return events(spark, sf).select("event_id", F.round(textfuncs.decision_confidence(p >= 0.5, p), 6).alias("confidence"))
 
 
 @query("WITH x AS (SELECT event_id, (event_id % 3 - 1)::DOUBLE AS n, (event_id % 2)::DOUBLE AS d FROM events) SELECT event_id, CASE WHEN d <> 0 THEN (n / d)::VARCHAR WHEN n = 0 THEN '0.0' WHEN n > 0 THEN 'Infinity' ELSE '-Infinity' END AS ratio FROM x")
 def safe_divisions(spark: SparkSession, sf: str) -> DataFrame:
-    return events(spark, sf).select("event_id", vectors.safe_divide((ID % 3 - 1).cast("double"), (ID % 2).cast("double")).cast("string").alias("ratio"))
+    return events(spark, sf).select("event_id", vectors.safe_divide((this() % 3 - 1).cast("double"), (this() % 2).cast("double")).cast("string").alias("ratio"))
 
 
 @query("WITH x AS (SELECT event_id, ['k' || (event_id % 3)::VARCHAR, 'k' || (event_id % 4)::VARCHAR, 'k' || (event_id % 5)::VARCHAR] AS v FROM events), u AS (SELECT event_id, v[3] AS last, unnest(v) AS k FROM x), n AS (SELECT event_id, k, any_value(last) AS last, count(*) AS n FROM u GROUP BY event_id, k) SELECT event_id, arg_min(k, (-n, (k <> last)::INT, k)) AS mode FROM n GROUP BY event_id")
 def modes(spark: SparkSession, sf: str) -> DataFrame:
-    k = [F.concat(F.lit("k"), (ID % m).cast("string")) for m in (3, 4, 5)]
+    k = [F.concat(F.lit("k"), (this() % m).cast("string")) for m in (3, 4, 5)]
     return events(spark, sf).select("event_id", textfuncs.mode_with_tiebreak(F.array(*k), k[2]).alias("mode"))
 
 
@@ -245,11 +247,11 @@ def transcript_times(spark: SparkSession, sf: str) -> DataFrame:
 
 def windows(spark: SparkSession, sf: str) -> DataFrame:
     """Four neighbouring events for every tenth one."""
-    return events(spark, sf).where("event_id % 10 = 0").select(ID.alias("w"), F.array(ID, ID + 1, ID + 2, ID + 3).alias("frame_ids"))
+    return events(spark, sf).where("event_id % 10 = 0").select(this().alias("w"), F.array(this(), this() + 1, this() + 2, this() + 3).alias("frame_ids"))
 
 
 def pair_scores(spark: SparkSession, sf: str) -> DataFrame:
-    return events(spark, sf).where("event_id % 7 > 0").select(ID.alias("left_photo_id"), (ID + 1).alias("right_photo_id"), "value")
+    return events(spark, sf).where("event_id % 7 > 0").select(this().alias("left_photo_id"), (this() + 1).alias("right_photo_id"), "value")
 
 
 PAIRS = "p AS (SELECT event_id AS w, i, event_id + i AS l FROM events, range(0, 3) r(i) WHERE event_id % 10 = 0), j AS (SELECT p.*, e.value FROM p LEFT JOIN events e ON e.event_id = p.l AND e.event_id % 7 > 0)"
@@ -268,40 +270,40 @@ def heuristic_coverage(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("WITH p AS (SELECT event_id AS w, i, event_id + i AS f FROM events, range(0, 4) r(i) WHERE event_id % 10 = 0) SELECT w, string_agg(coalesce(e.event_type, '-'), ',' ORDER BY i) AS types, count_if(e.event_id IS NULL) AS missing_frames FROM p LEFT JOIN events e ON e.event_id = p.f AND e.event_id % 9 > 0 GROUP BY w")
 def frame_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    table = events(spark, sf).where("event_id % 9 > 0").select(ID.alias("photo_id"), "event_type")
+    table = events(spark, sf).where("event_id % 9 > 0").select(this().alias("photo_id"), "event_type")
     out = dataset.frame_lookup(windows(spark, sf), table, "w", ["event_type"])
     return out.select("w", F.array_join(F.transform("frame_rows", lambda r: F.coalesce(r["event_type"], F.lit("-"))), ",").alias("types"), "missing_frames")
 
 
 @query("SELECT event_type AS field, bool_or(event_id % 50 = 0) AS multivalue FROM events GROUP BY event_type")
 def descriptor_registry(spark: SparkSession, sf: str) -> DataFrame:
-    value = F.array(F.when(ID % 50 == 0, "a, b").otherwise("a"))
+    value = F.array(F.when(this() % 50 == 0, "a, b").otherwise("a"))
     return dataset.descriptor_registry(events(spark, sf).select(F.create_map("event_type", value).alias("values")))
 
 
 @query("SELECT event_id, event_id % 3 AS part FROM events WHERE event_id % 3 < 3")
 def merged_corpus(spark: SparkSession, sf: str) -> DataFrame:
-    days = events(spark, sf).select("event_id", (ID % 3).alias("part"), F.lit(2).alias("radius"), F.lit("v1").alias("rule"))
+    days = events(spark, sf).select("event_id", (this() % 3).alias("part"), F.lit(2).alias("radius"), F.lit("v1").alias("rule"))
     return dataset.merge_corpus(days, ["radius", "rule"]).select("event_id", "part")
 
 
 @query("SELECT 'f' || (event_id % 500)::VARCHAR AS relative_path, min(event_id) AS first_order FROM events WHERE event_id % 4 < 3 GROUP BY ALL")
 def resolved_selection(spark: SparkSession, sf: str) -> DataFrame:
-    k = (ID % 500).cast("string")
-    chosen = events(spark, sf).select(F.when(ID % 4 == 0, F.concat(F.lit("s"), k)).alias("source_path"), F.when(ID % 4 < 3, "p-1").otherwise("p-9").alias("stream_id"), F.concat(F.lit("n"), k).alias("filename"), ID.alias("order"))
-    photos = events(spark, sf).where("event_id < 1500").select((ID % 500).cast("string").alias("k")).distinct().select(*(F.concat(F.lit(h), F.col("k")).alias(c) for h, c in (("s", "source_path"), ("n", "filename"), ("f", "relative_path"))), F.lit("p-1").alias("stream_id"))
+    k = (this() % 500).cast("string")
+    chosen = events(spark, sf).select(F.when(this() % 4 == 0, F.concat(F.lit("s"), k)).alias("source_path"), F.when(this() % 4 < 3, "p-1").otherwise("p-9").alias("stream_id"), F.concat(F.lit("n"), k).alias("filename"), this().alias("order"))
+    photos = events(spark, sf).where("event_id < 1500").select((this() % 500).cast("string").alias("k")).distinct().select(*(F.concat(F.lit(h), F.col("k")).alias(c) for h, c in (("s", "source_path"), ("n", "filename"), ("f", "relative_path"))), F.lit("p-1").alias("stream_id"))
     return review.resolve_selection(chosen, photos)[0].select("relative_path", F.col("order").alias("first_order"))
 
 
 @query("SELECT event_id, 't/' || event_id::VARCHAR AS thumb, event_type FROM events WHERE event_id % 2 = 0")
 def variant_rows(spark: SparkSession, sf: str) -> DataFrame:
-    variant = events(spark, sf).where("event_id % 2 = 0").select("event_id", F.concat(F.lit("t/"), ID.cast("string")).alias("thumb"))
+    variant = events(spark, sf).where("event_id % 2 = 0").select("event_id", F.concat(F.lit("t/"), this().cast("string")).alias("thumb"))
     return results.join_variant(variant, events(spark, sf).select("event_id", "event_type"), "event_id", "thumb").select("event_id", "thumb", "event_type")
 
 
 @query("SELECT (event_id % 40)::VARCHAR AS cut_left, (event_id % 40 + 1)::VARCHAR AS cut_right, count(*) AS hits, string_agg(event_type, ',' ORDER BY event_type) AS left_types FROM events WHERE event_id % 5 > 0 GROUP BY ALL")
 def cut_votes(spark: SparkSession, sf: str) -> DataFrame:
-    rows = events(spark, sf).select(F.when(ID % 5 > 0, "ok").otherwise("invalid_response").alias("response_status"), (ID % 40).cast("string").alias("cut_left"), (ID % 40 + 1).cast("string").alias("cut_right"), F.lit("r").alias("reason"), F.col("event_type").alias("left_type"), F.col("event_type").alias("right_type"))
+    rows = events(spark, sf).select(F.when(this() % 5 > 0, "ok").otherwise("invalid_response").alias("response_status"), (this() % 40).cast("string").alias("cut_left"), (this() % 40 + 1).cast("string").alias("cut_right"), F.lit("r").alias("reason"), F.col("event_type").alias("left_type"), F.col("event_type").alias("right_type"))
     return metrics.cut_votes(rows).select("cut_left", "cut_right", "hits", F.array_join("left_types", ",").alias("left_types"))
 
 
@@ -314,8 +316,8 @@ def run_status_counts(spark: SparkSession, sf: str) -> DataFrame:
     """SELECT event_type AS model, count(*) AS cases, count_if(event_id % 2 = 0) AS event_correct, count_if(event_id % 3 = 0) AS number_correct, count(*) AS ordinal_correct, count_if(event_id % 6 = 0) AS strict_correct, count_if(event_id % 10 = 0) AS errors, round(100.0 * count_if(event_id % 6 = 0) / count(*), 6)::DOUBLE AS strict_percent FROM events GROUP BY ALL"""
 )
 def model_scoreboard(spark: SparkSession, sf: str) -> DataFrame:
-    seen = F.array(F.struct(F.when(ID % 2 == 0, "announcement").otherwise("other").alias("event_type"), F.when(ID % 3 == 0, 5).otherwise(6).alias("start_number"), F.lit(1).alias("category_ordinal")))
-    rows = events(spark, sf).select(F.col("event_type").alias("model"), seen.alias("detections"), F.lit("announcement").alias("expected_event"), F.lit(5).alias("expected_number"), F.lit(1).alias("expected_ordinal"), F.when(ID % 10 == 0, "e").alias("error"), F.col("value").alias("seconds"))
+    seen = F.array(F.struct(F.when(this() % 2 == 0, "announcement").otherwise("other").alias("event_type"), F.when(this() % 3 == 0, 5).otherwise(6).alias("start_number"), F.lit(1).alias("category_ordinal")))
+    rows = events(spark, sf).select(F.col("event_type").alias("model"), seen.alias("detections"), F.lit("announcement").alias("expected_event"), F.lit(5).alias("expected_number"), F.lit(1).alias("expected_ordinal"), F.when(this() % 10 == 0, "e").alias("error"), F.col("value").alias("seconds"))
     out = metrics.model_scoreboard(rows)
     return out.select("model", "cases", "event_correct", "number_correct", "ordinal_correct", "strict_correct", "errors", F.round("strict_percent", 6).alias("strict_percent"))
 
@@ -354,18 +356,18 @@ def window_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT user_id, event_id % 3 AS part, string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS types FROM events GROUP BY ALL")
 def deduped_windows(spark: SparkSession, sf: str) -> DataFrame:
-    rows = events(spark, sf).select("user_id", (ID % 3).alias("part"), F.array("event_type").alias("types"))
+    rows = events(spark, sf).select("user_id", (this() % 3).alias("part"), F.array("event_type").alias("types"))
     return transcripts.dedupe_windows(rows, ["user_id", "part"], ["types"]).select("user_id", "part", F.array_join("types", ",").alias("types"))
 
 
 @query("SELECT event_id AS photo_id, (user_id % 7)::VARCHAR AS segment_id, event_type AS segment_type FROM events")
 def reviewed_truth(spark: SparkSession, sf: str) -> DataFrame:
-    return review.reviewed_truth(events(spark, sf).select(ID.alias("photo_id"), (F.col("user_id") % 7).cast("string").alias("set_id"), F.col("event_type").alias("segment_type")))
+    return review.reviewed_truth(events(spark, sf).select(this().alias("photo_id"), (F.col("user_id") % 7).cast("string").alias("set_id"), F.col("event_type").alias("segment_type")))
 
 
 @query("SELECT event_id, CASE event_id % 4 WHEN 0 THEN 2 WHEN 1 THEN 3 WHEN 2 THEN 1 ELSE 0 END::BIGINT AS segment FROM events")
 def attributed_detections(spark: SparkSession, sf: str) -> DataFrame:
-    m = ID % 4
+    m = this() % 4
     texts = ["wstep", "druga czesc", "Oklaski, prosze!", "teraz numer 12 i"]
     segments = F.array(*(F.struct(F.lit(i).cast("long").alias("index"), F.lit(t).alias("text")) for i, t in enumerate(texts)))
     found = F.struct(F.lit("announcement").alias("event_type"), F.when(m == 1, 12).otherwise(7).alias("start_number"), F.when(m == 0, "oklaski prosze").when(m == 1, " ").otherwise("nothing of it").alias("evidence"))
@@ -375,9 +377,9 @@ def attributed_detections(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT event_id, CASE WHEN event_id % 3 < 2 THEN event_id + event_id % 3 END AS cut_left, CASE WHEN event_id % 3 < 2 AND event_id + event_id % 3 + 1 <= (SELECT max(event_id) FROM events) THEN event_id + event_id % 3 + 1 END AS cut_right FROM events WHERE event_id % 10 = 0")
 def normalized_cuts(spark: SparkSession, sf: str) -> DataFrame:
-    rows = events(spark, sf).select(F.lit("d").alias("day_id"), ID.alias("i"), ID.alias("photo_id"))
-    told = F.when(ID % 3 == 0, "cut_after_1").when(ID % 3 == 1, "cut_after_2").otherwise("no_cut")
-    return review.normalize_cut_pairs(events(spark, sf).where("event_id % 10 = 0").select("event_id", F.lit("d").alias("day_id"), ID.alias("start_row"), told.alias("decision")), rows).select("event_id", "cut_left", "cut_right")
+    rows = events(spark, sf).select(F.lit("d").alias("day_id"), this().alias("i"), this().alias("photo_id"))
+    told = F.when(this() % 3 == 0, "cut_after_1").when(this() % 3 == 1, "cut_after_2").otherwise("no_cut")
+    return review.normalize_cut_pairs(events(spark, sf).where("event_id % 10 = 0").select("event_id", F.lit("d").alias("day_id"), this().alias("start_row"), told.alias("decision")), rows).select("event_id", "cut_left", "cut_right")
 
 
 @query("SELECT w AS cut_left, w + 1 AS cut_right, string_agg(e.event_id::VARCHAR, ',' ORDER BY e.event_id) AS frames FROM (SELECT event_id AS w FROM events WHERE event_id % 10 = 0) JOIN events e ON e.event_id BETWEEN w AND w + 3 GROUP BY w")
@@ -416,7 +418,7 @@ def coverage_breaks(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT 'attrition_sums' AS rule, event_id::VARCHAR AS key FROM events WHERE event_id % 11 = 0")
 def attrition_breaks(spark: SparkSession, sf: str) -> DataFrame:
-    report = events(spark, sf).select("event_id", F.lit(4).alias("generated"), F.lit(1).alias("missing_artifact"), F.lit(1).alias("missing_truth"), F.lit(1).alias("missing_window"), F.when(ID % 11 == 0, 2).otherwise(1).alias("retained"))
+    report = events(spark, sf).select("event_id", F.lit(4).alias("generated"), F.lit(1).alias("missing_artifact"), F.lit(1).alias("missing_truth"), F.lit(1).alias("missing_window"), F.when(this() % 11 == 0, 2).otherwise(1).alias("retained"))
     return validate.attrition_sums(report, "event_id").select("rule", F.col("key").cast("string").alias("key"))
 
 
@@ -435,6 +437,6 @@ def contract_breaks(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT 'required:people' AS rule, event_id::VARCHAR AS key FROM events WHERE event_id % 5 = 0 UNION ALL SELECT 'enum:view', event_id::VARCHAR FROM events WHERE event_id % 7 = 0")
 def descriptor_breaks(spark: SparkSession, sf: str) -> DataFrame:
-    value = F.create_map(F.when(ID % 5 == 0, "persons").otherwise("people"), F.array(F.lit("solo")), F.lit("view"), F.array(F.when(ID % 7 == 0, "odd").otherwise("solo")))
+    value = F.create_map(F.when(this() % 5 == 0, "persons").otherwise("people"), F.array(F.lit("solo")), F.lit("view"), F.array(F.when(this() % 7 == 0, "odd").otherwise("solo")))
     rows = events(spark, sf).select("event_id", value.alias("values"))
     return validate.descriptor_record(rows, "event_id", ["people"], {"view": ["solo", "group"]}).select("rule", F.col("key").cast("string").alias("key"))
