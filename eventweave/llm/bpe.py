@@ -14,7 +14,6 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Iterator
-from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -187,17 +186,12 @@ class Bpe:
         return self.blob[shift + np.arange(len(shift))].tobytes()
 
 
-@lru_cache(2)
-def loaded(path: str) -> Bpe:
-    return Bpe(path)
-
-
 def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
     """Columns doc_id, ids (array<int>) of every whole text. Keeps nothing between texts but the pre-token memory of a task."""
     path = path or vocabulary_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = loaded(path)
+        bpe = Bpe(path)  # a task's own, so that a worker keeps nothing for the stages after it
         for b in batches:
             ids = [np.fromstring(s, np.int32, sep=",") if (s := bpe.encode(t or "")) else np.zeros(0, np.int32) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
@@ -210,7 +204,7 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     path = path or vocabulary_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = loaded(path)
+        bpe = Bpe(path)  # a task's own, so that a worker keeps nothing for the stages after it
         for b in batches:
             texts = [bpe.decode(np.asarray(i or [], np.int64)).decode("utf-8", "replace") for i in b.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(texts, pa.string())], names=["doc_id", "text"])
@@ -223,7 +217,7 @@ def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
     path = path or vocabulary_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = loaded(path)
+        bpe = Bpe(path)  # a task's own, so that a worker keeps nothing for the stages after it
         for b in batches:
             n, sha, back = [], [], []
             for t in b.column("text"):

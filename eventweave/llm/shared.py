@@ -14,7 +14,17 @@ from pyspark.sql import functions as F
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
 
 
+#: Bytes of a batch of rows that goes to a Python worker (texts may be long, and several batches are in memory at a time).
+BATCH_BYTES = "16m"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Sets the size of the batches that Python workers get, which bounds their memory and that of the executor beside them."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
