@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventweave.llm import bpe, decontaminate, minhash, suffix, toxicity
-from eventweave.llm.shared import held_out, stored, table, without_ids
+from eventweave.llm.shared import held_out, small_batches, stored, table, without_ids
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -28,6 +28,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest doc_id of each near-duplicate group stays (five-word shingles, similarity 0.8)."""
+    small_batches(spark)
     docs = docs.select(*COLUMNS)
     gone = minhash.near_duplicates(docs).where("doc_id is not null and not kept").select("doc_id").distinct()
     return without_ids(docs, stored(gone, "near"))
@@ -35,6 +36,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document stays; later copies of repeated 200-byte strings are cut from the texts, and n_chars follows."""
+    small_batches(spark)
     cut = suffix.cut_texts(docs.select(*COLUMNS), keep=("lang", "source"))
     return cut.select("doc_id", "text", "lang", "source", F.char_length("text").cast("long").alias("n_chars"))
 
@@ -48,6 +50,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token count, and digests of the ids and of the decoded text, of each document."""
+    small_batches(spark)
     return bpe.digests(docs)
 
 
