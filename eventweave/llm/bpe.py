@@ -21,6 +21,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
+from eventweave.llm import kernels as K
 from eventweave.llm.shared import table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -28,7 +29,7 @@ VOCABULARY = "byte_bpe_50k.json"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 #: Pre-tokens whose ids a worker keeps, and pairs whose compatibility it keeps; beyond it they are cleared and filled anew. About 200
 #: bytes each, and a worker lives on through later stages.
-CACHE_ENTRIES = 200_000
+CACHE_ENTRIES = 60_000
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -228,7 +229,7 @@ def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
                 back.append(hashlib.sha256(raw.decode("utf-8", "replace").encode()).hexdigest())
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(sha, pa.string()), pa.array(back, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
+    return docs.select("doc_id", "text").mapInArrow(K.tidy(run), SCHEMA)
 
 
 def op7_bpe_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,9 @@ Every function works on a bounded slice of one Arrow batch (``text_chunks``), ne
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +24,26 @@ _BASE = 0x9E3779B97F4A7C15
 _POW = {"up": np.ones(1, U64), "down": np.ones(1, U64)}
 
 
+def give_back() -> None:
+    """Returns the memory that this worker has freed to the system: workers live on beside those of later stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """run over the batches of a partition, with its memory given back at the end."""
+
+    @wraps(run)
+    def whole(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        give_back()
+
+    return whole
+
+
 def _powers(kind: str, n: int) -> np.ndarray:
     have = _POW[kind]
     if len(have) < n:

@@ -87,7 +87,7 @@ def described(docs: DataFrame, size: int) -> DataFrame:
             columns = [pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary()), pa.array(own.astype(np.int32)), pa.array(total[own])]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, DESCRIBED)
+    return docs.select("doc_id", "text").mapInArrow(K.tidy(run), DESCRIBED)
 
 
 def frequencies(each: DataFrame) -> np.ndarray:
@@ -125,7 +125,7 @@ def retained(texts: DataFrame, often: np.ndarray, size: int, percent: int) -> Da
                 if keys:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, nodes, sizes, places)], names=["key", "node", "n", "at"])
 
-    return texts.select("doc_id", "text").mapInArrow(run, "key long, node long, n int, at int")
+    return texts.select("doc_id", "text").mapInArrow(K.tidy(run), "key long, node long, n int, at int")
 
 
 def estimated(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -146,7 +146,7 @@ def estimated(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
             ok = pa.array(est >= least)
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(est)], names=["a", "b", "est"]).filter(ok)
 
-    return full.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long, est double")
+    return full.select("a", "b", "sa", "sb").mapInArrow(K.tidy(run), "a long, b long, est double")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -158,7 +158,7 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Data
             out = [s.tobytes() for _, _, data, offs in K.text_chunks(b.column("text")) for s in K.shingle_sets(data, offs, size)]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(out, pa.binary())], names=["doc_id", "s"])
 
-    full = with_ids(docs.select("doc_id", "text"), ids).mapInArrow(sets, "doc_id long, s binary")
+    full = with_ids(docs.select("doc_id", "text"), ids).mapInArrow(K.tidy(sets), "doc_id long, s binary")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -170,7 +170,7 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Data
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(linked, pa.bool_())], names=["a", "b", "linked"])
 
     joined = pairs.select("a", "b").join(full.toDF("a", "sa"), "a").join(full.toDF("b", "sb"), "b")
-    return joined.mapInArrow(compare, "a long, b long, linked boolean").groupBy("a", "b").agg(F.max("linked").alias("linked"))
+    return joined.mapInArrow(K.tidy(compare), "a long, b long, linked boolean").groupBy("a", "b").agg(F.max("linked").alias("linked"))
 
 
 def with_component(rows: DataFrame, groups: DataFrame | None) -> DataFrame:
@@ -252,7 +252,7 @@ def met_in_lists(lists: DataFrame, groups: DataFrame | None, classes: DataFrame,
             keep = t["side"][own] == 0
             held = {c: v[own][keep] for c, v in t.items()}
 
-    met = rows.repartition("key", "block").sortWithinPartitions("key", "block", "side", "node").mapInArrow(run, "a long, b long")
+    met = rows.repartition("key", "block").sortWithinPartitions("key", "block", "side", "node").mapInArrow(K.tidy(run), "a long, b long")
     return met.where("a < b").distinct()
 
 

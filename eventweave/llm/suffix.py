@@ -141,7 +141,7 @@ def repeated_anchors(rows: DataFrame, length: int) -> DataFrame:
         if held is not None and held[3]:
             yield last()
 
-    dealt = rows.select("did", "rid", "text").mapInArrow(find, "key long, did long, rid long, more boolean").repartition("key").sortWithinPartitions("key")
+    dealt = rows.select("did", "rid", "text").mapInArrow(K.tidy(find), "key long, did long, rid long, more boolean").repartition("key").sortWithinPartitions("key")
     return dealt.mapInArrow(again, "key long, did long, rid long").groupBy("did", "rid").agg(F.collect_list("key").alias("keys"))
 
 
@@ -203,7 +203,7 @@ def surroundings(texts: DataFrame, length: int) -> DataFrame:
         if held:
             yield flush()
 
-    return texts.mapInArrow(cut, "g long, c long, rid long, at long, left int, ctx binary, n int, doc long")
+    return texts.mapInArrow(K.tidy(cut), "g long, c long, rid long, at long, left int, ctx binary, n int, doc long")
 
 
 def runs_of(flag: np.ndarray, row: np.ndarray, delta: np.ndarray, n_rows: int) -> list[list[int]]:
@@ -337,7 +337,7 @@ def ranked_groups(cut: DataFrame, length: int) -> DataFrame:
         if room:
             yield rank(pa.Table.from_batches(held))
 
-    return dealt(cut, length).repartition("deal").sortWithinPartitions("deal", "g", "c", "doc", "at").mapInArrow(stream, "g long, c long, doc0 long, at0 long, spans array<int>, later array<int>")
+    return dealt(cut, length).repartition("deal").sortWithinPartitions("deal", "g", "c", "doc", "at").mapInArrow(K.tidy(stream), "g long, c long, doc0 long, at0 long, spans array<int>, later array<int>")
 
 
 def united(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -413,8 +413,8 @@ def cut_texts(docs: DataFrame, length: int = LENGTH, keep_first: bool = True, wi
             names = [*own, "n_bytes", "n_removed", "n_spans", "kept_sha256"]
             yield pa.RecordBatch.from_arrays([*cols, *([pa.array(kept, pa.string())] * with_text)], names=[*names, *["text"] * with_text])
 
-    clean = _only(rows, cuts, "left_anti").mapInArrow(apply, schema)
-    hit = packed(_only(rows, cuts, "left_semi"), own).join(cuts, ["did", "rid"]).mapInArrow(apply, schema)
+    clean = _only(rows, cuts, "left_anti").mapInArrow(K.tidy(apply), schema)
+    hit = packed(_only(rows, cuts, "left_semi"), own).join(cuts, ["did", "rid"]).mapInArrow(K.tidy(apply), schema)
     return clean.unionByName(hit).drop("did", "rid")
 
 
