@@ -187,20 +187,32 @@ def brute_hits(texts, items, width=10):
                 for at in range(len(w) - n + 1):
                     if w[at : at + n] == p[j : j + n]:
                         hit |= set(range(at, at + n))
-                        found.add(str(item))
+                        found |= {str(item)} - {"None"}
         out.append((i, len(w), len(hit), sorted(found)))
     return sorted(out, key=str)
 
 
 @pytest.mark.parametrize("max_bytes", [1 << 20, 300])
 def test_decontamination(spark, max_bytes):
-    items = [(1, prose(21, 40)), (2, "Two, WORDS"), (10, None), (3, ""), (4, "one"), (5, prose(1, 300)[50:200]), (5, prose(22, 12))]
-    texts = [*awkward(), (20, "a " + prose(21, 40).replace(" ", ", ").upper() + " b"), (21, prose(21, 40)[5:]), (22, prose(22, 12) + " " + prose(22, 12))]
+    items = [(1, prose(21, 40)), (2, "Two, WORDS"), (10, None), (3, ""), (4, "one"), (5, prose(1, 300)[50:200]), (5, prose(22, 12)), (6, "ONE"), (None, prose(1, 300)[50:200]), (None, prose(23, 11))]
+    texts = [*awkward(), (20, "a " + prose(21, 40).replace(" ", ", ").upper() + " b"), (21, prose(21, 40)[5:]), (22, prose(22, 12) + " " + prose(22, 12)), (23, prose(23, 11))]
     bench = spark.createDataFrame(items, "item_id long, text string")
     got = decontaminate.decontaminate(docs(spark, texts), bench, max_bytes=max_bytes).collect()
     assert sorted(((x["doc_id"], x["n_words"], x["hits"], list(x["items"])) for x in got), key=str) == brute_hits(texts, items)
 
 
+def test_patterns_compare_bytes(monkeypatch):
+    """With one hash for all windows every pattern of a length is in one bucket: only the bytes tell them apart."""
+    items = [(k, prose(30 + k, 14)) for k in range(6)]
+    monkeypatch.setattr(kernels, "windows", lambda codes, size: np.zeros(max(0, len(codes) - size + 1), np.uint64))
+    bench = decontaminate.build(items, 10)
+    data = np.frombuffer(" ".join(t for _, t in items).encode(), np.uint8)
+    code, s, e, first = kernels.words(data, np.array([0, len(data)]), kernels.PUNCTUATION)
+    at, pattern = bench.patterns[0].find(code, first, decontaminate.Spans(data, s, e), bench.words)
+    row, item = bench.patterns[0].items_of(pattern)
+    assert sorted(zip(at[row].tolist(), item.tolist(), strict=True)) == [(14 * k + j, k) for k in range(6) for j in range(5)]
+
+
 def test_fingerprints(spark):
     texts = [(i, t) for i, t in awkward()]
     got = fingerprint.with_next(docs(spark, texts)).collect()
