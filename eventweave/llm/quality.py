@@ -25,8 +25,8 @@ BUCKET_BITS = 14
 BUCKETS = 1 << BUCKET_BITS
 SHARE = 0.5
 SEED = 17
-#: Rows around the cut that are put in full order to find it.
-CUT_ROWS = 50_000
+#: Shares of a range whose rows are counted in one turn of the search for the cut.
+PIECES = 1024
 
 
 def slots(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -79,22 +79,35 @@ def gumbel(doc_id: Column, seed: int) -> Column:
     return -F.log(-F.log(u))
 
 
+def _narrowed(rows: DataFrame, value: str, k: int, falling: bool) -> tuple[DataFrame, object, int]:
+    """The value of the k-th row in order of the column ``value``, the rows that share it, and the place of the k-th among them.
+
+    Each turn counts the rows of PIECES equal shares of the range that is left and keeps the share with the k-th row, with the least
+    and largest value found there as the next range. The range shrinks by PIECES a turn at least, so a few turns end at one value.
+    """
+    lo, hi, n = rows.agg(F.min(value), F.max(value), F.count(F.lit(1))).first()
+    col = F.col(value)
+    while lo != hi:
+        width = hi - lo
+        offset = (col - F.lit(lo)).cast("double") if isinstance(lo, float) or width < 1 << 52 else col.cast("double") - F.lit(float(lo))
+        piece = F.least(F.greatest(F.floor(offset / F.lit(float(width)) * F.lit(float(PIECES))), F.lit(0)), F.lit(PIECES - 1))
+        found = rows.groupBy(piece.alias("piece")).agg(F.count(F.lit(1)).alias("n"), F.min(col).alias("lo"), F.max(col).alias("hi")).collect()
+        for r in sorted(found, key=lambda r: r["piece"], reverse=falling):
+            if k <= r["n"]:
+                break
+            k -= r["n"]
+        lo, hi = r["lo"], r["hi"]
+        rows = rows.where(col.between(F.lit(lo), F.lit(hi)))
+    return rows, lo, k
+
+
 def cut_at(keys: DataFrame, k: int) -> tuple[float, int] | None:
-    """The k-th row by falling key, then rising doc_id (null as the largest). Ranges between quantiles are narrowed until few rows are left to order."""
-    if k <= 0:
+    """The k-th row by falling key, then rising doc_id (null as the largest); None if there are fewer rows. Nothing is sorted or collected but counts."""
+    rest = keys.select("key", F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("i"))
+    if not 0 < k <= rest.count():
         return None
-    last = (1 << 63) - 1
-    rest, above = keys.select("key", F.coalesce("doc_id", F.lit(last)).alias("i")), 0
-    n = rest.count()
-    while n > CUT_ROWS:
-        q = 1 - (k - above) / n
-        lo, hi = rest.approxQuantile("key", [max(0.0, q - 0.01), min(1.0, q + 0.01)], 0.001)
-        over, inside = rest.agg(F.count_if(F.col("key") > hi), F.count_if(F.col("key").between(lo, hi))).first()
-        if not above + over < k <= above + over + inside or inside == n:
-            break
-        rest, above, n = rest.where(F.col("key").between(lo, hi)), above + over, inside
-    row = rest.orderBy(F.desc("key"), "i").offset(k - above - 1).limit(1).collect()
-    return (row[0]["key"], row[0]["i"]) if row else None
+    ties, key, k = _narrowed(rest, "key", k, falling=True)
+    return key, _narrowed(ties, "i", k, falling=False)[1]
 
 
 def resampled(docs: DataFrame, target: DataFrame, share: float = SHARE, seed: int = SEED) -> DataFrame:

@@ -443,35 +443,74 @@ def test_quality(spark):
 
 
 def test_cut_narrows(spark):
-    rows = [((i * 7919) % 5000 / 10.0, i) for i in range(5000)]
-    old, quality.CUT_ROWS = quality.CUT_ROWS, 200
-    try:
-        got = quality.cut_at(spark.createDataFrame(rows, "key double, doc_id long"), 1234)
-    finally:
-        quality.CUT_ROWS = old
-    assert got == sorted(rows, key=lambda r: (-r[0], r[1]))[1233]
-
-
-URLS = [(1, "http://a.example.org/es/1"), (2, "https://X.Example.ORG/en/12?q#f"), (3, "http://example.org/de/"), (4, "http://m.b.com/fr/x"), (5, "http://b.com/de/x"), (6, "http://c.net/x/"), (7, "https://www.c.net/x?y"), (8, None), (9, "no scheme"), (10, "://"), (11, "http://c.net/z"), (12, "http://notcom/fr/"), (13, "http://a.org"), (13, "http://a.org")]
+    """Spread keys, keys with many ties, a single key, and ids that are null, negative or far apart."""
+    last = (1 << 63) - 1
+    spread = [((i * 7919) % 5000 / 10.0, i) for i in range(5000)]
+    tied = [(float(i % 3), i * i) for i in range(900)] + [(1e300, 5), (-1e300, 6), (1.0, None), (1.0, None)]
+    single = [(2.5, i) for i in (None, -last, last - 1, last - 3, 0, 7, 7, -4)]
+    for rows, places in ((spread, (1, 1234, 5000)), (tied, (1, 2, 300, 302, 500, 603, 604, 904)), (single, range(1, 9))):
+        keys = spark.createDataFrame(rows, "key double, doc_id long").coalesce(2).cache()
+        want = sorted(((k, last if i is None else i) for k, i in rows), key=lambda r: (-r[0], r[1]))
+        assert [quality.cut_at(keys, k) for k in places] == [want[k - 1] for k in places]
+    assert quality.cut_at(keys, 0) is None and quality.cut_at(keys, 9) is None
+
+
+def test_quality_weights_brute(spark):
+    """Weights from n-gram buckets against plain counting with the same buckets, and repeated rows with the same key."""
+    rows = [(i, prose(i % 7, 5 + i, 30)) for i in range(40)] + [(3, prose(3, 8, 30)), (90, None), (91, "")]
+    good = [r for r in rows if r[0] % 4 == 0]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    out = quality.resampled(d, spark.createDataFrame(good, "doc_id long, text string")).collect()
+
+    def grams(t):
+        raw = np.frombuffer((t or "").encode(), np.uint8)
+        words = kernels.words(raw, np.array([0, len(raw)]), kernels.SPACES)[0]
+        pairs = [kernels.windows(words[k : k + 2], 2)[0] for k in range(len(words) - 1)]
+        return [int(g) >> (64 - quality.BUCKET_BITS) for g in [*words, *pairs]]
+
+    def counts(part):
+        total = [1] * quality.BUCKETS
+        for _, t in part:
+            for g in grams(t):
+                total[g] += 1
+        return total, sum(total)
+
+    (top, n_top), (base, n_base) = counts(good), counts(rows)
+    weight = lambda t: sum(math.log(top[g] / n_top) - math.log(base[g] / n_base) for g in grams(t))
+    assert sorted((x["doc_id"], round(x["log_weight"], 6)) for x in out) == sorted((i, round(weight(t), 6) + 0.0) for i, t in rows)
+    assert sum(x["selected"] for x in out) in (len(rows) // 2, len(rows) // 2 + 1)
+    assert len({x["key"] for x in out if x["doc_id"] == 3}) == len({x["log_weight"] for x in out if x["doc_id"] == 3})
+
+
+URLS = [(1, "http://a.example.org/es/1"), (2, "https://X.Example.ORG/en/12?q#f"), (3, "http://example.org/de/"), (4, "http://m.b.com/fr/x"), (5, "http://b.com/de/x"), (6, "http://c.net/x/"), (7, "https://www.c.net/x?y"), (8, None), (9, "no scheme"), (10, "://"), (11, "http://c.net/z"), (12, "http://notcom/fr/"), (13, "http://a.org"), (13, "http://a.org"), (14, "http://c.net/x?id=1"), (15, "http://c.net/x?id=2#f"), (16, "http://m.c.net/x?id=2"), (17, "http://c.net/l?" + "z" * 5000), (18, "https://c.net/l?" + "z" * 5000)]
+#: Pages whose text is junk; the others at their addresses are blocked with them.
+JUNK = {6: "<p>a ### b", 15: "so***", 8: "$$$", 9: "%%%", 17: "###", 13: "***"}
+
+
+def url_pages(spark):
+    rows = [(i, u, JUNK.get(i, None if i == 1 else "fine 50% * #"), "h", "c") for i, u in URLS]
+    return spark.createDataFrame(rows, "page_id long, url string, html string, hit string, canonical string")
 
 
 def test_url_filter(spark):
-    pages = spark.createDataFrame([(i, u, "h", "c") for i, u in URLS], "page_id long, url string, hit string, canonical string")
-    got = {x["page_id"]: (x["host"], x["path"], x["rule"], x["verdict"]) for x in urlfilter.judge(pages, urlfilter.recrawled(pages)).collect()}
+    pages = url_pages(spark)
+    got = {x["page_id"]: (x["host"], x["path"], x["rule"], x["verdict"]) for x in urlfilter.judge(pages, urlfilter.junk_addresses(pages)).collect()}
     assert got[1] == ("a.example.org", "/es/1", "example.org/es/", "block") and got[2] == ("x.example.org", "/en/12", "example.org/en/1", "block") and got[3][2:] == ("org/", "allow")
-    assert got[4][2:] == ("com/fr/", "allow") and got[5][2:] == ("com/de/", "block") and got[6] == ("c.net", "/x/", None, "block") and got[7][3] == "block" and got[11][3] == "allow"
+    assert got[4][2:] == ("com/fr/", "allow") and got[5][2:] == ("com/de/", "block") and got[6] == ("c.net", "/x/", None, "block") and got[7][3] == got[11][3] == got[14][3] == "allow"
+    assert got[15][3] == got[16][3] == got[17][3] == got[18][3] == "block"
     assert got[8] == got[9] == ("", "", None, "allow") and got[10] == ("", "", None, "allow") and got[12][2] is None and got[13] == ("a.org", "", None, "block")
-    assert urlfilter.judge(pages.limit(0), urlfilter.recrawled(pages.limit(0))).count() == 0
+    assert urlfilter.judge(pages.limit(0), urlfilter.junk_addresses(pages.limit(0))).count() == 0
+    assert {x["verdict"] for x in urlfilter.judge(pages, urlfilter.junk_addresses(pages.limit(0))).where("rule is null").collect()} == {"allow"}
 
 
 def test_url_filter_sql(spark):
     import duckdb
 
     con = duckdb.connect()
-    con.sql("create table pages (page_id bigint, url varchar)")
-    con.executemany("insert into pages values (?, ?)", URLS)
-    pages = spark.createDataFrame(URLS, "page_id long, url string")
-    got = urlfilter.judge(pages, urlfilter.recrawled(pages)).select("page_id", "host", "path", "rule", "verdict").collect()
+    pages = url_pages(spark)
+    con.sql("create table pages (page_id bigint, url varchar, html varchar)")
+    con.executemany("insert into pages values (?, ?, ?)", [tuple(x)[:3] for x in pages.collect()])
+    got = urlfilter.judge(pages, urlfilter.junk_addresses(pages)).select("page_id", "host", "path", "rule", "verdict").collect()
     assert sorted(map(tuple, got), key=str) == sorted(con.sql(ORACLE_SQL["op10_url_filter"]).fetchall(), key=str)
 
 
