@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import ahocorasick
 import numpy as np
@@ -27,9 +27,9 @@ from eventweave.llm.shared import table
 VOCABULARY = "byte_bpe_50k.json"
 #: Fixed value: the public pre-tokenizing pattern of this vocabulary (white space as Unicode defines it).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
-#: Pre-tokens whose ids a worker keeps, and pairs whose compatibility it keeps; beyond it they are cleared and filled anew. About 200
-#: bytes each, and a worker lives on through later stages.
-CACHE_ENTRIES = 60_000
+#: Pre-tokens whose ids a task keeps, and pairs whose compatibility it keeps, in a young and an old table of this size each. About 200
+#: bytes an entry; the tables end with their task.
+CACHE_ENTRIES = 200_000
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -46,17 +46,27 @@ def _byte_symbols() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-class _Known(dict):
-    """Pre-token to its ids as text, filled on demand."""
+class _Memory(dict):
+    """Values of a function, computed on demand. A full table becomes the old one, from which what is asked for again comes back, so
+    that frequent entries stay and at most two tables are held."""
 
-    def __init__(self, bpe: Bpe) -> None:
+    def __init__(self, value: Callable) -> None:
         super().__init__()
-        self.bpe = bpe
-
-    def __missing__(self, piece: str) -> str:
-        got = self[piece] = ",".join(map(str, self.bpe.merged(piece.encode())))
+        self.value = value
+        self.old: dict = {}
+
+    def __missing__(self, key):
+        got = self.old.get(key)
+        if got is None:
+            got = self.value(key)
+        self[key] = got
         return got
 
+    def turn(self) -> None:
+        if len(self) > CACHE_ENTRIES:
+            self.old = dict(self)
+            self.clear()
+
 
 class Bpe:
     """The vocabulary, its automaton and its tables. Built once in each Python worker."""
@@ -95,8 +105,8 @@ class Bpe:
         self.shorter = self._shorter()
         self.pattern = regex.compile(PATTERN)
         self.special_at = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.fits: dict[tuple[int, int], bool] = {}
-        self.known = _Known(self)
+        self.fits = _Memory(lambda pair: self._fits(*pair))
+        self.known = _Memory(lambda piece: ",".join(map(str, self.merged(piece.encode()))))
 
     def _shorter(self) -> list[int]:
         """For each token the longest other token that it starts with, or -1."""
@@ -141,10 +151,7 @@ class Bpe:
                 if end not in dead:
                     if before < 0:
                         break
-                    ok = fits.get((before, token))
-                    if ok is None:
-                        ok = fits[before, token] = self._fits(before, token)
-                    if ok:
+                    if fits[before, token]:
                         break
                 token = shorter[token]
             if token >= 0:
@@ -163,10 +170,8 @@ class Bpe:
 
     def encode(self, text: str) -> str:
         """The ids in decimal, joined by commas."""
-        if len(self.known) > CACHE_ENTRIES:
-            self.known.clear()
-        if len(self.fits) > CACHE_ENTRIES:
-            self.fits.clear()
+        self.known.turn()
+        self.fits.turn()
         if self.special_at is not None and any(s in text for s in self.special):
             out = []
             for part in self.special_at.split(text):

@@ -332,6 +332,14 @@ def test_bpe_equals_library(spark):
     assert sorted((x["doc_id"], x["text"]) for x in back.where("doc_id > 8").collect()) == sorted((i, t or "") for i, t in texts if i and i > 8)
 
 
+def test_bpe_memory_turns(monkeypatch):
+    texts = [t for _, t in awkward() if t] + [prose(i, 40, 80) for i in range(6)]
+    want = [bpe.Bpe(bpe.vocabulary_path()).encode(t) for t in texts]
+    monkeypatch.setattr(bpe, "CACHE_ENTRIES", 3)
+    small = bpe.Bpe(bpe.vocabulary_path())
+    assert [small.encode(t) for t in texts * 2] == want * 2 and small.known.old
+
+
 def labelled(spark, n=600):
     r = random.Random(11)
     rows, marks = [], []
