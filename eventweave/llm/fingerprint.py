@@ -1,12 +1,15 @@
 """Document fingerprints: threshold-scaled sketches, in DataFrame functions only.
 
-A sketch keeps every shingle hash below a fixed share of the hash space, and always the smallest hash. So two sketches unite by
-set union (and one more threshold test), and the share of one sketch found in another estimates containment however unequal the
-documents are. Shingles are runs of five words (white space between words, A-Z lower-cased); a shorter text is one shingle.
+A sketch keeps every shingle hash below a fixed share of the hash space, and at least the FLOOR smallest ones (all, where a text has
+fewer). Both rules hold for unions: the sketch of two texts together comes from their sketches alone. Two sketches are compared below
+the smaller of the limits up to which they are complete, so the share of one found in the other estimates containment without bias
+however unequal the documents are. Shingles are runs of five words (white space between words, A-Z lower-cased); a shorter text is one
+shingle.
 
 Defined results: null and empty texts, and texts without words, have an empty fingerprint; two empty fingerprints are alike to
-degree 1 (equal fingerprints always are), an empty and another one to 0. Documents are ordered by doc_id (null ids last in falling
-order), equal ids by the hash of their text; with a single document the next document is itself. Extra columns are ignored.
+degree 1 (equal fingerprints always are), an empty and another one to 0, and so are two without a hash below the common limit.
+Documents are ordered by doc_id (null ids last in falling order), equal ids by the hash of their text; with a single document the
+next document is itself. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -20,7 +23,10 @@ from eventweave.llm.shared import table
 
 SHINGLE = 5
 #: Retained share of the hash space: 1 / SCALE.
-SCALE = 4
+SCALE = 16
+#: Hashes that are retained in any case: texts of up to SCALE * FLOOR shingles are compared by about so many.
+FLOOR = 64
+LAST = (1 << 63) - 1
 LIMIT = (1 << 63) // SCALE * 2 - (1 << 63)
 #: Documents in one run of the falling order of ids (a window task).
 RUN_ROWS = 2048
@@ -46,7 +52,11 @@ def sketch(text: Column) -> Column:
 
 
 def _kept(hashes: Column) -> Column:
-    return _bound(hashes, lambda h: F.sort_array(F.array_distinct(F.concat(F.filter(h, lambda x: x < LIMIT), F.array_compact(F.array(F.array_min(h)))))))
+    def low_or_least(h: Column) -> Column:
+        low = F.array_distinct(F.filter(h, lambda x: x < LIMIT))
+        return _bound(low, lambda x: F.when(F.size(x) >= FLOOR, F.sort_array(x)).otherwise(F.slice(F.sort_array(F.array_distinct(h)), 1, FLOOR)))
+
+    return _bound(hashes, low_or_least)
 
 
 def union(a: Column, b: Column) -> Column:
@@ -54,15 +64,33 @@ def union(a: Column, b: Column) -> Column:
     return _kept(F.concat(a, b))
 
 
+def _complete_to(a: Column) -> Column:
+    """The largest value up to which the sketch holds all hashes of its text."""
+    return F.when(F.size(a) < FLOOR, F.lit(LAST)).otherwise(F.greatest(F.array_max(a), F.lit(LIMIT - 1)))
+
+
+def _compared(a: Column, b: Column, then: Callable[[Column, Column, Column], Column]) -> Column:
+    """then(hashes of a, of b, of both below the common limit); what both hold lies below it. Each part is computed once a row."""
+
+    def below(p: Column) -> Column:
+        x, y = p["a"], p["b"]
+        count = lambda s, to: F.size(F.filter(s, lambda h: h <= to)).cast("long")
+        common = F.size(F.array_intersect(x, y)).cast("long")
+        return _bound(F.least(_complete_to(x), _complete_to(y)), lambda to: F.array(count(x, to), count(y, to), common))
+
+    counts = _bound(F.struct(a.alias("a"), b.alias("b")), below)
+    return _bound(counts, lambda n: then(n[0], n[1], n[2]))
+
+
 def containment(a: Column, b: Column) -> Column:
-    """Estimated share of a's shingles that b has too."""
-    return F.when(F.size(a) == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / F.size(a))
+    """Estimated share of a's shingles that b has too (0 where a has none below the common limit)."""
+    return F.when(F.size(a) == 0, F.lit(1.0)).otherwise(_compared(a, b, lambda na, nb, both: F.when(both == 0, F.lit(0.0)).otherwise(both / na)))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Containment of the smaller sketch's side, averaged with the other: 1 for equal sketches, 0 without a common hash."""
-    common = F.size(F.array_intersect(a, b))
-    return F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).when((F.size(a) == 0) | (F.size(b) == 0), F.lit(0.0)).otherwise((common / F.size(a) + common / F.size(b)) / 2)
+    """The mean of both containments: 1 for equal sketches, 0 without a common hash."""
+    alike = _compared(a, b, lambda na, nb, both: F.when(both == 0, F.lit(0.0)).otherwise((both / na + both / nb) / 2))
+    return F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).otherwise(alike)
 
 
 def encoded(sketched: Column) -> Column:
@@ -71,28 +99,30 @@ def encoded(sketched: Column) -> Column:
 
 
 def _run_of(doc_id: Column, bounds: list[int]) -> Column:
-    """The number of bounds at or below the id (two levels, so that a row looks at few of them); null ids: -1."""
+    """The number of bounds at or below the id (two levels, so that a row looks at few of them)."""
     if not bounds:
-        return F.when(doc_id.isNull(), F.lit(-1)).otherwise(F.lit(0))
+        return F.lit(0)
     width = max(1, int(len(bounds) ** 0.5))
     every, coarse = F.array(*map(F.lit, bounds)), F.array(*map(F.lit, bounds[width - 1 :: width]))
     group = F.size(F.filter(coarse, lambda x: x <= doc_id))
     fine = F.size(F.filter(F.slice(every, group * width + 1, F.lit(width)), lambda x: x <= doc_id))
-    return F.when(doc_id.isNull(), F.lit(-1)).otherwise(group * width + fine)
+    return group * width + fine
 
 
 def with_next(docs: DataFrame) -> DataFrame:
     """doc_id, text, kept (sketch), next_text, next_kept: the next document in falling order of ids, after the last the first.
 
-    The order is cut into runs of about RUN_ROWS documents by quantiles of the id. The first document of each run also goes to the
+    The order is cut into runs of about RUN_ROWS documents by quantiles of the id, and null ids by the hash of the text. The first document of each run also goes to the
     end of the run before it, so each run is a window of its own and texts are shuffled once.
     """
     spark = docs.sparkSession
     runs = min(MAX_RUNS, max(1, docs.select("doc_id").count() // RUN_ROWS))
     cuts = [k / runs for k in range(1, runs)]
     bounds = sorted({int(x) for x in docs.select("doc_id").where("doc_id is not null").approxQuantile("doc_id", cuts, 0.1 / runs)}) if cuts else []
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).select("doc_id", "text", F.xxhash64("text").alias("h"), _run_of(F.col("doc_id"), bounds).alias("run"))
-    heads = rows.groupBy("run").agg(F.max(F.struct("doc_id", "h")).alias("m")).select("run", "m.doc_id", "m.h").collect()  # MAX_RUNS rows at most
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).select("doc_id", "text", F.xxhash64("text").alias("h"))
+    unnamed = F.least(F.lit(runs - 1), F.floor((F.lit(float(1 << 63)) - F.col("h")) / float(1 << 64) * runs)).cast("int")
+    rows = rows.withColumn("run", F.when(F.col("doc_id").isNull(), -1 - unnamed).otherwise(_run_of(F.col("doc_id"), bounds)))
+    heads = rows.groupBy("run").agg(F.max(F.struct("doc_id", "h")).alias("m")).select("run", "m.doc_id", "m.h").collect()  # 2 * MAX_RUNS rows at most
     heads.sort(key=lambda r: -r["run"])
     moves = [(heads[k]["run"], heads[k]["doc_id"], heads[k]["h"], heads[k - 1]["run"]) for k in range(len(heads))]
     marked = spark.createDataFrame(moves, "r int, i long, g long, to int")

@@ -230,6 +230,41 @@ def test_fingerprints(spark):
     assert x["c"] == 1.0 and x["same"] == 1.0 and x["u"] and x["none"] == 0.0
 
 
+def test_fingerprint_likeness_brute(spark):
+    """Exact for texts of at most FLOOR shingles; within the error of FLOOR hashes beyond, for equal and very unequal lengths."""
+    pairs = []
+    for k in range(40):
+        n = 20 + 40 * k
+        words = prose(k, n).split()
+        other = prose(900 + k, n).split()
+        pairs.append((k, " ".join(words), " ".join(words[: n // 2] + other[: n - n // 2])))
+        pairs.append((100 + k, " ".join(words), " ".join(words + prose(300 + k, 4 * n).split())))
+
+    def exact(a, b):
+        a, b = ({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (a.split(), b.split()))
+        return (len(a & b) / len(a) + len(a & b) / len(b)) / 2, max(len(a), len(b)) < fingerprint.FLOOR
+
+    df = spark.createDataFrame(pairs, "id int, a string, b string").select("id", fingerprint.sketch(F.col("a")).alias("a"), fingerprint.sketch(F.col("b")).alias("b"))
+    got = {x["id"]: x["v"] for x in df.select("id", fingerprint.likeness(F.col("a"), F.col("b")).alias("v")).collect()}
+    errors = []
+    for i, a, b in pairs:
+        want, short = exact(a, b)
+        errors.append(abs(got[i] - want))
+        assert not short or errors[-1] < 1e-9
+    assert max(errors) < 0.3 and sum(errors) / len(errors) < 0.07
+
+
+def test_fingerprint_runs_without_ids(spark, monkeypatch):
+    """Rows without an id come last, dealt by the hash of their text."""
+    monkeypatch.setattr(fingerprint, "RUN_ROWS", 20)
+    rows = [(None, f"text {i}") for i in range(150)] + [(i, f"named {i}") for i in range(50)]
+    table = docs(spark, rows)
+    hashes = {x["text"]: x["h"] for x in table.select("text", F.xxhash64("text").alias("h")).collect()}
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), -hashes[r[1]]))
+    got = {x["text"]: x["next_text"] for x in fingerprint.with_next(table).collect()}
+    assert got == {a[1]: b[1] for a, b in zip(order, order[1:] + order[:1], strict=True)}
+
+
 def test_fingerprint_runs_of_ids(spark):
     rows = [(i * 3, f"text {i}") for i in range(500)]
     old = fingerprint.RUN_ROWS
