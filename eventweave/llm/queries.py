@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventweave.llm import bpe, chains, decontaminate, fingerprint, langid, minhash, quality, suffix, toxicity, urlfilter
+from eventweave.llm import alignment, bpe, chains, decontaminate, fingerprint, langid, minhash, phrases, quality, simhash, suffix, toxicity, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_duplicates": minhash.op1_near_duplicates,
@@ -19,6 +19,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": langid.op8_language,
     "op9_quality": quality.op9_quality,
     "op10_url_filter": urlfilter.op10_url_filter,
+    "op11_token_alignment": alignment.op11_token_alignment,
+    "op12_phrases": phrases.op12_phrases,
+    "op13_simhash": simhash.op13_simhash,
 }
 
-ORACLE_SQL: dict[str, str] = {"op10_url_filter": urlfilter.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {"op10_url_filter": urlfilter.ORACLE_SQL, "op12_phrases": phrases.ORACLE_SQL}
