@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -36,18 +37,21 @@ LEAST = 100
 TOP = 2000
 #: Bytes of text of one language that are numbered together.
 BATCH_BYTES = 8 << 20
-#: Following words of a stripe are dealt by number into so many parts.
-PARTS = 16
+#: Occurrences of a word up to which its stripe stays in one part; the stripe of a more frequent one is dealt by the following word.
+PART_WORDS = 1 << 17
 #: Bits of the filter of frequent phrases: at least 16 for each, and this many at most (32 MB).
 FILTER_BITS = 1 << 28
 #: Entries that a task gathers before it merges and gives out its stripes.
-GATHERED = 1 << 22
+GATHERED = 1 << 21
 #: Words that are hashed and compared in one step.
 STEP = 1 << 16
 #: Where a phrase ends: any ASCII character between pieces. Words are separated by blanks and tabs besides.
 PIECES = K.separators([(0x2E, 0x2E), (0x2C, 0x2C), (0x3A, 0x3B), (0x21, 0x21), (0x3F, 0x3F), (0x0A, 0x0D)])
 WORDS = PIECES | K.separators([(0x20, 0x20), (0x09, 0x09)])
-GAP = -1
+#: Between pieces and in place of rarer words. Numbers of words are above it.
+GAP = 0
+#: Low bits of a word's number: the power of two of the parts of its stripes.
+PART_BITS = 4
 U64 = np.uint64
 
 
@@ -75,7 +79,7 @@ def distinct(low: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.nd
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """Two kinds of rows: batch, lang, seq (32-bit numbers of the batch's own words, GAP between pieces); and batch, lang, own, word, n."""
+    """Two kinds of rows: batch, lang, seq (32-bit numbers of the batch's own words, 0 between pieces); and batch, lang, own, word, n."""
     names = ["batch", "lang", "seq", "own", "word", "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,12 +100,12 @@ def numbered(docs: DataFrame) -> DataFrame:
             number, words = distinct(low, start, end)
             ends = np.cumsum(PIECES[low])
             fresh = np.concatenate(([0], (ends[start[1:]] != ends[start[:-1]]).astype(np.int64)))
-            seq = np.full(len(start) + int(fresh.sum()), GAP, np.int32)
-            seq[np.arange(len(start)) + np.cumsum(fresh)] = number
+            seq = np.zeros(len(start) + int(fresh.sum()), np.int32)
+            seq[np.arange(len(start)) + np.cumsum(fresh)] = number + 1
             n = np.bincount(number, minlength=len(words))
             k = len(words)
             yield pa.RecordBatch.from_arrays([pa.array([batch]), pa.array([lang]), pa.array([seq.tobytes()], pa.binary()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.int64())], names=names)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(k, batch)), pa.array([lang] * k), pa.nulls(k, pa.binary()), pa.array(np.arange(k, dtype=np.int32)), pa.array(words, pa.binary()), pa.array(n)], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(k, batch)), pa.array([lang] * k), pa.nulls(k, pa.binary()), pa.array(np.arange(1, k + 1, dtype=np.int32)), pa.array(words, pa.binary()), pa.array(n)], names=names)
             batch += 1
 
         for b in batches:
@@ -118,19 +122,63 @@ def numbered(docs: DataFrame) -> DataFrame:
     return read.mapInArrow(K.tidy(run), "batch long, lang string, seq binary, own int, word binary, n long")
 
 
-def renumbered(both: DataFrame, frequent: DataFrame) -> DataFrame:
-    """lang, seq: each batch's sequence with the numbers of ``frequent`` (lang, word, id), GAP for other words (64-bit numbers)."""
-    words = both.where("word is not null").select("batch", "lang", "own", "word").join(frequent, ["lang", "word"])
-    known = words.groupBy("batch").agg(F.collect_list(F.struct("own", "id")).alias("known"))
-    rows = both.where("seq is not null").select("batch", "lang", "seq").join(known, "batch")
+def frequent(both: DataFrame, least: int) -> DataFrame:
+    """Two kinds of rows: task, at, bits, lang, word, f (the words with ``least`` occurrences, at from 0 in each task); and batch, own,
+    task, at, bits (the batches that have them). bits: the power of two of the parts of the word's stripes. Words come together by one shuffle, in which each batch has a row a word at most."""
+    names = ["task", "at", "bits", "lang", "word", "f", "batch", "own"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, at = TaskContext.get().partitionId(), 0
+        held: pa.Table | None = None
+
+        def given(t: pa.Table, last: bool) -> Iterator[pa.RecordBatch]:
+            """The words of t; the last one waits for more rows, if there may be."""
+            nonlocal held, at
+            lang, word = t.column("lang").combine_chunks(), t.column("word").combine_chunks()
+            same = pc.and_(pc.equal(lang[1:], lang[:-1]), pc.equal(word[1:], word[:-1])).to_numpy(zero_copy_only=False)
+            first = np.flatnonzero(np.concatenate(([True], ~same)))
+            if not last:
+                held = t.slice(int(first[-1]))
+                t, first = t.slice(0, int(first[-1])), first[:-1]
+                if not len(first):
+                    return
+            f = np.add.reduceat(t.column("n").to_numpy(), first)
+            keep = f >= least
+            place = at + np.cumsum(keep) - 1
+            at += int(keep.sum())
+            k = int(keep.sum())
+            bits = np.clip(np.ceil(np.log2(f / PART_WORDS)), 0, (1 << PART_BITS) - 1).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(k, task, np.int32)), pa.array(place[keep]), pa.array(bits[keep]), lang.take(pa.array(first[keep])), word.take(pa.array(first[keep])), pa.array(f[keep]), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32())], names=names)
+            group = np.repeat(np.arange(len(first)), np.diff(np.append(first, t.num_rows)))
+            rows = keep[group]
+            k = int(rows.sum())
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(k, task, np.int32)), pa.array(place[group[rows]]), pa.array(bits[group[rows]]), pa.nulls(k, pa.string()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.int64()), pa.array(t.column("batch").to_numpy()[rows]), pa.array(t.column("own").to_numpy()[rows])], names=names)
+
+        for b in batches:
+            if b.num_rows:
+                t = pa.Table.from_batches([b])
+                yield from given(pa.concat_tables([held, t]) if held is not None else t, last=False)
+        if held is not None:
+            yield from given(held, last=True)
+
+    words = both.where("word is not null").select("batch", "lang", "own", "word", "n")
+    return words.repartition("lang", "word").sortWithinPartitions("lang", "word").mapInArrow(K.tidy(run), "task int, at long, bits int, lang string, word binary, f long, batch long, own int")
+
+
+def renumbered(both: DataFrame, known: DataFrame, starts: dict[int, int]) -> DataFrame:
+    """lang, seq: each batch's sequence in numbers that hold everywhere (32 bits: place << PART_BITS | parts), GAP for rarer words."""
+    lists = known.where("batch is not null").groupBy("batch").agg(F.collect_list(F.struct("own", "task", "at", "bits")).alias("known"))
+    rows = both.where("seq is not null").select("batch", "lang", "seq").join(lists, "batch")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base = np.zeros(max(starts, default=0) + 1, np.int64)
+        base[list(starts)] = list(starts.values())
         for b in batches:
             for lang, seq, known in zip(b.column("lang"), b.column("seq"), b.column("known"), strict=True):
                 seq = np.frombuffer(seq.as_buffer(), np.int32)
-                own, ids = (known.values.field(c).to_numpy() for c in ("own", "id"))
-                to = np.full(int(max(seq.max(initial=-1), own.max())) + 2, GAP, np.int64)  # the last place is that of GAP
-                to[own] = ids
+                own, task, at, bits = (known.values.field(c).to_numpy() for c in ("own", "task", "at", "bits"))
+                to = np.zeros(int(max(seq.max(initial=0), own.max())) + 1, np.uint32)
+                to[own] = (base[task] + at + 1 << PART_BITS) | bits
                 out = to[seq]
                 keep = (out != GAP) | np.concatenate(([False], out[:-1] != GAP))  # one gap in a row says as much as many
                 yield pa.RecordBatch.from_arrays([pa.array([lang.as_py()]), pa.array([out[keep].tobytes()], pa.binary())], names=["lang", "seq"])
@@ -138,6 +186,18 @@ def renumbered(both: DataFrame, frequent: DataFrame) -> DataFrame:
     return rows.select("lang", "seq", "known").mapInArrow(K.tidy(run), "lang string, seq binary")
 
 
+def spelled_out(known: DataFrame, starts: dict[int, int]) -> DataFrame:
+    """id, word: the number of each frequent word."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            task, at, bits = (b.column(c).to_pylist() for c in ("task", "at", "bits"))
+            ids = [(starts[t] + a + 1 << PART_BITS) | p for t, a, p in zip(task, at, bits, strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), b.column("word")], names=["id", "word"])
+
+    return known.where("word is not null").select("task", "at", "bits", "word").mapInArrow(run, "id long, word binary")
+
+
 def mixed(columns: list[np.ndarray]) -> np.ndarray:
     """A 64-bit hash of each row of numbers."""
     h = np.full(len(columns[0]), len(columns), U64)
@@ -178,7 +238,7 @@ def passes(filter_: np.ndarray, columns: list[np.ndarray]) -> np.ndarray:
 
 def summed(columns: list[np.ndarray], n: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
     """Distinct rows of numbers, in order of the columns, with their n added up."""
-    order = np.lexsort(columns[::-1])
+    order = np.argsort((columns[0].astype(U64) << U64(32)) | columns[1].astype(U64)) if len(columns) == 2 else np.lexsort(columns[::-1])
     columns, n = [c[order] for c in columns], n[order]
     new = np.zeros(len(n), bool)
     new[:1] = True
@@ -189,21 +249,31 @@ def summed(columns: list[np.ndarray], n: np.ndarray) -> tuple[list[np.ndarray],
 
 
 def as_stripes(lang: str, columns: list[np.ndarray], n: np.ndarray) -> pa.RecordBatch:
-    """One row for each prefix (all columns but the last) and part: the words that follow, and how often each does."""
-    part = np.where(columns[-1] == GAP, 0, columns[-1] % PARTS)
-    order = np.lexsort([columns[-1], part, *columns[-2::-1]])
-    columns, n, part = [c[order] for c in columns], n[order], part[order]
+    """One row for each prefix (all columns but the last) and part: the words that follow (differences of their sorted numbers), and how
+    often each does. The least frequent word of a prefix says in how many parts its words are dealt, everywhere alike."""
+    bits = columns[0] & ((1 << PART_BITS) - 1)
+    for c in columns[1:-1]:
+        bits = np.minimum(bits, c & ((1 << PART_BITS) - 1))
+    part = (columns[-1] >> PART_BITS) & ((1 << bits) - 1)
+    if part.any():
+        order = np.lexsort([columns[-1], part, *columns[-2::-1]])
+        columns, n, part = [c[order] for c in columns], n[order], part[order]
     new = np.ones(len(n), bool)
     new[1:] = part[1:] != part[:-1]
     for c in columns[:-1]:
         new[1:] |= c[1:] != c[:-1]
     first = np.flatnonzero(new)
-    offsets = pa.array(np.append(first, len(n)).astype(np.int32))
-    size = len(columns) - 1
-    prefix = pa.ListArray.from_arrays(pa.array(np.arange(0, len(first) * size + 1, size, dtype=np.int32)), pa.array(np.stack(columns[:-1], 1)[first].ravel()))
-    return pa.RecordBatch.from_arrays([pa.array([lang] * len(first)), prefix, pa.array(part[first].astype(np.int32)), pa.ListArray.from_arrays(offsets, pa.array(columns[-1])), pa.ListArray.from_arrays(offsets, pa.array(n.astype(np.int64)))], names=["lang", "prefix", "part", "next", "times"])
+    step = columns[-1].copy()
+    step[1:] -= np.where(new[1:], 0, columns[-1][:-1]).astype(np.uint32)
+    prefix = np.stack(columns[:-1], 1)[first].astype(np.uint32).tobytes()
+    size = 4 * (len(columns) - 1)
+    cut = np.append(first, len(n)) * 4
+    binary = lambda offsets, data: pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(data)])
+    return pa.RecordBatch.from_arrays([pa.array([lang] * len(first)), binary(np.arange(len(first) + 1) * size, prefix), pa.array(part[first].astype(np.int32)), binary(cut, step.tobytes()), binary(cut, n.astype(np.uint32).tobytes())], names=["lang", "prefix", "part", "next", "times"])
 
 
+#: Stripes of tasks, and merged ones.
+PARTIAL = "lang string, prefix binary, part int, next binary, times binary"
 STRIPES = "lang string, prefix array<long>, part int, next array<long>, times array<long>"
 
 
@@ -212,7 +282,7 @@ def stripes(sequences: DataFrame, size: int, filter_: np.ndarray | None) -> Data
     sent = None if filter_ is None else sequences.sparkSession.sparkContext.broadcast(filter_)
 
     def counts(seq: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-        seq = np.append(seq, GAP)
+        seq = np.append(seq, np.uint32(GAP))
         n = len(seq) - size
         columns = [seq[k : k + n] for k in range(size + 1)]
         there = columns[0] != GAP
@@ -225,7 +295,7 @@ def stripes(sequences: DataFrame, size: int, filter_: np.ndarray | None) -> Data
             columns = [c[ok] for c in columns]
             # a word follows if the last words with it were frequent too; else the end of the stripe's counter takes the occurrence
             tail = passes(sent.value, columns[1:]) if len(columns[0]) else np.zeros(0, bool)
-            columns[-1] = np.where(tail & (columns[-1] != GAP), columns[-1], GAP)
+            columns[-1] = np.where(tail, columns[-1], np.uint32(GAP))
         return summed(columns, np.ones(len(columns[0]), np.int64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,7 +311,7 @@ def stripes(sequences: DataFrame, size: int, filter_: np.ndarray | None) -> Data
 
         for b in batches:
             for lang, seq in zip(b.column("lang").to_pylist(), b.column("seq"), strict=True):
-                columns, n = counts(np.frombuffer(seq.as_buffer(), np.int64))
+                columns, n = counts(np.frombuffer(seq.as_buffer(), np.uint32))
                 if len(n):
                     held.setdefault(lang, []).append((columns, n))
                     room[lang] = room.get(lang, 0) + len(n)
@@ -250,7 +320,14 @@ def stripes(sequences: DataFrame, size: int, filter_: np.ndarray | None) -> Data
         for lang in list(held):
             yield from flush(lang)
 
-    return sequences.mapInArrow(K.tidy(run), STRIPES)
+    return sequences.mapInArrow(K.tidy(run), PARTIAL)
+
+
+def numbers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All 32-bit numbers of a binary column, and how many each row has."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]] if column.buffers()[2] is not None else np.zeros(0, np.uint8)
+    return np.frombuffer(data.tobytes(), np.uint32), np.diff(offsets) // 4
 
 
 def merged(parts: DataFrame, size: int, least: int) -> DataFrame:
@@ -263,16 +340,18 @@ def merged(parts: DataFrame, size: int, least: int) -> DataFrame:
             if not b.num_rows:
                 continue
             lang = b.column("lang").to_pylist()
-            prefix = b.column("prefix").flatten().to_numpy().reshape(-1, size)
+            prefix = numbers(b.column("prefix"))[0].reshape(-1, size)
             part = b.column("part").to_numpy()
-            many = np.diff(b.column("next").offsets.to_numpy())
-            columns = [np.repeat(np.arange(b.num_rows), many), b.column("next").flatten().to_numpy()]
-            times = b.column("times").flatten().to_numpy()
+            step, many = numbers(b.column("next"))
+            total = np.concatenate(([0], np.cumsum(step, dtype=np.int64)))
+            columns = [np.repeat(np.arange(b.num_rows), many), total[1:] - np.repeat(total[np.cumsum(many) - many], many)]
+            times = numbers(b.column("times"))[0].astype(np.int64)
             new = np.ones(b.num_rows, bool)
             new[1:] = (part[1:] != part[:-1]) | (prefix[1:] != prefix[:-1]).any(1) | np.fromiter((x != y for x, y in zip(lang[1:], lang[:-1], strict=True)), bool, b.num_rows - 1)
             group = np.cumsum(new) - 1
             columns[0] = group[columns[0]]
             (own, word), n = summed(columns, times)
+            own = own.astype(np.int64)
             cut = np.searchsorted(own, np.arange(group[-1] + 2))
             firsts = np.flatnonzero(new)
             keys = [(lang[f], tuple(prefix[f].tolist()), int(part[f])) for f in firsts.tolist()]
@@ -311,9 +390,16 @@ def collocations(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, to
     both = stored(numbered(docs), "numbered")
     words = both.where("word is not null")
     total = stored(words.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
-    frequent = words.groupBy("lang", "word").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-    vocabulary = stored(frequent.withColumn("id", F.monotonically_increasing_id()), "vocabulary")
-    sequences = stored(renumbered(both, vocabulary.select("lang", "word", "id")), "sequences")
+    known = stored(frequent(both, least), "frequent")
+    sizes = known.where("word is not null").groupBy("task").agg(F.count(F.lit(1)).alias("k")).collect()  # one row a task
+    starts, at = {}, 0
+    for r in sorted(sizes, key=lambda r: r["task"]):
+        starts[r["task"]] = at
+        at += r["k"]
+    if at >= (1 << 32 - PART_BITS) - 1:
+        raise ValueError("numbers of words must fit 32 bits")
+    vocabulary = stored(spelled_out(known, starts), "vocabulary")
+    sequences = stored(renumbered(both, known, starts), "sequences")
     found, filter_, made = [], None, []
     for size in range(1, longest):
         merged_ = stored(merged(stripes(sequences, size, filter_), size, least), "stripes")

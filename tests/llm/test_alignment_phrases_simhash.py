@@ -128,8 +128,8 @@ def test_phrases_sql(spark, monkeypatch):
     rows = phrase_rows()
     want = as_sql(rows)
     assert len(want) > 30 and {w[0] for w in want} == {"en", "de", "und"}
-    for batch, gathered, bits in ((8 << 20, 1 << 22, 1 << 28), (4000, 50, 1 << 10)):
-        for name, value in (("BATCH_BYTES", batch), ("GATHERED", gathered), ("FILTER_BITS", bits)):
+    for batch, gathered, bits, part in ((8 << 20, 1 << 21, 1 << 28, 1 << 17), (4000, 50, 1 << 10, 150)):
+        for name, value in (("BATCH_BYTES", batch), ("GATHERED", gathered), ("FILTER_BITS", bits), ("PART_WORDS", part)):
             monkeypatch.setattr(phrases, name, value)
         assert sorted(tuple(r) for r in phrases.collocations(docs(spark, rows)).collect()) == want
 
