@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventweave.functions.vectors import cosine_distance, norm
+from eventweave.operators import ranges
 from eventweave.operators.order import DAY
 
 #: Under this a standard deviation counts as 0.
@@ -32,18 +33,20 @@ def pair_deltas(pairs: DataFrame) -> DataFrame:
 
 def rolling_distance_stats(pairs: DataFrame, order: list[str], n: int = 3, value: str = "distance") -> DataFrame:
     """Mean and population deviation over the last n pairs, and the value's z-score there (0 where all are equal)."""
-    w = Window.partitionBy(DAY).orderBy(*order).rowsBetween(-(n - 1), 0)
-    out = pairs.withColumn("rolling_mean", F.avg(value).over(w)).withColumn("rolling_std", F.stddev_pop(value).over(w))
+    near, back = ranges.neighbourhood(pairs, order, n - 1, 0)
+    w = ranges.in_range(order).rowsBetween(-(n - 1), 0)
+    out = back(near.withColumn("rolling_mean", F.avg(value).over(w)).withColumn("rolling_std", F.stddev_pop(value).over(w)))
     return out.withColumn("zscore", F.when(F.col("rolling_std") < FLAT, F.lit(0.0)).otherwise((F.col(value) - F.col("rolling_mean")) / F.col("rolling_std")))
 
 
 def smooth_z(pairs: DataFrame, order: list[str], z: str = "zscore") -> DataFrame:
     """Weights 1/4, 1/2, 1/4 over neighbours; at the ends over what is there."""
-    w = Window.partitionBy(DAY).orderBy(*order)
+    near, back = ranges.neighbourhood(pairs, order, 1, 1)
+    w = ranges.in_range(order)
     before, after = F.lag(z).over(w), F.lead(z).over(w)
     side = lambda c: F.when(c.isNull(), 0.0).otherwise(0.25)
     value = (F.col(z) * 0.5 + F.coalesce(before * 0.25, F.lit(0.0)) + F.coalesce(after * 0.25, F.lit(0.0))) / (F.lit(0.5) + side(before) + side(after))
-    return pairs.withColumn("smoothed_zscore", value)
+    return back(near.withColumn("smoothed_zscore", value))
 
 
 def boundary_score(pairs: DataFrame, z_threshold: float = 1.5, soft_gap: float = 20, hard_gap: float = 90, z: str = "smoothed_zscore", d: str = "distance") -> DataFrame:
@@ -62,13 +65,23 @@ def boundary_score(pairs: DataFrame, z_threshold: float = 1.5, soft_gap: float =
 def segments_from_cuts(photos: DataFrame, cut: Column, score: Column, order: list[str]) -> DataFrame:
     """Contiguous segments of each day from a flag on the first photo after a cut: segment_index, first and last photo and time, count, and
     the score of the cut on its right (null at the day's end)."""
-    w = Window.partitionBy(DAY).orderBy(*order)
-    rows = photos.withColumn("segment_index", F.sum(cut.cast("long")).over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("_left", F.when(cut, score))
-    at = F.struct(*order)
-    segments = rows.groupBy(DAY, "segment_index").agg(
-        F.min_by("photo_id", at).alias("start_photo_id"), F.max_by("photo_id", at).alias("end_photo_id"), F.min("start_epoch_ms").alias("start_ms"), F.max("start_epoch_ms").alias("end_ms"), F.count(F.lit(1)).alias("photo_count"), F.max("_left").alias("left_score")
+    marked = photos.select(DAY, "photo_id", *(c for c in order if c != "photo_id"), *(c for c in photos.columns if c == ranges.RANGE), cut.cast("long").alias("_cut"), F.when(cut, score).alias("_left"))
+    # segments inside a range first; of these few rows, those that do not begin with a cut go on with the segment of the range before
+    local = F.sum("_cut").over(ranges.in_range(order).rowsBetween(Window.unboundedPreceding, 0))
+    at = F.struct(*(c for c in order if c != "photo_id"), "photo_id")
+    rows = ranges.with_ranges(marked, order).withColumn("_local", local)
+    ends = [F.min(at).alias("_first"), F.max(at).alias("_last"), F.min("start_epoch_ms").alias("start_ms"), F.max("start_epoch_ms").alias("end_ms")]
+    parts = rows.groupBy(*ranges.KEYS, "_local").agg(*ends, F.count(F.lit(1)).alias("photo_count"), F.max("_left").alias("left_score"))
+    begun = F.sum((F.col("_local") > 0).cast("long")).over(ranges.over([DAY], [ranges.RANGE, "_local"]).rowsBetween(Window.unboundedPreceding, 0))
+    whole = parts.withColumn("segment_index", begun).groupBy(DAY, "segment_index").agg(
+        F.min("_first").getField("photo_id").alias("start_photo_id"),
+        F.max("_last").getField("photo_id").alias("end_photo_id"),
+        F.min("start_ms").alias("start_ms"),
+        F.max("end_ms").alias("end_ms"),
+        F.sum("photo_count").alias("photo_count"),
+        F.max("left_score").alias("left_score"),
     )
-    return segments.withColumn("right_score", F.lead("left_score").over(Window.partitionBy(DAY).orderBy("segment_index")))
+    return whole.withColumn("right_score", F.lead("left_score").over(Window.partitionBy(DAY).orderBy("segment_index")))
 
 
 def enforce_min_segments(segments: DataFrame, min_photos: int = 8, min_seconds: float = 5) -> DataFrame:

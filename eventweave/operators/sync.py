@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DAY = "day_id"
@@ -20,19 +22,103 @@ def _bucketed(df: DataFrame, start: str, end: str, bucket_ms: int) -> DataFrame:
     return df.withColumn("b", F.explode(F.sequence(F.floor(F.col(start) / bucket_ms), F.floor(F.col(end) / bucket_ms))))
 
 
-def overlap_pairs(clips: DataFrame, reference: DataFrame, min_overlap_s: float = 1, max_pairs: int = 6, bucket_ms: int = 3_600_000) -> DataFrame:
+#: Pairs of clips that are looked at in one vectorised step.
+STEP = 1 << 20
+
+
+def _pair_steps(ref: dict[str, np.ndarray], other: dict[str, np.ndarray], least_ms: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """reference place, other place, midpoint, overlap of all pairs that overlap by least_ms, in steps of bounded size.
+
+    Both sides are sorted by start. The others that can meet a reference clip begin before its end, and after its start less the longest
+    other clip, so they are a run of places found by bisection."""
+    longest = int((other["end"] - other["start"]).max(initial=0))
+    lo = np.searchsorted(other["start"], ref["start"] - longest, "left")
+    hi = np.maximum(np.searchsorted(other["start"], ref["end"], "right"), lo)
+    many = hi - lo
+    total = np.concatenate(([0], np.cumsum(many)))
+    at = 0
+    while at < len(many):
+        stop = max(at + 1, int(np.searchsorted(total, total[at] + STEP, "right")) - 1)
+        i = np.repeat(np.arange(at, stop), many[at:stop])
+        j = lo[i] + np.arange(len(i)) - (total[i] - total[at])
+        start, end = np.maximum(ref["start"][i], other["start"][j]), np.minimum(ref["end"][i], other["end"][j])
+        ok = end - start >= least_ms
+        yield i[ok], j[ok], start[ok] + (end[ok] - start[ok]) // 2, end[ok] - start[ok]
+        at = stop
+
+
+def _chosen(ref: dict[str, np.ndarray], other: dict[str, np.ndarray], least_ms: int, shares: int) -> list[tuple[int, int, int, int]]:
+    """The longest pair of each of ``shares`` equal shares of the pairs in order of their midpoints (or all pairs, if there are no more).
+
+    Ranks come from counts of midpoint buckets and prefix sums: only the pairs in the buckets where a share begins are put in order."""
+    bins = 1 << 14
+    low, high = int(min(ref["start"].min(), other["start"].min())), int(max(ref["end"].max(), other["end"].max())) + 1
+    counts = np.zeros(bins, np.int64)
+    for _, _, mid, _ in _pair_steps(ref, other, least_ms):
+        counts += np.bincount((mid - low) * bins // (high - low), minlength=bins)
+    before = np.concatenate(([0], np.cumsum(counts)))
+    n = int(before[-1])
+    if not n:
+        return []
+    # the first rank of each share but the first; fewer pairs than shares are a share each
+    firsts = np.arange(1, n) if n <= shares else -(-np.arange(1, shares) * n // shares)
+    where = np.searchsorted(before, firsts, "right") - 1
+    wanted = np.zeros(bins, bool)
+    wanted[where] = True
+    edge = [x for step in _pair_steps(ref, other, least_ms) for x in [np.stack(step[:3])[:, wanted[(step[2] - low) * bins // (high - low)]]] if x.shape[1]]
+    limits: list[tuple[int, int, int]] = []
+    if edge:
+        i, j, mid = np.concatenate(edge, 1)
+        order = np.lexsort((other["rank"][j], ref["rank"][i], mid))
+        i, j, mid = i[order], j[order], mid[order]
+        bucket = (mid - low) * bins // (high - low)
+        for rank, b in zip(firsts.tolist(), where.tolist(), strict=True):
+            k = int(np.searchsorted(bucket, b)) + rank - int(before[b])
+            limits.append((int(mid[k]), int(ref["rank"][i[k]]), int(other["rank"][j[k]])))
+    best: dict[int, tuple] = {}
+    for i, j, mid, length in _pair_steps(ref, other, least_ms):
+        a, b = ref["rank"][i], other["rank"][j]
+        share = np.zeros(len(i), np.int64)
+        for m, x, y in limits:
+            share += (mid > m) | ((mid == m) & ((a > x) | ((a == x) & (b >= y))))
+        order = np.lexsort((b, a, -length, share))
+        first = order[np.concatenate(([True], share[order][1:] != share[order][:-1]))] if len(order) else order
+        for k in first.tolist():
+            found = (-int(length[k]), int(a[k]), int(b[k]), int(i[k]), int(j[k]), int(mid[k]))
+            best[int(share[k])] = min(best.get(int(share[k]), found), found)
+    return [(f[3], f[4], f[5], -f[0]) for _, f in sorted(best.items())]
+
+
+def overlap_pairs(clips: DataFrame, reference: DataFrame, min_overlap_s: float = 1, max_pairs: int = 6) -> DataFrame:
     """Overlapping clips of the reference and each other stream of a day. With more than max_pairs, the pairs in time order are dealt to
-    max_pairs equal shares and the longest overlap of each stays. A pair is found in the bucket of its overlap's start only."""
-    side = clips.join(reference, DAY)
-    ref = _bucketed(side.where("stream_id = reference_stream_id").select(DAY, F.col("clip_id").alias("ref_clip"), F.col("start_ms").alias("rs"), F.col("end_ms").alias("re")), "rs", "re", bucket_ms)
-    other = _bucketed(side.where("stream_id <> reference_stream_id").select(DAY, "stream_id", "clip_id", "start_ms", "end_ms"), "start_ms", "end_ms", bucket_ms)
-    lo, hi = F.greatest("rs", "start_ms"), F.least("re", "end_ms")
-    pairs = ref.join(other, [DAY, "b"]).where(F.col("b") == F.floor(lo / bucket_ms)).withColumn("overlap_s", (hi - lo) / 1000.0).withColumn("midpoint_ms", lo + F.floor((hi - lo) / 2)).where(F.col("overlap_s") >= min_overlap_s)
-    w = Window.partitionBy(DAY, "stream_id").orderBy("midpoint_ms", "ref_clip", "clip_id")
-    n = F.count(F.lit(1)).over(Window.partitionBy(DAY, "stream_id"))
-    dealt = pairs.withColumn("share", F.when(n <= max_pairs, F.row_number().over(w) - 1).otherwise(F.floor((F.row_number().over(w) - 1) * max_pairs / n)).cast("long"))
-    best = F.row_number().over(Window.partitionBy(DAY, "stream_id", "share").orderBy(F.desc("overlap_s"), "ref_clip", "clip_id"))
-    return dealt.withColumn("r", best).where("r = 1").select(DAY, "stream_id", "ref_clip", "clip_id", "overlap_s", "midpoint_ms")
+    max_pairs equal shares and the longest overlap of each stays.
+
+    A task holds the clips of two streams of one day (a camera takes one clip at a time, so these are bounded by the day), and looks at
+    their pairs in steps; no row is made for a pair that is not chosen."""
+    least_ms = int(np.ceil(min_overlap_s * 1000))
+    side = clips.join(reference, DAY).select(DAY, "stream_id", "clip_id", "start_ms", "end_ms", "reference_stream_id")
+    others = side.where("stream_id <> reference_stream_id").drop("reference_stream_id")
+    streams = others.select(DAY, "stream_id").distinct()
+    ref = side.where("stream_id = reference_stream_id").select(DAY, F.col("clip_id").alias("ref_clip"), F.col("start_ms").alias("rs"), F.col("end_ms").alias("re"))
+    given = ref.join(streams, DAY).select(F.col(DAY).alias("_day"), F.col("stream_id").alias("_stream"), "ref_clip", "rs", "re")
+
+    def arrays(pdf: pd.DataFrame, clip: str, start: str, end: str) -> tuple[dict[str, np.ndarray], np.ndarray]:
+        pdf = pdf.dropna(subset=[start, end]).sort_values([start, clip])
+        ids = pdf[clip].to_numpy()
+        rank = np.empty(len(ids), np.int64)
+        rank[np.argsort(ids, kind="stable")] = np.arange(len(ids))
+        return {"start": pdf[start].to_numpy(np.int64), "end": pdf[end].to_numpy(np.int64), "rank": rank}, ids
+
+    def pick(key: tuple, own: pd.DataFrame, there: pd.DataFrame) -> pd.DataFrame:
+        a, a_ids = arrays(there, "ref_clip", "rs", "re")
+        b, b_ids = arrays(own, "clip_id", "start_ms", "end_ms")
+        rows = _chosen(a, b, least_ms, max_pairs) if len(a_ids) and len(b_ids) else []
+        out = [(*key, a_ids[i], b_ids[j], length / 1000.0, mid) for i, j, mid, length in rows]
+        return pd.DataFrame(out, columns=[DAY, "stream_id", "ref_clip", "clip_id", "overlap_s", "midpoint_ms"])
+
+    kind = {f.name: f.dataType.simpleString() for f in clips.schema.fields}
+    schema = f"{DAY} {kind[DAY]}, stream_id {kind['stream_id']}, ref_clip {kind['clip_id']}, clip_id {kind['clip_id']}, overlap_s double, midpoint_ms long"
+    return others.groupBy(DAY, "stream_id").cogroup(given.groupBy("_day", "_stream")).applyInPandas(pick, schema)
 
 
 def clips_for_sets(sets: DataFrame, clips: DataFrame, bucket_ms: int = 3_600_000) -> DataFrame:
@@ -99,3 +185,60 @@ def robust_offset(estimates: DataFrame, min_score: float, max_deviation_s: float
     out = every.join(mid, keys, "left").join(mad, keys, "left")
     notes = F.when(F.col("correction_seconds").isNull(), "no usable pair").when(F.col("successful_pairs") < F.col("pair_count"), "pairs rejected").otherwise("")
     return out.withColumn("notes", notes).withColumn("correction_seconds", F.coalesce("correction_seconds", F.lit(0.0))).withColumn("successful_pairs", F.coalesce("successful_pairs", F.lit(0).cast("long")))
+
+
+def sync_windows(pairs: DataFrame, margin_s: float = 20, min_overlap_s: float = 60, max_window_s: float = 180) -> DataFrame:
+    """Where the envelopes of a pair are to be compared: ref_window_s and window_start_s (seconds into the reference and the other clip),
+    window_s (their common length), and message where that is too short.
+
+    pairs: ref_start_ms, ref_duration_s, start_ms, duration_s and overlap_s. A window begins a margin before the overlap, or at the start
+    of the clip, and is as long as the overlap and two margins, the rest of either clip and the longest window allow."""
+    from_start = lambda start: F.greatest(F.lit(0.0), (F.greatest("ref_start_ms", "start_ms") - F.col(start)) / 1000.0 - margin_s)
+    out = pairs.withColumns({"ref_window_s": from_start("ref_start_ms"), "window_start_s": from_start("start_ms")})
+    rest = lambda duration, start: F.greatest(F.lit(0.0), F.col(duration) - F.col(start))
+    length = F.least(F.col("overlap_s") + 2 * margin_s, rest("ref_duration_s", "ref_window_s"), rest("duration_s", "window_start_s"), F.lit(float(max_window_s)))
+    out = out.withColumn("window_s", length)
+    return out.withColumn("message", F.when(F.col("window_s") < min_overlap_s, "window too short"))
+
+
+def pair_offsets(windows: DataFrame, envelopes: DataFrame, rate: float, margin_s: float = 20, min_overlap_s: float = 60) -> DataFrame:
+    """correction_s, score, status and message of each pair of sync_windows(): the lag of the best correlation inside the margin, less the
+    distance that the clocks say lies between the two windows.
+
+    envelopes: day_id, stream_id, clip_id, envelope (array<float>, ``rate`` values a second). Only the window of an envelope goes on."""
+    cut = lambda start: F.slice("envelope", (F.floor(F.col(start) * rate + 1e-6) + 1).cast("int"), F.floor(F.col("window_s") * rate + 1e-6).cast("int"))
+    heard = windows.where("message is null")
+    clip = lambda stream, name: envelopes.select(DAY, F.col("stream_id").alias(stream), F.col("clip_id").alias(name), "envelope")
+    ref = heard.join(clip("reference_stream_id", "ref_clip"), [DAY, "reference_stream_id", "ref_clip"], "left").withColumn("envelope_a", cut("ref_window_s")).drop("envelope")
+    both = ref.join(clip("stream_id", "clip_id"), [DAY, "stream_id", "clip_id"], "left").withColumn("envelope_b", cut("window_start_s")).drop("envelope")
+    n = F.least(F.size("envelope_a"), F.size("envelope_b"))
+    flat = lambda c: F.coalesce(F.size(c) < 1, F.lit(True)) | F.coalesce(F.array_max(c) - F.array_min(c) <= 1e-6, F.lit(True))
+    said = F.when(flat("envelope_a") | flat("envelope_b"), "missing or flat audio").when(n < F.lit(int(rate * min_overlap_s)), "not enough audio samples")
+    # both are as long as the shorter one
+    short = lambda c: F.when(F.col("message").isNull(), F.slice(c, F.lit(1), n))
+    ready = both.withColumn("message", said).withColumns({"envelope_a": short("envelope_a"), "envelope_b": short("envelope_b")})
+    found = lag_correlation(ready, int(round(margin_s * rate)))
+    apart = ((F.col("start_ms") - F.col("ref_start_ms")) / 1000.0 + F.col("window_start_s")) - F.col("ref_window_s")
+    done = found.withColumn("correction_s", F.col("lag") / rate - apart)
+    early = windows.where("message is not null").withColumns({"lag": F.lit(None).cast("long"), "score": F.lit(None).cast("double"), "status": F.lit("error"), "correction_s": F.lit(None).cast("double")})
+    ok = (F.col("status") == "ok") & F.col("message").isNull()
+    return done.withColumn("status", F.when(ok, "ok").otherwise("error")).unionByName(early)
+
+
+def sync_map(
+    clips: DataFrame, envelopes: DataFrame, rate: float, reference: DataFrame | None = None, margin_s: float = 20, min_overlap_s: float = 60, max_window_s: float = 180, max_pairs: int = 6, min_score: float = 0.25, max_deviation_s: float = 5
+) -> DataFrame:
+    """From clips (day_id, stream_id, clip_id, start_ms, end_ms) and their loudness to the clock correction of each stream of a day: pairs
+    that overlap, windows, lags, and the robust middle of these. The reference stream has correction 0."""
+    reference = pick_reference_stream(clips) if reference is None else reference
+    pairs = overlap_pairs(clips, reference, min_overlap_s, max_pairs).join(reference, DAY)
+    times = clips.select(DAY, "stream_id", "clip_id", "start_ms", ((F.col("end_ms") - F.col("start_ms")) / 1000.0).alias("duration_s"))
+    ref_times = times.toDF(DAY, "reference_stream_id", "ref_clip", "ref_start_ms", "ref_duration_s")
+    timed = pairs.join(times, [DAY, "stream_id", "clip_id"]).join(ref_times, [DAY, "reference_stream_id", "ref_clip"])
+    offsets = robust_offset(pair_offsets(sync_windows(timed, margin_s, min_overlap_s, max_window_s), envelopes, rate, margin_s, min_overlap_s), min_score, max_deviation_s)
+    streams = clips.select(DAY, "stream_id").distinct().join(reference, DAY)
+    out = streams.join(offsets, [DAY, "stream_id"], "left")
+    is_ref = F.col("stream_id") == F.col("reference_stream_id")
+    none = F.coalesce("pair_count", F.lit(0).cast("long"))
+    notes = F.when(is_ref, "reference stream").when(none == 0, "no overlapping clips").otherwise(F.col("notes"))
+    return out.withColumns({"correction_seconds": F.coalesce("correction_seconds", F.lit(0.0)), "pair_count": none, "successful_pairs": F.coalesce("successful_pairs", F.lit(0).cast("long")), "notes": notes})

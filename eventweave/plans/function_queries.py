@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventweave.functions import jsonfuncs, textfuncs, timefuncs, vectors
@@ -405,7 +405,7 @@ def found_set(spark: SparkSession, sf: str) -> DataFrame:
 SELECT 'time_order' AS rule, event_id::VARCHAR AS key FROM (SELECT *, lag(t) OVER (PARTITION BY d ORDER BY i) AS b FROM x) WHERE t < b"""
 )
 def time_order_breaks(spark: SparkSession, sf: str) -> DataFrame:
-    rows = V.photos(spark, sf).withColumn("i", F.row_number().over(order.by_day()) - 1).withColumn("t", F.col("start_epoch_ms") - F.when(F.col("photo_id") % 90 == 0, 86_400_000).otherwise(0))
+    rows = V.photos(spark, sf).withColumn("i", F.row_number().over(Window.partitionBy("day_id").orderBy("start_epoch_ms", "photo_id")) - 1).withColumn("t", F.col("start_epoch_ms") - F.when(F.col("photo_id") % 90 == 0, 86_400_000).otherwise(0))
     return validate.time_order(rows, "day_id", "i", "t", "photo_id").select("rule", F.col("key").cast("string").alias("key"))
 
 

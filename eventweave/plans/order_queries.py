@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from eventweave.operators import boundaries, dataset, order, validate
+from eventweave.operators import boundaries, dataset, order, ranges, validate
 from eventweave.plans import views as V
 from eventweave.plans.registry import query
 
@@ -26,7 +26,7 @@ def adjacent_pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH {V.DISTANCES} SELECT day_id, left_photo_id, right_photo_id, round(distance, 6) AS distance FROM dist")
 def pair_distances(spark: SparkSession, sf: str) -> DataFrame:
-    return r6(V.distances(spark, sf).select("day_id", "left_photo_id", "right_photo_id", "distance"), "distance")
+    return r6(V.distances(V.with_vectors(spark, sf)).select("day_id", "left_photo_id", "right_photo_id", "distance"), "distance")
 
 
 @query(f"WITH {V.PAIRS} SELECT day_id, left_photo_id, round(abs(left_value - right_value), 6) AS brightness_delta FROM pairs")
@@ -37,7 +37,7 @@ def pair_deltas(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH {V.ROLLED} SELECT day_id, left_photo_id, round(rolling_mean, 5) AS rolling_mean, round(rolling_std, 5) AS rolling_std, round(zscore, 4) AS zscore FROM rolled")
 def rolling_distance_stats(spark: SparkSession, sf: str) -> DataFrame:
-    out = boundaries.rolling_distance_stats(V.distances(spark, sf), V.PAIR_ORDER)
+    out = boundaries.rolling_distance_stats(V.distances(V.with_vectors(spark, sf)), V.PAIR_ORDER)
     return out.select("day_id", "left_photo_id", F.round("rolling_mean", 5).alias("rolling_mean"), F.round("rolling_std", 5).alias("rolling_std"), F.round("zscore", 4).alias("zscore"))
 
 
@@ -114,8 +114,8 @@ SELECT day_id, photo_id, round(least(CASE WHEN left_score IS NOT NULL THEN start
 def edge_review(spark: SparkSession, sf: str) -> DataFrame:
     label = F.col("boundary_label")
     cut = V.scores(spark, sf).select("day_id", F.col("right_photo_id").alias("photo_id"), F.when(label != "none", label).alias("_c"))
-    rows = V.photos(spark, sf).join(cut, ["day_id", "photo_id"], "left")
-    numbered = rows.withColumn("segment_index", F.count("_c").over(order.by_day().rowsBetween(Window.unboundedPreceding, 0)))
+    rows = ranges.with_ranges(V.photos(spark, sf), order.ORDER).join(cut, ["day_id", "photo_id"], "left")
+    numbered = ranges.running(ranges.with_ranges(rows, order.ORDER), order.ORDER, F.col("_c").isNotNull().cast("long"), "segment_index")
     labels = numbered.where("_c is not null").select("day_id", "segment_index", F.col("_c").alias("left_label"))
     w = Window.partitionBy("day_id").orderBy("segment_index")
     segs = boundaries.segment_confidence(V.segments(spark, sf)).join(labels, ["day_id", "segment_index"], "left")
@@ -131,8 +131,7 @@ g AS (SELECT day_id, photo_id, (t[2] - t[1]) / 1000.0::DOUBLE AS a, (t[3] - t[2]
 SELECT day_id, photo_id, round(b, 6) AS center_gap, round(a, 6) AS left_mean, round(c, 6) AS right_mean, round(a + b + c - greatest(a, b, c) - least(a, b, c), 5) AS median_gap, (b > 3 * (a + c) / 2)::INT AS gap_outlier, round(greatest(a, b, c), 6) AS max_gap FROM g"""
 )
 def gap_features(spark: SparkSession, sf: str) -> DataFrame:
-    w = order.by_day().rowsBetween(-1, 2)
-    rows = V.photos(spark, sf).withColumn("t", F.collect_list("start_epoch_ms").over(w)).where(F.size("t") == 4)
+    rows = order.frame_windows(V.photos(spark, sf), 2, -1.0, F.col("start_epoch_ms")).where("window_status = 'full'").withColumnRenamed("frames", "t")
     out = rows.select("day_id", "photo_id", *(c.alias(n) for n, c in dataset.gap_features(F.col("t")).items()))
     return out.select("day_id", "photo_id", *(F.round(c, 6).alias(c) for c in ("center_gap", "left_mean", "right_mean", "max_gap")), F.round("median_gap", 5).alias("median_gap"), "gap_outlier")
 

@@ -190,3 +190,29 @@ SELECT day_id, set_id, count(*) AS photo_count, count_if(assignment_status <> 'a
 def set_stats(spark: SparkSession, sf: str) -> DataFrame:
     out = review.set_stats(V.assigned(spark, sf).withColumn("review", F.col("assignment_status") != "assigned"))
     return r6(out.select("day_id", "set_id", "photo_count", "review_count", "first_ms", "last_ms", "duration_s", "max_gap_s"), "duration_s", "max_gap_s")
+
+
+#: A stream's clock is late by so many minutes (stream 0 is right); a clip of four hours begins every three, eight a day.
+LATE = {"v-0": 0, "v-1": 3, "v-2": -5, "v-3": 8}
+
+
+@query(
+    f"""WITH {V.PHOTOS}, days AS (SELECT DISTINCT day_id FROM photos), s(stream_id, late) AS (VALUES {", ".join(f"('{k}', {v})" for k, v in LATE.items())})
+SELECT day_id, stream_id, (-60.0 * late)::DOUBLE AS correction_seconds, CASE WHEN stream_id = 'v-0' THEN 'reference stream' ELSE '' END AS notes FROM days, s"""
+)
+def sync_map(spark: SparkSession, sf: str) -> DataFrame:
+    """Clips of four cameras that hear the same day, three with a wrong clock: the corrections must be found from the loudness alone.
+    Loudness: the sum of the events' values in each minute. SQL knows the clocks."""
+    minute = F.floor((F.col("start_epoch_ms") % 86_400_000) / 60_000)
+    heard = V.photos(spark, sf).groupBy("day_id", minute.alias("m")).agg(F.sum("value").alias("v"), F.min(F.col("start_epoch_ms") - F.col("start_epoch_ms") % 86_400_000).alias("day_ms"))
+    days = heard.groupBy("day_id").agg(F.min("day_ms").alias("day_ms"), F.map_from_entries(F.collect_list(F.struct("m", "v"))).alias("loud"))
+    streams = F.explode(F.array(*(F.struct(F.lit(k).alias("stream_id"), F.lit(v).alias("late")) for k, v in LATE.items())))
+    clip = days.select("*", streams.alias("s")).select("*", F.explode(F.sequence(F.lit(0), F.lit(1200), F.lit(180))).alias("first"))
+    clip = clip.select("day_id", "s.stream_id", "s.late", F.col("first").alias("clip_id"), "day_ms", "loud", F.least(F.lit(1440), F.col("first") + 240).alias("last"))
+    start = F.col("day_ms") + (F.col("clip_id") + F.col("late")) * 60_000
+    length = (F.col("last") - F.col("clip_id")) * 60_000 + F.when(F.col("stream_id") == "v-0", 1000).otherwise(0)
+    clips = clip.select("day_id", "stream_id", "clip_id", start.alias("start_ms"), (start + length).alias("end_ms"))
+    loudness = F.transform(F.sequence(F.col("clip_id"), F.col("last") - 1), lambda i: F.coalesce(F.element_at("loud", i.cast("long")), F.lit(0.0)).cast("float"))
+    envelopes = clip.select("day_id", "stream_id", "clip_id", loudness.alias("envelope"))
+    out = sync.sync_map(clips, envelopes, 1 / 60, margin_s=900, min_overlap_s=3600, max_window_s=14_400, min_score=0.5, max_deviation_s=30)
+    return out.select("day_id", "stream_id", F.round("correction_seconds", 3).alias("correction_seconds"), "notes")

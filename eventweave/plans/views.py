@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventweave.functions.timefuncs import epoch_ms
-from eventweave.operators import boundaries, order, timeline
+from eventweave.operators import boundaries, order, ranges, timeline
 
 SOFT, HARD, GAP, MERGE = 300, 900, 600, 900
 
@@ -33,12 +33,17 @@ PAIRS = PHOTOS + """, lagged AS (SELECT day_id, photo_id AS left_photo_id, start
 pairs AS (SELECT *, (right_start_epoch_ms - left_start_epoch_ms) / 1000.0::DOUBLE AS time_gap_seconds FROM lagged WHERE right_photo_id IS NOT NULL)"""
 
 
-def distances(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs with the distance of their vectors (vector of a photo: its id modulo the number of vectors)."""
+def with_vectors(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> DataFrame:
+    """Photos (or rows of them) with their vector (that of a photo: its id modulo the number of vectors)."""
     vectors = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     n = vectors.count()
-    with_vector = photos(spark, sf_dir).withColumn("vec_id", F.col("photo_id") % n).join(vectors, "vec_id")
-    out = boundaries.pair_distances(order.adjacent_pairs(with_vector, ["photo_id", "start_epoch_ms", "value", "embedding"]))
+    rows = photos(spark, sf_dir) if rows is None else rows
+    return rows.withColumn("vec_id", F.col("photo_id") % n).join(vectors, "vec_id")
+
+
+def distances(rows: DataFrame) -> DataFrame:
+    """Neighbouring pairs of photos with vectors, and the distance of these."""
+    out = boundaries.pair_distances(order.adjacent_pairs(rows, ["photo_id", "start_epoch_ms", "value", "embedding"]))
     return out.drop("left_embedding", "right_embedding")
 
 
@@ -49,8 +54,12 @@ PAIR_ORDER = ["left_start_epoch_ms", "left_photo_id"]
 
 
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rolled = boundaries.rolling_distance_stats(distances(spark, sf_dir), PAIR_ORDER)
-    return boundaries.boundary_score(boundaries.smooth_z(rolled, PAIR_ORDER), soft_gap=SOFT, hard_gap=HARD)
+    """Scores of all pairs. One halo serves the three steps: a score looks at the pairs from three before to one after it. Vectors come to
+    the photos when these have their ranges."""
+    shots_ = photos(spark, sf_dir).select("day_id", "photo_id", "start_epoch_ms", "value")
+    near = ranges.with_halo(ranges.with_ranges(shots_, order.ORDER), order.ORDER, 3, 2)
+    rolled = boundaries.rolling_distance_stats(distances(with_vectors(spark, sf_dir, near)), PAIR_ORDER)
+    return ranges.own_rows(boundaries.boundary_score(boundaries.smooth_z(rolled, PAIR_ORDER), soft_gap=SOFT, hard_gap=HARD))
 
 
 ROLLED = DISTANCES + """, stats AS (SELECT *, avg(distance) OVER w AS rolling_mean, stddev_pop(distance) OVER w AS rolling_std FROM dist
@@ -67,7 +76,7 @@ labelled AS (SELECT *, CASE WHEN time_gap_seconds >= {HARD} THEN 'hard' WHEN bou
 def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Segments of each day from cuts (label not none) on the pair before a photo."""
     cut = scores(spark, sf_dir).select("day_id", F.col("right_photo_id").alias("photo_id"), F.col("boundary_score").alias("_s"), (F.col("boundary_label") != "none").alias("_c"))
-    rows = photos(spark, sf_dir).join(cut, ["day_id", "photo_id"], "left")
+    rows = ranges.with_ranges(photos(spark, sf_dir).select("day_id", "photo_id", "start_epoch_ms"), order.ORDER).join(cut, ["day_id", "photo_id"], "left")
     return boundaries.segments_from_cuts(rows, F.coalesce("_c", F.lit(False)), F.col("_s"), ["start_epoch_ms", "photo_id"])
 
 
