@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +26,45 @@ def extract_json_payload(text: Column) -> Column:
     return F.when(found != "", found)
 
 
+def _objects(text: str) -> Iterator[object]:
+    """The JSON objects in a text, from left to right, each with the ones inside it as one."""
+    read = json.JSONDecoder().raw_decode
+    at = text.find("{")
+    while at >= 0:
+        try:
+            value, end = read(text, at)
+            yield value
+        except ValueError:
+            end = at + 1
+        at = text.find("{", end)
+
+
+def _is_window(value: object, wanted: str | None) -> bool:
+    named = isinstance(value, dict) and isinstance(value.get("window_id"), str) and isinstance(value.get("detections"), list)
+    return named and (not wanted or value["window_id"] == wanted)
+
+
+def detections_payload(text: Column, window_id: Column | None = None, batch: bool = False) -> Column:
+    """The last object of an answer that is one: a window_id (that of the column window_id, where it has a value) with a list of
+    detections; or, for a batch, a list ``results`` of such. Code fences and think blocks are taken off first. As compact JSON; null
+    without one."""
+
+    @F.pandas_udf("string")
+    def last(texts: pd.Series, ids: pd.Series) -> pd.Series:
+        rows = []
+        for t, wanted in zip(texts, ids, strict=True):
+            found = None
+            for value in _objects(t or ""):
+                results = value.get("results") if batch and isinstance(value, dict) else None
+                if _is_window(value, wanted) if not batch else isinstance(results, list) and all(_is_window(r, None) for r in results):
+                    found = value
+            rows.append(None if found is None else json.dumps(found, ensure_ascii=False, separators=(",", ":")))
+        return pd.Series(rows, dtype=object)
+
+    clean = F.regexp_replace(F.regexp_replace(text, r"(?i)```(json\s*)?", ""), r"(?is)<think>.*?</think>\s*|</think>\s*", "")
+    return last(clean, F.lit(None).cast("string") if window_id is None else window_id)
+
+
 def parse_window_response(df: DataFrame, raw: str = "raw_response", group_a: str = "group_a_ids", group_b: str = "group_b_ids", strict: bool = True) -> DataFrame:
     """Adds decision, semantic_decision, semantic_group_a_segment_type, semantic_group_b_segment_type, response_contract_id, reason and
     response_status of an answer about the frames of two groups (arrays of ids).
@@ -107,22 +150,33 @@ def flatten_detections(df: DataFrame, detections: str = "detections") -> DataFra
     return out.withColumn("detection_index", F.col("_i") + 1).drop("_i")
 
 
+def _flat(value: object, name: str, out: dict[str, list[str]]) -> None:
+    """Adds the fields below an object, of any depth, under joined names."""
+    plain = lambda v: v if isinstance(v, str) else json.dumps(v, ensure_ascii=False, separators=(",", ":"))
+    if isinstance(value, dict):
+        for key in sorted(value):
+            part = key.strip().replace(".", "_").replace(" ", "_")
+            if part:
+                _flat(value[key], f"{name}_{part}" if name else part, out)
+    elif value is not None and name:
+        out[name] = [plain(v) for v in value if v is not None] if isinstance(value, list) else [plain(value)]
+
+
 def flatten_descriptors(text: Column) -> Column:
-    """map of field to its values: nested objects (three levels) become a_b_c; '.' and blank in names become '_'; scalars are one value."""
-    clean = lambda k: F.regexp_replace(k, r"[. ]", "_")
-    values = lambda j: F.when(j.rlike(r"^\s*\["), F.from_json(j, "array<string>")).otherwise(F.array(j))
-    inner = lambda j: F.map_entries(F.from_json(j, "map<string,string>"))
-    is_object = lambda j: F.coalesce(j.rlike(r"^\s*\{"), F.lit(False))
-
-    def level(entries: Column, depth: int) -> Column:
-        def one(e: Column) -> Column:
-            flat = F.array(F.struct(clean(e["key"]).alias("key"), e["value"].alias("value")))
-            if depth == 0:
-                return flat
-            nested = level(F.transform(inner(e["value"]), lambda x: F.struct(F.concat(e["key"], F.lit("_"), x["key"]).alias("key"), x["value"].alias("value"))), depth - 1)
-            return F.when(is_object(e["value"]), nested).otherwise(flat)
-
-        return F.flatten(F.transform(entries, one))
-
-    entries = level(inner(text), 2)
-    return F.map_from_entries(F.transform(F.filter(entries, lambda e: e["value"].isNotNull()), lambda e: F.struct(e["key"].alias("key"), values(e["value"]).alias("value"))))
+    """map of field to its values: nested objects of any depth become a_b_c; '.' and blank in names become '_'; a scalar is one value, a
+    null none. Of fields that get one name the last in order of the original names stays. Null for what is not a JSON object."""
+
+    @F.pandas_udf("map<string, array<string>>")
+    def flat(texts: pd.Series) -> pd.Series:
+        rows = []
+        for t in texts:
+            try:
+                value = json.loads(t) if t is not None else None
+            except ValueError:
+                value = None
+            fields: dict[str, list[str]] = {}
+            _flat(value if isinstance(value, dict) else None, "", fields)
+            rows.append(fields if isinstance(value, dict) else None)
+        return pd.Series(rows, dtype=object)
+
+    return flat(text)

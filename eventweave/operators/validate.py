@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventweave.functions.textfuncs import candidate_id
+from eventweave.operators import ranges
 
 
 def _found(df: DataFrame, rule: str, key: Column | str, bad: Column, detail: Column | None = None) -> DataFrame:
@@ -33,18 +34,25 @@ def coverage(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
 
 
 def time_order(df: DataFrame, day: str, index: str, time: str, key: str) -> DataFrame:
-    """Dense index from 0 and times that do not fall, per day."""
-    w = Window.partitionBy(day).orderBy(index)
-    out = df.withColumn("_i", F.row_number().over(w) - 1).withColumn("_t", F.lag(time).over(w))
-    bad = (F.col(index) != F.col("_i")) | F.coalesce(F.col(time) < F.col("_t"), F.lit(False))
-    return _found(out, "time_order", key, bad)
-
-
-def pair_chain(pairs: DataFrame, day: str, order: str, left: str, right: str) -> DataFrame:
-    """Each pair's left is the previous pair's right."""
-    w = Window.partitionBy(day).orderBy(order)
-    out = pairs.withColumn("_p", F.lag(right).over(w))
-    return _found(out, "pair_chain", left, F.col("_p").isNotNull() & (F.col("_p") != F.col(left)))
+    """Dense index from 0 and times that do not fall, per day. Looked at by ranges of the index."""
+    rows = df.select(F.col(day).alias(ranges.DAY), F.col(index).alias("_index"), F.col(time).alias("_time"), F.col(key).alias("_key"))
+    order = ("_index", "_key")
+    near = ranges.with_halo(ranges.with_ranges(rows, order), order, 1, 0).withColumn("_before", F.lag("_time").over(ranges.in_range(order)))
+    placed = ranges.running(near.where(ranges.OWN).drop(ranges.OWN), order, F.lit(1).cast("long"), "_place")
+    bad = (F.col("_index") != F.col("_place") - 1) | F.coalesce(F.col("_time") < F.col("_before"), F.lit(False))
+    return _found(placed, "time_order", "_key", bad)
+
+
+def pair_chain(pairs: DataFrame, day: str, order: str, left: str, right: str, left_ms: str | None = None, right_ms: str | None = None, gap_s: str | None = None) -> DataFrame:
+    """Each pair's left is the previous pair's right (rule pair_chain), and its gap is the difference of its times (rule pair_gap)."""
+    rows = pairs.withColumnRenamed(day, ranges.DAY) if day != ranges.DAY else pairs
+    by = (order, left)
+    near = ranges.with_halo(ranges.with_ranges(rows, by), by, 1, 0).withColumn("_before", F.lag(right).over(ranges.in_range(by)))
+    out = _found(ranges.own_rows(near), "pair_chain", left, F.col("_before").isNotNull() & (F.col("_before") != F.col(left)))
+    if gap_s is None:
+        return out
+    off = F.abs(F.col(gap_s) - (F.col(right_ms) - F.col(left_ms)) / 1000.0) > 1e-6
+    return out.union(_found(pairs, "pair_gap", left, off, F.col(gap_s)))
 
 
 def label_score(scores: DataFrame, key: str) -> DataFrame:
@@ -59,6 +67,19 @@ def segment_coverage(segments: DataFrame, totals: DataFrame, day: str) -> DataFr
     return _found(n, "segment_coverage", day, ~F.col("n").eqNullSafe(F.col("m")), F.concat_ws("/", "n", "m"))
 
 
+def segment_contiguity(segments: DataFrame, totals: DataFrame, day: str) -> DataFrame:
+    """Segments (segment_index, start_index, end_index, photo_count) follow each other: the first begins at 0, each next one after the end
+    of the one before (rule contiguous), each has as many photos as places (rule photo_count), and the last ends at the day's last photo
+    (rule covered). One row a segment, so the neighbours are found in a window by day."""
+    w = Window.partitionBy(day).orderBy("segment_index", "start_index")
+    rows = segments.withColumns({"_before": F.coalesce(F.lag("end_index").over(w), F.lit(-1)), "_last": F.lead(F.lit(1)).over(w).isNull()})
+    rows = rows.join(totals.select(day, F.col("photos").alias("_photos")), day, "left")
+    key = F.concat_ws("|", day, "segment_index")
+    out = _found(rows, "contiguous", key, F.col("start_index") != F.col("_before") + 1, F.concat_ws("/", F.col("_before") + 1, "start_index"))
+    out = out.union(_found(rows, "photo_count", key, F.col("photo_count") != F.col("end_index") - F.col("start_index") + 1, F.col("photo_count")))
+    return out.union(_found(rows.where("_last"), "covered", key, F.col("end_index") != F.col("_photos") - 1, F.concat_ws("/", "end_index", F.col("_photos") - 1)))
+
+
 def candidate_rows(rows: DataFrame, parts: list[str], radius: int) -> DataFrame:
     """Ids recompute, windows have 2 * radius frames with the centre photos in place and rising times, boundary equals unequal segments."""
     return checks(
@@ -88,6 +109,18 @@ def split_manifest(rows: DataFrame, key: str, required: list[str], kind: str) ->
     return bad.union(_found(lacking, "required_classes", "split_name", F.size("missing") > 0, F.array_join(F.array_sort("missing"), ",")))
 
 
+def split_classes(rows: DataFrame, required: list[str], sides: tuple[str, str] = ("left_segment_type", "right_segment_type"), splits: tuple[str, ...] = ("validation", "test")) -> DataFrame:
+    """Each required class on both sides of each held-out split; a split without any row lacks them all."""
+    spark = rows.sparkSession
+    wanted = spark.createDataFrame([(s, side, c) for s in splits for side in sides for c in required], "split_name string, side string, class string")
+    seen = None
+    for side in sides:
+        own = rows.where(F.col("split_name").isin(*splits)).select("split_name", F.lit(side).alias("side"), F.col(side).alias("class")).distinct()
+        seen = own if seen is None else seen.union(own)
+    lacking = wanted.join(seen, ["split_name", "side", "class"], "left_anti")
+    return _found(lacking, "required_classes", F.concat_ws("|", "split_name", "side"), F.lit(True), F.col("class"))
+
+
 def one_contract(rows: DataFrame, contract: list[str]) -> DataFrame:
     n = rows.agg(F.count_distinct(F.struct(*contract)).alias("n"))
     return _found(n, "one_contract", F.lit("corpus"), F.col("n") > 1, F.col("n"))

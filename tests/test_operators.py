@@ -279,8 +279,8 @@ def test_stratified_split_in_buckets(spark, monkeypatch):
     assert len(got) == 400 and out.columns == ["id", "k", "split_name"]
     for k in ("a", None):
         ids = sorted((i for i, x in rows if x == k), key=lambda i: hashlib.sha256(f"3:{i}".encode()).hexdigest())
-        n = len(ids)
-        assert [got[i] for i in ids] == ["train"] * (n * 8 // 10) + ["validation"] * (n // 10) + ["test"] * (n // 10)
+        own = dataset.stratified_plan({("a",): 360, (None,): 40}, fractions, None, 0)[(k,)]
+        assert [got[i] for i in ids] == ["train"] * own["train"] + ["validation"] * own["validation"] + ["test"] * own["test"]
     windows = re.findall(r"row_number\(\) windowspecdefinition\(([^)]*)\)", out._jdf.queryExecution().optimizedPlan().toString())
     assert windows and all("_b" in w for w in windows)
 
