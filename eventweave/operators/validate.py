@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from eventweave.functions.textfuncs import candidate_id
 from eventweave.operators import ranges
+from eventweave.operators.dataset import feature_columns, registry_of
 
 
 def _found(df: DataFrame, rule: str, key: Column | str, bad: Column, detail: Column | None = None) -> DataFrame:
@@ -131,6 +132,14 @@ def feature_contract(df: DataFrame, expected: list[str]) -> list[str]:
     return [f"missing {c}" for c in expected if c not in df.columns] + [f"unknown {c}" for c in df.columns if c not in expected]
 
 
+def model_contract(columns: list[str], radius: int, mode: str = "tabular") -> list[str]:
+    """What differs between a model's feature columns and those that follow from its radius, its mode and the registry that its own
+    columns tell (metadata only)."""
+    expected = feature_columns(radius, registry_of(columns), mode)
+    found = [f"missing {c}" for c in expected if c not in columns] + [f"unknown {c}" for c in columns if c not in expected]
+    return found or (["order of columns"] if list(columns) != expected else [])
+
+
 def descriptor_record(df: DataFrame, key: str, required: list[str], enums: dict[str, list[str]]) -> DataFrame:
     """Column values (map<string, array<string>>): required fields are there, enumerated ones hold allowed values."""
     rules = {f"required:{f}": F.map_contains_key("values", f) for f in required}

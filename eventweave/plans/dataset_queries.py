@@ -91,10 +91,31 @@ def stratified_split(spark: SparkSession, sf: str) -> DataFrame:
     return dataset.stratified_split(V.read(spark, sf, "documents").select("doc_id", "lang", "source"), "doc_id", ["lang", "source"], FRACTIONS, 7)
 
 
-@query("SELECT doc_id, source FROM documents d WHERE doc_id % 4 = 0 AND NOT EXISTS (SELECT 1 FROM documents t WHERE t.doc_id % 4 <> 0 AND t.source = d.source AND t.lang = d.lang)")
+@query("SELECT 'train' AS split_name, round_even(count(*) * 0.7, 0)::BIGINT AS n FROM documents UNION ALL SELECT unnest(['validation', 'test']), round_even(count(*) * 0.15, 0)::BIGINT FROM documents")
+def stratified_totals(spark: SparkSession, sf: str) -> DataFrame:
+    """The splits have their totals over the whole set, though each stratum has its own rounding."""
+    d = V.read(spark, sf, "documents").select("doc_id", "lang", "source")
+    out = dataset.stratified_split(d, "doc_id", ["source", "lang"], FRACTIONS, 7, {"en", "de"})
+    return out.groupBy("split_name").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT doc_id, lang FROM documents d WHERE lang = 'es'")
 def domain_shift(spark: SparkSession, sf: str) -> DataFrame:
-    d = V.read(spark, sf, "documents").select("doc_id", "source", "lang", F.when(F.col("doc_id") % 4 == 0, "test").otherwise("train").alias("split_name"))
-    return dataset.domain_shift(d, ["source", "lang"]).select("doc_id", "source")
+    """Held-out documents of a language that is not trained on; the other held-out ones are no shift."""
+    held_out = (F.col("doc_id") % 4 == 0) | (F.col("lang") == "es")
+    d = V.read(spark, sf, "documents").select("doc_id", "lang", F.when(held_out, "test").otherwise("train").alias("split_name"))
+    return dataset.domain_shift(d, ["lang"]).select("doc_id", "lang")
+
+
+@query(
+    """WITH d AS (SELECT *, CASE doc_id % 40 WHEN 0 THEN 'test' WHEN 1 THEN 'validation' ELSE 'train' END AS s FROM documents), w AS (SELECT * FROM (VALUES ('test'), ('validation')) a(s), (SELECT DISTINCT lang FROM documents) b)
+SELECT 'required_classes' AS rule, s || '|lang' AS key, lang AS detail FROM w WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.s = w.s AND d.lang = w.lang)
+UNION ALL SELECT 'required_classes', s || '|other', lang FROM w WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.s = w.s AND d.lang = w.lang AND d.doc_id % 3 = 0)"""
+)
+def class_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    split = F.when(F.col("doc_id") % 40 == 0, "test").when(F.col("doc_id") % 40 == 1, "validation").otherwise("train")
+    d = V.read(spark, sf, "documents").select("lang", F.when(F.col("doc_id") % 3 == 0, F.col("lang")).alias("other"), split.alias("split_name"))
+    return validate.split_classes(d, ["de", "en", "es", "fr"], ("lang", "other"))
 
 
 @query("SELECT l.doc_id, quality, toxic, CASE WHEN l.doc_id % 10 < 7 THEN 'train' ELSE 'test' END AS split_name FROM labels l")

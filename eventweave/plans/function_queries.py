@@ -142,7 +142,7 @@ def people_counts(spark: SparkSession, sf: str) -> DataFrame:
 )
 def flat_descriptors(spark: SparkSession, sf: str) -> DataFrame:
     text = F.concat(F.lit('{"a": {"b": {"c": "x'), this().cast("string"), F.lit('", "d": ["y", "z"]}}, "e": "p,q", "k.1": 1}'))
-    flat = events(spark, sf).select("event_id", F.explode(jsonfuncs.flatten_descriptors(text)).alias("field", "values"))
+    flat = V.read(spark, sf, "events").select("event_id", F.explode(jsonfuncs.flatten_descriptors(text)).alias("field", "values"))
     return flat.select("event_id", "field", F.array_join("values", "|").alias("value"))
 
 
@@ -440,3 +440,54 @@ def descriptor_breaks(spark: SparkSession, sf: str) -> DataFrame:
     value = F.create_map(F.when(this() % 5 == 0, "persons").otherwise("people"), F.array(F.lit("solo")), F.lit("view"), F.array(F.when(this() % 7 == 0, "odd").otherwise("solo")))
     rows = events(spark, sf).select("event_id", value.alias("values"))
     return validate.descriptor_record(rows, "event_id", ["people"], {"view": ["solo", "group"]}).select("rule", F.col("key").cast("string").alias("key"))
+
+
+@query("SELECT event_id, 'a_b_c_d_e_f' AS field, event_type AS value FROM events UNION ALL SELECT event_id, 'a_b_c_d_e_g_h', props FROM events WHERE props IS NOT NULL UNION ALL SELECT event_id, 'a_n', user_id::VARCHAR FROM events")
+def deep_descriptors(spark: SparkSession, sf: str) -> DataFrame:
+    """Six levels; props is a text with JSON inside and stays one."""
+    inner = F.struct(F.col("event_type").alias("f"), F.col("props").alias("g h"))
+    for name in "edcb":
+        inner = F.struct(inner.alias(name))
+    text = F.to_json(F.struct(F.struct(F.col("user_id").alias("n"), inner.getField("b").alias("b")).alias("a")))
+    flat = V.read(spark, sf, "events").select("event_id", F.explode(jsonfuncs.flatten_descriptors(text)).alias("field", "values"))
+    return flat.select("event_id", "field", F.array_join("values", "|").alias("value"))
+
+
+@query(
+    """SELECT event_id, CASE WHEN event_id % 5 = 4 THEN NULL ELSE '{"window_id":"w' || event_id || '","detections":[{"event_type":"' || event_type || '","n":' || user_id || '}]}' END AS payload FROM events"""
+)
+def window_payloads(spark: SparkSession, sf: str) -> DataFrame:
+    """Answers with a fence, thoughts, a broken object and objects of other windows around the one that is asked for; some lack it."""
+    own = F.concat(F.lit('{"window_id": "w'), F.col("event_id"), F.lit('", "detections": [{"event_type": "'), "event_type", F.lit('", "n": '), F.col("user_id"), F.lit("}]}"))
+    other = F.concat(F.lit('{"window_id": "w'), F.col("event_id") + 1, F.lit('", "detections": []}'))
+    asked = F.when(F.col("event_id") % 5 == 4, F.lit("")).otherwise(own)
+    text = F.concat(F.lit("<think>{no}</think> so {x: "), other, F.lit("\n```json\n"), asked, F.lit("\n```\nand "), other, F.lit(' {"a": {"b": 1}} }'))
+    return events(spark, sf).select("event_id", jsonfuncs.detections_payload(text, F.concat(F.lit("w"), F.col("event_id"))).alias("payload"))
+
+
+@query(
+    """WITH s AS (SELECT o_orderkey AS day, row_number() OVER (PARTITION BY o_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS i FROM lineitem JOIN orders ON o_orderkey = l_orderkey), n AS (SELECT day, count(*) AS n FROM s GROUP BY 1)
+SELECT 'contiguous' AS rule, day || '|' || i AS key FROM s WHERE i % 3 = 0 UNION ALL SELECT 'photo_count', day || '|' || i FROM s WHERE i % 3 = 0 UNION ALL SELECT 'covered', day || '|' || n FROM n WHERE day % 7 = 0"""
+)
+def contiguity_breaks(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines of an order as its segments, each third one begun a place too late, and orders with a photo that no segment has."""
+    by = Window.partitionBy("day").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    lines = V.read(spark, sf, "lineitem").join(V.read(spark, sf, "orders").select(F.col("o_orderkey").alias("day")), F.col("day") == F.col("l_orderkey"))
+    size = F.col("l_quantity").cast("long") + 1
+    rows = lines.withColumns({"segment_index": F.row_number().over(by), "photo_count": size, "end_index": F.sum(size).over(by.rowsBetween(Window.unboundedPreceding, 0)) - 1})
+    late = F.when(F.col("segment_index") % 3 == 0, 1).otherwise(0)
+    segments = rows.select("day", "segment_index", (F.col("end_index") - F.col("photo_count") + 1 + late).alias("start_index"), "end_index", "photo_count")
+    totals = rows.groupBy("day").agg((F.sum("photo_count") + F.when(F.col("day") % 7 == 0, 1).otherwise(0)).alias("photos"))
+    return validate.segment_contiguity(segments, totals, "day").select("rule", "key")
+
+
+@query(
+    f"""WITH {V.PAIRS}, b AS (SELECT *, CASE WHEN left_photo_id % 70 = 0 THEN -1 ELSE right_photo_id END AS r, time_gap_seconds + CASE WHEN left_photo_id % 90 = 0 THEN 1 ELSE 0 END AS g FROM pairs),
+l AS (SELECT *, lag(r) OVER (PARTITION BY day_id ORDER BY left_start_epoch_ms, left_photo_id) AS p FROM b)
+SELECT 'pair_chain' AS rule, left_photo_id::VARCHAR AS key FROM l WHERE p <> left_photo_id UNION ALL SELECT 'pair_gap', left_photo_id::VARCHAR FROM b WHERE abs(g - time_gap_seconds) > 1e-6"""
+)
+def pair_breaks(spark: SparkSession, sf: str) -> DataFrame:
+    rows = V.pairs(spark, sf).withColumn("right_photo_id", F.when(F.col("left_photo_id") % 70 == 0, -1).otherwise(F.col("right_photo_id")))
+    rows = rows.withColumn("time_gap_seconds", F.col("time_gap_seconds") + F.when(F.col("left_photo_id") % 90 == 0, 1).otherwise(0))
+    found = validate.pair_chain(rows, "day_id", "left_start_epoch_ms", "left_photo_id", "right_photo_id", "left_start_epoch_ms", "right_start_epoch_ms", "time_gap_seconds")
+    return found.select("rule", "key")

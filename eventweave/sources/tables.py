@@ -22,17 +22,34 @@ def read_manifest(spark: SparkSession, paths: list[str]) -> DataFrame:
     return df.withColumn("media_type", F.when(problem.isNotNull(), F.raise_error(problem).cast("string")).otherwise(F.col("media_type")))
 
 
-def read_stream_tables(spark: SparkSession, paths: list[str], media_type: str | None = None, targets: list[str] | None = None) -> DataFrame:
-    """CSV tables of streams (``p-*`` photos, ``v-*`` videos), padded to one set of columns, with the file each row came from."""
+def read_stream_tables(spark: SparkSession, paths: list[str], media_type: str | None = None, targets: list[str] | None = None, order: list[str] | None = None) -> DataFrame:
+    """CSV tables of streams (``p-*`` photos, ``v-*`` videos), padded to one set of columns (texts), with the file each row came from.
+
+    One scan for each header that occurs, however many files there are. order: columns to sort by, missing values last. Blank cells are
+    null; a file without a header line has no rows."""
     prefix = {"photo": "p-", "video": "v-"}.get(media_type or "", "")
     names = [(p, p.rsplit("/", 1)[-1].removesuffix(".csv")) for p in paths]
     chosen = [p for p, n in names if n.startswith(prefix) and (not targets or n in targets)]
     if not chosen:
         raise ValueError("no stream table is selected")
     out = None
-    for p in chosen:
-        own = spark.read.option("header", True).csv(p).withColumn("source_file", F.input_file_name())
-        out = own if out is None else out.unionByName(own, allowMissingColumns=True)
+    for header, own in sorted(_by_header(spark, chosen).items()):
+        names_ = header.split(",")
+        schema = ", ".join(f"`{n}` string" for n in names_)
+        part = spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(own).withColumn("source_file", F.input_file_name())
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    if order:
+        out = out.orderBy(*(F.asc_nulls_last(c) for c in order))
+    return out
+
+
+def _by_header(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
+    """The files of each header line. One job reads the first block's first line of every file; the driver gets a line a file."""
+    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"), "value", F.monotonically_increasing_id().alias("i"))
+    first = lines.where("at = 0").groupBy("path").agg(F.min_by("value", "i").alias("header")).collect()
+    out: dict[str, list[str]] = {}
+    for r in first:
+        out.setdefault(r["header"].strip("\ufeff\r").replace('"', ""), []).append(r["path"])
     return out
 
 

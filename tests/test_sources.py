@@ -100,7 +100,7 @@ def test_announcement_stream_equals_batch(spark, tmp_path):
 
 
 def test_live_groups_equal_batch(spark, tmp_path):
-    rows = [("d", i, n, "v-1", t, t + 500, 0.5) for i, (n, t) in enumerate([(7, 0), (7, 5000), (8, 9000), (7, 10000), (7, 30000), (9, 31000)])]
+    rows = [("d", i, n, "v-1", t, t + 500, 0.5) for i, (n, t) in enumerate([(7, 1000), (7, 6000), (8, 9400), (7, 11000), (7, 31000), (9, 32000)])]
     schema = "day_id string, id long, number long, stream_id string, start_ms long, end_ms long, confidence double"
     df = spark.createDataFrame(rows, schema)
     for k, part in enumerate((df.where("start_ms < 9500"), df.where("start_ms >= 9500"))):
@@ -110,7 +110,66 @@ def test_live_groups_equal_batch(spark, tmp_path):
     q.awaitTermination()
     got = sorted((r["group_index"], r["number"], r["candidate_count"]) for r in spark.table("grp").collect())
     want = sorted((r["group_index"], r["number"], r["candidate_count"]) for r in timeline.merge_candidates(df).collect())
-    assert got == want[:-1]  # the last group is still open
+    assert got == want[:-1]  # the last group is still open: nothing later has come
+
+
+def test_live_groups_close_by_watermark(spark, tmp_path):
+    """A later day moves the watermark, which closes the last group of the day before; late and replayed rows are counted, not merged."""
+    schema = "day_id string, id long, number long, stream_id string, start_ms long, end_ms long, confidence double"
+    first = [("d", i, 7, "v-1", 1000 * i, 1000 * i + 500, 0.5) for i in (1, 5, 9)]
+    again = [first[2], ("d", 90, 8, "v-1", 4000, 4500, 0.9), ("d", 10, 7, "v-1", 12_000, 12_500, 0.7)]
+    later = [("e", 11, 1, "v-1", 90_000, 90_500, 0.5)]
+    last = [("e", 12, 1, "v-1", 200_000, 200_500, 0.5), ("d", 13, 7, "v-1", 13_000, 13_500, 0.5)]
+    for k, part in enumerate((first, again, later, last)):
+        spark.createDataFrame(part, schema).coalesce(1).write.parquet(str(tmp_path / f"in/p{k}"))
+    for k in range(4):  # one file after the other
+        live = spark.readStream.schema(schema).parquet(str(tmp_path / f"in/p[0-{k}]"))
+        q = incremental.live_groups(live, 12, 20).writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
+        q.awaitTermination()
+    got = sorted((r["day_id"], r["group_index"], r["number"], r["start_ms"], r["end_ms"], r["candidate_count"], r["confidence"], r["late_rows"]) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    assert got == [("d", 1, 7, 1000, 12_500, 4, 0.7, 2), ("e", 1, 1, 90_000, 90_500, 1, 0.5, 0)]
+
+
+def test_broken_file_is_set_aside(spark, tmp_path):
+    root = tmp_path / "media"
+    root.mkdir()
+    for name, data in (("a.jpg", b"ok 1"), ("b.jpg", b"broken"), ("c.jpg", b"ok 2")):
+        (root / name).write_bytes(data)
+
+    def describe(path, content):
+        if content == b"broken":
+            raise ValueError("no header")
+        return {"n": content.decode().split()[1]}
+
+    for _ in range(2):
+        incremental.manifest_stream(spark, str(root), str(tmp_path / "m"), str(tmp_path / "ck"), describe).awaitTermination()
+    assert sorted(r["metadata"]["n"] for r in spark.read.parquet(str(tmp_path / "m")).collect()) == ["1", "2"]
+    bad = spark.read.parquet(str(tmp_path / "m_quarantine")).collect()
+    assert [(r["path"].rsplit("/", 1)[1], r["error"]) for r in bad] == [("b.jpg", "ValueError: no header")]
+
+
+def test_resumed_runs(spark):
+    work = spark.createDataFrame([(i,) for i in range(5)], "candidate int")
+    done = spark.createDataFrame([("r1", "h1", 0), ("r1", "h1", 3), ("r2", "h2", 1)], "run_id string, config_hash string, candidate int")
+    assert sorted(r[0] for r in incremental.resumed(work, done, "r1", "h1", ["candidate"]).collect()) == [1, 2, 4]
+    assert incremental.resumed(work, done, "r3", "h1", ["candidate"]).count() == 5
+    with pytest.raises(Exception, match="another configuration: h1"):
+        incremental.resumed(work, done, "r1", "h2", ["candidate"]).collect()
+
+
+def test_stream_tables_by_header(spark, tmp_path):
+    """Forty files with three headers are three scans; order has missing values last."""
+    for i in range(40):
+        header = ("a,t", "t,b", "a,b,t")[i % 3]
+        names = header.split(",")
+        (tmp_path / f"p-{i}.csv").write_text(header + "\n" + ",".join({"a": f"a{i}", "b": "", "t": "" if i == 5 else f"{i:03}"}[n] for n in names) + "\n")
+    (tmp_path / "v-1.csv").write_text("a\nx\n")
+    paths = [str(p) for p in sorted(tmp_path.iterdir())]
+    df = tables.read_stream_tables(spark, paths, "photo", order=["t"])
+    rows = df.collect()
+    assert len(rows) == 40 and rows[-1]["t"] is None and [r["t"] for r in rows[:39]] == [f"{i:03}" for i in range(40) if i != 5]
+    assert {r["a"] for r in rows} == {None} | {f"a{i}" for i in range(40) if i % 3 != 1} and all(r["source_file"].endswith(".csv") for r in rows)
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 3
 
 
 def test_image_quality(spark, tmp_path):
