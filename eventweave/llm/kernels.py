@@ -6,6 +6,7 @@ Every function works on a bounded slice of one Arrow batch (``text_chunks``), ne
 from __future__ import annotations
 
 import ctypes
+import hashlib
 from collections.abc import Callable, Iterator
 from functools import wraps
 
@@ -16,6 +17,8 @@ import pyarrow.compute as pc
 U64 = np.uint64
 #: Bytes of text that one vectorised step handles; a longer text is a step of its own.
 CHUNK_BYTES = 1 << 19
+#: Longer words are hashed one by one, not in steps over all words.
+LONG_WORD = 256
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -109,7 +112,28 @@ def span_hash(h: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return mix((h[end] - h[start]) * _powers("down", len(h))[start])
 
 
-def words(data: np.ndarray, offs: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def word_hash(low: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
+    """A 64-bit hash of each word low[start:end]: blocks of eight bytes, mixed one after the other with the length. Unlike the sums of
+    ``prefix_hash`` it has no words that collide by their form. Words over ``LONG_WORD`` bytes are hashed one by one."""
+    padded = np.concatenate((low, np.zeros(8, np.uint8)))
+    block = np.ndarray((len(low) + 1,), "<u8", padded, strides=(1,))  # the eight bytes from each byte on
+    size = end - start
+    out = mix(size.astype(U64) + U64(seed) * U64(_BASE) + U64(1))
+    open_ = np.flatnonzero(size <= LONG_WORD)
+    done = 0
+    while len(open_):
+        left = size[open_] - done
+        own = block[start[open_] + done] & (U64(2**64 - 1) >> (U64(8) * (8 - np.minimum(left, 8)).astype(U64)))
+        out[open_] = mix((out[open_] ^ own) * U64(_BASE))
+        done += 8
+        open_ = open_[left > 8]
+    for i in np.flatnonzero(size > LONG_WORD):
+        digest = hashlib.blake2b(low[start[i] : end[i]].tobytes(), digest_size=8, key=seed.to_bytes(8, "little")).digest()
+        out[i] = int.from_bytes(digest, "little")
+    return out
+
+
+def words(data: np.ndarray, offs: np.ndarray, stops: np.ndarray, seed: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hash, start and end byte of each lower-cased word, and for each text the index of its first word (one more at the end)."""
     low = _LOWER[data]
     n = len(low)
@@ -124,7 +148,7 @@ def words(data: np.ndarray, offs: np.ndarray, stops: np.ndarray) -> tuple[np.nda
     end = inside.copy()
     end[:-1] &= ~inside[1:] | first[1:n]
     s, e = np.flatnonzero(start), np.flatnonzero(end) + 1
-    return span_hash(prefix_hash(low), s, e), s, e, np.searchsorted(s, offs)
+    return word_hash(low, s, e, seed), s, e, np.searchsorted(s, offs)
 
 
 def windows(codes: np.ndarray, size: int) -> np.ndarray:
@@ -138,9 +162,9 @@ def windows(codes: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
-def shingle_sets(data: np.ndarray, offs: np.ndarray, size: int, stops: np.ndarray = SPACES) -> Iterator[np.ndarray]:
+def shingle_sets(data: np.ndarray, offs: np.ndarray, size: int, stops: np.ndarray = SPACES, seed: int = 0) -> Iterator[np.ndarray]:
     """For each text the sorted distinct hashes of its word shingles; a shorter text is one shingle, one without words has none."""
-    code, _, _, first = words(data, offs, stops)
+    code, _, _, first = words(data, offs, stops, seed)
     grams = windows(code, size)
     for a, b in zip(first[:-1], first[1:], strict=True):
         n = b - a

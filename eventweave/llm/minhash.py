@@ -11,7 +11,8 @@
    last, they are met again, and every pair is given out that sizes, places in the lists and the minima of ``PARTS`` parts of the hash
    space let pass. The number of steps is fixed, and no pair of similar sets in different components is left out.
 4. Candidates pass the estimate from the union sketch of their ``SKETCH`` smallest hashes (five standard deviations below the threshold
-   still pass), then exact similarity of the full sets of 64-bit shingle hashes decides. Components come from the confirmed links.
+   still pass), then exact similarity of the full sets decides, of
+   64-bit shingle hashes that are independent of the first ones. Components come from the confirmed links.
 
 Defined results: null, empty and word-less texts have no shingles and are linked with nothing; rows with a null doc_id are linked
 with nothing, have no component and are not kept; rows of one doc_id count as one document; the smallest doc_id of a component is
@@ -45,6 +46,8 @@ DEVIATIONS = 5
 PARTS = 512
 #: Pairs that a task looks at in one vectorised step.
 STEP = 1 << 15
+#: Seed of the word hashes that links are confirmed with: words that collide in the first ones differ in these.
+VERIFY = 1
 DESCRIBED = "doc_id long, n long, digest binary, sketch binary, minima binary, slot int, m long"
 
 
@@ -155,7 +158,7 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Data
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = [s.tobytes() for _, _, data, offs in K.text_chunks(b.column("text")) for s in K.shingle_sets(data, offs, size)]
+            out = [s.tobytes() for _, _, data, offs in K.text_chunks(b.column("text")) for s in K.shingle_sets(data, offs, size, seed=VERIFY)]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(out, pa.binary())], names=["doc_id", "s"])
 
     full = with_ids(docs.select("doc_id", "text"), ids).mapInArrow(K.tidy(sets), "doc_id long, s binary")

@@ -99,6 +99,35 @@ def test_near_duplicates_on_one_template(spark, monkeypatch, block):
     assert {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in got} == want
 
 
+def swapped_forms(turns):
+    """Two words of a and b, each the other with both letters swapped; sums of powers of an odd base modulo 2^64 are equal on them."""
+    bits = [0]
+    for _ in range(turns):
+        bits += [1 - x for x in bits]
+    return tuple("".join("ab"[x ^ swap] for x in bits) for swap in (0, 1))
+
+
+def test_near_duplicates_of_swapped_forms(spark):
+    """Long words that differ stay apart, alone and inside of texts; equal ones meet."""
+    p, q = swapped_forms(12)
+    rows = [(1, p), (2, q), (3, p), (4, " ".join([p, "x", q])), (5, " ".join([q, "x", p])), (6, q + " x " + p)]
+    got = {x["doc_id"]: x["component_id"] for x in minhash.near_duplicates(docs(spark, rows), size=4).collect()}
+    assert got == {i: c for i, (_, c) in brute_components(rows, 4).items()} == {1: 1, 2: 2, 3: 1, 4: 4, 5: 5, 6: 5}
+
+
+def test_word_hashes():
+    """One hash for each word of any length, wherever it stands, and another one for another seed."""
+    p, q = swapped_forms(12)
+    r = random.Random(8)
+    many = list({"".join(r.choice("ab") for _ in range(n)) for n in (*range(1, 40), 255, 256, 257, 300) for _ in range(20)} | {p, q, p[:256], q[:256]})
+    raw = np.frombuffer(" ".join(many + ["zz", *many]).encode(), np.uint8)
+    codes = [kernels.words(raw, np.array([0, len(raw)]), kernels.SPACES, seed)[0].tolist() for seed in (0, 1)]
+    n = len(many)
+    for c in codes:
+        assert c[:n] == c[n + 1 :] and len(set(c[:n])) == n
+    assert not set(codes[0]) & set(codes[1])
+
+
 def test_components(spark):
     r = random.Random(2)
     links = [(r.randrange(200), r.randrange(200)) for _ in range(150)] + [(i, i + 1) for i in range(300, 340)]
