@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from eventweave.functions.textfuncs import normalize_text
 from eventweave.operators.review import best_candidate_for_set, nearby_conflicts
 
 DAY = "day_id"
@@ -40,12 +41,63 @@ def join_variant(variant: DataFrame, manifest: DataFrame, key: str, path: str) -
     return out.withColumn(path, F.when(bad.isNotNull(), F.raise_error(F.concat(bad, F.lit(": "), F.col(key).cast("string"))).cast("string")).otherwise(F.col(path))).drop("_m")
 
 
-def benchmark_cases(sets: DataFrame, candidates: DataFrame, min_photos: int, max_s: float) -> DataFrame:
-    """Sets with a number and enough photos, their candidate, and a difficulty: conflicts nearby plus the distance in shares of max_s."""
-    able = sets.where(F.col("number").isNotNull() & (F.col("photo_count") >= min_photos))
-    best = best_candidate_for_set(able, candidates, max_s)
-    crowd = nearby_conflicts(able.select(DAY, F.col("set_id").alias("id"), "number", F.col("first_ms").alias("start_ms")), candidates)
-    return able.join(best, [DAY, "set_id"]).join(crowd.select(DAY, F.col("id").alias("set_id"), "conflicts"), [DAY, "set_id"]).withColumn("difficulty", F.col("conflicts") + F.col("distance_s") / max_s).withColumn("case_id", F.concat_ws(":", DAY, "set_id"))
+def benchmark_cases(
+    sets: DataFrame,
+    candidates: DataFrame,
+    segments: DataFrame,
+    ordinals: dict[str, int],
+    min_photos: int,
+    max_s: float,
+    before: int = 2,
+    after: int = 2,
+    trim: bool = True,
+) -> DataFrame:
+    """A case for each set (day_id, set_id, number, photo_count, first_ms) with a number and enough photos whose number a candidate
+    (day_id, stream_id, clip, segment_index, id, number, start_ms) announces within max_s, with the window of segments (day_id, stream_id,
+    clip, segment_index, start_ms, end_ms, text, trigger_types) around it.
+
+    The ordinal that is expected is that of the window's first token in ``ordinals``. The difficulty adds 1 for the number standing in the
+    text, 2 for an ordinal, 1 for a trigger of class ``category``, and the candidates of other numbers near the window's start, 3 at most.
+    Sets without a candidate, and candidates without their segment, make no case."""
+    able = sets.where(F.col("number").isNotNull() & (F.col("photo_count") >= min_photos)).select(DAY, "set_id", "number", "first_ms")
+    best = best_candidate_for_set(able, candidates, max_s).drop("distance_s")
+    said = candidates.select(DAY, F.col("id").alias("c_id"), "stream_id", "clip", "segment_index", F.col("start_ms").alias("said_ms"))
+    windows = case_windows(segments, [DAY, "stream_id", "clip"], before, after, trim)
+    rows = able.join(best, [DAY, "set_id"]).join(said, [DAY, "c_id"]).join(windows, [DAY, "stream_id", "clip", "segment_index"])
+    window_id = F.format_string("%s:%s:%04d:%04d", "stream_id", F.col("clip").cast("string"), "first_index", "last_index")
+    tokens = F.split(normalize_text(F.col("window_text")), " ")
+    named = F.create_map(*(F.lit(x) for pair in ordinals.items() for x in pair))
+    rows = rows.withColumns({
+        "window_id": window_id,
+        "case_id": F.concat_ws(":", DAY, F.col("number").cast("string"), window_id),
+        "expected_ordinal": F.element_at(named, F.get(F.filter(tokens, lambda t: t.isin(*ordinals)), 0)),
+        "anchor_delta_s": F.round((F.col("said_ms") - F.col("first_ms")) / 1000.0, 3),
+        "_plain": F.array_contains(tokens, F.col("number").cast("string")).cast("int") + F.array_contains("trigger_types", "category").cast("int"),
+    })
+    crowd = nearby_conflicts(rows.select(DAY, F.struct("set_id", "case_id").alias("id"), "number", F.col("window_start_ms").alias("start_ms")), candidates)
+    crowd = crowd.select(DAY, "id.set_id", "id.case_id", "conflicts")
+    difficulty = F.col("_plain") + F.when(F.col("expected_ordinal").isNull(), 0).otherwise(2) + F.col("conflicts")
+    return rows.join(crowd, [DAY, "set_id", "case_id"]).withColumn("difficulty", difficulty).drop("_plain", "c_id", "said_ms")
+
+
+def case_windows(segments: DataFrame, clip: list[str], before: int, after: int, trim: bool) -> DataFrame:
+    """For each segment the window of up to ``before`` and ``after`` neighbours: first_index, last_index, window_start_ms, window_end_ms,
+    window_text, trigger_types of the segment itself (``keyword`` if it has none). With ``trim`` it ends at other segments with triggers."""
+    w = Window.partitionBy(*clip).orderBy("segment_index").rowsBetween(-before, after)
+    fired = F.coalesce(F.size("trigger_types") > 0, F.lit(False))
+    one = F.struct(F.col("segment_index").alias("i"), F.col("start_ms").alias("a"), F.col("end_ms").alias("b"), F.trim(F.coalesce("text", F.lit(""))).alias("t"), fired.alias("f"))
+    rows = segments.withColumn("_near", F.collect_list(one).over(w))
+    own = F.col("segment_index")
+    if trim:
+        index = lambda test: F.transform(F.filter("_near", lambda s: s["f"] & test(s["i"])), lambda s: s["i"])
+        rows = rows.withColumns({"_lo": F.array_max(index(lambda i: i < own)), "_hi": F.array_min(index(lambda i: i > own))})
+        inside = lambda s: (F.col("_lo").isNull() | (s["i"] > F.col("_lo"))) & (F.col("_hi").isNull() | (s["i"] < F.col("_hi")))
+        rows = rows.withColumn("_near", F.filter("_near", inside))
+    first, last = F.get("_near", 0), F.element_at("_near", -1)
+    text = F.array_join(F.filter(F.transform("_near", lambda s: s["t"]), lambda t: t != ""), " ")
+    types = F.when(fired, F.col("trigger_types")).otherwise(F.array(F.lit("keyword")))
+    named = {"first_index": first["i"], "last_index": last["i"], "window_start_ms": first["a"], "window_end_ms": last["b"], "window_text": text, "trigger_types": types}
+    return rows.select(*clip, "segment_index", *(c.alias(k) for k, c in named.items()))
 
 
 def any_of(tests: list[Column]) -> Column:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DAY = "day_id"
@@ -109,16 +109,60 @@ def nearby_conflicts(windows: DataFrame, candidates: DataFrame, seconds: float =
     return windows.join(hits, [DAY, "id"], "left").withColumn("conflicts", F.least(F.coalesce("n", F.lit(0).cast("long")), F.lit(cap).cast("long"))).drop("n")
 
 
-def sample_cases(cases: DataFrame, mode: str, per_day: int, seed: int = 0) -> DataFrame:
-    """hardest (by score), random (hash order) or stratified (a third of the quota from each third by difficulty) cases of each day."""
-    h = F.xxhash64(F.lit(seed), "case_id")
-    if mode == "stratified":
-        w, n = Window.partitionBy(DAY).orderBy("difficulty", "case_id"), F.count(F.lit(1)).over(Window.partitionBy(DAY))
-        thirds = cases.withColumn("_t", F.floor((F.row_number().over(w) - 1) * 3 / n))
-        rank = F.row_number().over(Window.partitionBy(DAY, "_t").orderBy(h, "case_id"))
-        return thirds.withColumn("_r", rank).where(F.col("_r") <= F.ceil(F.lit(per_day) / 3)).drop("_t", "_r")
-    order = [F.desc("difficulty"), "case_id"] if mode == "hardest" else [h, "case_id"]
-    return cases.withColumn("_r", F.row_number().over(Window.partitionBy(DAY).orderBy(*order))).where(F.col("_r") <= per_day).drop("_r")
+MODES = ("hardest", "random", "stratified", "range", "list")
+
+
+def sample_cases(
+    cases: DataFrame,
+    mode: str,
+    per_day: int | None = None,
+    seed: int = 0,
+    max_cases: int | None = None,
+    between: tuple[int, int] | None = None,
+    numbers: list[int] | None = None,
+) -> DataFrame:
+    """Cases (day_id, case_id, difficulty, number, start_ms) by one of MODES: hardest first, in hash order, some of each third of a day by
+    difficulty, those with a number in ``between`` by number, or those with one of ``numbers`` in the order of the list.
+
+    Each day gives at most ``per_day`` cases (``list`` ignores it); without it, and with cases of several days, a day's share of max_cases,
+    rounded up. Stratified days take their quota evenly from the thirds, hardest third first, and fill what is missing from the rest in
+    hash order. At most max_cases are returned, in the order of the mode. Hash orders are by MD5 of seed and case_id."""
+    if mode not in MODES:
+        raise ValueError(f"unknown mode: {mode}")
+    if mode == "range":
+        if between is None or between[1] <= between[0]:
+            raise ValueError(f"a range needs two rising numbers: {between}")
+        cases = cases.where(F.col("number").between(*between))
+    if mode == "list":
+        numbers, per_day = list(dict.fromkeys(numbers or [])), None
+        if not numbers:
+            raise ValueError("a list needs numbers")
+        cases = cases.where(F.col("number").isin(numbers))
+    if per_day is None and max_cases is not None:
+        days = cases.agg(F.count_distinct(DAY)).first()[0]
+        per_day = max(1, -(-max_cases // days)) if days > 1 else None
+    dice = F.md5(F.concat_ws(":", F.lit(seed).cast("string"), F.col("case_id").cast("string")))
+    hard, by_time = F.desc("difficulty"), [DAY, "start_ms", "case_id"]
+    place = F.array_position(F.lit(numbers or [0]), F.col("number").cast("int"))
+    whole = {"hardest": [hard, DAY, "number", "case_id"], "random": [dice, "case_id"], "stratified": [hard, *by_time], "range": [DAY, "number", "start_ms", "case_id"], "list": [place, *by_time]}[mode]
+    if per_day is not None:
+        inside = [F.col("_order")] if mode == "stratified" else by_time if mode == "list" else whole
+        rows = _by_thirds(cases, per_day, dice) if mode == "stratified" else cases
+        rank = F.row_number().over(Window.partitionBy(DAY).orderBy(*inside))
+        cases = rows.withColumn("_r", rank).where(F.col("_r") <= per_day).drop("_r", "_order")
+    return cases if max_cases is None else cases.orderBy(*whole).limit(max_cases)
+
+
+def _by_thirds(cases: DataFrame, quota: int, dice: Column) -> DataFrame:
+    """cases and _order: the order in which a day's quota is filled (a day of fewer than three cases has as many parts)."""
+    day = Window.partitionBy(DAY)
+    n, at = F.count(F.lit(1)).over(day), F.row_number().over(day.orderBy(F.desc("difficulty"), "number", "case_id"))
+    rows = cases.withColumn("_n", n).withColumn("_k", F.least("_n", F.lit(3))).withColumn("_t", F.ceil(at * F.col("_k") / F.col("_n")))
+    rows = rows.withColumn("_i", F.row_number().over(Window.partitionBy(DAY, "_t").orderBy(dice, "case_id")))
+    first = F.col("_i") <= F.greatest(F.ceil(F.lit(quota) / F.col("_k")), F.lit(1))
+    rest = F.when(first, F.struct(F.lit(0).alias("late"), F.col("_t").alias("t"), dice.alias("h"), F.col("case_id").alias("id")))
+    order = rest.otherwise(F.struct(F.lit(1).alias("late"), F.lit(0).cast("long").alias("t"), dice.alias("h"), F.col("case_id").alias("id")))
+    return rows.withColumn("_order", order).drop("_n", "_k", "_t", "_i")
 
 
 def normalize_cut_pairs(results: DataFrame, rows: DataFrame) -> DataFrame:

@@ -134,12 +134,97 @@ def validate_checks(spark: SparkSession, sf: str) -> DataFrame:
     return validate.checks(V.read(spark, sf, "events"), "event_id", {"value": F.col("value") >= 20, "type": F.col("event_type").isin("view", "click", "signup")})
 
 
-@query(f"WITH {V.PHOTOS}, r AS (SELECT day_id, photo_id, row_number() OVER (PARTITION BY day_id ORDER BY value DESC, photo_id) AS r FROM photos) SELECT day_id, photo_id FROM r WHERE r <= 5")
+def case_photos(spark: SparkSession, sf: str) -> DataFrame:
+    """Photos as cases: the user is the number, the whole part of the value the difficulty."""
+    columns = [F.col("photo_id").alias("case_id"), F.floor("value").alias("difficulty"), F.col("user_id").alias("number"), F.col("start_epoch_ms").alias("start_ms")]
+    return V.photos(spark, sf).select("day_id", *columns)
+
+
+CASES = V.PHOTOS + ", cases AS (SELECT day_id, photo_id AS case_id, floor(value) AS difficulty, user_id AS number, start_epoch_ms AS start_ms FROM photos)"
+QUOTA = "SELECT greatest(1, ceil(100.0 / count(DISTINCT day_id))) FROM cases"
+BY_DAY = "row_number() OVER (PARTITION BY day_id ORDER BY"
+
+
+@query(f"WITH {V.PHOTOS}, r AS (SELECT day_id, photo_id, {BY_DAY} value DESC, photo_id) AS r FROM photos) SELECT day_id, photo_id FROM r WHERE r <= 5")
 def hardest_cases(spark: SparkSession, sf: str) -> DataFrame:
-    c = V.photos(spark, sf).select("day_id", F.col("photo_id").alias("case_id"), F.col("value").alias("difficulty"))
+    c = V.photos(spark, sf).select("day_id", F.col("photo_id").alias("case_id"), F.col("value").alias("difficulty"), F.lit(0).alias("number"))
     return review.sample_cases(c, "hardest", 5).select("day_id", F.col("case_id").alias("photo_id"))
 
 
+@query(
+    f"""WITH {CASES}, r AS (SELECT *, {BY_DAY} difficulty DESC, number, case_id) AS r FROM cases)
+SELECT day_id, case_id FROM r WHERE r <= ({QUOTA}) ORDER BY difficulty DESC, day_id, number, case_id LIMIT 100"""
+)
+def hardest_of_all_days(spark: SparkSession, sf: str) -> DataFrame:
+    return review.sample_cases(case_photos(spark, sf), "hardest", max_cases=100).select("day_id", "case_id")
+
+
+@query(
+    f"""WITH {CASES}, d AS (SELECT *, md5('7:' || case_id) AS h FROM cases), r AS (SELECT *, {BY_DAY} h, case_id) AS r FROM d)
+SELECT day_id, case_id FROM r WHERE r <= ({QUOTA}) ORDER BY h, case_id LIMIT 100"""
+)
+def random_cases(spark: SparkSession, sf: str) -> DataFrame:
+    return review.sample_cases(case_photos(spark, sf), "random", seed=7, max_cases=100).select("day_id", "case_id")
+
+
+@query(
+    f"""WITH {CASES}, r AS (SELECT *, {BY_DAY} number, start_ms, case_id) AS r FROM cases WHERE number BETWEEN 20 AND 60)
+SELECT day_id, case_id, number FROM r WHERE r <= 6 ORDER BY day_id, number, start_ms, case_id LIMIT 100"""
+)
+def range_cases(spark: SparkSession, sf: str) -> DataFrame:
+    return review.sample_cases(case_photos(spark, sf), "range", per_day=6, max_cases=100, between=(20, 60)).select("day_id", "case_id", "number")
+
+
+@query(
+    f"""WITH {V.PHOTOS}, cases AS (SELECT day_id, photo_id AS case_id, user_id AS number, start_epoch_ms AS start_ms FROM photos WHERE user_id IN (40, 7, 12)),
+r AS (SELECT *, {BY_DAY} start_ms, case_id) AS r FROM cases)
+SELECT day_id, case_id, number FROM r WHERE r <= ({QUOTA}) ORDER BY list_position([40, 7, 12], number), day_id, start_ms, case_id LIMIT 100"""
+)
+def listed_cases(spark: SparkSession, sf: str) -> DataFrame:
+    return review.sample_cases(case_photos(spark, sf), "list", max_cases=100, numbers=[40, 7, 40, 12]).select("day_id", "case_id", "number")
+
+
+@query(
+    f"""WITH {CASES}, p AS (SELECT *, md5('3:' || case_id) AS h, {BY_DAY} difficulty DESC, number, case_id) - 1 AS i, count(*) OVER (PARTITION BY day_id) AS n FROM cases),
+t AS (SELECT *, CASE WHEN i < n // 3 THEN 0 WHEN i < 2 * n // 3 THEN 1 ELSE 2 END AS t FROM p),
+k AS (SELECT *, row_number() OVER (PARTITION BY day_id, t ORDER BY h) AS k FROM t),
+r AS (SELECT *, {BY_DAY} k > 4, CASE WHEN k <= 4 THEN t END, h) AS r FROM k)
+SELECT day_id, case_id FROM r WHERE r <= 10 ORDER BY difficulty DESC, day_id, start_ms, case_id LIMIT 200"""
+)
+def stratified_cases(spark: SparkSession, sf: str) -> DataFrame:
+    """Days of at least three photos have three parts; ten photos of a day are four, four and two of them."""
+    return review.sample_cases(case_photos(spark, sf), "stratified", per_day=10, seed=3, max_cases=200).select("day_id", "case_id")
+
+
+@query(
+    """WITH e AS (SELECT strftime(ts, '%Y%m%d') AS day_id, 'p-' || (user_id % 4)::VARCHAR AS stream_id, user_id AS clip, event_id AS i, epoch_us(ts) // 1000 AS ms, event_type, value,
+  try_cast(regexp_extract(props, '[0-9]+') AS INT) AS number FROM events),
+g AS (SELECT *, event_type || ' numer ' || number::VARCHAR AS text, event_type = 'click' OR value > 30 AS fired, row_number() OVER (PARTITION BY day_id, clip ORDER BY i) AS p FROM e),
+b AS (SELECT *, max(CASE WHEN fired THEN p END) OVER (PARTITION BY day_id, clip ORDER BY p ROWS BETWEEN 2 PRECEDING AND 1 PRECEDING) AS lo,
+  min(CASE WHEN fired THEN p END) OVER (PARTITION BY day_id, clip ORDER BY p ROWS BETWEEN 1 FOLLOWING AND 2 FOLLOWING) AS hi FROM g),
+w AS (SELECT b.day_id, b.clip, b.stream_id, b.i, b.number, b.ms, b.event_type, b.value, min(o.i) AS first_index, max(o.i) AS last_index, min_by(o.ms, o.i) AS window_start_ms, max_by(o.ms, o.i) + 500 AS window_end_ms,
+  string_agg(o.text, ' ' ORDER BY o.i) AS window_text FROM b JOIN g o ON o.day_id = b.day_id AND o.clip = b.clip AND o.p BETWEEN coalesce(b.lo + 1, b.p - 2) AND coalesce(b.hi - 1, b.p + 2) GROUP BY ALL),
+s AS (SELECT day_id, clip AS set_id, count(*) AS n, min(ms) AS first_ms, arg_min(number, i) AS number FROM e GROUP BY ALL),
+c AS (SELECT s.set_id, w.*, round((w.ms - s.first_ms) / 1000.0, 3) AS anchor_delta_s, row_number() OVER (PARTITION BY s.day_id, s.set_id ORDER BY (w.ms > s.first_ms)::INT, abs(w.ms - s.first_ms), w.stream_id, w.i) AS r
+  FROM s JOIN w ON w.day_id = s.day_id AND w.number = s.number AND w.event_type = 'click' AND abs(w.ms - s.first_ms) <= 14400000 WHERE s.n >= 2),
+o AS (SELECT *, CASE list_filter(str_split(window_text, ' '), lambda x: x IN ('signup', 'purchase'))[1] WHEN 'signup' THEN 1 WHEN 'purchase' THEN 2 END AS expected_ordinal FROM c WHERE r = 1)
+SELECT day_id || ':' || number::VARCHAR || ':' || stream_id || ':' || clip::VARCHAR || ':' || printf('%04d', first_index) || ':' || printf('%04d', last_index) AS case_id,
+  set_id, expected_ordinal, anchor_delta_s::DOUBLE AS anchor_delta_s, window_start_ms, window_end_ms, window_text,
+  list_contains(str_split(window_text, ' '), number::VARCHAR)::INT + CASE WHEN expected_ordinal IS NULL THEN 0 ELSE 2 END + (value > 30)::INT
+  + least(3, (SELECT count(*) FROM e x WHERE x.day_id = o.day_id AND x.event_type = 'click' AND x.number <> o.number AND abs(x.ms - o.window_start_ms) <= 90000)) AS difficulty FROM o"""
+)
+def benchmark_cases(spark: SparkSession, sf: str) -> DataFrame:
+    """Users of a day are sets, named by the number of their first event; clicks are candidates; the events of a user are a clip's segments."""
+    number = F.regexp_extract("props", "[0-9]+", 0).try_cast("int")
+    e = V.read(spark, sf, "events").select("props", "event_type", "value", F.col("user_id").alias("clip"), F.col("event_id").alias("segment_index"), timefuncs.epoch_ms("ts").alias("start_ms"), F.date_format("ts", "yyyyMMdd").alias("day_id"), number.alias("number"))
+    e = e.withColumn("stream_id", F.concat(F.lit("p-"), (F.col("clip") % 4).cast("string"))).withColumn("id", F.col("segment_index"))
+    sets = e.groupBy("day_id", F.col("clip").alias("set_id")).agg(F.count(F.lit(1)).alias("photo_count"), F.min("start_ms").alias("first_ms"), F.min_by("number", "segment_index").alias("number"))
+    types = F.array_compact(F.array(F.when(F.col("event_type") == "click", "keyword"), F.when(F.col("value") > 30, "category")))
+    segments = e.withColumns({"text": F.concat("event_type", F.lit(" numer "), F.col("number").cast("string")), "end_ms": F.col("start_ms") + 500, "trigger_types": types})
+    cases = results.benchmark_cases(sets, e.where("event_type = 'click'"), segments, {"signup": 1, "purchase": 2}, 2, 14400)
+    return cases.select("case_id", "set_id", "expected_ordinal", "anchor_delta_s", "window_start_ms", "window_end_ms", "window_text", "difficulty")
+
+
 @query("WITH g AS (SELECT conv_id, role, count(*) AS n, count(DISTINCT text) AS d FROM conversations GROUP BY ALL) SELECT conv_id, role, n, d FROM g")
 def turns_by_role(spark: SparkSession, sf: str) -> DataFrame:
     return V.turns(spark, sf).groupBy("conv_id", "role").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("text").alias("d"))
