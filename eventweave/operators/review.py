@@ -65,9 +65,17 @@ def resolve_selection(selection: DataFrame, photos: DataFrame) -> tuple[DataFram
 
 
 def boundary_diagnostics(segments: DataFrame, scores: DataFrame, top: int = 3) -> DataFrame:
-    """Per segment the score before it, after it, and the largest inner scores (scores has segment_index of its right photo)."""
-    inner = scores.where("not is_cut").groupBy(DAY, "segment_index").agg(F.slice(F.sort_array(F.collect_list(F.struct("boundary_score", "right_photo_id")), False), 1, top).alias("top_internal"))
-    return segments.join(inner, [DAY, "segment_index"], "left")
+    """segments (day_id, segment_index, start_photo_id, end_photo_id) with score_before and score_after, of the pairs around them (null at
+    the ends of a day), and top_internal, the ``top`` largest scores inside. scores (day_id, left_photo_id, right_photo_id, boundary_score,
+    is_cut) has the segment_index of its right photo."""
+    w = Window.partitionBy(DAY, "segment_index").orderBy(F.desc("boundary_score"), "right_photo_id")
+    inner = scores.where("not is_cut").withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= top)
+    largest = F.array_sort(F.collect_list(F.struct("_r", "boundary_score", "left_photo_id", "right_photo_id")))
+    inner = inner.groupBy(DAY, "segment_index").agg(F.transform(largest, lambda s: s.dropFields("_r")).alias("top_internal"))
+    before = scores.select(DAY, F.col("right_photo_id").alias("start_photo_id"), F.col("boundary_score").alias("score_before"))
+    after = scores.select(DAY, F.col("left_photo_id").alias("end_photo_id"), F.col("boundary_score").alias("score_after"))
+    out = segments.join(before, [DAY, "start_photo_id"], "left").join(after, [DAY, "end_photo_id"], "left")
+    return out.join(inner, [DAY, "segment_index"], "left")
 
 
 def merge_review_entries(entries: DataFrame, mapping: DataFrame) -> DataFrame:

@@ -81,16 +81,29 @@ def segment_contiguity(segments: DataFrame, totals: DataFrame, day: str) -> Data
     return out.union(_found(rows.where("_last"), "covered", key, F.col("end_index") != F.col("_photos") - 1, F.concat_ws("/", "end_index", F.col("_photos") - 1)))
 
 
-def candidate_rows(rows: DataFrame, parts: list[str], radius: int) -> DataFrame:
-    """Ids recompute, windows have 2 * radius frames with the centre photos in place and rising times, boundary equals unequal segments."""
+def candidate_rows(rows: DataFrame, radius: int) -> DataFrame:
+    """Rules that candidate rows of a table with 2 * radius frames break, by candidate_id: blank required texts, a radius (of the row, or in
+    the rule's parameters) that isn't the table's, ids of the window unlike those of the frame columns, centre photos out of place, falling
+    times, an id that doesn't recompute from day, centre and rule, unknown splits, a boundary that isn't the inequality of the segments."""
+    size = 2 * radius
+    frame = lambda name: F.array(*(F.col(f"frame_{i:02d}_{name}") for i in range(1, size + 1)))
+    ids, times = frame("photo_id").cast("array<string>"), frame("timestamp")
+    version = F.concat_ws("|", "candidate_rule_version", "candidate_rule_params_json")
+    needed = ("day_id", "candidate_id", "candidate_rule_name", "candidate_rule_version", "center_left_photo_id", "center_right_photo_id", "left_segment_id", "right_segment_id")
+    filled = reduce(Column.__and__, (F.coalesce(F.trim(F.col(c).cast("string")), F.lit("")) != "" for c in needed))
+    center = (F.get(ids, radius - 1) == F.col("center_left_photo_id").cast("string")) & (F.get(ids, radius) == F.col("center_right_photo_id").cast("string"))
     return checks(
         rows,
         "candidate_id",
         {
-            "id": F.col("candidate_id") == candidate_id(*map(F.col, parts)),
-            "size": F.size("frame_ids") == 2 * radius,
-            "center": (F.get("frame_ids", F.lit(radius - 1)) == F.col("left_photo_id")) & (F.get("frame_ids", F.lit(radius)) == F.col("right_photo_id")),
-            "times": F.col("frame_ms") == F.array_sort("frame_ms"),
+            "blank": filled & F.forall(ids, lambda x: F.coalesce(F.trim(x), F.lit("")) != ""),
+            "radius": F.col("window_radius") == radius,
+            "params": F.get_json_object("candidate_rule_params_json", "$.window_radius") == F.col("window_radius").cast("string"),
+            "window": F.col("window_photo_ids").cast("array<string>") == ids,
+            "center": center,
+            "times": reduce(Column.__and__, (F.get(times, i) <= F.get(times, i + 1) for i in range(size - 1))),
+            "id": F.col("candidate_id") == candidate_id(*map(F.col, ("day_id", "center_left_photo_id", "center_right_photo_id")), version),
+            "split": F.coalesce(F.trim("split_name"), F.lit("")).isin("", "train", "validation", "test"),
             "boundary": F.col("boundary") == (F.col("left_segment_id") != F.col("right_segment_id")),
         },
     )

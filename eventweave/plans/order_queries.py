@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from eventweave.operators import boundaries, dataset, order, ranges, validate
+from eventweave.functions import textfuncs
+from eventweave.operators import boundaries, dataset, order, ranges, review, validate
 from eventweave.plans import views as V
 from eventweave.plans.registry import query
 
@@ -184,3 +185,62 @@ def training_view(spark: SparkSession, sf: str) -> DataFrame:
     r4 = lambda c: F.round(c, 4)
     scores = [r4("heuristic_boundary_score_02_03").alias("score_02_03"), r4("heuristic_smoothed_zscore_01_02").alias("smooth_01_02"), F.col("heuristic_boundary_label_03_04").alias("label_03_04")]
     return view.select("candidate_id", "split_name", *dataset.LABELS, "left_kind", "right_kind", *scores, r4("center_gap").alias("center_gap"))
+
+
+@query(
+    f"""WITH {V.SEGMENTS}, inner_ AS (SELECT n.day_id, n.segment_index, l.boundary_score AS s, l.right_photo_id AS r,
+  row_number() OVER (PARTITION BY n.day_id, n.segment_index ORDER BY l.boundary_score DESC, l.right_photo_id) AS k
+  FROM numbered n JOIN labelled l ON l.day_id = n.day_id AND l.right_photo_id = n.photo_id WHERE l.boundary_label = 'none'),
+t AS (SELECT day_id, segment_index, string_agg(r::VARCHAR, ',' ORDER BY k) AS top_photos, max(s) AS top_score FROM inner_ WHERE k <= 3 GROUP BY ALL)
+SELECT g.day_id, g.segment_index, round(b.boundary_score, 6) AS score_before, round(a.boundary_score, 6) AS score_after, round(t.top_score, 6) AS top_score, t.top_photos
+FROM segs g LEFT JOIN labelled b ON b.day_id = g.day_id AND b.right_photo_id = g.start_photo_id LEFT JOIN labelled a ON a.day_id = g.day_id AND a.left_photo_id = g.end_photo_id
+LEFT JOIN t ON t.day_id = g.day_id AND t.segment_index = g.segment_index"""
+)
+def boundary_diagnostics(spark: SparkSession, sf: str) -> DataFrame:
+    """Each segment with the scores before and after it and the three largest ones inside."""
+    scored = V.scores(spark, sf).select("day_id", "left_photo_id", "right_photo_id", "boundary_score", (F.col("boundary_label") != "none").alias("is_cut"))
+    rows = V.photos(spark, sf).select("day_id", "photo_id", "start_epoch_ms").join(scored.select("day_id", F.col("right_photo_id").alias("photo_id"), "is_cut"), ["day_id", "photo_id"], "left")
+    numbered = ranges.running(ranges.with_ranges(rows, order.ORDER), order.ORDER, F.coalesce("is_cut", F.lit(False)).cast("long"), "segment_index")
+    scored = scored.join(numbered.select("day_id", F.col("photo_id").alias("right_photo_id"), "segment_index"), ["day_id", "right_photo_id"])
+    out = review.boundary_diagnostics(V.segments(spark, sf).select("day_id", "segment_index", "start_photo_id", "end_photo_id"), scored)
+    top = F.array_join(F.transform("top_internal", lambda x: x["right_photo_id"].cast("string")), ",")
+    out = out.select("day_id", "segment_index", "score_before", "score_after", F.get("top_internal", 0)["boundary_score"].alias("top_score"), top.alias("top_photos"))
+    return r6(out, "score_before", "score_after", "top_score")
+
+
+@query(
+    f"""WITH {V.PHOTOS}, f AS (SELECT day_id, list({{'p': photo_id, 'ms': start_epoch_ms, 'u': user_id, 'e': event_type, 'v': value}}) OVER (PARTITION BY day_id ORDER BY start_epoch_ms, photo_id ROWS BETWEEN 1 PRECEDING AND 2 FOLLOWING) AS f,
+  (lead(start_epoch_ms) OVER (PARTITION BY day_id ORDER BY start_epoch_ms, photo_id) - start_epoch_ms) / 1000.0 AS gap FROM photos),
+c AS (SELECT *, sha1('["' || day_id || '","' || f[2].p::VARCHAR || '","' || f[3].p::VARCHAR || '","v1|{{\\"window_radius\\":' || CASE WHEN f[3].u % 9 = 0 THEN '3' ELSE '2' END || '}}"]')[1:16] AS key,
+  f[3].ms - floor(f[3].v * 60000)::BIGINT AS late FROM f WHERE gap > {V.GAP} AND len(f) = 4),
+r AS (SELECT key, unnest([CASE WHEN f[3].u % 9 = 0 THEN 'params' END, CASE WHEN f[1].e = 'click' THEN 'window' END, CASE WHEN f[3].e = 'error' THEN 'center' END, CASE WHEN f[3].e = 'error' THEN 'id' END,
+  CASE WHEN NOT (f[1].ms <= f[2].ms AND f[2].ms <= late AND late <= f[4].ms) THEN 'times' END, CASE WHEN f[2].e NOT IN ('view', 'click') THEN 'split' END,
+  CASE WHEN (gap > {2 * V.GAP}) <> (f[2].u <> f[3].u) THEN 'boundary' END]) AS rule FROM c)
+SELECT rule, key, '' AS detail FROM r WHERE rule IS NOT NULL"""
+)
+def candidate_breaks(spark: SparkSession, sf: str) -> DataFrame:
+    """Candidate rows of photos, some with a late clock, a wrong centre, other parameters, a turned window or an unknown split."""
+    frame = F.struct(F.col("photo_id").alias("p"), F.col("start_epoch_ms").alias("ms"), F.col("user_id").alias("u"), F.col("event_type").alias("e"), F.col("value").alias("v"))
+    rows = order.frame_windows(V.photos(spark, sf), 2, V.GAP, frame).where("window_status = 'full'")
+    f = [F.get("frames", i) for i in range(4)]
+    ids = F.array(*(x["p"] for x in f))
+    params = F.concat(F.lit('{"window_radius":'), F.when(f[2]["u"] % 9 == 0, "3").otherwise("2"), F.lit("}"))
+    times = [x["ms"] - F.floor(x["v"] * 60000) if i == 2 else x["ms"] for i, x in enumerate(f)]
+    out = rows.select(
+        "day_id",
+        textfuncs.candidate_id(F.col("day_id"), f[1]["p"], f[2]["p"], F.concat(F.lit("v1|"), params)).alias("candidate_id"),
+        F.lit("gap").alias("candidate_rule_name"),
+        F.lit("v1").alias("candidate_rule_version"),
+        params.alias("candidate_rule_params_json"),
+        F.lit(2).alias("window_radius"),
+        F.when(f[2]["e"] == "error", f[0]["p"]).otherwise(f[1]["p"]).alias("center_left_photo_id"),
+        f[2]["p"].alias("center_right_photo_id"),
+        F.when(f[0]["e"] == "click", F.reverse(ids)).otherwise(ids).alias("window_photo_ids"),
+        *(x["p"].alias(f"frame_{i:02d}_photo_id") for i, x in enumerate(f, 1)),
+        *(x.alias(f"frame_{i:02d}_timestamp") for i, x in enumerate(times, 1)),
+        F.when(f[1]["e"] == "view", "train").when(f[1]["e"] == "click", "").otherwise(f[1]["e"]).alias("split_name"),
+        f[1]["u"].alias("left_segment_id"),
+        f[2]["u"].alias("right_segment_id"),
+        (F.col("center_gap_seconds") > 2 * V.GAP).alias("boundary"),
+    )
+    return validate.candidate_rows(out, 2)

@@ -65,10 +65,28 @@ def discover_media(spark: SparkSession, root: str) -> DataFrame:
     return out.select("relative_path", stream.alias("stream_id"), F.regexp_replace(stream, "^[pv]-", "").alias("device"), kind.alias("media_type"), "actual_size_bytes", "mtime").where("media_type is not null and not relative_path like '%_workspace%'")
 
 
-def read_embeddings(vectors: DataFrame, key: str = "relative_path", vector: str = "embedding") -> DataFrame:
-    """Vectors by key; empty, zero and non-finite ones are an error."""
+def read_embeddings(vectors: DataFrame, key: str = "relative_path", vector: str = "embedding", width: int | None = None) -> DataFrame:
+    """Vectors by key; empty, zero and non-finite ones, and those of another width than the given one, are an error."""
     ok = (F.size(vector) > 0) & finite(F.col(vector)) & (norm(F.col(vector)) > 0)
-    return vectors.withColumn(vector, F.when(F.coalesce(ok, F.lit(False)), F.col(vector)).otherwise(F.raise_error(F.concat(F.lit("bad vector: "), F.col(key).cast("string"))).cast(vectors.schema[vector].dataType)))
+    if width is not None:
+        ok &= F.size(vector) == width
+    message = F.raise_error(F.concat(F.lit("bad vector: "), F.col(key).cast("string"))).cast(vectors.schema[vector].dataType)
+    return vectors.withColumn(vector, F.when(F.coalesce(ok, F.lit(False)), F.col(vector)).otherwise(message))
+
+
+def align_embeddings(vectors: DataFrame, index: DataFrame, key: str = "relative_path") -> DataFrame:
+    """key, row_index, embedding: vectors (row_index, embedding) with the index (row_index, key) of their places. A place that only one of
+    both has, that either has twice, a blank key, and places that don't run from 0 on without a gap, are an error that names the place."""
+    rows = index.groupBy("row_index").agg(F.min(key).alias(key), F.count(F.lit(1)).alias("_n"))
+    found = vectors.groupBy("row_index").agg(F.first("embedding").alias("embedding"), F.count(F.lit(1)).alias("_m"))
+    whole = vectors.agg(F.max("row_index").alias("_last"), F.count_distinct("row_index").alias("_all")).first()
+    both = rows.join(found, "row_index", "full_outer")
+    blank = F.coalesce(F.trim(F.col(key).cast("string")), F.lit("")) == ""
+    gap = (F.col("row_index") < 0) | F.lit(whole["_last"] is not None and whole["_last"] + 1 != whole["_all"])
+    bad = F.when(F.col("row_index").isNull() | gap, "gap").when(F.col("_n").isNull(), "not in the index").when(F.col("_m").isNull(), "no vector")
+    bad = bad.when((F.col("_n") > 1) | (F.col("_m") > 1), "doubled").when(blank, "blank key")
+    error = F.raise_error(F.concat(F.lit("row "), F.coalesce(F.col("row_index").cast("string"), F.lit("?")), F.lit(": "), bad)).cast(index.schema[key].dataType)
+    return read_embeddings(both.select(F.when(bad.isNotNull(), error).otherwise(F.col(key)).alias(key), "row_index", "embedding"), key)
 
 
 def read_transcripts(spark: SparkSession, glob: str) -> DataFrame:
