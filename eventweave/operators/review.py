@@ -56,9 +56,10 @@ def set_stats(photos: DataFrame, gap_s: float = 600) -> DataFrame:
 
 
 def resolve_selection(selection: DataFrame, photos: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Selected rows matched by source path, else by stream and file, distinct paths in order; and the rows without a match."""
-    by_path = photos.select(F.col("source_path").alias("_sp"), F.col("relative_path").alias("_a")).dropDuplicates(["_sp"])
-    by_file = photos.select(F.col("stream_id").alias("_st"), F.col("filename").alias("_fn"), F.col("relative_path").alias("_b")).dropDuplicates(["_st", "_fn"])
+    """Selected rows matched by source path, else by stream and file (of several photos the one with the smallest path), distinct paths in
+    order; and the rows without a match."""
+    by_path = photos.groupBy(F.col("source_path").alias("_sp")).agg(F.min("relative_path").alias("_a"))
+    by_file = photos.groupBy(F.col("stream_id").alias("_st"), F.col("filename").alias("_fn")).agg(F.min("relative_path").alias("_b"))
     out = selection.join(by_path, F.col("source_path") == F.col("_sp"), "left").join(by_file, (F.col("stream_id") == F.col("_st")) & (F.col("filename") == F.col("_fn")), "left").withColumn("relative_path", F.coalesce("_a", "_b"))
     hit = out.where("relative_path is not null").groupBy("relative_path").agg(F.min("order").alias("order"))
     return hit, out.where("relative_path is null").select(*selection.columns)

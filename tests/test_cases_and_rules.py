@@ -131,3 +131,12 @@ def test_vectors_by_position(spark):
             tables.align_embeddings(vectors, index).collect()
     with pytest.raises(Exception, match="bad vector"):
         tables.read_embeddings(spark.createDataFrame([("a", [1.0])], "relative_path string, embedding array<double>"), width=2).collect()
+
+
+def test_selection_takes_the_smallest_path(spark):
+    photos = [("/m/1", "p", "a.jpg", "z/a.jpg"), ("/m/1", "p", "a.jpg", "b/a.jpg"), ("/m/2", "p", "c.jpg", "y/c.jpg"), ("/m/3", "p", "c.jpg", "x/c.jpg")]
+    photos = spark.createDataFrame(photos, "source_path string, stream_id string, filename string, relative_path string").repartition(3)
+    chosen = spark.createDataFrame([("/m/1", "p", "a.jpg", 2), ("/gone", "p", "c.jpg", 1), ("/gone", "q", "c.jpg", 3)], "source_path string, stream_id string, filename string, order int")
+    hit, missed = review.resolve_selection(chosen, photos)
+    assert {r["relative_path"]: r["order"] for r in hit.collect()} == {"b/a.jpg": 2, "x/c.jpg": 1}
+    assert [(r["stream_id"], r["order"]) for r in missed.collect()] == [("q", 3)]
