@@ -202,7 +202,9 @@ def boundary_diagnostics(spark: SparkSession, sf: str) -> DataFrame:
     rows = V.photos(spark, sf).select("day_id", "photo_id", "start_epoch_ms").join(scored.select("day_id", F.col("right_photo_id").alias("photo_id"), "is_cut"), ["day_id", "photo_id"], "left")
     numbered = ranges.running(ranges.with_ranges(rows, order.ORDER), order.ORDER, F.coalesce("is_cut", F.lit(False)).cast("long"), "segment_index")
     scored = scored.join(numbered.select("day_id", F.col("photo_id").alias("right_photo_id"), "segment_index"), ["day_id", "right_photo_id"])
-    out = review.boundary_diagnostics(V.segments(spark, sf).select("day_id", "segment_index", "start_photo_id", "end_photo_id"), scored)
+    at = F.struct("start_epoch_ms", "photo_id")
+    segments = numbered.groupBy("day_id", "segment_index").agg(F.min_by("photo_id", at).alias("start_photo_id"), F.max_by("photo_id", at).alias("end_photo_id"))
+    out = review.boundary_diagnostics(segments, scored)
     top = F.array_join(F.transform("top_internal", lambda x: x["right_photo_id"].cast("string")), ",")
     out = out.select("day_id", "segment_index", "score_before", "score_after", F.get("top_internal", 0)["boundary_score"].alias("top_score"), top.alias("top_photos"))
     return r6(out, "score_before", "score_after", "top_score")
