@@ -485,6 +485,15 @@ def test_kneser_ney_brute(spark):
         assert abs(model.word_ratios(low, np.array([0]), np.array([len(w)]))[0] - want) < 1e-3
 
 
+@pytest.mark.parametrize("rows", [[], [(1, "vile " * 300_000), (2, "calm"), (2, "calm"), (None, None)]])
+def test_toxicity_in_awkward_tables(spark, rows):
+    d = docs(spark, rows)
+    marks = spark.createDataFrame([(1, 1, 1), (2, 0, 0), (2, 0, 0), (None, 1, 1)], "doc_id long, quality int, toxic int").selectExpr("*", "'y' as text")
+    got = toxicity.score(d, toxicity.train(d, marks)).collect()
+    assert sorted(str(x["doc_id"]) for x in got) == sorted(str(i) for i, _ in rows) and all(0 <= x["score"] <= 1 for x in got)
+    assert len({x["score"] for x in got if x["doc_id"] == 2}) <= 1
+
+
 def test_toxicity_without_labels(spark):
     d, marks, _ = labelled(spark, 30)
     model = toxicity.train(d, marks.where("doc_id < 0"))
@@ -501,6 +510,32 @@ def test_language(spark):
     assert {x["lang_pred"] for x in langid.predict(d, []).collect()} == {"und"}
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test tables")
+def test_language_on_held_out_rows(spark):
+    sf = "/root/testdata/sf0.01"
+    real = spark.read.parquet(f"{sf}/documents.parquet").where("lang is not null and text is not null").select("doc_id", "lang")
+    got = langid.op8_language(spark, sf).join(real, "doc_id").where("held_out and lang_pred <> 'und'").select((F.col("lang") == F.col("lang_pred")).alias("right")).collect()
+    assert len(got) > 200 and np.mean([x["right"] for x in got]) >= 0.98
+
+
+def test_language_in_awkward_tables(spark):
+    long = "straße und haus " * 100_000
+    rows = [(1, long, "de"), (1, long, "de"), (2, "lorem dolor amet", "la"), (3, "straße und haus", "de"), (4, "lorem dolor amet", "zz")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string").selectExpr("*", "'x' as lang_pred", "9.0 as score", "1 as code")
+    got = langid.predict(d, langid.learn(d)).collect()
+    assert [x["lang_pred"] for x in got if x["doc_id"] in (1, 3)] == ["de"] * 3
+    assert {x["lang_pred"] for x in got if x["doc_id"] in (2, 4)} == {"la"}  # equal profiles: the first by name
+    assert len(got) == 5 and all(0 <= x["score"] <= 1 for x in got)
+    assert langid.predict(d.where("doc_id < 0"), langid.learn(d.where("doc_id < 0"))).count() == 0
+
+
+def test_quality_of_long_and_repeated_rows(spark):
+    d = docs(spark, [(1, "fine words " * 200_000), (2, "other words"), (2, "other words"), (None, None)])
+    out = quality.resampled(d, d.where("doc_id = 1").select("doc_id", "text"), 0.5).collect()
+    assert len(out) == 4 and sum(x["selected"] for x in out) == 2 and not any(math.isnan(x["key"]) for x in out)
+    assert len({x["key"] for x in out if x["doc_id"] == 2}) == 1
+
+
 def test_quality(spark):
     d, marks, _ = labelled(spark, 400)
     target = d.join(marks, "doc_id").where("quality = 1").select("doc_id", "text")
