@@ -12,8 +12,8 @@ if one of those other places comes before it. No machine holds one suffix array
 3. A group sorts its surroundings by the bytes after the anchor and by those before it, read backwards, with the length of the common
    prefix of neighbours. That gives the order of the suffixes that begin any number of bytes before the anchor: by the bytes before
    it, then by the order after it. In this order the previous and the next smaller place, inside a run of suffixes that have ``length``
-   bytes in common, are the nearest earlier matches; where there is one, the longest previous factor reaches ``length``. Bytes are
-   compared, not hashes.
+   bytes in common, are the nearest earlier matches; where there is one, the longest previous factor reaches ``length``. The same with
+   the places reversed gives the matches that come after, which the first copy has. Bytes are compared, not hashes.
 4. The spans go back to the documents, are united, and are cut out of the texts.
 
 ``keep_first`` True removes only what has an earlier match (in order of doc_id, then place), so one copy stays; False removes all
@@ -308,9 +308,9 @@ def ranked_groups(cut: DataFrame, length: int) -> DataFrame:
             order = np.argsort((far * m + prefix) * m + at_right[own])  # suffix order for each number of bytes before the anchor
             prefix, rest, far = prefix[order], rest[order], far[order]
             begins = np.concatenate(([True], (far[1:] != far[:-1]) | (prefix[1:] != prefix[:-1]) | (rest[1:] != rest[:-1])))
-            alike = np.diff(np.append(np.flatnonzero(begins), len(begins)))[np.cumsum(begins) - 1]
-            repeated[k[order]] |= alike > 1
-            later[k[order]] = earlier_matches(place[own][order], begins)
+            earlier = earlier_matches(place[own][order], begins)
+            later[k[order]] = earlier
+            repeated[k[order]] |= earlier | earlier_matches(-place[own][order], begins)  # in reversed places: a match that comes after
         spans, after = runs_of(repeated, row, delta, len(g)), runs_of(later, row, delta, len(g))
         keep = pa.array([bool(x) for x in spans])
         out = pa.RecordBatch.from_arrays([pa.array(g), pa.array(c), pa.array(doc), pa.array(at), pa.array(spans, pa.list_(pa.int32())), pa.array(after, pa.list_(pa.int32()))], names=result)
