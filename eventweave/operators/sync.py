@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -22,79 +20,241 @@ def _bucketed(df: DataFrame, start: str, end: str, bucket_ms: int) -> DataFrame:
     return df.withColumn("b", F.explode(F.sequence(F.floor(F.col(start) / bucket_ms), F.floor(F.col(end) / bucket_ms))))
 
 
-#: Pairs of clips that are looked at in one vectorised step.
+#: Clips whose counts are looked up in one vectorised step.
 STEP = 1 << 20
 
 
-def _pair_steps(ref: dict[str, np.ndarray], other: dict[str, np.ndarray], least_ms: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """reference place, other place, midpoint, overlap of all pairs that overlap by least_ms, in steps of bounded size.
-
-    Both sides are sorted by start. The others that can meet a reference clip begin before its end, and after its start less the longest
-    other clip, so they are a run of places found by bisection."""
-    longest = int((other["end"] - other["start"]).max(initial=0))
-    lo = np.searchsorted(other["start"], ref["start"] - longest, "left")
-    hi = np.maximum(np.searchsorted(other["start"], ref["end"], "right"), lo)
-    many = hi - lo
-    total = np.concatenate(([0], np.cumsum(many)))
-    at = 0
-    while at < len(many):
-        stop = max(at + 1, int(np.searchsorted(total, total[at] + STEP, "right")) - 1)
-        i = np.repeat(np.arange(at, stop), many[at:stop])
-        j = lo[i] + np.arange(len(i)) - (total[i] - total[at])
-        start, end = np.maximum(ref["start"][i], other["start"][j]), np.minimum(ref["end"][i], other["end"][j])
-        ok = end - start >= least_ms
-        yield i[ok], j[ok], start[ok] + (end[ok] - start[ok]) // 2, end[ok] - start[ok]
-        at = stop
+class Ends:
+    """The ends of clips in order of their starts, as a wavelet matrix: for any number of first clips, how many of their ends are under a
+    limit, and the k-th smallest of them, in as many steps as an end's number has bits."""
+
+    def __init__(self, end: np.ndarray) -> None:
+        self.values, code = np.unique(end, return_inverse=True)
+        self.zeros: list[np.ndarray] = []
+        for bit in reversed(range(len(self.values).bit_length())):
+            one = (code >> bit & 1).astype(bool)
+            self.zeros.append(np.concatenate(([0], np.cumsum(~one))))
+            code = np.concatenate((code[~one], code[one]))
+
+    def _walk(self, first: np.ndarray, code: np.ndarray | None, k: np.ndarray | None) -> np.ndarray:
+        """Down the bits of code, counting the ends under it; without a code, along those of the k-th smallest end, which is the result."""
+        low, high, out = np.zeros(len(first), np.int64), first, np.zeros(len(first), np.int64)
+        for level, zeros in enumerate(self.zeros):
+            bit = len(self.zeros) - 1 - level
+            a, b = zeros[low], zeros[high]
+            if code is not None:
+                up = (code >> bit & 1).astype(bool)
+                out += np.where(up, b - a, 0)
+            else:
+                up = k >= b - a
+                k = np.where(up, k - (b - a), k)
+                out |= up.astype(np.int64) << bit
+            low, high = np.where(up, zeros[-1] + low - a, a), np.where(up, zeros[-1] + high - b, b)
+        return out
+
+    def under(self, first: np.ndarray, limit: np.ndarray) -> np.ndarray:
+        """Of the first so many clips, the number of ends under the limit."""
+        code = np.searchsorted(self.values, limit)
+        return np.concatenate([np.zeros(0, np.int64), *(self._walk(first[k : k + STEP], code[k : k + STEP], None) for k in range(0, len(first), STEP))])
+
+    def kth(self, first: np.ndarray, k: np.ndarray) -> np.ndarray:
+        """Of the first so many clips, the k-th smallest end (0: the smallest)."""
+        return self.values[np.concatenate([np.zeros(0, np.int64), *(self._walk(first[j : j + STEP], None, k[j : j + STEP]) for j in range(0, len(first), STEP))])]
+
+
+class Crossing:
+    """Pairs of a reference clip and another one that began by then and ends first. What is asked of the other clip's end is an interval,
+    so the pairs of a reference clip are counted without looking at them. Pairs that cross the other way are these with time turned round."""
+
+    def __init__(self, start: np.ndarray, end: np.ndarray, other_start: np.ndarray, other_end: np.ndarray, least: int) -> None:
+        order = np.argsort(other_start, kind="stable")
+        self.start, self.end, self.least = start, end, start + least
+        self.ends = Ends(other_end[order])
+        self.first = np.searchsorted(other_start[order], start, "right")
+        self.all_under = self.ends.under(self.first, end)
+        self.short = np.minimum(self.ends.under(self.first, self.least), self.all_under)
+
+    def upto(self, limit: int) -> int:
+        """Pairs whose start and end add up to the limit at most."""
+        return int((np.clip(self.ends.under(self.first, limit - self.start + 1), self.short, self.all_under) - self.short).sum())
+
+    def bounds(self, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
+        lower = np.maximum(self.least, low - self.start)
+        return lower, np.maximum(np.minimum(self.end, high - self.start + 1), lower)
+
+    def counts(self, low: int, high: int) -> np.ndarray:
+        """For each reference clip its pairs whose start and end add up to low to high."""
+        lower, upper = self.bounds(low, high)
+        return self.ends.under(self.first, upper) - self.ends.under(self.first, lower)
+
+    def longest(self, low: int, high: int) -> np.ndarray:
+        """For each reference clip the longest overlap among these pairs (-1: none)."""
+        lower, upper = self.bounds(low, high)
+        n, out = self.ends.under(self.first, upper), np.full(len(self.start), -1)
+        some = np.flatnonzero(n)
+        if len(some):
+            last = self.ends.kth(self.first[some], n[some] - 1)
+            out[some] = np.where(last >= lower[some], last - self.start[some], -1)
+        return out
+
+
+#: Beyond all sums of two times.
+FAR = 1 << 60
+
+
+class Pairs:
+    """The pairs of reference and other clips that overlap by least_ms, in order of midpoint, reference and other id, without a list of them.
+
+    A pair's overlap begins with one of its clips and ends with one, which makes four kinds: either clip inside the other (midpoint and
+    length are those of the inner clip), and two ways to cross. Twice the midpoint is the sum of the overlap's start and end."""
+
+    def __init__(self, ref: dict[str, np.ndarray], other: dict[str, np.ndarray], least_ms: int) -> None:
+        # an overlap is no longer than either clip
+        ref, other = ({k: v[x["end"] - x["start"] >= least_ms] for k, v in x.items()} for x in (ref, other))
+        self.ref, self.other, self.least = ref, other, least_ms
+        self.cross = Crossing(ref["start"], ref["end"], other["start"], other["end"], least_ms)
+        self.turned = Crossing(-ref["end"], -ref["start"], -other["end"], -other["start"], least_ms)
+        #: Others around each reference clip, and references that reach beyond each other clip on both sides.
+        self.around = self.cross.first - self.cross.all_under
+        self.outside = self._beyond(np.arange(len(ref["start"])), np.arange(len(other["start"])))
+        self.inner = {k: (x["start"] + x["end"], n) for k, x, n in (("ref", ref, self.around), ("other", other, self.outside))}
+        self.sorted = []
+        for sums, n in self.inner.values():
+            order = np.argsort(sums, kind="stable")
+            self.sorted.append((sums[order], np.concatenate(([0], np.cumsum(n[order])))))
+        self.known: dict[int, int] = {}
+
+    def _beyond(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """For each of the other clips j, how many of the reference clips i reach beyond it on both sides."""
+        a, b = {k: v[i] for k, v in self.ref.items()}, {k: v[j] for k, v in self.other.items()}
+        order = np.argsort(a["start"], kind="stable")
+        first = np.searchsorted(a["start"][order], b["start"], "left")
+        return first - Ends(a["end"][order]).under(first, b["end"] + 1)
+
+    def _within(self, j: np.ndarray) -> np.ndarray:
+        """For each reference clip, how many of the other clips j lie inside it."""
+        b = {k: v[j] for k, v in self.other.items()}
+        order = np.argsort(b["start"], kind="stable")
+        ends, n = Ends(b["end"][order]), len(self.ref["start"])
+        return ends.under(np.full(n, len(j)), self.ref["end"]) - ends.under(np.searchsorted(b["start"][order], self.ref["start"], "right"), self.ref["end"])
+
+    def upto(self, mid: int) -> int:
+        """Pairs with a midpoint of mid at most."""
+        if mid not in self.known:
+            limit = 2 * mid + 1
+            inner = sum(int(n[np.searchsorted(sums, limit, "right")]) for sums, n in self.sorted)
+            turned = int((self.turned.all_under - self.turned.short).sum()) - self.turned.upto(-limit - 1)
+            self.known[mid] = inner + self.cross.upto(limit) + turned
+        return self.known[mid]
+
+    def midpoint(self, rank: int, low: int, high: int) -> int:
+        """The midpoint of the pair with this rank; it lies above low and not above high. Steps go by the counts and by halves in turn."""
+        for mid, n in self.known.items():
+            low, high = (max(low, mid), high) if n <= rank else (low, min(high, mid))
+        halve = False
+        while high - low > 1:
+            a, b = self.known.get(low, 0), self.upto(high)
+            mid = (low + high) // 2 if halve else low + int((high - low) * (rank + 0.5 - a) / max(b - a, 1))
+            mid, halve = min(max(mid, low + 1), high - 1), not halve
+            low, high = (mid, high) if self.upto(mid) <= rank else (low, mid)
+        return high
+
+    def row(self, i: int, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
+        """The other clips that pair with reference clip i, with sums of low to high, and the overlaps."""
+        start, end = np.maximum(self.ref["start"][i], self.other["start"]), np.minimum(self.ref["end"][i], self.other["end"])
+        j = np.flatnonzero((end - start >= self.least) & (start + end >= low) & (start + end <= high))
+        return j, (end - start)[j]
+
+    def at(self, rank: int, low: int, high: int) -> tuple[int, int, int]:
+        """Midpoint and ids' ranks of the pair with this rank."""
+        mid = self.midpoint(rank, low, high)
+        sums = (2 * mid, 2 * mid + 1)
+        own = (self.inner["ref"][0] >= sums[0]) & (self.inner["ref"][0] <= sums[1])
+        inside = np.flatnonzero((self.inner["other"][0] >= sums[0]) & (self.inner["other"][0] <= sums[1]))
+        n = np.where(own, self.around, 0) + self._within(inside) + self.cross.counts(*sums) + self.turned.counts(-sums[1], -sums[0])
+        order = np.argsort(self.ref["rank"])
+        total, left = np.cumsum(n[order]), rank - self.upto(mid - 1)
+        k = int(np.searchsorted(total, left, "right"))
+        i = int(order[k])
+        ids = np.sort(self.other["rank"][self.row(i, *sums)[0]])
+        return mid, int(self.ref["rank"][i]), int(ids[left - (int(total[k - 1]) if k else 0)])
+
+    def best(self, low: int, high: int, allowed: np.ndarray) -> list[tuple[int, int, int, int]]:
+        """The longest pair of the allowed reference clips with sums of low to high, ties by ids (as ``listed`` gives it; none: empty)."""
+        own, n = self.inner["ref"]
+        length = np.where((own >= low) & (own <= high) & (n > 0), self.ref["end"] - self.ref["start"], -1)
+        length = np.maximum(length, np.maximum(self.cross.longest(low, high), self.turned.longest(-high, -low)))
+        length[~allowed] = -1
+        sums, n = self.inner["other"]
+        inside = np.flatnonzero((sums >= low) & (sums <= high) & (n > 0))
+        if len(inside) and not allowed.all():
+            inside = inside[self._beyond(np.flatnonzero(allowed), inside) > 0]
+        inner = (self.other["end"] - self.other["start"])[inside]
+        most = max(int(length.max(initial=-1)), int(inner.max(initial=-1)))
+        if most < 0:
+            return []
+        holds = length == most
+        if (inner == most).any():
+            holds |= allowed & (self._within(inside[inner == most]) > 0)
+        i = np.flatnonzero(holds)
+        i = int(i[self.ref["rank"][i].argmin()])
+        return self.listed(i, *self.row(i, low, high))
+
+    def listed(self, i: int, j: np.ndarray, length: np.ndarray) -> list[tuple[int, int, int, int]]:
+        """Of the pairs of one reference clip the longest: -overlap, ranks of both ids, midpoint (a list of one, or none)."""
+        if not len(j):
+            return []
+        k = np.lexsort((self.other["rank"][j], -length))[0]
+        lo = max(int(self.ref["start"][i]), int(self.other["start"][j[k]]))
+        return [(-int(length[k]), int(self.ref["rank"][i]), int(self.other["rank"][j[k]]), lo + int(length[k]) // 2)]
+
+    def share(self, begin: tuple[int, int, int] | None, stop: tuple[int, int, int] | None) -> tuple[int, int, int, int]:
+        """The longest pair from the one at ``begin`` to that before ``stop``, in order of midpoint and ids."""
+        rank, found = self.ref["rank"], []
+        after = -FAR if begin is None else 2 * begin[0] + 2
+        until = FAR if stop is None else 2 * stop[0] - 1
+        if after <= until:
+            found += self.best(after, until, np.ones(len(rank), bool))
+        for mid in sorted({x[0] for x in (begin, stop) if x is not None}):
+            a = begin[1:] if begin is not None and begin[0] == mid else None
+            b = stop[1:] if stop is not None and stop[0] == mid else None
+            allowed = np.ones(len(rank), bool) if a is None else rank > a[0]
+            if b is not None:
+                allowed &= rank < b[0]
+            found += self.best(2 * mid, 2 * mid + 1, allowed)
+            for edge in {x[0] for x in (a, b) if x is not None}:
+                i = int(np.flatnonzero(rank == edge)[0])
+                j, length = self.row(i, 2 * mid, 2 * mid + 1)
+                key = self.other["rank"][j]
+                ok = np.ones(len(j), bool)
+                if a is not None:
+                    ok &= (edge > a[0]) | (key >= a[1])
+                if b is not None:
+                    ok &= (edge < b[0]) | (key < b[1])
+                found += self.listed(i, j[ok], length[ok])
+        return min(found)
 
 
 def _chosen(ref: dict[str, np.ndarray], other: dict[str, np.ndarray], least_ms: int, shares: int) -> list[tuple[int, int, int, int]]:
-    """The longest pair of each of ``shares`` equal shares of the pairs in order of their midpoints (or all pairs, if there are no more).
-
-    Ranks come from counts of midpoint buckets and prefix sums: only the pairs in the buckets where a share begins are put in order."""
-    bins = 1 << 14
-    low, high = int(min(ref["start"].min(), other["start"].min())), int(max(ref["end"].max(), other["end"].max())) + 1
-    counts = np.zeros(bins, np.int64)
-    for _, _, mid, _ in _pair_steps(ref, other, least_ms):
-        counts += np.bincount((mid - low) * bins // (high - low), minlength=bins)
-    before = np.concatenate(([0], np.cumsum(counts)))
-    n = int(before[-1])
+    """The longest pair of each of ``shares`` equal shares of the pairs in order of their midpoints (or all pairs, if there are no more):
+    ranks of both ids, midpoint, overlap. Pairs are counted, not listed, so the work grows with the clips and not with the pairs."""
+    pairs = Pairs(ref, other, least_ms)
+    low, high = int(min(ref["start"].min(), other["start"].min())) - 1, int(max(ref["end"].max(), other["end"].max())) + 1
+    n = pairs.upto(high)
     if not n:
         return []
     # the first rank of each share but the first; fewer pairs than shares are a share each
-    firsts = np.arange(1, n) if n <= shares else -(-np.arange(1, shares) * n // shares)
-    where = np.searchsorted(before, firsts, "right") - 1
-    wanted = np.zeros(bins, bool)
-    wanted[where] = True
-    edge = [x for step in _pair_steps(ref, other, least_ms) for x in [np.stack(step[:3])[:, wanted[(step[2] - low) * bins // (high - low)]]] if x.shape[1]]
-    limits: list[tuple[int, int, int]] = []
-    if edge:
-        i, j, mid = np.concatenate(edge, 1)
-        order = np.lexsort((other["rank"][j], ref["rank"][i], mid))
-        i, j, mid = i[order], j[order], mid[order]
-        bucket = (mid - low) * bins // (high - low)
-        for rank, b in zip(firsts.tolist(), where.tolist(), strict=True):
-            k = int(np.searchsorted(bucket, b)) + rank - int(before[b])
-            limits.append((int(mid[k]), int(ref["rank"][i[k]]), int(other["rank"][j[k]])))
-    best: dict[int, tuple] = {}
-    for i, j, mid, length in _pair_steps(ref, other, least_ms):
-        a, b = ref["rank"][i], other["rank"][j]
-        share = np.zeros(len(i), np.int64)
-        for m, x, y in limits:
-            share += (mid > m) | ((mid == m) & ((a > x) | ((a == x) & (b >= y))))
-        order = np.lexsort((b, a, -length, share))
-        first = order[np.concatenate(([True], share[order][1:] != share[order][:-1]))] if len(order) else order
-        for k in first.tolist():
-            found = (-int(length[k]), int(a[k]), int(b[k]), int(i[k]), int(j[k]), int(mid[k]))
-            best[int(share[k])] = min(best.get(int(share[k]), found), found)
-    return [(f[3], f[4], f[5], -f[0]) for _, f in sorted(best.items())]
+    firsts = range(1, n) if n <= shares else [-(-k * n // shares) for k in range(1, shares)]
+    limits = [None, *(pairs.at(rank, low, high) for rank in firsts), None]
+    return [(a, b, mid, -length) for length, a, b, mid in (pairs.share(*x) for x in zip(limits, limits[1:], strict=False))]
 
 
 def overlap_pairs(clips: DataFrame, reference: DataFrame, min_overlap_s: float = 1, max_pairs: int = 6) -> DataFrame:
     """Overlapping clips of the reference and each other stream of a day. With more than max_pairs, the pairs in time order are dealt to
     max_pairs equal shares and the longest overlap of each stays.
 
-    A task holds the clips of two streams of one day (a camera takes one clip at a time, so these are bounded by the day), and looks at
-    their pairs in steps; no row is made for a pair that is not chosen."""
+    A task holds the clips of two streams of one day, counts their pairs by bisection and finds the longest ones without a list of them;
+    no row is made for a pair that is not chosen."""
     least_ms = int(np.ceil(min_overlap_s * 1000))
     side = clips.join(reference, DAY).select(DAY, "stream_id", "clip_id", "start_ms", "end_ms", "reference_stream_id")
     others = side.where("stream_id <> reference_stream_id").drop("reference_stream_id")
@@ -103,11 +263,8 @@ def overlap_pairs(clips: DataFrame, reference: DataFrame, min_overlap_s: float =
     given = ref.join(streams, DAY).select(F.col(DAY).alias("_day"), F.col("stream_id").alias("_stream"), "ref_clip", "rs", "re")
 
     def arrays(pdf: pd.DataFrame, clip: str, start: str, end: str) -> tuple[dict[str, np.ndarray], np.ndarray]:
-        pdf = pdf.dropna(subset=[start, end]).sort_values([start, clip])
-        ids = pdf[clip].to_numpy()
-        rank = np.empty(len(ids), np.int64)
-        rank[np.argsort(ids, kind="stable")] = np.arange(len(ids))
-        return {"start": pdf[start].to_numpy(np.int64), "end": pdf[end].to_numpy(np.int64), "rank": rank}, ids
+        pdf = pdf.dropna(subset=[start, end]).sort_values([clip, start])
+        return {"start": pdf[start].to_numpy(np.int64), "end": pdf[end].to_numpy(np.int64), "rank": np.arange(len(pdf))}, pdf[clip].to_numpy()
 
     def pick(key: tuple, own: pd.DataFrame, there: pd.DataFrame) -> pd.DataFrame:
         a, a_ids = arrays(there, "ref_clip", "rs", "re")

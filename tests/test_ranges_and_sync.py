@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import random
+import time
 
 import numpy as np
 import pytest
@@ -145,6 +146,15 @@ def test_overlap_pairs_brute(spark, monkeypatch, seed, n, span, step):
     assert got == brute_pairs(clips, "v1", 0.2, 6)
 
 
+def test_overlap_pairs_of_many_clips_are_counted_not_listed():
+    """900 million pairs of one midpoint and length: the shares begin at known ids, and no step looks at all pairs."""
+    n, began = 30_000, time.process_time()
+    clips = {"start": np.zeros(n, np.int64), "end": np.full(n, 10_000), "rank": np.arange(n)}
+    firsts = [-(-k * n * n // 6) for k in range(6)]
+    assert sync._chosen(clips, clips, 1000, 6) == [(f // n, f % n, 5000, 10_000) for f in firsts]
+    assert time.process_time() - began < 20
+
+
 def test_sync_map_finds_clocks(spark):
     """Three cameras hear one signal; clocks are late by known seconds. A flat clip, one without loudness and a short overlap are errors."""
     rate, r = 2.0, np.random.default_rng(5)
