@@ -67,11 +67,18 @@ def unassigned_with_neighbors(photos: DataFrame, assigned: DataFrame, timeline:
 
 
 def asof_announcement(sets: DataFrame, candidates: DataFrame) -> DataFrame:
-    """For each set the last candidate of its number that starts by the set's start, else the first candidate."""
-    c = F.struct("c_start", "c_id")
-    joined = sets.join(candidates.select(DAY, "number", F.col("start_ms").alias("c_start"), F.col("id").alias("c_id")), [DAY, "number"])
-    upto = F.max(F.when(F.col("c_start") <= F.col("set_start_ms"), c))
-    return joined.groupBy(DAY, "set_id").agg(F.coalesce(upto, F.min(c)).alias("c")).select(DAY, "set_id", F.col("c.c_id").alias("candidate_id"), F.col("c.c_start").alias("candidate_start_ms"))
+    """For each set the last candidate of its number that starts by the set's start, else the first candidate. Sets and candidates of a
+    number stand in one order of time, so no row is made for a pair of them."""
+    c = F.struct(F.col("t").alias("c_start"), F.col("id").alias("c_id"))
+    said = candidates.select(DAY, "number", F.col("start_ms").alias("t"), F.lit(0).alias("kind"), "id", F.lit(None).cast(sets.schema["set_id"].dataType).alias("set_id"))
+    begun = sets.select(DAY, "number", F.col("set_start_ms").alias("t"), F.lit(1).alias("kind"), F.lit(None).cast(candidates.schema["id"].dataType).alias("id"), "set_id")
+    rows = said.unionByName(begun).where(F.col(DAY).isNotNull() & F.col("number").isNotNull()).withColumn("c", F.when(F.col("kind") == 0, c))
+    w = Window.partitionBy(DAY, "number")
+    # a candidate without a start is by no set's start, but may be the first
+    upto = F.last(F.when(F.col("t").isNotNull(), F.col("c")), True).over(w.orderBy("t", "kind", "id").rowsBetween(Window.unboundedPreceding, 0))
+    found = rows.withColumns({"upto": upto, "first": F.min("c").over(w)}).where("kind = 1 and first is not null")
+    found = found.groupBy(DAY, "set_id").agg(F.coalesce(F.max("upto"), F.min("first")).alias("c"))
+    return found.select(DAY, "set_id", F.col("c.c_id").alias("candidate_id"), F.col("c.c_start").alias("candidate_start_ms"))
 
 
 def review_margin(assigned: DataFrame, margin_s: float = 30) -> DataFrame:
