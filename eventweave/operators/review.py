@@ -100,12 +100,23 @@ def presence_flags(sets: DataFrame, files: DataFrame) -> DataFrame:
 
 
 def best_candidate_for_set(sets: DataFrame, candidates: DataFrame, max_s: float) -> DataFrame:
-    """The candidate of the set's number within max_s of its first photo: not-later ones first, then the nearest, then by stream and id."""
-    c = candidates.select(DAY, "number", F.col("start_ms").alias("c_start"), "stream_id", F.col("id").alias("c_id"))
-    delta = (F.col("c_start") - F.col("first_ms")) / 1000.0
-    hits = sets.join(c, [DAY, "number"]).where(F.abs(delta) <= max_s)
-    rank = F.row_number().over(Window.partitionBy(DAY, "set_id").orderBy((delta > 0).cast("int"), F.abs(delta), "stream_id", "c_id"))
-    return hits.withColumn("distance_s", F.abs(delta)).withColumn("r", rank).where("r = 1").select(DAY, "set_id", "c_id", "distance_s")
+    """The candidate of the set's number within max_s of its first photo: not-later ones first, then the nearest, then by stream and id.
+
+    Sets and candidates of a number stand in one order of time, once forwards (the last candidate by then) and once backwards (the next
+    one), so no row is made for a pair of them."""
+    none = {c: F.lit(None).cast(candidates.schema[c].dataType).alias(c) for c in ("stream_id", "id")}
+    said = candidates.select(DAY, "number", F.col("start_ms").alias("t"), F.lit(0).alias("kind"), "stream_id", "id", F.lit(None).cast(sets.schema["set_id"].dataType).alias("set_id"))
+    begun = sets.select(DAY, "number", F.col("first_ms").alias("t"), F.lit(1).alias("kind"), *none.values(), "set_id")
+    rows = said.unionByName(begun).where(F.col(DAY).isNotNull() & F.col("number").isNotNull() & F.col("t").isNotNull())
+    rows = rows.withColumn("_c", F.when(F.col("kind") == 0, F.struct("t", "stream_id", "id")))
+    w = Window.partitionBy(DAY, "number")
+    order = {"_back": ("t", "kind"), "_next": (F.desc("t"), F.desc("kind"))}
+    sides = {k: F.last("_c", True).over(w.orderBy(*by, F.desc("stream_id"), F.desc("id")).rowsBetween(Window.unboundedPreceding, 0)) for k, by in order.items()}
+    delta = lambda c: (c["t"] - F.col("t")) / 1000.0
+    near = lambda k: F.when(F.abs(delta(F.col(k))) <= max_s, F.struct((delta(F.col(k)) > 0).alias("later"), F.abs(delta(F.col(k))).alias("distance_s"), F.col(k)["stream_id"].alias("stream_id"), F.col(k)["id"].alias("c_id")))
+    found = rows.withColumns(sides).where("kind = 1").select(DAY, "set_id", F.coalesce(near("_back"), near("_next")).alias("_f"))
+    best = found.where("_f is not null").groupBy(DAY, "set_id").agg(F.min("_f").alias("_f"))
+    return best.select(DAY, "set_id", F.col("_f.c_id").alias("c_id"), F.col("_f.distance_s").alias("distance_s"))
 
 
 def nearby_conflicts(windows: DataFrame, candidates: DataFrame, seconds: float = 90, cap: int = 3) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import random
 
-from eventweave.operators import timeline
+from eventweave.operators import review, timeline
 
 CANDIDATES = "day_id string, number int, stream_id string, id long, start_ms long"
 
@@ -32,3 +32,15 @@ def test_asof_announcement(spark):
         if own:
             want[day, name] = max(by)[1:] if by else min(own)[1:]
     assert {(x["day_id"], x["set_id"]): (x["candidate_id"], x["candidate_start_ms"]) for x in got.collect()} == want
+
+
+def test_best_candidate_for_set(spark):
+    sets, said = case(2)
+    got = review.best_candidate_for_set(spark.createDataFrame(sets, "day_id string, set_id string, number int, first_ms long"), spark.createDataFrame(said, CANDIDATES), 1)
+    assert joins(got) == 0
+    want = {}
+    for day, name, number, at in sets:
+        own = [(t > at, abs(t - at) / 1000, s or "", i) for d, n, s, i, t in said if d == day and n == number and None not in (n, t, at) and abs(t - at) <= 1000]
+        if own:
+            want[day, name] = (min(own)[3], min(own)[1])
+    assert {(x["day_id"], x["set_id"]): (x["c_id"], x["distance_s"]) for x in got.collect()} == want
