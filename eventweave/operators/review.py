@@ -120,12 +120,27 @@ def best_candidate_for_set(sets: DataFrame, candidates: DataFrame, max_s: float)
 
 
 def nearby_conflicts(windows: DataFrame, candidates: DataFrame, seconds: float = 90, cap: int = 3) -> DataFrame:
-    """Per window the candidates of another number within the band, counted up to ``cap`` (a score, as in the cases' difficulty). Joined
-    by time bucket, so each window meets three buckets."""
-    bucket = int(seconds * 1000)
-    w = windows.withColumn("b", F.explode(F.array(*(F.floor(F.col("start_ms") / bucket) + k for k in (-1, 0, 1)))))
-    c = candidates.select(DAY, F.col("number").alias("c_number"), F.col("start_ms").alias("c_start")).withColumn("b", F.floor(F.col("c_start") / bucket))
-    hits = w.join(c, [DAY, "b"]).where((F.col("c_number") != F.col("number")) & (F.abs(F.col("c_start") - F.col("start_ms")) <= bucket)).groupBy(DAY, "id").agg(F.count(F.lit(1)).alias("n"))
+    """Per window the candidates of another number within the band, counted up to ``cap`` (a score, as in the cases' difficulty).
+
+    A window asks three time buckets for their candidates: the last ones of the bucket before, all of its own, the first ones of the next.
+    Running counts in a bucket, of all numbers less those of the window's own, answer that without a row a pair."""
+    size = int(seconds * 1000)
+    start, bucket = F.col("start_ms"), F.floor(F.col("start_ms") / size)
+    # what is asked of a bucket: its candidates from t on, up to t, or all (up to the bucket's end); kind 1 is a candidate
+    asked = [(bucket - 1, start - size, 0), (bucket, (bucket + 1) * size, 2), (bucket + 1, start + size, 2)]
+    ask = F.explode(F.array(*(F.struct(b.cast("long").alias("b"), t.cast("long").alias("t"), F.lit(k).alias("kind")) for b, t, k in asked))).alias("q")
+    own = windows.where("start_ms is not null and number is not null").select(DAY, "id", "number", ask).select(DAY, "id", "number", "q.*")
+    said = candidates.where("number is not null").select(DAY, F.lit(None).cast(windows.schema["id"].dataType).alias("id"), "number", bucket.cast("long").alias("b"), start.cast("long").alias("t"), F.lit(1).alias("kind"))
+    rows = own.unionByName(said)
+    one = (F.col("kind") == 1).cast("long")
+
+    def counted(*keys: str) -> Column:
+        w = Window.partitionBy(DAY, "b", *keys)
+        upto = F.sum(one).over(w.orderBy("t", "kind").rowsBetween(Window.unboundedPreceding, 0))
+        return F.when(F.col("kind") == 0, F.sum(one).over(w) - upto).otherwise(upto)
+
+    found = rows.withColumn("_all", counted()).withColumn("_same", counted("number")).where("kind <> 1")
+    hits = found.groupBy(DAY, "id").agg(F.sum(F.col("_all") - F.col("_same")).alias("n"))
     return windows.join(hits, [DAY, "id"], "left").withColumn("conflicts", F.least(F.coalesce("n", F.lit(0).cast("long")), F.lit(cap).cast("long"))).drop("n")
 
 

@@ -44,3 +44,11 @@ def test_best_candidate_for_set(spark):
         if own:
             want[day, name] = (min(own)[3], min(own)[1])
     assert {(x["day_id"], x["set_id"]): (x["c_id"], x["distance_s"]) for x in got.collect()} == want
+
+
+def test_nearby_conflicts(spark):
+    windows, said = case(3)
+    got = review.nearby_conflicts(spark.createDataFrame(windows, "day_id string, id string, number int, start_ms long"), spark.createDataFrame(said, CANDIDATES), 1, 8)
+    assert joins(got) == 1  # the counts with the windows
+    near = lambda day, number, at: sum(d == day and None not in (n, number, t, at) and n != number and abs(t - at) <= 1000 for d, n, _, _, t in said)
+    assert {x["id"]: x["conflicts"] for x in got.collect()} == {i: min(8, near(day, number, at)) for day, i, number, at in windows}
