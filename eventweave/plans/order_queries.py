@@ -27,7 +27,7 @@ def adjacent_pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH {V.DISTANCES} SELECT day_id, left_photo_id, right_photo_id, round(distance, 6) AS distance FROM dist")
 def pair_distances(spark: SparkSession, sf: str) -> DataFrame:
-    return r6(V.distances(V.with_vectors(spark, sf)).select("day_id", "left_photo_id", "right_photo_id", "distance"), "distance")
+    return r6(ranges.own_rows(V.near_distances(spark, sf, 0, 1)).select("day_id", "left_photo_id", "right_photo_id", "distance"), "distance")
 
 
 @query(f"WITH {V.PAIRS} SELECT day_id, left_photo_id, round(abs(left_value - right_value), 6) AS brightness_delta FROM pairs")
@@ -38,7 +38,7 @@ def pair_deltas(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH {V.ROLLED} SELECT day_id, left_photo_id, round(rolling_mean, 5) AS rolling_mean, round(rolling_std, 5) AS rolling_std, round(zscore, 4) AS zscore FROM rolled")
 def rolling_distance_stats(spark: SparkSession, sf: str) -> DataFrame:
-    out = boundaries.rolling_distance_stats(V.distances(V.with_vectors(spark, sf)), V.PAIR_ORDER)
+    out = ranges.own_rows(boundaries.rolling_distance_stats(V.near_distances(spark, sf, 2, 1), V.PAIR_ORDER))
     return out.select("day_id", "left_photo_id", F.round("rolling_mean", 5).alias("rolling_mean"), F.round("rolling_std", 5).alias("rolling_std"), F.round("zscore", 4).alias("zscore"))
 
 

@@ -47,6 +47,14 @@ def distances(rows: DataFrame) -> DataFrame:
     return out.drop("left_embedding", "right_embedding")
 
 
+def near_distances(spark: SparkSession, sf_dir: str, before: int, after: int) -> DataFrame:
+    """Distances of the pairs of each range and a halo of photos around it. The halo is made of narrow rows; vectors come to the photos
+    when these have their ranges, and are sorted once for the neighbours."""
+    shots_ = photos(spark, sf_dir).select("day_id", "photo_id", "start_epoch_ms", "value")
+    near = ranges.with_halo(ranges.with_ranges(shots_, order.ORDER), order.ORDER, before, after)
+    return distances(with_vectors(spark, sf_dir, near))
+
+
 DISTANCES = PAIRS + """, n AS (SELECT count(*) AS n FROM embeddings), dist AS (SELECT p.*, 1 - greatest(-1, least(1, list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]))) AS distance
   FROM pairs p, n JOIN embeddings a ON a.vec_id = p.left_photo_id % n.n JOIN embeddings b ON b.vec_id = p.right_photo_id % n.n)"""
 
@@ -54,11 +62,8 @@ PAIR_ORDER = ["left_start_epoch_ms", "left_photo_id"]
 
 
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scores of all pairs. One halo serves the three steps: a score looks at the pairs from three before to one after it. Vectors come to
-    the photos when these have their ranges."""
-    shots_ = photos(spark, sf_dir).select("day_id", "photo_id", "start_epoch_ms", "value")
-    near = ranges.with_halo(ranges.with_ranges(shots_, order.ORDER), order.ORDER, 3, 2)
-    rolled = boundaries.rolling_distance_stats(distances(with_vectors(spark, sf_dir, near)), PAIR_ORDER)
+    """Scores of all pairs. One halo serves the three steps: a score looks at the pairs from three before to one after it."""
+    rolled = boundaries.rolling_distance_stats(near_distances(spark, sf_dir, 3, 2), PAIR_ORDER)
     return ranges.own_rows(boundaries.boundary_score(boundaries.smooth_z(rolled, PAIR_ORDER), soft_gap=SOFT, hard_gap=HARD))
 
 
