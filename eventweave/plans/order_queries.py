@@ -114,12 +114,13 @@ SELECT day_id, photo_id, round(least(CASE WHEN left_score IS NOT NULL THEN start
 )
 def edge_review(spark: SparkSession, sf: str) -> DataFrame:
     label = F.col("boundary_label")
-    cut = V.scores(spark, sf).select("day_id", F.col("right_photo_id").alias("photo_id"), F.when(label != "none", label).alias("_c"))
+    scored = V.kept_scores(spark, sf)
+    cut = scored.select("day_id", F.col("right_photo_id").alias("photo_id"), F.when(label != "none", label).alias("_c"))
     rows = ranges.with_ranges(V.photos(spark, sf), order.ORDER).join(cut, ["day_id", "photo_id"], "left")
     numbered = ranges.running(ranges.with_ranges(rows, order.ORDER), order.ORDER, F.col("_c").isNotNull().cast("long"), "segment_index")
     labels = numbered.where("_c is not null").select("day_id", "segment_index", F.col("_c").alias("left_label"))
     w = Window.partitionBy("day_id").orderBy("segment_index")
-    segs = boundaries.segment_confidence(V.segments(spark, sf)).join(labels, ["day_id", "segment_index"], "left")
+    segs = boundaries.segment_confidence(V.segments(spark, sf, scored)).join(labels, ["day_id", "segment_index"], "left")
     beside = {"left_confidence": F.lag("segment_confidence").over(w), "right_confidence": F.lead("segment_confidence").over(w), "right_label": F.lead("left_label").over(w)}
     sides = segs.withColumns(beside).select("day_id", "segment_index", "left_score", "right_score", "left_label", "right_label", "segment_confidence", "left_confidence", "right_confidence")
     out = boundaries.edge_review(numbered.join(sides, ["day_id", "segment_index"]), ["start_epoch_ms", "photo_id"])
@@ -198,7 +199,7 @@ LEFT JOIN t ON t.day_id = g.day_id AND t.segment_index = g.segment_index"""
 )
 def boundary_diagnostics(spark: SparkSession, sf: str) -> DataFrame:
     """Each segment with the scores before and after it and the three largest ones inside."""
-    scored = V.scores(spark, sf).select("day_id", "left_photo_id", "right_photo_id", "boundary_score", (F.col("boundary_label") != "none").alias("is_cut"))
+    scored = V.kept_scores(spark, sf).select("day_id", "left_photo_id", "right_photo_id", "boundary_score", (F.col("boundary_label") != "none").alias("is_cut"))
     rows = V.photos(spark, sf).select("day_id", "photo_id", "start_epoch_ms").join(scored.select("day_id", F.col("right_photo_id").alias("photo_id"), "is_cut"), ["day_id", "photo_id"], "left")
     numbered = ranges.running(ranges.with_ranges(rows, order.ORDER), order.ORDER, F.coalesce("is_cut", F.lit(False)).cast("long"), "segment_index")
     scored = scored.join(numbered.select("day_id", F.col("photo_id").alias("right_photo_id"), "segment_index"), ["day_id", "right_photo_id"])

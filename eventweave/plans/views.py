@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventweave.functions.timefuncs import epoch_ms
+from eventweave.llm.shared import stored
 from eventweave.operators import boundaries, order, ranges, timeline
 
 SOFT, HARD, GAP, MERGE = 300, 900, 600, 900
@@ -78,9 +79,15 @@ scored AS (SELECT *, CASE WHEN time_gap_seconds >= {HARD} THEN 1.0 ELSE greatest
 labelled AS (SELECT *, CASE WHEN time_gap_seconds >= {HARD} THEN 'hard' WHEN boundary_score >= 0.75 THEN 'soft' ELSE 'none' END AS boundary_label FROM scored)"""
 
 
-def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Segments of each day from cuts (label not none) on the pair before a photo."""
-    cut = scores(spark, sf_dir).select("day_id", F.col("right_photo_id").alias("photo_id"), F.col("boundary_score").alias("_s"), (F.col("boundary_label") != "none").alias("_c"))
+def kept_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all pairs as a work table, for queries that join them several times."""
+    return stored(scores(spark, sf_dir).select("day_id", "left_photo_id", "right_photo_id", "boundary_score", "boundary_label"), "scores")
+
+
+def segments(spark: SparkSession, sf_dir: str, scored: DataFrame | None = None) -> DataFrame:
+    """Segments of each day from cuts (label not none) on the pair before a photo. scored: the scores, if they are there already."""
+    scored = scores(spark, sf_dir) if scored is None else scored
+    cut = scored.select("day_id", F.col("right_photo_id").alias("photo_id"), F.col("boundary_score").alias("_s"), (F.col("boundary_label") != "none").alias("_c"))
     rows = ranges.with_ranges(photos(spark, sf_dir).select("day_id", "photo_id", "start_epoch_ms"), order.ORDER).join(cut, ["day_id", "photo_id"], "left")
     return boundaries.segments_from_cuts(rows, F.coalesce("_c", F.lit(False)), F.col("_s"), ["start_epoch_ms", "photo_id"])
 

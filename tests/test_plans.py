@@ -14,3 +14,8 @@ def vector_scans(spark, name):
 
 def test_rolling_distances_join_vectors_once(spark):
     assert vector_scans(spark, "rolling_distance_stats") == vector_scans(spark, "pair_distances") == 1
+
+
+def test_diagnostics_read_scores_from_a_work_table(spark):
+    """The scores of the pairs are made once, though they are joined several times."""
+    assert vector_scans(spark, "boundary_diagnostics") == vector_scans(spark, "edge_review") == 0
