@@ -98,7 +98,8 @@ def overlap_pairs(spark: SparkSession, sf: str) -> DataFrame:
 FROM tl t JOIN clips c ON c.day_id = t.day_id AND t.set_start_ms <= c.end_ms AND c.start_ms <= t.set_end_ms WHERE t.set_end_ms >= t.set_start_ms"""
 )
 def export_markers(spark: SparkSession, sf: str) -> DataFrame:
-    return r6(sync.export_markers(V.the_timeline(spark, sf), V.clips(spark, sf)), "seek_s", "duration_s")
+    # whole milliseconds in seconds have three places already; rounding them took much of the time, row by row
+    return sync.export_markers(V.the_timeline(spark, sf), V.clips(spark, sf))
 
 
 ESTIMATES = f"{V.PHOTOS}, est AS (SELECT day_id, stream_id, value - 50 AS correction_s, (photo_id % 100) / 100.0::DOUBLE AS score, CASE WHEN photo_id % 11 = 0 THEN 'failed' ELSE 'ok' END AS status FROM photos)"

@@ -19,3 +19,9 @@ def test_rolling_distances_join_vectors_once(spark):
 def test_diagnostics_read_scores_from_a_work_table(spark):
     """The scores of the pairs are made once, though they are joined several times."""
     assert vector_scans(spark, "boundary_diagnostics") == vector_scans(spark, "edge_review") == 0
+
+
+def test_export_markers_round_nothing(spark):
+    """Each pair of a set and a clip is a row, so what is done for a row counts: whole milliseconds need no rounding."""
+    plan = registry.queries()["export_markers"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "round(" not in plan
