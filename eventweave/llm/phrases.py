@@ -2,7 +2,7 @@
 
 1. Texts are split into pieces and words. A batch of texts of one language becomes a sequence of numbers of its own distinct words; the
    words are counted over the corpus, and those with at least ``least`` occurrences get a number that holds everywhere, which goes back
-   to the batches that have them. Rarer words and the ends of pieces become gaps: no phrase that counts can hold them.
+   to the batches that have them, as one list from each counting task. Rarer words and the ends of pieces become gaps: no phrase that counts can hold them.
 2. For prefixes of one to four words in turn, a task builds stripes: prefix -> how often each word follows (and how often none that
    counts does). Stripes of one prefix are merged elementwise, in parts by the following word, so that the stripe of a hot prefix is
    dealt over tasks. A longer prefix is only looked at where it and its parts were frequent; a bit filter of bounded size says so, and
@@ -20,6 +20,7 @@ read; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -78,8 +79,18 @@ def distinct(low: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.nd
     return number, list(known)
 
 
+def squeezed(seq: np.ndarray) -> bytes:
+    """32-bit numbers, most of them small, as compressed bytes: all lowest bytes, then all second ones, and so on."""
+    return zlib.compress(seq.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def unsqueezed(z: bytes) -> np.ndarray:
+    return np.frombuffer(np.frombuffer(zlib.decompress(z), np.uint8).reshape(4, -1).T.tobytes(), "<u4")
+
+
 def numbered(docs: DataFrame) -> DataFrame:
-    """Two kinds of rows: batch, lang, seq (32-bit numbers of the batch's own words, 0 between pieces); and batch, lang, own, word, n."""
+    """Two kinds of rows: batch, lang, seq (squeezed numbers of the batch's own words, the most frequent first, 0 between pieces); and
+    batch, lang, own, word, n."""
     names = ["batch", "lang", "seq", "own", "word", "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,12 +111,14 @@ def numbered(docs: DataFrame) -> DataFrame:
             number, words = distinct(low, start, end)
             ends = np.cumsum(PIECES[low])
             fresh = np.concatenate(([0], (ends[start[1:]] != ends[start[:-1]]).astype(np.int64)))
-            seq = np.zeros(len(start) + int(fresh.sum()), np.int32)
-            seq[np.arange(len(start)) + np.cumsum(fresh)] = number + 1
             n = np.bincount(number, minlength=len(words))
             k = len(words)
-            yield pa.RecordBatch.from_arrays([pa.array([batch]), pa.array([lang]), pa.array([seq.tobytes()], pa.binary()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.int64())], names=names)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(k, batch)), pa.array([lang] * k), pa.nulls(k, pa.binary()), pa.array(np.arange(1, k + 1, dtype=np.int32)), pa.array(words, pa.binary()), pa.array(n)], names=names)
+            own = np.empty(k, np.int32)
+            own[np.argsort(-n, kind="stable")] = np.arange(1, k + 1)
+            seq = np.zeros(len(start) + int(fresh.sum()), np.uint32)
+            seq[np.arange(len(start)) + np.cumsum(fresh)] = own[number]
+            yield pa.RecordBatch.from_arrays([pa.array([batch]), pa.array([lang]), pa.array([squeezed(seq)], pa.binary()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.int64())], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(k, batch)), pa.array([lang] * k), pa.nulls(k, pa.binary()), pa.array(own), pa.array(words, pa.binary()), pa.array(n)], names=names)
             batch += 1
 
         for b in batches:
@@ -123,17 +136,20 @@ def numbered(docs: DataFrame) -> DataFrame:
 
 
 def frequent(both: DataFrame, least: int) -> DataFrame:
-    """Two kinds of rows: task, at, bits, lang, word, f (the words with ``least`` occurrences, at from 0 in each task); and batch, own,
-    task, at, bits (the batches that have them). bits: the power of two of the parts of the word's stripes. Words come together by one shuffle, in which each batch has a row a word at most."""
-    names = ["task", "at", "bits", "lang", "word", "f", "batch", "own"]
+    """Two kinds of rows: task, at, bits, lang, word, f (the words with ``least`` occurrences, at from 0 in each task; bits: the power of
+    two of the parts of the word's stripes); and task, batch, own, to (what a batch has of them: differences of its own numbers in order,
+    and at << PART_BITS | bits of each). Words come together by one shuffle, in which each batch has a row a word at most."""
+    names = ["task", "at", "bits", "lang", "word", "f", "batch", "own", "to"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, at = TaskContext.get().partitionId(), 0
         held: pa.Table | None = None
+        lists: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        room = 0
 
         def given(t: pa.Table, last: bool) -> Iterator[pa.RecordBatch]:
             """The words of t; the last one waits for more rows, if there may be."""
-            nonlocal held, at
+            nonlocal held, at, room
             lang, word = t.column("lang").combine_chunks(), t.column("word").combine_chunks()
             same = pc.and_(pc.equal(lang[1:], lang[:-1]), pc.equal(word[1:], word[:-1])).to_numpy(zero_copy_only=False)
             first = np.flatnonzero(np.concatenate(([True], ~same)))
@@ -148,37 +164,57 @@ def frequent(both: DataFrame, least: int) -> DataFrame:
             at += int(keep.sum())
             k = int(keep.sum())
             bits = np.clip(np.ceil(np.log2(f / PART_WORDS)), 0, (1 << PART_BITS) - 1).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(k, task, np.int32)), pa.array(place[keep]), pa.array(bits[keep]), lang.take(pa.array(first[keep])), word.take(pa.array(first[keep])), pa.array(f[keep]), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32())], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(k, task, np.int32)), pa.array(place[keep]), pa.array(bits[keep]), lang.take(pa.array(first[keep])), word.take(pa.array(first[keep])), pa.array(f[keep]), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary())], names=names)
             group = np.repeat(np.arange(len(first)), np.diff(np.append(first, t.num_rows)))
             rows = keep[group]
-            k = int(rows.sum())
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(k, task, np.int32)), pa.array(place[group[rows]]), pa.array(bits[group[rows]]), pa.nulls(k, pa.string()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.int64()), pa.array(t.column("batch").to_numpy()[rows]), pa.array(t.column("own").to_numpy()[rows])], names=names)
+            to = ((place << PART_BITS) | bits).astype(np.uint32)
+            lists.append((t.column("batch").to_numpy()[rows], t.column("own").to_numpy()[rows].astype(np.uint32), to[group[rows]]))
+            room += int(rows.sum())
+
+        def flush() -> pa.RecordBatch:
+            nonlocal room
+            batch, own, to = (np.concatenate(c) for c in zip(*lists, strict=True))
+            lists.clear()
+            room = 0
+            order = np.lexsort((own, batch))
+            batch, own, to = batch[order], own[order], to[order]
+            first = np.flatnonzero(np.concatenate(([True], batch[1:] != batch[:-1])))
+            step = own.copy()
+            step[1:] -= own[:-1]
+            step[first] = own[first]
+            cut, k = np.append(first, len(batch)) * 4, len(first)
+            binary = lambda data: pa.Array.from_buffers(pa.binary(), k, [None, pa.py_buffer(cut.astype(np.int32).tobytes()), pa.py_buffer(data.tobytes())])
+            return pa.RecordBatch.from_arrays([pa.array(np.full(k, task, np.int32)), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.string()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.int64()), pa.array(batch[first]), binary(step), binary(to)], names=names)
 
         for b in batches:
             if b.num_rows:
                 t = pa.Table.from_batches([b])
                 yield from given(pa.concat_tables([held, t]) if held is not None else t, last=False)
+                if room > GATHERED:
+                    yield flush()
         if held is not None:
             yield from given(held, last=True)
+        if room:
+            yield flush()
 
     words = both.where("word is not null").select("batch", "lang", "own", "word", "n")
-    return words.repartition("lang", "word").sortWithinPartitions("lang", "word").mapInArrow(K.tidy(run), "task int, at long, bits int, lang string, word binary, f long, batch long, own int")
+    return words.repartition("lang", "word").sortWithinPartitions("lang", "word").mapInArrow(K.tidy(run), "task int, at long, bits int, lang string, word binary, f long, batch long, own binary, to binary")
 
 
 def renumbered(both: DataFrame, known: DataFrame, starts: dict[int, int]) -> DataFrame:
     """lang, seq: each batch's sequence in numbers that hold everywhere (32 bits: place << PART_BITS | parts), GAP for rarer words."""
-    lists = known.where("batch is not null").groupBy("batch").agg(F.collect_list(F.struct("own", "task", "at", "bits")).alias("known"))
-    rows = both.where("seq is not null").select("batch", "lang", "seq").join(lists, "batch")
+    lists = known.where("batch is not null").groupBy("batch").agg(F.collect_list(F.struct("task", "own", "to")).alias("known"))
+    # the lists of all batches are no table to broadcast: they grow with the corpus
+    rows = both.where("seq is not null").select("batch", "lang", "seq").join(lists.hint("merge"), "batch")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base = np.zeros(max(starts, default=0) + 1, np.int64)
-        base[list(starts)] = list(starts.values())
         for b in batches:
             for lang, seq, known in zip(b.column("lang"), b.column("seq"), b.column("known"), strict=True):
-                seq = np.frombuffer(seq.as_buffer(), np.int32)
-                own, task, at, bits = (known.values.field(c).to_numpy() for c in ("own", "task", "at", "bits"))
-                to = np.zeros(int(max(seq.max(initial=0), own.max())) + 1, np.uint32)
-                to[own] = (base[task] + at + 1 << PART_BITS) | bits
+                seq = unsqueezed(seq.as_buffer())
+                to = np.zeros(int(seq.max(initial=0)) + 1, np.uint32)
+                for task, own, place in zip(*(known.values.field(c) for c in ("task", "own", "to")), strict=True):
+                    at = np.cumsum(np.frombuffer(own.as_buffer(), np.uint32), dtype=np.int64)
+                    to[at] = np.frombuffer(place.as_buffer(), np.uint32) + np.uint32(starts[task.as_py()] + 1 << PART_BITS)
                 out = to[seq]
                 keep = (out != GAP) | np.concatenate(([False], out[:-1] != GAP))  # one gap in a row says as much as many
                 yield pa.RecordBatch.from_arrays([pa.array([lang.as_py()]), pa.array([out[keep].tobytes()], pa.binary())], names=["lang", "seq"])

@@ -141,6 +141,27 @@ def test_phrases_few_and_none(spark):
     assert [(r["rank"], r["phrase"], r["a"], r["l"], r["r"], r["n"], r["score"]) for r in top] == [(1, "p q", 100, 100, 100, 400, 4000)]
 
 
+def test_lists_of_frequent_words(spark, monkeypatch):
+    """A counting task gives each batch one list of its frequent words, not a row a word, and the lists are never broadcast."""
+    rows = [(k, " ".join(f"w{j}" for j in range(300)), "en") for k in range(40)]
+    for gathered in (phrases.GATHERED, 50):
+        monkeypatch.setattr(phrases, "GATHERED", gathered)
+        both = phrases.numbered(docs(spark, rows).repartition(4)).persist()
+        known = phrases.frequent(both, 10).persist()
+        lists = known.where("batch is not null").collect()
+        assert sum(len(x["own"]) // 4 for x in lists) == sum(len(x["to"]) // 4 for x in lists) == both.where("word is not null").count() == 4 * 300
+        if gathered > 50:
+            assert len(lists) == len({(x["task"], x["batch"]) for x in lists}) < 4 * 300
+        sizes = known.where("word is not null").groupBy("task").count().orderBy("task").collect()
+        starts = {x["task"]: sum(y["count"] for y in sizes if y["task"] < x["task"]) for x in sizes}
+        sequences = phrases.renumbered(both, known, starts)
+        plan = sequences._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+        spelled = {x["id"]: bytes(x["word"]).decode() for x in phrases.spelled_out(known, starts).collect()}
+        got = [" ".join(spelled.get(int(i), "|") for i in np.frombuffer(x["seq"], np.uint32)) for x in sequences.collect()]
+        assert sorted(" | ".join(got).replace("| |", "|").strip("| ").split(" | ")) == sorted(r[1] for r in rows)
+
+
 def test_words_whose_hashes_collide():
     """Words of Thue-Morse form have equal polynomial hashes; they are told apart by their bytes."""
     word = "a"
