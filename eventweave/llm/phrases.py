@@ -5,7 +5,7 @@
    to the batches that have them, as one list from each counting task. Rarer words and the ends of pieces become gaps: no phrase that counts can hold them.
 2. For prefixes of one to four words in turn, a task builds stripes: prefix -> how often each word follows (and how often none that
    counts does). Stripes of one prefix are merged elementwise, in parts by the following word, so that the stripe of a hot prefix is
-   dealt over tasks. A longer prefix is only looked at where it and its parts were frequent; a bit filter of bounded size says so, and
+   dealt over tasks. They travel in bundles, by a hash of prefix and part; there are more bundles the more frequent words there are. A longer prefix is only looked at where it and its parts were frequent; a bit filter of bounded size says so, and
    what it lets pass too much ends at the merge.
 3. From the merged stripes follow: the extensions (phrases of one word more with their counts), the totals of a prefix (its own count),
    and the subsumption maxima: the most frequent word after a phrase, and, by the tails of the extensions, the most frequent one before
@@ -44,6 +44,8 @@ PART_WORDS = 1 << 17
 FILTER_BITS = 1 << 28
 #: Entries that a task gathers before it merges and gives out its stripes.
 GATHERED = 1 << 21
+#: Frequent words for each bundle of stripes, and the least number of bundles of a language (a power of two).
+BUNDLE_WORDS, BUNDLES = 1 << 8, 1 << 9
 #: Words that are hashed and compared in one step.
 STEP = 1 << 16
 #: Where a phrase ends: any ASCII character between pieces. Words are separated by blanks and tabs besides.
@@ -284,36 +286,43 @@ def summed(columns: list[np.ndarray], n: np.ndarray) -> tuple[list[np.ndarray],
     return [c[first] for c in columns], np.add.reduceat(n, first) if len(first) else n
 
 
-def as_stripes(lang: str, columns: list[np.ndarray], n: np.ndarray) -> pa.RecordBatch:
-    """One row for each prefix (all columns but the last) and part: the words that follow (differences of their sorted numbers), and how
-    often each does. The least frequent word of a prefix says in how many parts its words are dealt, everywhere alike."""
+def binaries(data: np.ndarray, cut: np.ndarray) -> pa.Array:
+    """A binary column of 32-bit numbers, each row from one cut to the next."""
+    offsets = (cut * 4).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(cut) - 1, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.astype(np.uint32).tobytes())])
+
+
+def as_stripes(lang: str, columns: list[np.ndarray], n: np.ndarray, bundles: int) -> pa.RecordBatch:
+    """One row for each bundle: its prefixes (all columns but the last), how many words follow each, those words (differences of their
+    sorted numbers), and how often each does. The least frequent word of a prefix says in how many parts its words are dealt, everywhere
+    alike; a hash of prefix and part gives the bundle."""
     bits = columns[0] & ((1 << PART_BITS) - 1)
     for c in columns[1:-1]:
         bits = np.minimum(bits, c & ((1 << PART_BITS) - 1))
     part = (columns[-1] >> PART_BITS) & ((1 << bits) - 1)
-    if part.any():
-        order = np.lexsort([columns[-1], part, *columns[-2::-1]])
-        columns, n, part = [c[order] for c in columns], n[order], part[order]
+    bundle = (mixed([*columns[:-1], part]) & U64(bundles - 1)).astype(np.uint16 if bundles <= 1 << 16 else np.int64)
+    order = np.argsort(bundle, kind="stable")  # prefixes and words stay in order
+    bundle, columns, n = bundle[order], [c[order] for c in columns], n[order]
     new = np.ones(len(n), bool)
-    new[1:] = part[1:] != part[:-1]
+    new[1:] = bundle[1:] != bundle[:-1]
+    row = np.append(np.flatnonzero(new), len(n))
     for c in columns[:-1]:
         new[1:] |= c[1:] != c[:-1]
     first = np.flatnonzero(new)
     step = columns[-1].copy()
     step[1:] -= np.where(new[1:], 0, columns[-1][:-1]).astype(np.uint32)
-    prefix = np.stack(columns[:-1], 1)[first].astype(np.uint32).tobytes()
-    size = 4 * (len(columns) - 1)
-    cut = np.append(first, len(n)) * 4
-    binary = lambda offsets, data: pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(data)])
-    return pa.RecordBatch.from_arrays([pa.array([lang] * len(first)), binary(np.arange(len(first) + 1) * size, prefix), pa.array(part[first].astype(np.int32)), binary(cut, step.tobytes()), binary(cut, n.astype(np.uint32).tobytes())], names=["lang", "prefix", "part", "next", "times"])
+    stripe = np.searchsorted(first, row)
+    prefix = np.stack(columns[:-1], 1)[first]
+    lists = [binaries(prefix, stripe * prefix.shape[1]), binaries(np.diff(np.append(first, len(n))), stripe), binaries(step, row), binaries(n, row)]
+    return pa.RecordBatch.from_arrays([pa.array([lang] * (len(row) - 1)), pa.array(bundle[row[:-1]].astype(np.int32)), *lists], names=["lang", "bundle", "prefix", "many", "next", "times"])
 
 
 #: Stripes of tasks, and merged ones.
-PARTIAL = "lang string, prefix binary, part int, next binary, times binary"
-STRIPES = "lang string, prefix array<long>, part int, next array<long>, times array<long>"
+PARTIAL = "lang string, bundle int, prefix binary, many binary, next binary, times binary"
+STRIPES = "lang string, prefix array<long>, next array<long>, times array<long>"
 
 
-def stripes(sequences: DataFrame, size: int, filter_: np.ndarray | None) -> DataFrame:
+def stripes(sequences: DataFrame, size: int, filter_: np.ndarray | None, bundles: int = BUNDLES) -> DataFrame:
     """Stripes of each task: prefixes of ``size`` frequent words, and the counter of the words after them (GAP: none that counts)."""
     sent = None if filter_ is None else sequences.sparkSession.sparkContext.broadcast(filter_)
 
@@ -342,8 +351,7 @@ def stripes(sequences: DataFrame, size: int, filter_: np.ndarray | None) -> Data
             own = held.pop(lang)
             room.pop(lang)
             columns, n = summed([np.concatenate([o[0][k] for o in own]) for k in range(size + 1)], np.concatenate([o[1] for o in own]))
-            for lo in range(0, len(n), 1 << 18):
-                yield as_stripes(lang, [c[lo : lo + (1 << 18)] for c in columns], n[lo : lo + (1 << 18)])
+            yield as_stripes(lang, columns, n, bundles)
 
         for b in batches:
             for lang, seq in zip(b.column("lang").to_pylist(), b.column("seq"), strict=True):
@@ -367,57 +375,67 @@ def numbers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def merged(parts: DataFrame, size: int, least: int) -> DataFrame:
-    """One row for each lang, prefix and part: the counters merged elementwise. Only words that follow ``least`` times or more stay in
-    them; the others are added to GAP, so that the sum of a prefix is unchanged."""
+    """The counters of each lang and prefix (of each part or more) merged elementwise. Only words that follow ``least`` times or more stay
+    in them; the others are added to GAP, so that the sum of a prefix is unchanged. A task holds one bundle at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple[tuple, np.ndarray, np.ndarray] | None = None
+        key: tuple | None = None
+        held: list[tuple[list[np.ndarray], np.ndarray]] = []
+        room = 0
+
+        def together() -> tuple[list[np.ndarray], np.ndarray]:
+            return summed([np.concatenate([h[0][k] for h in held]) for k in range(size + 1)], np.concatenate([h[1] for h in held]))
+
         for b in batches:
             if not b.num_rows:
                 continue
-            lang = b.column("lang").to_pylist()
+            keys = list(zip(b.column("lang").to_pylist(), b.column("bundle").to_pylist(), strict=True))
             prefix = numbers(b.column("prefix"))[0].reshape(-1, size)
-            part = b.column("part").to_numpy()
-            step, many = numbers(b.column("next"))
-            total = np.concatenate(([0], np.cumsum(step, dtype=np.int64)))
-            columns = [np.repeat(np.arange(b.num_rows), many), total[1:] - np.repeat(total[np.cumsum(many) - many], many)]
+            many = numbers(b.column("many"))[0].astype(np.int64)
+            step, entries = numbers(b.column("next"))
             times = numbers(b.column("times"))[0].astype(np.int64)
-            new = np.ones(b.num_rows, bool)
-            new[1:] = (part[1:] != part[:-1]) | (prefix[1:] != prefix[:-1]).any(1) | np.fromiter((x != y for x, y in zip(lang[1:], lang[:-1], strict=True)), bool, b.num_rows - 1)
-            group = np.cumsum(new) - 1
-            columns[0] = group[columns[0]]
-            (own, word), n = summed(columns, times)
-            own = own.astype(np.int64)
-            cut = np.searchsorted(own, np.arange(group[-1] + 2))
-            firsts = np.flatnonzero(new)
-            keys = [(lang[f], tuple(prefix[f].tolist()), int(part[f])) for f in firsts.tolist()]
-            done = []
-            for g, key in enumerate(keys):
-                w, t = word[cut[g] : cut[g + 1]], n[cut[g] : cut[g + 1]]
-                if held is not None:
-                    if held[0] == key:
-                        (w,), t = summed([np.concatenate((held[1], w))], np.concatenate((held[2], t)))
-                    else:
-                        done.append(held)
-                held = (key, w, t)
-            yield from given(done)
-        if held is not None:
-            yield from given([held])
-
-    def given(done: list[tuple[tuple, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        if done:
-            words, times = [], []
-            for _, w, t in done:
-                stay = (t >= least) & (w != GAP)
-                rest = int(t[~stay].sum())
-                words.append(np.append(w[stay], GAP) if rest else w[stay])
-                times.append(np.append(t[stay], rest) if rest else t[stay])
-            offsets = pa.array(np.cumsum([0, *map(len, words)]).astype(np.int32))
-            columns = [pa.array([k[0] for k, _, _ in done]), pa.array([list(k[1]) for k, _, _ in done], pa.list_(pa.int64())), pa.array([k[2] for k, _, _ in done], pa.int32())]
-            columns += [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(x).astype(np.int64))) for x in (words, times)]
-            yield pa.RecordBatch.from_arrays(columns, names=["lang", "prefix", "part", "next", "times"])
-
-    key = ["lang", "prefix", "part"]
+            total = np.concatenate(([0], np.cumsum(step, dtype=np.int64)))
+            word = (total[1:] - np.repeat(total[np.cumsum(many) - many], many)).astype(np.uint32)
+            columns = [*(np.repeat(c, many) for c in prefix.T), word]
+            cut = np.concatenate(([0], np.cumsum(entries)))
+            lo = 0
+            while lo < len(keys):
+                hi = lo + 1
+                while hi < len(keys) and keys[hi] == keys[lo]:
+                    hi += 1
+                if keys[lo] != key:
+                    if held:
+                        yield given(key[0], *together())
+                    key, held, room = keys[lo], [], 0
+                x, y = cut[lo], cut[hi]
+                held.append(([c[x:y].copy() for c in columns], times[x:y].copy()))
+                room += int(y - x)
+                if room > GATHERED and len(held) > 1:
+                    held = [together()]
+                    room = 0  # what is left is no longer than the merged bundle
+                lo = hi
+        if held:
+            yield given(key[0], *together())
+
+    def given(lang: str, columns: list[np.ndarray], n: np.ndarray) -> pa.RecordBatch:
+        new = np.ones(len(n), bool)
+        new[1:] = False
+        for c in columns[:-1]:
+            new[1:] |= c[1:] != c[:-1]
+        first = np.flatnonzero(new)
+        stripe, k = np.cumsum(new) - 1, len(first)
+        stay = (n >= least) & (columns[-1] != GAP)
+        rest = np.add.reduceat(np.where(stay, 0, n), first)
+        gap = np.flatnonzero(rest)
+        of = np.concatenate((stripe[stay], gap))
+        order = np.argsort(of, kind="stable")
+        words, times = np.concatenate((columns[-1][stay].astype(np.int64), np.full(len(gap), GAP)))[order], np.concatenate((n[stay], rest[gap]))[order]
+        lists = lambda data, offsets: pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(data.astype(np.int64)))
+        ends = np.concatenate(([0], np.cumsum(np.bincount(of, minlength=k))))
+        prefix = np.stack(columns[:-1], 1)[first].reshape(-1)
+        return pa.RecordBatch.from_arrays([pa.array([lang] * k), lists(prefix, np.arange(k + 1) * size), lists(words, ends), lists(times, ends)], names=["lang", "prefix", "next", "times"])
+
+    key = ["lang", "bundle"]
     return parts.repartition(*key).sortWithinPartitions(*key).mapInArrow(K.tidy(run), STRIPES)
 
 
@@ -436,9 +454,10 @@ def collocations(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, to
         raise ValueError("numbers of words must fit 32 bits")
     vocabulary = stored(spelled_out(known, starts), "vocabulary")
     sequences = stored(renumbered(both, known, starts), "sequences")
+    bundles = max(BUNDLES, 1 << (at // BUNDLE_WORDS).bit_length())
     found, filter_, made = [], None, []
     for size in range(1, longest):
-        merged_ = stored(merged(stripes(sequences, size, filter_), size, least), "stripes")
+        merged_ = stored(merged(stripes(sequences, size, filter_, bundles), size, least), "stripes")
         made.append(merged_)
         entries = merged_.select("lang", "prefix", F.explode(F.arrays_zip("next", "times")).alias("e")).where(F.col("e.next") != GAP)
         found.append(entries.select("lang", F.concat("prefix", F.array("e.next")).alias("phrase"), F.col("e.times").alias("f")))

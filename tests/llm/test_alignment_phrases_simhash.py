@@ -162,6 +162,35 @@ def test_lists_of_frequent_words(spark, monkeypatch):
         assert sorted(" | ".join(got).replace("| |", "|").strip("| ").split(" | ")) == sorted(r[1] for r in rows)
 
 
+def test_stripes_travel_in_bundles(spark, monkeypatch):
+    """A task gives out a row a bundle at most, however many prefixes it has, and the merged counters are those of the sequence."""
+    r = random.Random(5)
+    ids = [(r.randrange(1, 200) << phrases.PART_BITS) | r.randrange(2) for _ in range(200)]
+    seqs = [np.array([r.choice([*ids, phrases.GAP]) for _ in range(3000)], np.uint32) for _ in range(4)]
+    given = spark.createDataFrame([("en", q.tobytes()) for q in seqs], "lang string, seq binary").repartition(2).persist()
+    for size, gathered in ((1, phrases.GATHERED), (2, 700)):
+        monkeypatch.setattr(phrases, "GATHERED", gathered)
+        rows = phrases.stripes(given, size, None, 16)
+        if size == 1:
+            assert rows.count() <= 2 * 16
+        want = Counter()
+        for q in seqs:
+            full = [*q.tolist(), phrases.GAP]
+            want.update(tuple(full[i : i + size + 1]) for i in range(len(full) - size) if phrases.GAP not in full[i : i + size])
+        got, sums = {}, Counter()
+        for x in phrases.merged(rows, size, 3).collect():
+            for w, t in zip(x["next"], x["times"], strict=True):
+                sums[tuple(x["prefix"])] += t
+                if w != phrases.GAP:
+                    assert (*x["prefix"], w) not in got
+                    got[(*x["prefix"], w)] = t
+        assert got == {k: t for k, t in want.items() if t >= 3 and k[-1] != phrases.GAP}
+        whole = Counter()
+        for k, t in want.items():
+            whole[k[:-1]] += t
+        assert sums == whole
+
+
 def test_words_whose_hashes_collide():
     """Words of Thue-Morse form have equal polynomial hashes; they are told apart by their bytes."""
     word = "a"
