@@ -494,6 +494,20 @@ def test_toxicity_in_awkward_tables(spark, rows):
     assert len({x["score"] for x in got if x["doc_id"] == 2}) <= 1
 
 
+def test_toxicity_curve_of_all_rows(spark):
+    """The curve is that of all rows, also beyond 20,000; the last of them speak another way than the first."""
+    r = random.Random(11)
+    rows = [(x := r.gauss(0, 2), float(r.random() < 1 / (1 + math.exp(-(x - 1 if k < 20_000 else 0.3 * x + 1))))) for k in range(30_000)]
+    got = toxicity.fit(spark.createDataFrame(rows, "x double, y double").repartition(4))
+    x, y = (np.array(c) for c in zip(*rows, strict=True))
+    middle, scale = x.mean(), x.std()
+    z, w = np.stack((np.ones(len(x)), (x - middle) / scale), 1), np.zeros(2)
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-z @ w))
+        w += np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + 1e-2 * np.eye(2), z.T @ (y - p) - 1e-2 * w)
+    assert np.allclose(got, [w[0] - w[1] / scale * middle, w[1] / scale], atol=1e-7)
+
+
 def test_toxicity_without_labels(spark):
     d, marks, _ = labelled(spark, 30)
     model = toxicity.train(d, marks.where("doc_id < 0"))
