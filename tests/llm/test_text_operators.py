@@ -359,6 +359,19 @@ def test_passage_quoted_before(spark):
     assert (got[6]["n_repeated"], list(got[6]["first_docs"])) == (100, [5]) and all(got[i]["n_repeated"] == 0 for i in range(4))
 
 
+@pytest.mark.parametrize("every", [9, 11, 15])
+@pytest.mark.parametrize("rare", [0, chains.RARE])
+def test_edited_passage_quoted_before(spark, monkeypatch, every, rare):
+    """Four documents quote 25 words each of a passage, a later one holds it whole, and one holds it edited; with rare and frequent seeds."""
+    monkeypatch.setattr(chains, "RARE", rare)
+    p = prose(1, 100, 10**6).split()
+    rows = [(i, " ".join([prose(10 + i, 60, 10**6), *p[25 * i : 25 * i + 25], prose(20 + i, 60, 10**6)])) for i in range(4)]
+    edited = [f"edit{k}" if k % every == 0 else w for k, w in enumerate(p)]
+    rows += [(10, " ".join([prose(30, 60, 10**6), *p, prose(40, 60, 10**6)])), (20, " ".join([prose(31, 60, 10**6), *edited, prose(41, 60, 10**6)]))]
+    got = rows_of(chains.fuzzy_repeats(docs(spark, rows)))
+    assert got[20]["n_repeated"] >= 90 and list(got[20]["first_docs"]) == [10] and all(got[i]["n_repeated"] == 0 for i in (0, 1, 2, 3))
+
+
 def test_recall_of_fuzzy_passages(spark):
     """Of edited passages (identity 0.9 and more by full alignment) at least 0.9 are found, with 0.8 of their words."""
     r, rows, want = random.Random(5), [], []
