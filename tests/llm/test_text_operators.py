@@ -372,6 +372,23 @@ def test_edited_passage_quoted_before(spark, monkeypatch, every, rare):
     assert got[20]["n_repeated"] >= 90 and list(got[20]["first_docs"]) == [10] and all(got[i]["n_repeated"] == 0 for i in (0, 1, 2, 3))
 
 
+def test_passage_with_many_copies(spark, monkeypatch):
+    """Copies of the text that an edited passage is from are matched through the first of them: more copies make no more matches."""
+    monkeypatch.setattr(chains, "RARE", 0)
+    p = prose(1, 100, 10**6).split()
+    quotes = [(i, " ".join([prose(10 + i, 60, 10**6), *p[25 * i : 25 * i + 25], prose(20 + i, 60, 10**6)])) for i in range(4)]
+    whole, edited = " ".join([prose(30, 60, 10**6), *p, prose(40, 60, 10**6)]), " ".join([prose(31, 60, 10**6), *(f"edit{k}" if k % 11 == 0 else w for k, w in enumerate(p)), prose(41, 60, 10**6)])
+    made = []
+    for copies in (1, 8):
+        d = docs(spark, [*quotes, *((10 + k, whole) for k in range(copies)), (20, edited)])
+        alone = chains.with_first(chains.seeds(d), ["key"])
+        known = chains.located(d, chains.matches(alone), chains.MIN_WORDS, chains.IDENTITY)
+        made.append(chains.later_matches(alone, known).where("doc = 20").count())
+        got = rows_of(chains.fuzzy_repeats(d))
+        assert got[20]["n_repeated"] >= 90 and list(got[20]["first_docs"]) == [10]
+    assert made[0] == made[1] > 0
+
+
 def test_recall_of_fuzzy_passages(spark):
     """Of edited passages (identity 0.9 and more by full alignment) at least 0.9 are found, with 0.8 of their words."""
     r, rows, want = random.Random(5), [], []
