@@ -42,12 +42,12 @@ LENGTH = 200
 KMER = 64
 _PLACE = np.uint64((1 << 24) - 1)
 #: Bytes of distinct surroundings that a task holds back to find equal ones before it sends them.
-HOLD_BYTES = 12 << 20
+HOLD_BYTES = 8 << 20
 #: Distinct surroundings of an anchor up to which they are one group, and the ranges of places in which the strings of others are dealt.
 HOT = 2000
 PARTS = 4
 #: Suffixes that a group task ranks at a time (whole groups, except for a group larger than this).
-RANK_AT_ONCE = 400_000
+RANK_AT_ONCE = 100_000
 NAMES = ["g", "c", "rid", "at", "left", "ctx", "n", "doc"]
 _C2 = np.uint64(0xD6E8FEB86659FD93)
 

@@ -305,6 +305,15 @@ def test_fingerprint_runs_of_ids(spark):
     assert got == {i * 3: f"text {(i - 1) % 500}" for i in range(500)}
 
 
+def test_repeats_are_cut_in_small_batches(spark):
+    """The pipeline's workers for repeated strings get batches of 4 MB, and rank few suffixes at a time."""
+    import corpus_pipeline
+
+    text = "".join(chr(97 + k * k % 23) for k in range(300))
+    got = {r["doc_id"]: r["n_chars"] for r in corpus_pipeline.cut_repeats(spark, docs(spark, [(1, text), (2, text)]).selectExpr("doc_id", "text", "'en' lang", "'a' source", "0L n_chars"), "").collect()}
+    assert got[1] + got[2] < 600 and spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "4m" and suffix.RANK_AT_ONCE <= 100_000
+
+
 def test_chains(spark):
     shared = prose(31, 90, 10**6)
     fuzzy = shared.split()
