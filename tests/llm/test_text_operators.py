@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from eventweave.llm import bpe, chains, decontaminate, fingerprint, kernels, langid, minhash, quality, suffix, toxicity, urlfilter
+from eventweave.llm import bpe, chains, decontaminate, fingerprint, kernels, langid, minhash, quality, shared, suffix, toxicity, urlfilter
 from eventweave.llm.components import components
 from eventweave.llm.queries import ORACLE_SQL
 
@@ -524,6 +524,36 @@ def test_kneser_ney_brute(spark):
         assert abs(model.word_ratios(low, np.array([0]), np.array([len(w)]))[0] - want) < 1e-3
 
 
+def test_toxicity_keeps_rare_grams(spark):
+    """An n-gram that stands once among a hundred thousand is in its level, though with little weight."""
+    once, often = (int.from_bytes(w, "big") for w in (b"rarely ", b"common "))
+    counted = spark.createDataFrame([(once, 1, 1), (often, 100_000, 100_000)], "gram long, n0 long, n1 long")
+    top = toxicity.levels(counted)[0]
+    assert top.gram.tolist() == sorted((once, often)) and top.order == toxicity.ORDER
+    rare = top.gram.tolist().index(once)
+    assert (top.own[rare] >= 0).all() and top.n[rare].tolist() == [1, 1]
+    assert abs(toxicity.scale(counted)[1] - 10.5).max() < 1e-9
+
+
+@pytest.mark.parametrize("z", [False, True])
+def test_toxicity_by_joins(spark, monkeypatch, z):
+    """A model that stays in Spark gives the differences of the one that is sent, also where texts come squeezed and labels are many."""
+    d, marks, _ = labelled(spark)
+    d = d.unionByName(docs(spark, [(7, "ümlaut vile " * 3), (7, "vile"), (7, "vile")]))
+    many = d.unionByName(docs(spark, [(-1, "calm sea " * 700_000)])) if z else d
+    if z:
+        monkeypatch.setattr(shared, "BROADCAST_LABELS", 0)
+        monkeypatch.setattr(toxicity, "DEALT", 1000)
+    got = []
+    for limit in (toxicity.BROADCAST_GRAMS, 0):
+        monkeypatch.setattr(toxicity, "BROADCAST_GRAMS", limit)
+        model = toxicity.train(many.where(~toxicity.held_out()), marks)
+        assert isinstance(model, toxicity.Model if limit else toxicity.Tables)
+        got.append(sorted((str(x["doc_id"]), x["text"] or "", x["x"]) for x in toxicity.described(many, model, ("doc_id", "text")).collect()))
+    assert [x[:2] for x in got[0]] == [x[:2] for x in got[1]]
+    assert max(abs(a[2] - b[2]) for a, b in zip(*got, strict=True)) < 1e-5 and sum(x[2] > 0 for x in got[1]) > 20
+
+
 @pytest.mark.parametrize("rows", [[], [(1, "vile " * 300_000), (2, "calm"), (2, "calm"), (None, None)]])
 def test_toxicity_in_awkward_tables(spark, rows):
     d = docs(spark, rows)
