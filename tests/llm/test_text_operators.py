@@ -398,6 +398,38 @@ def test_passage_with_many_copies(spark, monkeypatch):
     assert made[0] == made[1] > 0
 
 
+def test_ends_of_runs_are_matched_once(spark, monkeypatch):
+    """Documents that share a run of one word only: two matches for each pair of them, found by the words beside the ends, and no passage.
+    A run that is longer than another, or broken in one text, still belongs to the passage around it."""
+    monkeypatch.setattr(chains, "RARE", 0)
+    rows = [(i, f"{prose(300 + i, 60, 10**6)} {'the ' * 25}{prose(400 + i, 60, 10**6)}") for i in range(12)]
+    d = docs(spark, rows)
+    alone = chains.with_first(chains.seeds(d), ["key"])
+    known = chains.located(d, chains.matches(alone), chains.MIN_WORDS, chains.IDENTITY)
+    assert known.count() == 0 and chains.later_matches(alone, known).count() <= 2 * 66
+    a, b = prose(500, 30, 10**6), prose(501, 30, 10**6)
+    rows += [(20, f"{a} {'the ' * 22}{b}"), (21, f"{prose(502, 50, 10**6)} {a} {'the ' * 26}{b}"), (22, f"{a} {'the ' * 11}x {'the ' * 10}{b} {prose(503, 50, 10**6)}")]
+    got = rows_of(chains.fuzzy_repeats(docs(spark, rows)))
+    assert [got[i]["n_repeated"] for i in range(12)] == [0] * 12 and got[21]["n_repeated"] == 86 and got[22]["n_repeated"] == 82
+
+
+def test_common_words_brute():
+    r = random.Random(4)
+    for _ in range(200):
+        a, b = ([r.randrange(4) for _ in range(r.randrange(90))] for _ in range(2))
+        row = [0] * (len(b) + 1)
+        for u in a:
+            row = [0, *_risen(row, u, b)]
+        assert chains.common(a, b) == row[-1]
+
+
+def _risen(row, u, b):
+    left = 0
+    for j, v in enumerate(b, 1):
+        left = row[j - 1] + 1 if u == v else max(row[j], left)
+        yield left
+
+
 def test_recall_of_fuzzy_passages(spark):
     """Of edited passages (identity 0.9 and more by full alignment) at least 0.9 are found, with 0.8 of their words."""
     r, rows, want = random.Random(5), [], []
