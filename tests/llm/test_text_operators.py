@@ -595,6 +595,20 @@ def test_toxicity_in_awkward_tables(spark, rows):
     assert len({x["score"] for x in got if x["doc_id"] == 2}) <= 1
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test tables")
+def test_pipeline_drops_toxic_rows_by_joins(spark, monkeypatch):
+    """The pipeline's first stage keeps the same rows, unchanged, where its model is joined instead of sent."""
+    import corpus_pipeline
+
+    sf = "/root/testdata/sf0.001"
+    rows = shared.table(spark, sf, "documents")
+    kept = []
+    for limit in (toxicity.BROADCAST_GRAMS, 0):
+        monkeypatch.setattr(toxicity, "BROADCAST_GRAMS", limit)
+        kept.append(sorted(map(str, corpus_pipeline.drop_toxic(spark, rows, sf).collect())))
+    assert kept[0] == kept[1] and set(kept[0]) <= set(map(str, rows.select(*corpus_pipeline.COLUMNS).collect()))
+
+
 def test_toxicity_curve_of_all_rows(spark):
     """The curve is that of all rows, also beyond 20,000; the last of them speak another way than the first."""
     r = random.Random(11)
